@@ -75,3 +75,128 @@ def all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           extra=FEATURE_CTES))
 def q_features_daily(spark, sf_dir):
     return rounded(all_features(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- model parts
+from ..operators.lof import fit_lof, lof_flag, lof_novelty, lof_scores  # noqa: E402
+from ..operators.regress import fit_hdd_regression, regression_residual  # noqa: E402
+from ..operators.scale import apply_scaler, fit_scaler, scaler_long  # noqa: E402
+from ..schemas import MODEL_FEATURES  # noqa: E402
+
+FEATS = MODEL_FEATURES
+ZCOLS = [f"z_{c}" for c in FEATS]
+KEYS3 = ["building_id", "apartment_id", "event_date"]
+
+
+def point_id():
+    """Row id of a daily feature row: apartment number and day number (unique per row)."""
+    return (F.regexp_extract("apartment_id", r"(\d+)$", 1).cast("long") * 100000
+            + F.unix_date("event_date").cast("long"))
+
+
+SQL_POINT_ID = "CAST(regexp_extract(apartment_id, '(\\d+)$', 1) AS BIGINT) * 100000 + (event_date - DATE '1970-01-01')"
+
+
+def sql_filled(src: str) -> str:
+    fills = ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in FEATS)
+    return f"SELECT building_id, apartment_id, event_date, {SQL_POINT_ID} AS id, {fills} FROM {src}"
+
+
+def sql_params(src: str) -> str:
+    parts = []
+    for c in FEATS:
+        parts.append(f"avg({c}) AS m_{c}")
+        parts.append(f"CASE WHEN stddev_pop({c}) IS NULL OR stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS s_{c}")
+    return f"SELECT {', '.join(parts)} FROM {src}"
+
+
+def sql_z(src: str, params: str) -> str:
+    zs = ", ".join(f"({c} - m_{c}) / s_{c} AS z_{c}" for c in FEATS)
+    return f"SELECT building_id, apartment_id, event_date, id, {FEATS[0]}, hdd, {zs} FROM {src} CROSS JOIN {params}"
+
+
+def sql_dist(a: str, b: str) -> str:
+    return "sqrt(" + " + ".join(f"({a}.{z} - {b}.{z}) * ({a}.{z} - {b}.{z})" for z in ZCOLS) + ")"
+
+
+def sql_lof_ctes(ref: str, k: int = 20, prefix: str = "") -> list:
+    """CTEs computing kdist, lrd and lof per row of ``ref`` (building_id, id, z_*), LOF within building."""
+    p = prefix
+    zlist = ", ".join(ZCOLS)
+    return [
+        (f"{p}refr", f"SELECT *, min(id) OVER (PARTITION BY building_id, {zlist}) AS rep FROM {ref}"),
+        (f"{p}pairs", f"SELECT a.building_id, a.id AS qid, b.id AS cid, b.rep AS crep, {sql_dist('a', 'b')} AS dist "
+                      f"FROM {p}refr a JOIN {p}refr b ON a.building_id = b.building_id AND a.id <> b.id"),
+        (f"{p}kk", f"SELECT building_id, least({k}, count(*) - 1) AS k FROM {p}refr GROUP BY building_id"),
+        (f"{p}rk", f"SELECT x.*, row_number() OVER (PARTITION BY x.qid ORDER BY round(x.dist, 9), x.crep, x.cid) AS rn "
+                   f"FROM {p}pairs x"),
+        (f"{p}nb", f"SELECT r.* FROM {p}rk r JOIN {p}kk USING (building_id) WHERE r.rn <= {p}kk.k"),
+        (f"{p}kd", f"SELECT qid, max(dist) AS kdist FROM {p}nb GROUP BY qid"),
+        (f"{p}lrd", f"SELECT n.qid, 1.0 / (avg(greatest(n.dist, d.kdist)) + 1e-10) AS lrd "
+                    f"FROM {p}nb n JOIN {p}kd d ON n.cid = d.qid GROUP BY n.qid"),
+        (f"{p}lof", f"SELECT n.qid, avg(l2.lrd) / any_value(l1.lrd) AS lof FROM {p}nb n "
+                    f"JOIN {p}lrd l1 ON n.qid = l1.qid JOIN {p}lrd l2 ON n.cid = l2.qid GROUP BY n.qid"),
+    ]
+
+
+MODEL_CTES = FEATURE_CTES + [("filled", sql_filled("feat")), ("params", sql_params("filled")),
+                             ("z", sql_z("filled", "params"))]
+
+
+def model_sql(select: str, extra=()) -> str:
+    return tv.with_views(select, "meter", "weather", extra=MODEL_CTES + list(extra))
+
+
+def filled_features(spark, sf_dir):
+    f = all_features(spark, sf_dir).fillna(0.0, subset=FEATS)
+    return f.withColumn("id", point_id())
+
+
+def scaled_features(spark, sf_dir):
+    f = filled_features(spark, sf_dir)
+    return apply_scaler(f, fit_scaler(f, FEATS), FEATS)
+
+
+@register("scale_params", model_sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {r6(f'm_{c}', 'mean')}, {r6(f's_{c}', 'std')} FROM params" for c in FEATS)))
+def q_scale_params(spark, sf_dir):
+    f = filled_features(spark, sf_dir)
+    return rounded(scaler_long(fit_scaler(f, FEATS), FEATS))
+
+
+@register("scaled_features", model_sql(
+    "SELECT building_id, apartment_id, event_date, " + ", ".join(r6(z, z) for z in ZCOLS) + " FROM z"))
+def q_scaled_features(spark, sf_dir):
+    return rounded(scaled_features(spark, sf_dir).select(*KEYS3, *ZCOLS))
+
+
+@register("hdd_regression", model_sql(
+    "SELECT " + r6("coalesce(regr_slope(daily_energy_kwh, hdd), 0.0)", "slope") + ", "
+    + r6("CASE WHEN regr_slope(daily_energy_kwh, hdd) IS NULL THEN avg(daily_energy_kwh) "
+         "ELSE regr_intercept(daily_energy_kwh, hdd) END", "intercept") + ", count(*) AS n FROM filled"))
+def q_hdd_regression(spark, sf_dir):
+    return rounded(fit_hdd_regression(filled_features(spark, sf_dir)))
+
+
+SQL_REG = ("SELECT coalesce(regr_slope(daily_energy_kwh, hdd), 0.0) AS slope, "
+           "CASE WHEN regr_slope(daily_energy_kwh, hdd) IS NULL THEN avg(daily_energy_kwh) "
+           "ELSE regr_intercept(daily_energy_kwh, hdd) END AS intercept FROM filled")
+
+
+@register("regression_residual", model_sql(
+    "SELECT building_id, apartment_id, event_date, "
+    + r6("daily_energy_kwh - (intercept + slope * hdd)", "residual") + " FROM filled CROSS JOIN reg",
+    extra=[("reg", SQL_REG)]))
+def q_regression_residual(spark, sf_dir):
+    f = filled_features(spark, sf_dir)
+    r = regression_residual(f, fit_hdd_regression(f))
+    return rounded(r.select(*KEYS3, "residual"))
+
+
+@register("lof_by_building", model_sql(
+    "SELECT z.building_id, z.apartment_id, z.event_date, " + r6("lof.lof", "lof")
+    + " FROM z LEFT JOIN lof ON z.id = lof.qid", extra=sql_lof_ctes("z")))
+def q_lof_by_building(spark, sf_dir):
+    z = scaled_features(spark, sf_dir)
+    out = lof_scores(z, ZCOLS, "id", k=20, within="building_id")
+    return rounded(out.select(*KEYS3, "lof"))
