@@ -200,3 +200,166 @@ def q_lof_by_building(spark, sf_dir):
     z = scaled_features(spark, sf_dir)
     out = lof_scores(z, ZCOLS, "id", k=20, within="building_id")
     return rounded(out.select(*KEYS3, "lof"))
+
+
+# ---------------------------------------------------------------- novelty scoring, combined score
+from ..operators.evaluate import evaluate, gate, label_metrics, score_stats, score_threshold, throughput  # noqa: E402
+
+SPLIT_DATE = "2024-01-21"   # rows before: reference (training) set; from this day on: new rows to score
+
+
+def sql_novelty_ctes(zq: str, k: int = 20) -> list:
+    """Novelty LOF of rows of ``zq`` against the reference CTEs prefixed r_."""
+    return [
+        ("qpairs", f"SELECT q.building_id, q.id AS qid, b.id AS cid, b.rep AS crep, {sql_dist('q', 'b')} AS dist "
+                   f"FROM {zq} q JOIN r_refr b ON q.building_id = b.building_id"),
+        ("qrk", "SELECT x.*, row_number() OVER (PARTITION BY x.qid ORDER BY round(x.dist, 9), x.crep, x.cid) AS rn "
+                "FROM qpairs x"),
+        ("qnb", "SELECT r.* FROM qrk r JOIN r_kk USING (building_id) WHERE r.rn <= r_kk.k"),
+        ("qlrd", "SELECT n.qid, 1.0 / (avg(greatest(n.dist, d.kdist)) + 1e-10) AS lrd "
+                 "FROM qnb n JOIN r_kd d ON n.cid = d.qid GROUP BY n.qid"),
+        ("qlof", "SELECT n.qid, avg(l2.lrd) / any_value(q.lrd) AS lof FROM qnb n "
+                 "JOIN qlrd q ON n.qid = q.qid JOIN r_lrd l2 ON n.cid = l2.qid GROUP BY n.qid"),
+    ]
+
+
+NOVELTY_CTES = FEATURE_CTES + [
+    ("filled", sql_filled("feat")),
+    ("ref_f", f"SELECT * FROM filled WHERE event_date < DATE '{SPLIT_DATE}'"),
+    ("qry_f", f"SELECT * FROM filled WHERE event_date >= DATE '{SPLIT_DATE}'"),
+    ("params", sql_params("ref_f")),
+    ("zr", sql_z("ref_f", "params")),
+    ("zq", sql_z("qry_f", "params")),
+    ("reg", SQL_REG.replace("FROM filled", "FROM ref_f")),
+] + sql_lof_ctes("zr", prefix="r_") + sql_novelty_ctes("zq") + [
+    ("scores", "SELECT zq.apartment_id, zq.building_id, zq.event_date, "
+               "abs(zq.daily_energy_kwh - (reg.intercept + reg.slope * zq.hdd)) + qlof.lof AS anomaly_score_combined "
+               "FROM zq CROSS JOIN reg LEFT JOIN qlof ON zq.id = qlof.qid"),
+]
+
+
+def novelty_sql(select: str, extra=(), views=("meter", "weather")) -> str:
+    return tv.with_views(select, *views, extra=NOVELTY_CTES + list(extra))
+
+
+def split_sets(spark, sf_dir):
+    f = filled_features(spark, sf_dir)
+    ref = f.where(F.col("event_date") < F.lit(SPLIT_DATE).cast("date"))
+    qry = f.where(F.col("event_date") >= F.lit(SPLIT_DATE).cast("date"))
+    params = fit_scaler(ref, FEATS)
+    return apply_scaler(ref, params, FEATS), apply_scaler(qry, params, FEATS), ref
+
+
+def novelty_scores(spark, sf_dir):
+    """Combined score |residual| + LOF of the new rows against the reference rows."""
+    zr, zq, ref = split_sets(spark, sf_dir)
+    model = fit_lof(zr, ZCOLS, "id", k=20, within="building_id")
+    scored = lof_novelty(model, zq, ZCOLS, "id")
+    scored = regression_residual(scored, fit_hdd_regression(ref))
+    return scored.select("apartment_id", "building_id", "event_date",
+                         (F.abs("residual") - F.col("lof_score")).alias("anomaly_score_combined"), "lof")
+
+
+@register("lof_novelty", novelty_sql(
+    "SELECT zq.building_id, zq.apartment_id, zq.event_date, " + r6("qlof.lof", "lof")
+    + " FROM zq LEFT JOIN qlof ON zq.id = qlof.qid"))
+def q_lof_novelty(spark, sf_dir):
+    zr, zq, _ = split_sets(spark, sf_dir)
+    model = fit_lof(zr, ZCOLS, "id", k=20, within="building_id")
+    return rounded(lof_novelty(model, zq, ZCOLS, "id").select(*KEYS3, "lof"))
+
+
+@register("lof_flag", model_sql(
+    "SELECT z.building_id, z.apartment_id, z.event_date, " + r6("lof.lof", "lof")
+    + ", CAST(-lof.lof < -1.5 AS INTEGER) AS is_outlier FROM z LEFT JOIN lof ON z.id = lof.qid",
+    extra=sql_lof_ctes("z")))
+def q_lof_flag(spark, sf_dir):
+    z = scaled_features(spark, sf_dir)
+    out = lof_flag(lof_scores(z, ZCOLS, "id", k=20, within="building_id"), "auto")
+    return rounded(out.select(*KEYS3, "lof", "is_outlier"))
+
+
+@register("lof_flag_contamination", model_sql(
+    "SELECT z.building_id, z.apartment_id, z.event_date, " + r6("lof.lof", "lof")
+    + ", CAST(-lof.lof < off.offset AS INTEGER) AS is_outlier FROM z LEFT JOIN lof ON z.id = lof.qid "
+    "CROSS JOIN off", extra=sql_lof_ctes("z") + [
+        ("off", "SELECT quantile_cont(-lof, 0.05) AS offset FROM z LEFT JOIN lof ON z.id = lof.qid")]))
+def q_lof_flag_contamination(spark, sf_dir):
+    z = scaled_features(spark, sf_dir)
+    out = lof_flag(lof_scores(z, ZCOLS, "id", k=20, within="building_id"), 0.05)
+    return rounded(out.select(*KEYS3, "lof", "is_outlier"))
+
+
+@register("combined_score", novelty_sql(
+    "SELECT apartment_id, building_id, event_date, " + r6("anomaly_score_combined", "anomaly_score_combined")
+    + " FROM scores"))
+def q_combined_score(spark, sf_dir):
+    return rounded(novelty_scores(spark, sf_dir).drop("lof"))
+
+
+# ---------------------------------------------------------------- evaluation
+LABEL_CTE = [("lab", "SELECT apartment_record_id, event_date, max(is_anomaly) AS is_anomaly "
+                     "FROM labels_v GROUP BY 1, 2")]
+LABELS_VIEW = ("labels_v", tv.SQL_VIEWS["labels"])
+
+
+def labels_for(spark, sf_dir):
+    return tv.labels(spark, sf_dir)
+
+
+def scores_keyed(spark, sf_dir):
+    return novelty_scores(spark, sf_dir).withColumnRenamed("apartment_id", "apartment_record_id")
+
+
+STATS_SELECT = ("SELECT " + r6("avg(anomaly_score_combined)", "score_mean") + ", "
+                + r6("stddev_samp(anomaly_score_combined)", "score_stddev") + ", "
+                + r6("min(anomaly_score_combined)", "score_min") + ", "
+                + r6("max(anomaly_score_combined)", "score_max") + ", "
+                + "count(anomaly_score_combined) AS num_records_evaluated FROM scores")
+
+
+@register("score_stats", novelty_sql(STATS_SELECT))
+def q_score_stats(spark, sf_dir):
+    return rounded(score_stats(novelty_scores(spark, sf_dir)))
+
+
+@register("score_quantile", novelty_sql(
+    "SELECT " + r6("quantile_cont(anomaly_score_combined, 0.95)", "threshold_used") + " FROM scores"))
+def q_score_quantile(spark, sf_dir):
+    return rounded(score_threshold(novelty_scores(spark, sf_dir), q=0.95))
+
+
+SQL_METRICS = """
+  SELECT CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS precision,
+         CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS recall,
+         CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1_score
+  FROM (SELECT CAST(count(*) FILTER (WHERE pred AND actual) AS DOUBLE) AS tp,
+               CAST(count(*) FILTER (WHERE pred AND NOT actual) AS DOUBLE) AS fp,
+               CAST(count(*) FILTER (WHERE NOT pred AND actual) AS DOUBLE) AS fn
+        FROM (SELECT s.anomaly_score_combined > t.thr AS pred, coalesce(l.is_anomaly, 0) = 1 AS actual
+              FROM scores s CROSS JOIN thr t
+              LEFT JOIN lab l ON l.apartment_record_id = s.apartment_id AND l.event_date = s.event_date) j) c"""
+THR_CTE = [("thr", "SELECT quantile_cont(anomaly_score_combined, 0.95) AS thr FROM scores")]
+
+
+@register("label_metrics", novelty_sql(
+    "SELECT " + ", ".join(r6(c, c) for c in ("precision", "recall", "f1_score")) + " FROM metrics",
+    extra=LABEL_CTE + THR_CTE + [("metrics", SQL_METRICS)], views=("meter", "weather", "labels_v")))
+def q_label_metrics(spark, sf_dir):
+    s = scores_keyed(spark, sf_dir)
+    thr = score_threshold(s, q=0.95)
+    return rounded(label_metrics(s, labels_for(spark, sf_dir), thr))
+
+
+@register("evaluation_report", novelty_sql(
+    "SELECT " + ", ".join(r6(c, c) for c in ("score_mean", "score_stddev", "score_min", "score_max")) + ", "
+    "num_records_evaluated, " + r6("thr", "threshold_used") + ", "
+    + ", ".join(r6(c, c) for c in ("precision", "recall", "f1_score"))
+    + ", CASE WHEN num_records_evaluated = 0 THEN 'NoData' ELSE 'Success' END AS status "
+    "FROM st CROSS JOIN thr CROSS JOIN metrics",
+    extra=LABEL_CTE + THR_CTE + [("metrics", SQL_METRICS), ("st", STATS_SELECT.replace(
+        "FROM scores", "FROM scores").replace("SELECT ", "SELECT ", 1))],
+    views=("meter", "weather", "labels_v")))
+def q_evaluation_report(spark, sf_dir):
+    s = scores_keyed(spark, sf_dir)
+    return rounded(evaluate(s, labels_for(spark, sf_dir), q=0.95))

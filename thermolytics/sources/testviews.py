@@ -115,6 +115,9 @@ SQL_VIEWS = {
 }
 
 
+SQL_VIEWS["labels_v"] = SQL_VIEWS["labels"]
+
+
 def with_views(sql: str, *names: str, extra=()) -> str:
     """Prefix ``sql`` with CTEs for the named views, then ``extra`` (name, body) pairs."""
     parts = [f"{n} AS ({SQL_VIEWS[n]})" for n in names] + [f"{n} AS ({b})" for n, b in extra]
