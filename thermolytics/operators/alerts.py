@@ -65,14 +65,14 @@ def make_alerts(scores: DataFrame, threshold: float = DEFAULT_THRESHOLD, alert_t
 
 def dedupe_alerts(alerts: DataFrame) -> DataFrame:
     """One alert per AlertID within a run: highest score, then source file, wins."""
-    return latest_per_key(alerts, ["AlertID"], [F.col("AnomalyScore").desc(), F.col("S3SourceFile").desc()])
+    return latest_per_key(alerts, ["AlertID"], ["AnomalyScore", "S3SourceFile"])
 
 
 def merge_alerts(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Put-by-key: for each AlertID the newest AlertTimestamp wins; on a tie the new row."""
     cols = existing.columns
     u = existing.select(*cols, F.lit(0).alias("_src")).unionByName(new.select(*cols, F.lit(1).alias("_src")))
-    return latest_per_key(u, ["AlertID"], [F.col("AlertTimestamp").desc(), F.col("_src").desc()]).drop("_src")
+    return latest_per_key(u, ["AlertID"], ["AlertTimestamp", "_src"]).drop("_src")
 
 
 def alert_counts(parsed: DataFrame, rejected: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:

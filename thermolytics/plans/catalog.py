@@ -363,3 +363,191 @@ def q_label_metrics(spark, sf_dir):
 def q_evaluation_report(spark, sf_dir):
     s = scores_keyed(spark, sf_dir)
     return rounded(evaluate(s, labels_for(spark, sf_dir), q=0.95))
+
+
+# ---------------------------------------------------------------- ingest and feature steps
+import datetime as _dt  # noqa: E402
+
+from ..operators.clean import clean_meter  # noqa: E402
+from ..operators.daily import daily_consumption  # noqa: E402
+from ..operators.dedup import latest_approved, latest_features  # noqa: E402
+from ..operators.weather import join_weather, prepare_weather  # noqa: E402
+from ..operators.windows import add_lag_rolling  # noqa: E402
+from .features import inference_features, training_features  # noqa: E402
+
+METER_OUT = ["event_ts", "meter_id", "apartment_id", "building_id", "energy_kwh", "room_temp_c",
+             "setpoint_temp_c", "hot_water_litres", "year", "month", "day"]
+SQL_CLEAN = """
+  SELECT try_strptime(timestamp_str, '%Y-%m-%d %H:%M:%S') AS event_ts, meter_id, apartment_id, building_id,
+         round(energy_kwh, 6) + 0.0 AS energy_kwh, round(room_temp_c, 6) + 0.0 AS room_temp_c,
+         round(setpoint_temp_c, 6) + 0.0 AS setpoint_temp_c, round(hot_water_litres, 6) + 0.0 AS hot_water_litres,
+         CAST(year(try_strptime(timestamp_str, '%Y-%m-%d %H:%M:%S')) AS INTEGER) AS year,
+         CAST(month(try_strptime(timestamp_str, '%Y-%m-%d %H:%M:%S')) AS INTEGER) AS month,
+         CAST(day(try_strptime(timestamp_str, '%Y-%m-%d %H:%M:%S')) AS INTEGER) AS day
+  FROM raw
+  WHERE try_strptime(timestamp_str, '%Y-%m-%d %H:%M:%S') IS NOT NULL AND meter_id IS NOT NULL"""
+
+
+@register("ingest_clean", tv.with_views(SQL_CLEAN, "raw"))
+def q_ingest_clean(spark, sf_dir):
+    return rounded(clean_meter(tv.raw(spark, sf_dir)))
+
+
+DAILY_SELECT = "building_id, apartment_id, event_date, " + ", ".join(
+    r6(c, c) for c in ("avg_temp_diff", "daily_energy_kwh", "daily_water_l"))
+
+
+@register("daily_consumption", tv.with_views(f"SELECT {DAILY_SELECT} FROM daily", "meter",
+                                             extra=[("daily", SQL_DAILY)]))
+def q_daily_consumption(spark, sf_dir):
+    return rounded(daily_consumption(tv.meter(spark, sf_dir)))
+
+
+@register("daily_consumption_per_meter", tv.with_views(
+    f"SELECT {DAILY_SELECT} FROM pm", "meter", extra=[("bm", """
+      SELECT building_id, apartment_id, CAST(event_ts AS DATE) AS event_date, meter_id,
+             sum(room_temp_c - setpoint_temp_c) AS g, count(room_temp_c - setpoint_temp_c) AS n,
+             max(energy_kwh) - min(energy_kwh) AS e, max(hot_water_litres) - min(hot_water_litres) AS w
+      FROM meter GROUP BY 1, 2, 3, 4"""), ("pm", """
+      SELECT building_id, apartment_id, event_date, sum(g) / sum(n) AS avg_temp_diff,
+             sum(e) AS daily_energy_kwh, sum(w) AS daily_water_l FROM bm GROUP BY 1, 2, 3""")]))
+def q_daily_consumption_per_meter(spark, sf_dir):
+    return rounded(daily_consumption(tv.meter(spark, sf_dir), per_meter=True))
+
+
+@register("weather_join", tv.with_views(
+    f"SELECT {DAILY_SELECT}, {r6('hdd', 'hdd')}, {r6('avg_temp_c', 'avg_temp_c')} FROM joined", "meter", "weather",
+    extra=[("daily", SQL_DAILY), ("wday", SQL_WEATHER_DAY), ("joined", SQL_JOINED)]))
+def q_weather_join(spark, sf_dir):
+    d = daily_consumption(tv.meter(spark, sf_dir))
+    return rounded(join_weather(d, prepare_weather(tv.weather(spark, sf_dir))))
+
+
+def _joined(spark, sf_dir):
+    d = daily_consumption(tv.meter(spark, sf_dir))
+    return join_weather(d, prepare_weather(tv.weather(spark, sf_dir)))
+
+
+@register("lag_features", tv.with_views(
+    f"SELECT building_id, apartment_id, event_date, {r6('energy_lag_1d', 'energy_lag_1d')}, "
+    f"{r6('temp_diff_lag_1d', 'temp_diff_lag_1d')} FROM feat", "meter", "weather", extra=FEATURE_CTES))
+def q_lag_features(spark, sf_dir):
+    return rounded(add_lag_rolling(_joined(spark, sf_dir)).select(*KEYS3, "energy_lag_1d", "temp_diff_lag_1d"))
+
+
+@register("rolling_7_rows", tv.with_views(
+    f"SELECT building_id, apartment_id, event_date, {r6('energy_roll_avg_7d', 'energy_roll_avg_7d')} FROM feat",
+    "meter", "weather", extra=FEATURE_CTES))
+def q_rolling_7_rows(spark, sf_dir):
+    return rounded(add_lag_rolling(_joined(spark, sf_dir)).select(*KEYS3, "energy_roll_avg_7d"))
+
+
+W_CAL = "PARTITION BY building_id, apartment_id ORDER BY event_date"
+
+
+@register("rolling_7_days", tv.with_views(
+    f"""SELECT building_id, apartment_id, event_date,
+          {r6(f"max(daily_energy_kwh) OVER ({W_CAL} RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)", 'energy_lag_1d')},
+          {r6(f"avg(daily_energy_kwh) OVER ({W_CAL} RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)", 'energy_roll_avg_7d')},
+          {r6(f"max(avg_temp_diff) OVER ({W_CAL} RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)", 'temp_diff_lag_1d')}
+        FROM joined""", "meter", "weather",
+    extra=[("daily", SQL_DAILY), ("wday", SQL_WEATHER_DAY), ("joined", SQL_JOINED)]))
+def q_rolling_7_days(spark, sf_dir):
+    out = add_lag_rolling(_joined(spark, sf_dir), calendar=True)
+    return rounded(out.select(*KEYS3, "energy_lag_1d", "energy_roll_avg_7d", "temp_diff_lag_1d"))
+
+
+def sql_feature_ctes(p: str, lo: str, hi: str) -> list:
+    """Feature CTEs over the meter rows of whole days [lo, hi] (prefix p)."""
+    hi_next = (_dt.date.fromisoformat(hi) + _dt.timedelta(days=1)).isoformat()
+    return [
+        (f"{p}m", f"SELECT * FROM meter WHERE event_ts >= DATE '{lo}' AND event_ts < DATE '{hi_next}'"),
+        (f"{p}daily", SQL_DAILY.replace("FROM meter", f"FROM {p}m")),
+        (f"{p}joined", f"SELECT d.*, w.hdd, w.avg_temp_c FROM {p}daily d LEFT JOIN wday w ON d.event_date = w.event_date"),
+        (f"{p}feat", SQL_FEATURES.replace("FROM joined", f"FROM {p}joined")),
+    ]
+
+
+FEATURE_OUT = ["building_id", "daily_energy_kwh", "avg_temp_diff", "daily_water_l", "hdd", "avg_temp_c",
+               "energy_lag_1d", "energy_roll_avg_7d", "temp_diff_lag_1d"]
+FEATURE_OUT_SQL = "apartment_id AS apartment_record_id, event_date, building_id, " + ", ".join(
+    r6(c, c) for c in FEATURE_OUT[1:])
+EVENT_TIME_1 = "2024-02-01 00:00:00"
+EVENT_TIME_2 = "2024-02-02 00:00:00"
+
+
+def _train_feats(spark, sf_dir, start, end, warmup=True, event_time=EVENT_TIME_1):
+    et = F.lit(event_time).cast("timestamp")
+    return training_features(tv.meter(spark, sf_dir), tv.weather(spark, sf_dir), start, end,
+                             warmup=warmup, event_time=et)
+
+
+@register("training_features", tv.with_views(
+    f"SELECT {FEATURE_OUT_SQL} FROM t_feat WHERE event_date BETWEEN DATE '2024-01-08' AND DATE '2024-01-31'",
+    "meter", "weather", extra=[("wday", SQL_WEATHER_DAY)] + sql_feature_ctes("t_", "2024-01-01", "2024-01-31")))
+def q_training_features(spark, sf_dir):
+    f = _train_feats(spark, sf_dir, "2024-01-08", "2024-01-31")
+    return rounded(f.drop("event_time"))
+
+
+@register("training_features_no_warmup", tv.with_views(
+    f"SELECT {FEATURE_OUT_SQL} FROM t_feat", "meter", "weather",
+    extra=[("wday", SQL_WEATHER_DAY)] + sql_feature_ctes("t_", "2024-01-08", "2024-01-31")))
+def q_training_features_no_warmup(spark, sf_dir):
+    return rounded(_train_feats(spark, sf_dir, "2024-01-08", "2024-01-31", warmup=False).drop("event_time"))
+
+
+INFER_DATE = "2024-01-17"
+
+
+@register("features_for_date", tv.with_views(
+    "SELECT apartment_id, building_id, event_date, " + ", ".join(
+        r6(f"coalesce({c}, 0.0)", c) for c in ("daily_energy_kwh", "avg_temp_diff", "hdd", "avg_temp_c",
+                                               "energy_lag_1d", "energy_roll_avg_7d", "temp_diff_lag_1d"))
+    + f" FROM i_feat WHERE event_date = DATE '{INFER_DATE}'", "meter", "weather",
+    extra=[("wday", SQL_WEATHER_DAY)] + sql_feature_ctes("i_", "2024-01-10", INFER_DATE)))
+def q_features_for_date(spark, sf_dir):
+    return rounded(inference_features(tv.meter(spark, sf_dir), tv.weather(spark, sf_dir), INFER_DATE))
+
+
+@register("latest_features", tv.with_views(
+    f"""SELECT {FEATURE_OUT_SQL}, event_time FROM (
+          SELECT *, row_number() OVER (PARTITION BY apartment_id, building_id, event_date ORDER BY event_time DESC) AS rn
+          FROM (SELECT *, '{EVENT_TIME_1}' AS event_time FROM r1_feat
+                WHERE event_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-20'
+                UNION ALL
+                SELECT *, '{EVENT_TIME_2}' AS event_time FROM r2_feat
+                WHERE event_date BETWEEN DATE '2024-01-15' AND DATE '2024-01-31') u) x WHERE rn = 1""",
+    "meter", "weather", extra=[("wday", SQL_WEATHER_DAY)]
+    + sql_feature_ctes("r1_", "2023-12-25", "2024-01-20") + sql_feature_ctes("r2_", "2024-01-08", "2024-01-31")))
+def q_latest_features(spark, sf_dir):
+    run1 = _train_feats(spark, sf_dir, "2024-01-01", "2024-01-20", event_time=EVENT_TIME_1)
+    run2 = _train_feats(spark, sf_dir, "2024-01-15", "2024-01-31", event_time=EVENT_TIME_2)
+    out = latest_features(run1.unionByName(run2))
+    return rounded(out.withColumn("event_time", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")))
+
+
+SQL_REGISTRY = """
+  SELECT 'grp' || CAST(o_custkey AS VARCHAR) AS group_name, o_orderkey AS package_id,
+         CASE o_orderstatus WHEN 'F' THEN 'Approved' WHEN 'O' THEN 'PendingManualApproval' ELSE 'Rejected' END AS status,
+         o_orderdate AS creation_time
+  FROM orders"""
+
+
+def registry(spark, sf_dir):
+    """Model-package registry view over ``orders``: group per customer, status per order status."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    status = (F.when(F.col("o_orderstatus") == "F", "Approved")
+              .when(F.col("o_orderstatus") == "O", "PendingManualApproval").otherwise("Rejected"))
+    return o.select(F.concat(F.lit("grp"), F.col("o_custkey").cast("string")).alias("group_name"),
+                    F.col("o_orderkey").alias("package_id"), status.alias("status"),
+                    F.col("o_orderdate").alias("creation_time"))
+
+
+@register("latest_approved", tv.with_views(
+    """SELECT group_name, package_id, status, strftime(creation_time, '%Y-%m-%d %H:%M:%S') AS creation_time FROM (
+         SELECT *, row_number() OVER (PARTITION BY group_name ORDER BY creation_time DESC, package_id DESC) AS rn
+         FROM reg WHERE status = 'Approved') x WHERE rn = 1""", extra=[("reg", SQL_REGISTRY)]))
+def q_latest_approved(spark, sf_dir):
+    out = latest_approved(registry(spark, sf_dir))
+    return out.withColumn("creation_time", F.date_format("creation_time", "yyyy-MM-dd HH:mm:ss"))
