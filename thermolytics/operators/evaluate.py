@@ -92,17 +92,19 @@ def gate(reports: DataFrame, min_f1: float = 0.6, max_throughput_deviation: floa
          group_cols=("model_group",), order_col: str = "run_id", throughput_col: str = "throughput") -> DataFrame:
     """Pass/fail per run: F1 at least ``min_f1`` (skipped when null) and a
     throughput within ``max_throughput_deviation`` (relative) of the previous
-    run of the same group (skipped for the first run)."""
+    run of the same group. The throughput test is skipped for the first run
+    and when the previous throughput is 0 or infinite (no finite reference).
+    """
     w = Window.partitionBy(*group_cols).orderBy(order_col)
-    prev = F.lag(throughput_col, 1).over(w)
-    out = reports.withColumn("prev_throughput", prev)
-    dev = F.abs(F.col(throughput_col) - F.col("prev_throughput")) / F.col("prev_throughput")
+    out = reports.withColumn("prev_throughput", F.lag(throughput_col, 1).over(w))
+    prev, cur = F.col("prev_throughput"), F.col(throughput_col)
+    inf = F.lit(float("inf"))
+    comparable = prev.isNotNull() & (prev > 0) & (prev != inf)
+    dev = F.when(comparable, F.abs(cur - prev) / prev)
     f1_ok = F.col("f1_score").isNull() | (F.col("f1_score") >= F.lit(min_f1))
-    tp_ok = (F.col("prev_throughput").isNull() | (F.col("prev_throughput") == 0)
-             | F.isnan("prev_throughput") | (dev <= F.lit(max_throughput_deviation)))
-    tp_ok = F.coalesce(tp_ok, F.lit(False))
+    tp_ok = ~comparable | (dev <= F.lit(max_throughput_deviation))
     reasons = F.concat_ws("; ",
                           F.when(~f1_ok, F.lit("f1 below minimum")),
                           F.when(~tp_ok, F.lit("throughput deviation above maximum")))
-    return (out.withColumn("throughput_deviation", F.when(F.col("prev_throughput") > 0, dev))
+    return (out.withColumn("throughput_deviation", dev)
             .withColumn("passed", f1_ok & tp_ok).withColumn("reasons", reasons))

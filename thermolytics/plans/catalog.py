@@ -551,3 +551,242 @@ def registry(spark, sf_dir):
 def q_latest_approved(spark, sf_dir):
     out = latest_approved(registry(spark, sf_dir))
     return out.withColumn("creation_time", F.date_format("creation_time", "yyyy-MM-dd HH:mm:ss"))
+
+
+# ---------------------------------------------------------------- alerts
+from ..operators.alerts import alert_counts, dedupe_alerts, make_alerts, merge_alerts, parse_scores  # noqa: E402
+from ..operators.validate import check_contract  # noqa: E402
+from ..session import staging_path  # noqa: E402
+from ..sources.alerts_store import alerts_for_date, delete_alerts, read_alerts  # noqa: E402
+from ..sources.scores import read_scores  # noqa: E402
+
+THRESHOLD = 5.0
+ALERT_TIME_1 = "2024-02-01T05:00:00"
+ALERT_TIME_2 = "2024-02-02T05:00:00"
+ALERT_OUT = ["AlertID", "ApartmentID", "EventDate", "BuildingID", "AnomalyScore", "Threshold", "Status", "SourceGroup"]
+
+
+def residual_scores(spark, sf_dir):
+    """Score rows for the alert steps: |energy - regression(hdd)| of every daily row."""
+    f = filled_features(spark, sf_dir)
+    r = regression_residual(f, fit_hdd_regression(f))
+    return r.select("apartment_id", "building_id", F.date_format("event_date", "yyyy-MM-dd").alias("event_date"),
+                    F.round(F.abs("residual"), 6).alias("score"), F.dayofmonth("event_date").alias("dom"))
+
+
+def score_lines(scores):
+    """CSV lines as a scoring step writes them, with some damaged lines derived from the
+    day: day 13 has a non-numeric score, day 27 lacks the score field, day 29 has a fifth field."""
+    base = F.concat_ws(",", "apartment_id", "building_id", "event_date")
+    s = F.col("score").cast("string")
+    line = (F.when(F.col("dom") == 27, base)
+            .when(F.col("dom") == 13, F.concat(base, F.lit(",invalid_score")))
+            .when(F.col("dom") == 29, F.concat(base, F.lit(","), s, F.lit(",x")))
+            .otherwise(F.concat(base, F.lit(","), s)))
+    return scores.select(F.col("building_id").alias("file_group"), line.alias("line"))
+
+
+def write_score_files(spark, sf_dir) -> str:
+    """Score CSV files, one folder per building, under a fresh staging path."""
+    path = staging_path(spark, "scores")
+    (score_lines(residual_scores(spark, sf_dir)).write.partitionBy("file_group")
+     .option("sep", "\t").option("header", "false").csv(path))
+    return path
+
+
+def source_group(col="S3SourceFile"):
+    return F.regexp_extract(F.col(col), r"file_group=([^/]+)", 1)
+
+
+def parsed_scores(spark, sf_dir):
+    return parse_scores(read_scores(spark, write_score_files(spark, sf_dir)))
+
+
+def alert_rows(good, alert_time=ALERT_TIME_1, status="Unseen"):
+    return dedupe_alerts(make_alerts(good, THRESHOLD, alert_time, status))
+
+
+def alert_out(a, extra=()):
+    return rounded(a.withColumn("SourceGroup", source_group()).select(*ALERT_OUT, *extra))
+
+
+SQL_ALERT_CTES = FEATURE_CTES + [
+    ("filled", sql_filled("feat")), ("reg", SQL_REG),
+    ("rs", "SELECT apartment_id, building_id, strftime(event_date, '%Y-%m-%d') AS event_date, "
+           "round(abs(daily_energy_kwh - (intercept + slope * hdd)), 6) AS score, dayofmonth(event_date) AS dom "
+           "FROM filled CROSS JOIN reg"),
+    ("lines", "SELECT building_id AS file_group, CASE WHEN dom = 27 THEN b WHEN dom = 13 THEN b || ',invalid_score' "
+              "WHEN dom = 29 THEN b || ',' || CAST(score AS VARCHAR) || ',x' ELSE b || ',' || CAST(score AS VARCHAR) END "
+              "AS line FROM (SELECT *, apartment_id || ',' || building_id || ',' || event_date AS b FROM rs) t"),
+    ("fields", "SELECT file_group, string_split(line, ',') AS f FROM lines"),
+    ("okrows", "SELECT file_group, f, len(f) = 4 AND TRY_CAST(f[4] AS DOUBLE) IS NOT NULL "
+               "AND isfinite(TRY_CAST(f[4] AS DOUBLE)) AS ok FROM fields"),
+    ("good", "SELECT f[1] AS apartment_id, f[2] AS building_id, f[3] AS event_date, "
+             "TRY_CAST(f[4] AS DOUBLE) AS score, file_group FROM okrows WHERE ok"),
+    ("alerts", f"SELECT apartment_id || '#' || event_date AS AlertID, apartment_id AS ApartmentID, "
+               f"event_date AS EventDate, building_id AS BuildingID, round(score, 6) + 0.0 AS AnomalyScore, "
+               f"CAST({THRESHOLD} AS DOUBLE) AS Threshold, 'Unseen' AS Status, file_group AS SourceGroup "
+               f"FROM good WHERE score > {THRESHOLD}"),
+]
+
+
+def alert_sql(select, extra=()):
+    return tv.with_views(select, "meter", "weather", extra=SQL_ALERT_CTES + list(extra))
+
+
+@register("alerts", alert_sql("SELECT * FROM alerts"))
+def q_alerts(spark, sf_dir):
+    good, _ = parsed_scores(spark, sf_dir)
+    return alert_out(alert_rows(good))
+
+
+@register("alert_counts", alert_sql(
+    f"""SELECT file_group AS source_group, count(*) FILTER (WHERE ok) AS rows_parsed,
+               count(*) FILTER (WHERE NOT ok) AS rows_rejected,
+               count(*) FILTER (WHERE ok AND TRY_CAST(f[4] AS DOUBLE) > {THRESHOLD}) AS alerts_generated
+        FROM okrows GROUP BY file_group"""))
+def q_alert_counts(spark, sf_dir):
+    good, bad = parsed_scores(spark, sf_dir)
+    g = good.withColumn("source_file", source_group("source_file"))
+    b = bad.withColumn("source_file", source_group("source_file"))
+    return alert_counts(g, b, THRESHOLD).withColumnRenamed("source_file", "source_group")
+
+
+@register("alerts_upsert", alert_sql(
+    """SELECT AlertID, ApartmentID, EventDate, BuildingID, AnomalyScore, Threshold, Status, SourceGroup, AlertTimestamp
+       FROM (SELECT *, row_number() OVER (PARTITION BY AlertID ORDER BY AlertTimestamp DESC) AS rn FROM (
+               SELECT * REPLACE ('Seen' AS Status), '""" + ALERT_TIME_1 + """' AS AlertTimestamp FROM alerts
+               WHERE EventDate <= '2024-01-20'
+               UNION ALL
+               SELECT *, '""" + ALERT_TIME_2 + """' AS AlertTimestamp FROM alerts WHERE EventDate >= '2024-01-15') u) x
+       WHERE rn = 1"""))
+def q_alerts_upsert(spark, sf_dir):
+    good, _ = parsed_scores(spark, sf_dir)
+    run1 = alert_rows(good.where(F.col("event_date") <= "2024-01-20"), ALERT_TIME_1, "Seen")
+    run2 = alert_rows(good.where(F.col("event_date") >= "2024-01-15"), ALERT_TIME_2, "Unseen")
+    return alert_out(merge_alerts(run1, run2), ["AlertTimestamp"])
+
+
+@register("alerts_for_date", alert_sql("SELECT * FROM alerts WHERE EventDate = '2024-01-18'"))
+def q_alerts_for_date(spark, sf_dir):
+    good, _ = parsed_scores(spark, sf_dir)
+    return alert_out(alerts_for_date(alert_rows(good), "2024-01-18"))
+
+
+@register("alerts_delete", alert_sql(
+    "SELECT * FROM alerts WHERE AlertID NOT IN (SELECT AlertID FROM alerts WHERE BuildingID = 'bldg3')"))
+def q_alerts_delete(spark, sf_dir):
+    good, _ = parsed_scores(spark, sf_dir)
+    a = alert_rows(good)
+    return alert_out(delete_alerts(a, a.where(F.col("BuildingID") == "bldg3").select("AlertID")))
+
+
+# ---------------------------------------------------------------- schema contract
+CONTRACT = {"columns": [
+    {"name": "timestamp_str", "type": "timestamp"}, {"name": "Meter_ID", "type": "string"},
+    {"name": "apartment_id", "type": "string"}, {"name": "building_id", "type": "STRING"},
+    {"name": "energy_kwh", "type": "double"}, {"name": "room_temp_c", "type": "double"},
+    {"name": "setpoint_temp_c", "type": "double"}, {"name": "hot_water_litres", "type": "double"},
+    {"name": "flow_rate", "type": "double"}]}
+
+
+def _contract_sql() -> str:
+    rows = [("timestamp_str", "'timestamp'", "'string'", "type_mismatch", "TIMESTAMP"),
+            ("meter_id", "'string'", "'string'", "ok", "VARCHAR"),
+            ("apartment_id", "'string'", "'string'", "ok", "VARCHAR"),
+            ("building_id", "'STRING'", "'string'", "ok", "VARCHAR"),
+            ("energy_kwh", "'double'", "'double'", "ok", "DOUBLE"),
+            ("room_temp_c", "'double'", "'double'", "ok", "DOUBLE"),
+            ("setpoint_temp_c", "'double'", "'double'", "ok", "DOUBLE"),
+            ("hot_water_litres", "'double'", "'double'", "ok", "DOUBLE")]
+    aggs = ["count(*) AS nrows"]
+    for i, (c, _e, _a, _s, dt) in enumerate(rows):
+        aggs.append(f"count(*) FILTER (WHERE {c} IS NULL) AS n{i}")
+        aggs.append(f"count(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {dt}) IS NULL) AS b{i}")
+    aggs.append("count(*) FILTER (WHERE extra_raw_col IS NULL) AS nx")
+    parts = [f"SELECT '{c}' AS \"column\", {e} AS expected, {a} AS actual, '{s}' AS status, nrows AS \"rows\", "
+             f"n{i} AS nulls, b{i} AS invalid FROM prof" for i, (c, e, a, s, _d) in enumerate(rows)]
+    parts.append("SELECT 'flow_rate', 'double', NULL, 'missing', NULL, NULL, NULL FROM prof")
+    parts.append("SELECT 'extra_raw_col', NULL, 'string', 'extra', nrows, nx, NULL FROM prof")
+    return tv.with_views(" UNION ALL ".join(parts), "raw", extra=[("prof", f"SELECT {', '.join(aggs)} FROM raw")])
+
+
+@register("schema_profile", _contract_sql())
+def q_schema_profile(spark, sf_dir):
+    return check_contract(tv.raw(spark, sf_dir), CONTRACT)
+
+
+# ---------------------------------------------------------------- incremental jobs
+from ..schemas import METER  # noqa: E402
+from ..streaming.alert_stream import stream_alerts  # noqa: E402
+from ..streaming.ingest_stream import ingest_incremental  # noqa: E402
+
+
+@register("incremental_ingest", tv.with_views(SQL_CLEAN, "raw"))
+def q_incremental_ingest(spark, sf_dir):
+    """Raw rows land as JSON files; the streaming job picks up all new files and appends."""
+    src = staging_path(spark, "raw-json")
+    tv.raw(spark, sf_dir).drop("extra_raw_col").write.json(src)
+    dest, cp = staging_path(spark, "meter"), staging_path(spark, "meter-cp")
+    ingest_incremental(spark, src, dest, cp)
+    return rounded(spark.read.schema(METER).parquet(dest).select(*METER_OUT))
+
+
+@register("stream_alerts", alert_sql("SELECT * FROM alerts"))
+def q_stream_alerts(spark, sf_dir):
+    """New score files -> streaming micro-batches -> upsert into the alert store."""
+    scores = write_score_files(spark, sf_dir)
+    store, cp = staging_path(spark, "alert-store"), staging_path(spark, "alert-cp")
+    stream_alerts(spark, scores, store, cp, THRESHOLD, ALERT_TIME_1)
+    a = read_alerts(spark, store).withColumn("AnomalyScore", F.col("AnomalyScore").cast("double")) \
+                                 .withColumn("Threshold", F.col("Threshold").cast("double"))
+    return alert_out(a)
+
+
+# ---------------------------------------------------------------- evaluation per run and gate
+RUN_KEYS = ["building_id", "event_date"]
+
+
+@register("evaluation_gate", alert_sql("""
+    SELECT building_id, event_date, """ + r6("f1_score", "f1_score") + ", " + r6("tput", "throughput") + ", "
+    + r6("prev", "prev_throughput") + ", " + r6("dev", "throughput_deviation") + """,
+           (f1_ok AND tp_ok) AS passed,
+           concat_ws('; ', CASE WHEN NOT f1_ok THEN 'f1 below minimum' END,
+                           CASE WHEN NOT tp_ok THEN 'throughput deviation above maximum' END) AS reasons
+    FROM (SELECT *, f1_score IS NULL OR f1_score >= 0.6 AS f1_ok,
+                 NOT cmp OR dev <= 0.2 AS tp_ok
+          FROM (SELECT *, CASE WHEN cmp THEN abs(tput - prev) / prev END AS dev
+                FROM (SELECT *, prev IS NOT NULL AND prev > 0 AND NOT isinf(prev) AS cmp
+                      FROM (SELECT *, lag(tput) OVER (PARTITION BY building_id ORDER BY event_date) AS prev
+                            FROM runs) a) b) c) d""", extra=[LABELS_VIEW] + LABEL_CTE + [
+    ("rsd", "SELECT apartment_id, building_id, CAST(event_date AS DATE) AS event_date, score FROM rs"),
+    ("rthr", "SELECT building_id, event_date, quantile_cont(score, 0.95) AS thr FROM rsd GROUP BY 1, 2"),
+    ("rmet", """SELECT building_id, event_date,
+                CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END AS f1_score
+                FROM (SELECT s.building_id, s.event_date,
+                        CAST(count(*) FILTER (WHERE s.score > t.thr AND coalesce(l.is_anomaly, 0) = 1) AS DOUBLE) AS tp,
+                        CAST(count(*) FILTER (WHERE s.score > t.thr AND coalesce(l.is_anomaly, 0) <> 1) AS DOUBLE) AS fp,
+                        CAST(count(*) FILTER (WHERE NOT s.score > t.thr AND coalesce(l.is_anomaly, 0) = 1) AS DOUBLE) AS fn
+                      FROM rsd s JOIN rthr t ON s.building_id = t.building_id AND s.event_date = t.event_date
+                      LEFT JOIN lab l ON l.apartment_record_id = s.apartment_id AND l.event_date = s.event_date
+                      GROUP BY 1, 2) c"""),
+    ("rlog", """SELECT building_id, CAST(event_ts AS DATE) AS event_date, count(*) AS records,
+                (epoch_us(max(event_ts)) - epoch_us(min(event_ts))) / 1e6 AS secs FROM meter GROUP BY 1, 2"""),
+    ("runs", """SELECT m.building_id, m.event_date, m.f1_score,
+                CASE WHEN r.records = 0 THEN 0.0 WHEN r.secs = 0 THEN CAST('inf' AS DOUBLE)
+                     ELSE r.records / r.secs END AS tput
+                FROM rmet m JOIN rlog r ON m.building_id = r.building_id AND m.event_date = r.event_date"""),
+]))
+def q_evaluation_gate(spark, sf_dir):
+    s = residual_scores(spark, sf_dir).select(
+        F.col("apartment_id").alias("apartment_record_id"), "building_id",
+        F.to_date("event_date").alias("event_date"), F.col("score").alias("anomaly_score_combined"))
+    thr = score_threshold(s, q=0.95, group_cols=RUN_KEYS)
+    met = label_metrics(s, labels_for(spark, sf_dir), thr, group_cols=RUN_KEYS)
+    m = tv.meter(spark, sf_dir).withColumn("event_date", F.to_date("event_ts"))
+    secs = (F.unix_micros(F.max("event_ts").cast("timestamp")) - F.unix_micros(F.min("event_ts").cast("timestamp"))) / 1e6
+    log = m.groupBy(*RUN_KEYS).agg(F.count(F.lit(1)).alias("records"), secs.alias("secs"))
+    runs = met.join(log, RUN_KEYS).withColumn("throughput", throughput(F.col("records"), F.col("secs")))
+    g = gate(runs, 0.6, 0.2, group_cols=["building_id"], order_col="event_date")
+    return rounded(g.select(*RUN_KEYS, "f1_score", "throughput", "prev_throughput", "throughput_deviation",
+                            "passed", "reasons"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import SCORE_COLUMNS, SCORE_TEXT
+from ..schemas import SCORE_COLUMNS
 
 CSV_SUFFIXES = ("csv", "out")
 
@@ -20,6 +20,27 @@ def write_scores(df: DataFrame, path: str, accept: str = "text/csv") -> None:
         raise ValueError(f"Unsupported accept type: {accept}")
 
 
+SCORE_DDL = ("apartment_id string, building_id string, event_date string, "
+             "anomaly_score_combined string, _corrupt_record string")
+
+
+def parse_score_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """CSV text lines -> the four text fields + ``_corrupt_record``.
+
+    ``from_csv`` sees the whole line, so quoting is honoured and a line with
+    fewer or more than four fields is flagged in ``_corrupt_record`` (a blank
+    line counts as malformed too). Parsing each line whole avoids the CSV
+    reader's column pruning, which can hide malformed lines.
+    """
+    v = F.col(value_col)
+    parsed = F.from_csv(v, SCORE_DDL, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    blank = F.trim(v) == ""
+    return lines.select(
+        *[parsed[c].alias(c) for c in ("apartment_id", "building_id", "event_date", "anomaly_score_combined")],
+        F.when(blank, v).otherwise(parsed["_corrupt_record"]).alias("_corrupt_record"),
+        *[c for c in lines.columns if c != value_col])
+
+
 def read_scores(spark: SparkSession, path: str, suffixes=CSV_SUFFIXES) -> DataFrame:
     """Score text rows from every file under ``path`` whose name ends in one of
     ``suffixes`` (so ``.csv.out`` matches too). All fields stay text; a line
@@ -27,12 +48,9 @@ def read_scores(spark: SparkSession, path: str, suffixes=CSV_SUFFIXES) -> DataFr
     is the file the row came from.
     """
     glob = "*.{" + ",".join(suffixes) + "}"
-    df = (spark.read.schema(SCORE_TEXT)
-          .option("header", "false").option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt_record")
-          .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-          .csv(path))
-    return df.select("*", F.col("_metadata.file_path").alias("source_file"))
+    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
+             .select("value", F.col("_metadata.file_path").alias("source_file")))
+    return parse_score_lines(lines)
 
 
 def read_scores_jsonl(spark: SparkSession, path: str) -> DataFrame:

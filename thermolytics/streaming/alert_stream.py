@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.alerts import DEFAULT_THRESHOLD, dedupe_alerts, make_alerts, parse_scores
-from ..schemas import SCORE_TEXT
+from ..sources.scores import parse_score_lines
 from ..sources.alerts_store import upsert_alerts
 
 
@@ -16,12 +16,11 @@ def stream_alerts(spark: SparkSession, scores_dir: str, store_path: str, checkpo
     store with ``upsert_alerts`` (idempotent per AlertID, so a replayed batch
     after a failure leaves the same store)."""
     glob = "*.{" + ",".join(suffixes) + "}"
-    src = (spark.readStream.schema(SCORE_TEXT)
-           .option("header", "false").option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record")
-           .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-           .csv(scores_dir)
-           .select("*", F.col("_metadata.file_path").alias("source_file")))
+    lines = (spark.readStream.format("text")
+             .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+             .load(scores_dir)
+             .select("value", F.col("_metadata.file_path").alias("source_file")))
+    src = parse_score_lines(lines)
 
     def merge(batch, _epoch):
         good, _bad = parse_scores(batch)
