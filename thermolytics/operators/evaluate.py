@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import gt_not_nan, safe_ratio
 from .quantile import approx_quantile, exact_quantile
+from ..session import materialize
 
 LABEL_KEYS = ["apartment_record_id", "event_date"]
 
@@ -60,6 +61,8 @@ def evaluate(scores: DataFrame, labels: DataFrame | None = None, score_col: str
     the label metrics are null.
     """
     g = list(group_cols)
+    # Scores feed three aggregates; write them once instead of recomputing the scoring three times.
+    scores = materialize(scores, "eval-scores")
     stats = score_stats(scores, score_col, g)
     thr = score_threshold(scores, score_col, q, g, exact)
     # Without groups every part is a global aggregate: exactly one row, also on empty input.

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, materialize
 
 TIE_DECIMALS = 9
 BOX_SLACK = 1e-9          # boxes within r + slack are searched (covers rounding ties)
@@ -58,16 +58,16 @@ def _pick(idx_col, values):
     return expr
 
 
-def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 256, extra_levels: int = 3) -> KdTree:
+def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_depth: int = 48) -> KdTree:
     """Partition distinct vectors (G..., vid, dims..., cnt) into kd-tree leaves per group."""
     g, x = list(groups), list(dims)
     checkpoint_root(vectors.sparkSession)
-    sizes = vectors.groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
-    max_n = sizes.agg(F.max("n")).first()[0] or 0
-    depth = math.ceil(math.log2(max_n / leaf_size)) + extra_levels if max_n > leaf_size else 0
     cur = vectors.select(*g, "vid", *x, "cnt", F.lit(1).cast("long").alias("node"))
     split_tables = []
-    for _level in range(depth):
+    depth = 0
+    # One level per pass until no node holds more than leaf_size vectors. Median cuts
+    # halve a node, so this takes about log2(largest group / leaf_size) passes.
+    while depth < max_depth:
         aggs = [F.count(F.lit(1)).alias("_n")]
         for i, c in enumerate(x):
             aggs += [F.min(c).alias(f"_mn{i}"), F.max(c).alias(f"_mx{i}"),
@@ -76,15 +76,18 @@ def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 256, extra_lev
         spread = [F.col(f"_mx{i}") - F.col(f"_mn{i}") for i in range(len(x))]
         best = F.greatest(*spread) if len(x) > 1 else spread[0]
         dim = None
-        for i, s in enumerate(spread):
-            dim = F.when(s == best, F.lit(i)) if dim is None else dim.when(s == best, F.lit(i))
+        for i, s_ in enumerate(spread):
+            dim = F.when(s_ == best, F.lit(i)) if dim is None else dim.when(s_ == best, F.lit(i))
         st = st.withColumn("dim", dim)
         split = _pick(F.col("dim"), [F.col(f"_md{i}") for i in range(len(x))])
         low = _pick(F.col("dim"), [F.col(f"_mn{i}") for i in range(len(x))])
         # Cut at the median; when the median is the minimum, cut just above it.
         splits = st.select(*g, "node", "dim", split.alias("split"), (split <= low).alias("le")) \
                    .where(F.col("split").isNotNull())
-        splits = splits.checkpoint(eager=True)
+        splits, n_split = materialize(splits, "kd-splits", count=True)
+        if n_split == 0:
+            break
+        depth += 1
         split_tables.append(splits)
         j = cur.join(splits, [*g, "node"], "left")
         xv = _pick(F.col("dim"), [F.col(c) for c in x])
@@ -92,7 +95,7 @@ def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 256, extra_lev
         child = F.col("node") * 2 + F.when(left, F.lit(0)).otherwise(F.lit(1))
         cur = j.select(*g, "vid", *x, "cnt",
                        F.when(F.col("dim").isNull(), F.col("node")).otherwise(child).alias("node"))
-        cur = cur.checkpoint(eager=True)
+        cur = materialize(cur, "kd-level")
     vec = cur.withColumnRenamed("node", "leaf")
     if split_tables:
         all_splits = split_tables[0]
@@ -113,7 +116,7 @@ def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 256, extra_lev
     boxes = anc.groupBy(*g, "node").agg(*[F.min(f"lo{i}").alias(f"lo{i}") for i in range(len(x))],
                                         *[F.max(f"hi{i}").alias(f"hi{i}") for i in range(len(x))],
                                         F.max(F.col("_isleaf").cast("int")).cast("boolean").alias("is_leaf"))
-    boxes = boxes.checkpoint(eager=True)
+    boxes = materialize(boxes, "kd-boxes")
     return KdTree(vec, all_splits, boxes, g, x, depth, leaf_size)
 
 
@@ -158,6 +161,8 @@ def _topk_kernel(dims, group_names, self_mode: bool):
         Q = qry[dims].to_numpy(dtype=np.float64)
         qid = qry["vid"].to_numpy(dtype=np.int64)
         qcnt = qry["cnt"].to_numpy(dtype=np.int64)
+        # Current k-distance bound of each query: farther candidates cannot enter its top k.
+        qr = qry["_r"].to_numpy(dtype=np.float64, na_value=np.inf) if "_r" in qry else np.full(len(qid), np.inf)
         m = len(cid)
         tile = max(1, (1 << 20) // max(m, 1))
         out_q, out_c, out_d, out_w = [], [], [], []
@@ -172,6 +177,7 @@ def _topk_kernel(dims, group_names, self_mode: bool):
             if self_mode:
                 same = qid[t0:t0 + tile][:, None] == cid[None, :]
                 wts = np.where(same, (qcnt[t0:t0 + tile] - 1)[:, None], wts)
+            wts = np.where(dist <= (qr[t0:t0 + tile] + BOX_SLACK)[:, None], wts, 0)
             rd = np.round(dist, TIE_DECIMALS)
             order = np.lexsort((np.broadcast_to(cid, dist.shape), rd), axis=1)
             w_s = np.take_along_axis(wts, order, 1)
@@ -191,9 +197,17 @@ def _topk_kernel(dims, group_names, self_mode: bool):
     return fn
 
 
+def _search_partitions(spark) -> int:
+    """Partitions for the distance kernels: the work is CPU-bound and the rows are few,
+    so size by task slots rather than by bytes (AQE would merge the small shuffle
+    partitions into one task). An explicit count is never coalesced."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _search(tasks: DataFrame, key_cols, tree: KdTree, self_mode: bool, out_schema) -> DataFrame:
     fn = _topk_kernel(tree.dims, tree.groups, self_mode)
-    return tasks.groupBy(*key_cols).applyInPandas(fn, schema=out_schema)
+    n = _search_partitions(tasks.sparkSession)
+    return tasks.repartition(n, *key_cols).groupBy(*key_cols).applyInPandas(fn, schema=out_schema)
 
 
 def _mindist(dims) -> F.Column:
@@ -227,7 +241,7 @@ def knn(tree: KdTree, queries: DataFrame, k_by_group: DataFrame, self_mode: bool
     cands = tree.vectors.join(k_by_group, g)
     if self_mode:
         q = cands
-        first = q.withColumn("_role", F.lit(2))
+        first = q.withColumn("_role", F.lit(2)).withColumn("_r", F.lit(None).cast("double"))
         r1 = _search(first, [*g, "leaf"], tree, True, nschema)
     else:
         if "leaf" not in queries.columns:
@@ -235,7 +249,7 @@ def knn(tree: KdTree, queries: DataFrame, k_by_group: DataFrame, self_mode: bool
         q = queries.join(k_by_group, g)
         r1 = _search_chunked(cands, q, tree, False, nschema)
     # Used by the bound and by the final merge: materialise once.
-    r1 = r1.checkpoint(eager=True).join(k_by_group, g)
+    r1 = materialize(r1, "knn-r1").join(k_by_group, g)
     # Radius bound per query from its own leaf (infinite when the leaf had too few points).
     bound = r1.groupBy(*g, "qid").agg(F.max("dist").alias("_r"), F.sum("w").alias("_got"), F.first("_k").alias("_k"))
     qb = q.select(*g, F.col("vid").alias("qid"), *x, F.col("leaf").alias("_own")) \
@@ -260,11 +274,11 @@ def knn(tree: KdTree, queries: DataFrame, k_by_group: DataFrame, self_mode: bool
                      *[F.col(f"b.lo{i}") for i in range(len(x))], *[F.col(f"b.hi{i}") for i in range(len(x))])
         j = j.where(_mindist(x) <= F.col("_r") + F.lit(BOX_SLACK))
         frontier = j.select(*g, "qid", *x, "_own", "_r", "node", "is_leaf")
-    other = frontier.where(F.col("is_leaf") & (F.col("node") != F.col("_own"))).select(*g, "qid", "node")
+    other = frontier.where(F.col("is_leaf") & (F.col("node") != F.col("_own"))).select(*g, "qid", "node", "_r")
     if tree.depth > 0:
         qv = q.select(*g, "vid", *x, "cnt")
         pairs = other.join(qv.withColumnRenamed("vid", "qid"), [*g, "qid"]) \
-                     .select(*g, F.col("qid").alias("vid"), *x, "cnt", F.col("node").alias("leaf"))
+                     .select(*g, F.col("qid").alias("vid"), *x, "cnt", F.col("node").alias("leaf"), "_r")
         pairs = pairs.join(k_by_group, g)
         r2 = _search_chunked(cands, pairs, tree, False, nschema)
         allrows = r1.select(*g, "qid", "cid", "dist", "w").unionByName(r2)
@@ -284,5 +298,7 @@ def _search_chunked(cands: DataFrame, queries: DataFrame, tree: KdTree, self_mod
     c = cands.join(chunks, [*g, "leaf"]).withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0), F.col("_nc") - 1)))
     cols = [*g, "leaf", "_chunk", "vid", *x, "cnt", "_k"]
-    tasks = c.select(*cols, F.lit(0).alias("_role")).unionByName(q.select(*cols, F.lit(1).alias("_role")))
+    qr = F.col("_r") if "_r" in q.columns else F.lit(None).cast("double")
+    tasks = c.select(*cols, F.lit(None).cast("double").alias("_r"), F.lit(0).alias("_role")) \
+             .unionByName(q.select(*cols, qr.alias("_r"), F.lit(1).alias("_role")))
     return _search(tasks, [*g, "leaf", "_chunk"], tree, self_mode, nschema)

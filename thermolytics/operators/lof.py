@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .knn import KdTree, build_tree, knn
 from .quantile import exact_quantile
+from ..session import materialize
 
 EPS = 1e-10
 AUTO_OFFSET = -1.5
@@ -53,7 +54,7 @@ def distinct_vectors(df: DataFrame, groups, dims, id_col: str) -> DataFrame:
 
 
 def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None = None,
-            leaf_size: int = 256) -> LofModel:
+            leaf_size: int = 1024) -> LofModel:
     """Fit LOF on rows of ``df`` (features ``dims`` already scaled; nulls count as 0).
 
     Runs the index build and neighbour search eagerly; intermediate tables
@@ -63,12 +64,12 @@ def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None =
         raise ValueError("k must be at least 1")
     df, g = _groups(df, within)
     x = list(dims)
-    vec = distinct_vectors(df, g, x, id_col).checkpoint(eager=True)
+    vec = materialize(distinct_vectors(df, g, x, id_col), "lof-vectors")
     kk = vec.groupBy(*g).agg(F.sum("cnt").alias("_n")) \
             .select(*g, F.least(F.lit(k), F.col("_n") - 1).cast("long").alias("_k")) \
             .where(F.col("_k") >= 1)
     tree = build_tree(vec, g, x, leaf_size=max(leaf_size, 4 * k))
-    nb = knn(tree, tree.vectors, kk, self_mode=True).checkpoint(eager=True)
+    nb = materialize(knn(tree, tree.vectors, kk, self_mode=True), "lof-neighbours")
     kd = nb.groupBy(*g, "qid").agg(F.max("dist").alias("kdist"))
     reach = nb.join(kd.withColumnRenamed("qid", "cid").withColumnRenamed("kdist", "_ckd"), [*g, "cid"])
     lrd = reach.groupBy(*g, "qid").agg(
@@ -77,7 +78,7 @@ def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None =
     mean_n = nl.groupBy(*g, "qid").agg((F.sum(F.col("w") * F.col("_clrd")) / F.sum("w")).alias("_mlrd"))
     stats = kd.join(lrd, [*g, "qid"]).join(mean_n, [*g, "qid"]) \
               .select(*g, F.col("qid").alias("vid"), "kdist", "lrd", (F.col("_mlrd") / F.col("lrd")).alias("lof"))
-    ref = tree.vectors.join(stats, [*g, "vid"], "left").checkpoint(eager=True)
+    ref = materialize(tree.vectors.join(stats, [*g, "vid"], "left"), "lof-ref")
     return LofModel(tree, ref, kk, g, x, within, k)
 
 
@@ -89,8 +90,10 @@ def _attach(df: DataFrame, g, x, scored: DataFrame, cols) -> DataFrame:
 
 
 def lof_scores(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None = None,
-               leaf_size: int = 256, model: LofModel | None = None) -> DataFrame:
+               leaf_size: int = 1024, model: LofModel | None = None) -> DataFrame:
     """Rows of ``df`` with ``lof`` and ``lof_score`` (= -lof) of their own fit."""
+    # The rows are used twice (fit and join-back): cut their lineage once.
+    df = materialize(df, "lof-rows")
     m = model or fit_lof(df, dims, id_col, k, within, leaf_size)
     d2, g = _groups(df, within)
     out = _attach(d2, g, m.dims, m.ref, ["lof"]).withColumn("lof_score", -F.col("lof"))
@@ -104,7 +107,7 @@ def lof_novelty(model: LofModel, df: DataFrame, dims, id_col: str) -> DataFrame:
     from the reference (identical reference rows count in full), with the
     reference's k-distances and lrd.
     """
-    d2, g = _groups(df, model.within)
+    d2, g = _groups(materialize(df, "novelty-rows"), model.within)
     x = list(dims)
     if x != model.dims:
         d2 = d2.select("*", *[F.col(a).alias(b) for a, b in zip(x, model.dims) if a != b])
@@ -118,6 +121,7 @@ def lof_novelty(model: LofModel, df: DataFrame, dims, id_col: str) -> DataFrame:
         (F.sum(F.col("w") * F.col("_clrd")) / F.sum("w")).alias("_mlrd"))
     scored = q.join(agg.withColumnRenamed("qid", "vid"), [*g, "vid"], "left") \
               .select(*g, *x, (F.col("_mlrd") / F.col("_lrd")).alias("lof"))
+    scored = materialize(scored, "novelty-scores")
     out = _attach(d2, g, x, scored, ["lof"]).withColumn("lof_score", -F.col("lof"))
     return out.drop(GLOBAL) if not model.within else out
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import checkpoint_root, materialize
 
 _LOCAL_BITS = (1 << 33) - 1  # monotonically_increasing_id: low 33 bits = row number in the partition
 
@@ -20,8 +20,8 @@ _LOCAL_BITS = (1 << 33) - 1  # monotonically_increasing_id: low 33 bits = row nu
 def ranked(df: DataFrame, value_col: str, group_cols=(), partitions: int | None = None) -> DataFrame:
     """Adds ``_rank`` (0-based, by value within group) and ``_n`` (group size).
 
-    The sorted, numbered rows are checkpointed to the shared checkpoint
-    folder so that the rank and count jobs see one fixed partitioning, also
+    The sorted, numbered rows are written once to the shared checkpoint
+    folder so that the rank and count steps see one fixed numbering, also
     after an executor loss.
     """
     g = list(group_cols)
@@ -33,7 +33,7 @@ def ranked(df: DataFrame, value_col: str, group_cols=(), partitions: int | None
            .sortWithinPartitions(*g, "_v")
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_loc", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_BITS))))
-    srt = srt.checkpoint(eager=False)
+    srt = materialize(srt, "quantile-ranked")
     # Partition sizes: one row per partition, bounded by n_parts.
     sizes = srt.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offs = sizes.withColumn("_off", F.coalesce(

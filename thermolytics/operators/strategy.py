@@ -16,6 +16,7 @@ from .knn import KdTree
 from .lof import GLOBAL, LofModel, fit_lof, lof_novelty
 from .regress import fit_hdd_regression, regression_residual
 from .scale import apply_scaler, fit_scaler, require_features
+from ..session import materialize
 
 DEFAULT_ID = "_row_id"
 
@@ -38,7 +39,7 @@ def _with_row_id(df: DataFrame, id_col: str | None) -> tuple[DataFrame, str]:
 
 
 def fit_lr_lof(features: DataFrame, feature_columns, lof_neighbors: int = 20, lof_contamination="auto",
-               within: str | None = None, id_col: str | None = None, leaf_size: int = 256) -> FittedModel:
+               within: str | None = None, id_col: str | None = None, leaf_size: int = 1024) -> FittedModel:
     """Scaler (population std) + energy~hdd regression + LOF on the scaled features."""
     if not feature_columns:
         raise ValueError("Hyperparameter 'feature_columns' must be provided for LR_LOF_Model")
@@ -47,8 +48,8 @@ def fit_lr_lof(features: DataFrame, feature_columns, lof_neighbors: int = 20, lo
         raise KeyError(f"Columns not found: {missing}")
     cols = list(feature_columns)
     filled = features.fillna(0.0, subset=[c for c in set(cols + ["hdd", "daily_energy_kwh"])])
-    scaler = fit_scaler(filled, cols).checkpoint(eager=True)
-    reg = fit_hdd_regression(filled).checkpoint(eager=True)
+    scaler = materialize(fit_scaler(filled, cols), "model-scaler")
+    reg = materialize(fit_hdd_regression(filled), "model-regression")
     df, rid = _with_row_id(filled, id_col)
     z = apply_scaler(df, scaler, cols)
     lof = fit_lof(z, [f"z_{c}" for c in cols], rid, k=int(lof_neighbors), within=within, leaf_size=leaf_size)
