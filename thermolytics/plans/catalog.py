@@ -223,10 +223,12 @@ def sql_novelty_ctes(zq: str, k: int = 20) -> list:
     ]
 
 
-NOVELTY_CTES = FEATURE_CTES + [
+def novelty_ctes(qry_sql: str, pre=()) -> list:
+    """Reference = filled feature rows before SPLIT_DATE; new rows from ``qry_sql``."""
+    return FEATURE_CTES + list(pre) + [
     ("filled", sql_filled("feat")),
     ("ref_f", f"SELECT * FROM filled WHERE event_date < DATE '{SPLIT_DATE}'"),
-    ("qry_f", f"SELECT * FROM filled WHERE event_date >= DATE '{SPLIT_DATE}'"),
+    ("qry_f", qry_sql),
     ("params", sql_params("ref_f")),
     ("zr", sql_z("ref_f", "params")),
     ("zq", sql_z("qry_f", "params")),
@@ -235,7 +237,10 @@ NOVELTY_CTES = FEATURE_CTES + [
     ("scores", "SELECT zq.apartment_id, zq.building_id, zq.event_date, "
                "abs(zq.daily_energy_kwh - (reg.intercept + reg.slope * zq.hdd)) + qlof.lof AS anomaly_score_combined "
                "FROM zq CROSS JOIN reg LEFT JOIN qlof ON zq.id = qlof.qid"),
-]
+    ]
+
+
+NOVELTY_CTES = novelty_ctes(f"SELECT * FROM filled WHERE event_date >= DATE '{SPLIT_DATE}'")
 
 
 def novelty_sql(select: str, extra=(), views=("meter", "weather")) -> str:
@@ -790,3 +795,66 @@ def q_evaluation_gate(spark, sf_dir):
     g = gate(runs, 0.6, 0.2, group_cols=["building_id"], order_col="event_date")
     return rounded(g.select(*RUN_KEYS, "f1_score", "throughput", "prev_throughput", "throughput_deviation",
                             "passed", "reasons"))
+
+
+# ---------------------------------------------------------------- global LOF, train -> score chain, report file
+@register("lof_global", model_sql(
+    "SELECT z.building_id, z.apartment_id, z.event_date, " + r6("lof.lof", "lof")
+    + " FROM z LEFT JOIN lof ON z.id = lof.qid",
+    extra=[("zall", "SELECT * REPLACE ('all' AS building_id) FROM z")] + sql_lof_ctes("zall")))
+def q_lof_global(spark, sf_dir):
+    z = scaled_features(spark, sf_dir)
+    return rounded(lof_scores(z, ZCOLS, "id", k=20, within=None).select(*KEYS3, "lof"))
+
+
+SCORE_DATE = "2024-01-24"
+
+
+@register("scores_for_date", tv.with_views(
+    "SELECT apartment_id, building_id, event_date, " + r6("anomaly_score_combined", "anomaly_score_combined")
+    + " FROM scores", "meter", "weather",
+    extra=novelty_ctes(sql_filled("i_feat") + f" WHERE event_date = DATE '{SCORE_DATE}'",
+                       pre=sql_feature_ctes("i_", "2024-01-17", SCORE_DATE))))
+def q_scores_for_date(spark, sf_dir):
+    """Training features -> feature store -> newest rows -> fit, save, load model ->
+    scoring rows for one day as headerless CSV -> scores as CSV files -> parsed scores."""
+    from ..operators.strategy import fit, load_model, save_model, score
+    from ..schemas import INFER_COLUMNS
+    from ..sources.features import read_features, read_inference_features, write_features, write_inference_features
+    from ..sources.scores import write_scores
+    meter, weather = tv.meter(spark, sf_dir), tv.weather(spark, sf_dir)
+    store = staging_path(spark, "feature-store")
+    end = (_dt.date.fromisoformat(SPLIT_DATE) - _dt.timedelta(days=1)).isoformat()
+    write_features(training_features(meter, weather, "2024-01-01", end,
+                                     event_time=F.lit(EVENT_TIME_1).cast("timestamp")), store)
+    train = latest_features(read_features(spark, store)).withColumnRenamed("apartment_record_id", "apartment_id")
+    train = train.withColumn("id", point_id())
+    model_path = staging_path(spark, "model")
+    save_model(fit("LR_LOF", train, feature_columns=FEATS, lof_neighbors=20, within="building_id", id_col="id"),
+               model_path)
+    model = load_model(spark, model_path)
+    rows_path = staging_path(spark, "scoring-rows")
+    write_inference_features(inference_features(meter, weather, SCORE_DATE), rows_path, fmt="csv")
+    rows = read_inference_features(spark, rows_path, "text/csv", feature_columns=INFER_COLUMNS[3:])
+    scores_path = staging_path(spark, "scores-out")
+    write_scores(score(model, rows), scores_path)
+    good, _bad = parse_scores(read_scores(spark, scores_path))
+    return rounded(good.select("apartment_id", "building_id", F.to_date("event_date").alias("event_date"),
+                               "anomaly_score_combined"))
+
+
+@register("evaluation_report_json", novelty_sql(
+    "SELECT " + ", ".join(r6(c, c) for c in ("score_mean", "score_stddev", "score_min", "score_max")) + ", "
+    "num_records_evaluated, " + r6("thr", "threshold_used") + ", "
+    + ", ".join(r6(c, c) for c in ("precision", "recall", "f1_score"))
+    + ", CASE WHEN num_records_evaluated = 0 THEN 'NoData' ELSE 'Success' END AS status "
+    "FROM st CROSS JOIN thr CROSS JOIN metrics",
+    extra=LABEL_CTE + THR_CTE + [("metrics", SQL_METRICS), ("st", STATS_SELECT)],
+    views=("meter", "weather", "labels_v")))
+def q_evaluation_report_json(spark, sf_dir):
+    """The evaluation report written as JSON and read back (what registration reads)."""
+    from ..sources.reports import read_report, write_report
+    rep = rounded(evaluate(scores_keyed(spark, sf_dir), labels_for(spark, sf_dir), q=0.95))
+    path = staging_path(spark, "report")
+    write_report(rep, path)
+    return read_report(spark, path, rep.schema)

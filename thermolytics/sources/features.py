@@ -12,9 +12,14 @@ KEY_COLUMNS = ["apartment_record_id", "event_time"]
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """All Parquet files under ``path`` as one table (a multi-file scan, no driver concat)."""
+    """All Parquet files under ``path`` as one table (a multi-file scan, no driver concat).
+
+    Partition discovery stays on: ``event_date`` lives in the folder names of
+    the store, so a recursive file listing (which turns discovery off) would
+    lose it.
+    """
     try:
-        return spark.read.schema(FEATURE).option("recursiveFileLookup", "true").parquet(path)
+        return spark.read.schema(FEATURE).parquet(path)
     except AnalysisException as exc:
         raise FileNotFoundError(f"No parquet files found under {path}") from exc
 

@@ -10,5 +10,7 @@ def write_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def read_report(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.json(path)
+def read_report(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Reports; pass the report schema to keep columns that were null (JSON omits them)."""
+    r = spark.read
+    return (r.schema(schema) if schema is not None else r).json(path)
