@@ -169,17 +169,19 @@ def _topk_kernel(dims, group_names, self_mode: bool):
         for t0 in range(0, len(qid), tile):
             q = Q[t0:t0 + tile]
             acc = np.zeros((len(q), m))
+            diff = np.empty_like(acc)
             for j in range(len(dims)):       # same summation order as the SQL oracle
-                diff = q[:, j][:, None] - C[:, j][None, :]
-                acc += diff * diff
-            dist = np.sqrt(acc)
-            wts = np.broadcast_to(ccnt, dist.shape).copy()
+                np.subtract.outer(q[:, j], C[:, j], out=diff)
+                np.multiply(diff, diff, out=diff)
+                acc += diff
+            dist = np.sqrt(acc, out=acc)
+            wts = np.broadcast_to(ccnt, dist.shape)
             if self_mode:
                 same = qid[t0:t0 + tile][:, None] == cid[None, :]
                 wts = np.where(same, (qcnt[t0:t0 + tile] - 1)[:, None], wts)
             wts = np.where(dist <= (qr[t0:t0 + tile] + BOX_SLACK)[:, None], wts, 0)
             rd = np.round(dist, TIE_DECIMALS)
-            order = np.lexsort((np.broadcast_to(cid, dist.shape), rd), axis=1)
+            order = _first_in_order(rd, cid, 2 * k + 2)
             w_s = np.take_along_axis(wts, order, 1)
             before = np.cumsum(w_s, axis=1) - w_s
             take = (before < k) & (w_s > 0)
@@ -197,6 +199,29 @@ def _topk_kernel(dims, group_names, self_mode: bool):
     return fn
 
 
+def _first_in_order(rd: np.ndarray, cid: np.ndarray, want: int) -> np.ndarray:
+    """Column indices of the ``want`` first candidates per row in (rd, cid) order.
+
+    Exact: a partial selection (argpartition) picks the ``want`` smallest
+    rounded distances, only those are sorted; rows where candidates tied with
+    the selection's largest distance were left out are sorted in full.
+    """
+    t, m = rd.shape
+    cids = np.broadcast_to(cid, rd.shape)
+    if want >= m:
+        return np.lexsort((cids, rd), axis=1)
+    part = np.argpartition(rd, want - 1, axis=1)[:, :want]
+    sub = np.take_along_axis(rd, part, 1)
+    edge = sub.max(axis=1)
+    order = np.take_along_axis(part, np.lexsort((cid[part], sub), axis=1), 1)
+    spill = (rd <= edge[:, None]).sum(axis=1) > want
+    if spill.any():
+        rows = np.nonzero(spill)[0]
+        full = np.lexsort((cids[rows], rd[rows]), axis=1)[:, :want]
+        order[rows] = full
+    return order
+
+
 def _search_partitions(spark) -> int:
     """Partitions for the distance kernels: the work is CPU-bound and the rows are few,
     so size by task slots rather than by bytes (AQE would merge the small shuffle
