@@ -290,6 +290,9 @@ def knn(tree: KdTree, queries: DataFrame, k_by_group: DataFrame, self_mode: bool
     root_leaf = tree.boxes.where(F.col("node") == 1).select(*g, F.col("is_leaf").alias("_rootleaf"))
     frontier = frontier.join(root_leaf, g).where(~F.col("_rootleaf")).drop("_rootleaf") \
         .withColumn("is_leaf", F.lit(False))
+    # The box table is small and joined by broadcast, so the walk keeps the frontier's
+    # partitioning: spread the queries over all task slots first.
+    frontier = frontier.repartition(_search_partitions(queries.sparkSession), *g, "qid")
     for _level in range(tree.depth):
         f, b = frontier.alias("f"), kids.alias("b")
         cond = [F.col(f"f.{c}") == F.col(f"b.{c}") for c in g] + [F.col("f.node") == F.col("b._parent")]
@@ -300,6 +303,8 @@ def knn(tree: KdTree, queries: DataFrame, k_by_group: DataFrame, self_mode: bool
         j = j.where(_mindist(x) <= F.col("_r") + F.lit(BOX_SLACK))
         frontier = j.select(*g, "qid", *x, "_own", "_r", "node", "is_leaf")
     other = frontier.where(F.col("is_leaf") & (F.col("node") != F.col("_own"))).select(*g, "qid", "node", "_r")
+    if tree.depth > 0:
+        other = materialize(other, "knn-walk")
     if tree.depth > 0:
         qv = q.select(*g, "vid", *x, "cnt")
         pairs = other.join(qv.withColumnRenamed("vid", "qid"), [*g, "qid"]) \

@@ -66,6 +66,9 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
 
 
+MATERIALIZE_ROWS_PER_FILE = 100_000
+
+
 def materialize(df, name: str, count: bool = False):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
@@ -79,9 +82,12 @@ def materialize(df, name: str, count: bool = False):
 
     spark = df.sparkSession
     path = staging_path(spark, name)
+    # Capped file size: a table re-read by later steps splits into several tasks even
+    # when AQE wrote it from one coalesced partition (a one-file read is one task).
+    rows = int(spark.conf.get("thermolytics.materialize.maxRecordsPerFile", str(MATERIALIZE_ROWS_PER_FILE)))
     if count:
         obs = Observation(f"rows-{name}")
-        df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path), int(obs.get["n"])
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        df = df.observe(obs, F.count(F.lit(1)).alias("n"))
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(path)
+    out = spark.read.parquet(path)
+    return (out, int(obs.get["n"])) if count else out
