@@ -124,8 +124,11 @@ def descend(tree: KdTree, queries: DataFrame) -> DataFrame:
     """Leaf of each query (G..., qid, dims...) by following the stored cuts; adds ``leaf``."""
     g, x = tree.groups, tree.dims
     cur = queries.withColumn("leaf", F.lit(1).cast("long"))
-    for _level in range(tree.depth):
-        s = tree.splits.withColumnRenamed("node", "leaf")
+    depth_of = F.floor(F.log2(F.col("node"))).cast("int")
+    for level in range(tree.depth):
+        # Only this depth's cuts: at the top levels the table is tiny (every query
+        # starts at the root, a single hot key), so AQE broadcasts it by measured size.
+        s = tree.splits.where(depth_of == level).withColumnRenamed("node", "leaf")
         j = cur.join(s, [*g, "leaf"], "left")
         xv = _pick(F.col("dim"), [F.col(c) for c in x])
         left = F.when(F.col("le"), xv <= F.col("split")).otherwise(xv < F.col("split"))
@@ -284,8 +287,10 @@ def knn(tree: KdTree, queries: DataFrame, k_by_group: DataFrame, self_mode: bool
     # Walk the tree from the root, keeping nodes whose box is within the bound. A leaf
     # also has itself as a "child", so reached leaves ride along and every level is
     # exactly one join of the previous frontier (a linear plan, no branch re-use).
-    kids = tree.boxes.where(F.col("node") > 1).withColumn("_parent", F.shiftright("node", 1)) \
-        .unionByName(tree.boxes.where(F.col("is_leaf")).withColumn("_parent", F.col("node")))
+    depth_of = F.floor(F.log2(F.col("node"))).cast("int")
+    boxes = tree.boxes.withColumn("_depth", depth_of)
+    kids = boxes.where(F.col("node") > 1).withColumn("_parent", F.shiftright("node", 1)) \
+        .unionByName(boxes.where(F.col("is_leaf")).withColumn("_parent", F.col("node")))
     frontier = qb.withColumn("node", F.lit(1).cast("long"))
     root_leaf = tree.boxes.where(F.col("node") == 1).select(*g, F.col("is_leaf").alias("_rootleaf"))
     frontier = frontier.join(root_leaf, g).where(~F.col("_rootleaf")).drop("_rootleaf") \
@@ -293,8 +298,12 @@ def knn(tree: KdTree, queries: DataFrame, k_by_group: DataFrame, self_mode: bool
     # The box table is small and joined by broadcast, so the walk keeps the frontier's
     # partitioning: spread the queries over all task slots first.
     frontier = frontier.repartition(_search_partitions(queries.sparkSession), *g, "qid")
-    for _level in range(tree.depth):
-        f, b = frontier.alias("f"), kids.alias("b")
+    for level in range(tree.depth):
+        # Children at depth level+1 plus leaves already reached: at the top levels this
+        # table is tiny while every query shares the same node key.
+        lk = kids.where(((F.col("_parent") != F.col("node")) & (F.col("_depth") == level + 1))
+                        | ((F.col("_parent") == F.col("node")) & (F.col("_depth") <= level)))
+        f, b = frontier.alias("f"), lk.alias("b")
         cond = [F.col(f"f.{c}") == F.col(f"b.{c}") for c in g] + [F.col("f.node") == F.col("b._parent")]
         j = f.join(b, cond, "inner")
         j = j.select(*[F.col(f"f.{c}").alias(c) for c in g], "f.qid", *[F.col(f"f.{c}") for c in x],

@@ -28,11 +28,16 @@ def ranked(df: DataFrame, value_col: str, group_cols=(), partitions: int | None
     spark = df.sparkSession
     checkpoint_root(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    srt = (base.repartitionByRange(n_parts, *g, "_v")
-           .sortWithinPartitions(*g, "_v")
+    # A seeded random tie-break in the range key lets the partitioner split a value
+    # (or a group) that holds a large share of the rows; equal values keep equal ranks'
+    # worth of positions, so the quantile is unchanged.
+    base = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull()) \
+             .withColumn("_t", F.rand(17))
+    srt = (base.repartitionByRange(n_parts, *g, "_v", "_t")
+           .sortWithinPartitions(*g, "_v", "_t")
            .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_loc", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_BITS))))
+           .withColumn("_loc", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_BITS)))
+           .drop("_t"))
     srt = materialize(srt, "quantile-ranked")
     # Partition sizes: one row per partition, bounded by n_parts.
     sizes = srt.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
