@@ -7,6 +7,8 @@ engines so that value hashes compare exactly.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +22,14 @@ ORACLE_SQL: dict = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register a query; it runs with the session time zone pinned to UTC (the data
+    contract), whatever session the caller passes."""
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
         if sql is not None:
             ORACLE_SQL[name] = sql
         return fn

@@ -27,6 +27,11 @@ from .features import inference_features, training_features
 log = logging.getLogger(__name__)
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """First ``n`` rows for a look at the output (a separate job; never inside a pipeline)."""
+    return df.limit(n)
+
+
 def ingest(spark: SparkSession, source, dest: str, table: str | None = None) -> dict:
     """Raw JSON -> cleaned, partitioned meter table (append). Counts come from one
     observation on the write, not from extra passes."""

@@ -48,7 +48,9 @@ def read_scores(spark: SparkSession, path: str, suffixes=CSV_SUFFIXES) -> DataFr
     is the file the row came from.
     """
     glob = "*.{" + ",".join(suffixes) + "}"
-    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
+    # A file that cannot be read is skipped (per-file fault isolation); its rows are simply absent.
+    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+             .option("ignoreCorruptFiles", "true").text(path)
              .select("value", F.col("_metadata.file_path").alias("source_file")))
     return parse_score_lines(lines)
 
