@@ -4,7 +4,7 @@ Points are distinct feature vectors with a multiplicity (``cnt``): identical
 rows are collapsed first, so any number of equal rows costs one vector.
 
 Build: level by level, each node with more than ``leaf_size`` vectors is cut
-at the approximate median (``percentile_approx``) of its widest dimension;
+at the approximate quartiles (``percentile_approx``) of its widest dimension;
 one aggregate and one join per level, lineage cut by a checkpoint. Leaves
 hold about ``leaf_size`` vectors whatever the data skew, because a dense
 region simply gets more, smaller leaves.
@@ -35,6 +35,8 @@ from pyspark.sql import types as T
 from ..session import checkpoint_root, materialize
 
 TIE_DECIMALS = 9
+FANOUT = 4                # children per cut (quartiles of the widest dimension)
+LOG2_FANOUT = 2
 BOX_SLACK = 1e-9          # boxes within r + slack are searched (covers rounding ties)
 QUERY_CHUNK = 4096        # queries per search task
 
@@ -42,7 +44,7 @@ QUERY_CHUNK = 4096        # queries per search task
 @dataclass
 class KdTree:
     vectors: DataFrame    # G..., vid, x..., cnt, leaf
-    splits: DataFrame     # G..., node, dim, split, le
+    splits: DataFrame     # G..., node, dim, cuts, strict
     boxes: DataFrame      # G..., node, lo_i..., hi_i..., is_leaf
     groups: list
     dims: list
@@ -58,7 +60,19 @@ def _pick(idx_col, values):
     return expr
 
 
-def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_depth: int = 48) -> KdTree:
+def _child(dims) -> F.Column:
+    """Child node id under the stored cuts: node * FANOUT + number of cuts passed."""
+    xv = _pick(F.col("dim"), [F.col(c) for c in dims])
+    passed = F.filter("cuts", lambda c: F.when(F.col("strict"), xv > c).otherwise(xv >= c))
+    return F.col("node") * FANOUT + F.size(passed)
+
+
+def _depth(node) -> F.Column:
+    """Depth of a node id: ids of depth d lie in [FANOUT^d, FANOUT^(d+1))."""
+    return F.floor(F.log2(node) / LOG2_FANOUT).cast("int")
+
+
+def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_depth: int = 30) -> KdTree:
     """Partition distinct vectors (G..., vid, dims..., cnt) into kd-tree leaves per group."""
     g, x = list(groups), list(dims)
     checkpoint_root(vectors.sparkSession)
@@ -67,11 +81,12 @@ def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_dept
     depth = 0
     # One level per pass until no node holds more than leaf_size vectors. Median cuts
     # halve a node, so this takes about log2(largest group / leaf_size) passes.
+    probs = [i / FANOUT for i in range(1, FANOUT)]
     while depth < max_depth:
         aggs = [F.count(F.lit(1)).alias("_n")]
         for i, c in enumerate(x):
             aggs += [F.min(c).alias(f"_mn{i}"), F.max(c).alias(f"_mx{i}"),
-                     F.percentile_approx(c, 0.5, 1000).alias(f"_md{i}")]
+                     F.percentile_approx(c, probs, 1000).alias(f"_q{i}")]
         st = cur.groupBy(*g, "node").agg(*aggs).where(F.col("_n") > leaf_size)
         spread = [F.col(f"_mx{i}") - F.col(f"_mn{i}") for i in range(len(x))]
         best = F.greatest(*spread) if len(x) > 1 else spread[0]
@@ -79,22 +94,23 @@ def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_dept
         for i, s_ in enumerate(spread):
             dim = F.when(s_ == best, F.lit(i)) if dim is None else dim.when(s_ == best, F.lit(i))
         st = st.withColumn("dim", dim)
-        split = _pick(F.col("dim"), [F.col(f"_md{i}") for i in range(len(x))])
+        qs = _pick(F.col("dim"), [F.col(f"_q{i}") for i in range(len(x))])
         low = _pick(F.col("dim"), [F.col(f"_mn{i}") for i in range(len(x))])
-        # Cut at the median; when the median is the minimum, cut just above it.
-        splits = st.select(*g, "node", "dim", split.alias("split"), (split <= low).alias("le")) \
-                   .where(F.col("split").isNotNull())
+        # Cuts at the quantiles above the node minimum (each is a data value, so every
+        # cut has data on both sides). If all quantiles equal the minimum, one cut just
+        # above it ("strict"). Either way a node splits into at least two non-empty parts.
+        valid = F.array_sort(F.array_distinct(F.filter(qs, lambda c: c > low)))
+        splits = st.select(*g, "node", "dim",
+                           F.when(F.size(valid) > 0, valid).otherwise(F.array(low)).alias("cuts"),
+                           (F.size(valid) == 0).alias("strict"))
         splits, n_split = materialize(splits, "kd-splits", count=True)
         if n_split == 0:
             break
         depth += 1
         split_tables.append(splits)
         j = cur.join(splits, [*g, "node"], "left")
-        xv = _pick(F.col("dim"), [F.col(c) for c in x])
-        left = F.when(F.col("le"), xv <= F.col("split")).otherwise(xv < F.col("split"))
-        child = F.col("node") * 2 + F.when(left, F.lit(0)).otherwise(F.lit(1))
         cur = j.select(*g, "vid", *x, "cnt",
-                       F.when(F.col("dim").isNull(), F.col("node")).otherwise(child).alias("node"))
+                       F.when(F.col("dim").isNull(), F.col("node")).otherwise(_child(x)).alias("node"))
         cur = materialize(cur, "kd-level")
     vec = cur.withColumnRenamed("node", "leaf")
     if split_tables:
@@ -105,13 +121,15 @@ def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_dept
         all_splits = vectors.sparkSession.createDataFrame(
             [], T.StructType([*[vectors.schema[c] for c in g],
                               T.StructField("node", T.LongType()), T.StructField("dim", T.IntegerType()),
-                              T.StructField("split", T.DoubleType()), T.StructField("le", T.BooleanType())]))
+                              T.StructField("cuts", T.ArrayType(T.DoubleType())),
+                              T.StructField("strict", T.BooleanType())]))
     leaf_box = vec.groupBy(*g, "leaf").agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(x)],
                                            *[F.max(c).alias(f"hi{i}") for i, c in enumerate(x)])
     # Every node's box = union of its leaves' boxes: explode each leaf into its ancestors.
-    lvl = F.floor(F.log2(F.col("leaf"))).cast("int")
+    lvl = _depth(F.col("leaf"))
     anc = leaf_box.select("*", F.explode(F.sequence(F.lit(0), lvl)).alias("_up"))
-    anc = anc.select(*g, F.expr("shiftright(leaf, _up)").alias("node"), (F.col("_up") == 0).alias("_isleaf"),
+    anc = anc.select(*g, F.expr(f"shiftright(leaf, _up * {LOG2_FANOUT})").alias("node"),
+                     (F.col("_up") == 0).alias("_isleaf"),
                      *[f"lo{i}" for i in range(len(x))], *[f"hi{i}" for i in range(len(x))])
     boxes = anc.groupBy(*g, "node").agg(*[F.min(f"lo{i}").alias(f"lo{i}") for i in range(len(x))],
                                         *[F.max(f"hi{i}").alias(f"hi{i}") for i in range(len(x))],
@@ -124,17 +142,13 @@ def descend(tree: KdTree, queries: DataFrame) -> DataFrame:
     """Leaf of each query (G..., qid, dims...) by following the stored cuts; adds ``leaf``."""
     g, x = tree.groups, tree.dims
     cur = queries.withColumn("leaf", F.lit(1).cast("long"))
-    depth_of = F.floor(F.log2(F.col("node"))).cast("int")
     for level in range(tree.depth):
         # Only this depth's cuts: at the top levels the table is tiny (every query
         # starts at the root, a single hot key), so AQE broadcasts it by measured size.
-        s = tree.splits.where(depth_of == level).withColumnRenamed("node", "leaf")
-        j = cur.join(s, [*g, "leaf"], "left")
-        xv = _pick(F.col("dim"), [F.col(c) for c in x])
-        left = F.when(F.col("le"), xv <= F.col("split")).otherwise(xv < F.col("split"))
-        child = F.col("leaf") * 2 + F.when(left, F.lit(0)).otherwise(F.lit(1))
+        s = tree.splits.where(_depth(F.col("node")) == level).withColumnRenamed("node", "leaf")
+        j = cur.join(s, [*g, "leaf"], "left").withColumnRenamed("leaf", "node")
         cur = j.select(*queries.columns,
-                       F.when(F.col("dim").isNull(), F.col("leaf")).otherwise(child).alias("leaf"))
+                       F.when(F.col("dim").isNull(), F.col("node")).otherwise(_child(x)).alias("leaf"))
     return cur
 
 
@@ -287,9 +301,8 @@ def knn(tree: KdTree, queries: DataFrame, k_by_group: DataFrame, self_mode: bool
     # Walk the tree from the root, keeping nodes whose box is within the bound. A leaf
     # also has itself as a "child", so reached leaves ride along and every level is
     # exactly one join of the previous frontier (a linear plan, no branch re-use).
-    depth_of = F.floor(F.log2(F.col("node"))).cast("int")
-    boxes = tree.boxes.withColumn("_depth", depth_of)
-    kids = boxes.where(F.col("node") > 1).withColumn("_parent", F.shiftright("node", 1)) \
+    boxes = tree.boxes.withColumn("_depth", _depth(F.col("node")))
+    kids = boxes.where(F.col("node") > 1).withColumn("_parent", F.shiftright("node", LOG2_FANOUT)) \
         .unionByName(boxes.where(F.col("is_leaf")).withColumn("_parent", F.col("node")))
     frontier = qb.withColumn("node", F.lit(1).cast("long"))
     root_leaf = tree.boxes.where(F.col("node") == 1).select(*g, F.col("is_leaf").alias("_rootleaf"))

@@ -104,7 +104,8 @@ def save_model(model: FittedModel, path: str) -> None:
     model.lof.k_by_group.write.mode("overwrite").parquet(f"{p}/lof_k")
     meta = {"strategy": model.strategy, "feature_columns": model.feature_columns, "params": model.params,
             "groups": model.lof.groups, "dims": model.lof.dims, "within": model.lof.within,
-            "k": model.lof.k, "depth": model.lof.tree.depth, "leaf_size": model.lof.tree.leaf_size}
+            "k": model.lof.k, "depth": model.lof.tree.depth, "leaf_size": model.lof.tree.leaf_size,
+            "fanout": 4}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(f"{p}/meta")
 
 
