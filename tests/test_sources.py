@@ -28,3 +28,16 @@ def test_raw_json_recursive(spark, tmp_dir):
     df = read_raw_meter(spark, f"{tmp_dir}/in")
     out = clean_meter(df).collect()
     assert len(out) == 1 and out[0].energy_kwh == 2.5 and out[0].event_ts == dt.datetime(2024, 1, 15, 10, 30)
+
+
+def test_cleanup_staging_by_age(spark, tmp_dir):
+    import os
+    import time
+    from thermolytics.session import cleanup_staging
+    for name in ("stage-old-1", "stage-new-1", "keep-me"):
+        os.makedirs(f"{tmp_dir}/{name}")
+    old = time.time() - 3 * 3600
+    os.utime(f"{tmp_dir}/stage-old-1", (old, old))
+    os.utime(f"{tmp_dir}/keep-me", (old, old))
+    assert cleanup_staging(spark, older_than_hours=1, root=tmp_dir) == 1
+    assert sorted(os.listdir(tmp_dir)) == ["keep-me", "stage-new-1"]

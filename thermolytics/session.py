@@ -91,3 +91,28 @@ def materialize(df, name: str, count: bool = False):
     df.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(path)
     out = spark.read.parquet(path)
     return (out, int(obs.get["n"])) if count else out
+
+
+def cleanup_staging(spark: SparkSession, older_than_hours: float = 24.0, root: str | None = None) -> int:
+    """Delete staged tables (``stage-*`` folders) older than ``older_than_hours`` under
+    the shared checkpoint folder (or ``root``). Staged tables back lazily evaluated
+    results, so they are released by age, not when the creating call returns.
+    Uses the Hadoop FileSystem API, so it works on any shared store Spark can write to.
+    Returns the number of folders removed.
+    """
+    import time as _time
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(root or checkpoint_root(spark))
+    fs = base.getFileSystem(conf)
+    if not fs.exists(base):
+        return 0
+    cutoff_ms = (_time.time() - older_than_hours * 3600) * 1000
+    removed = 0
+    for st in fs.listStatus(base):
+        p = st.getPath()
+        if st.isDirectory() and p.getName().startswith("stage-") and st.getModificationTime() < cutoff_ms:
+            fs.delete(p, True)
+            removed += 1
+    return removed
