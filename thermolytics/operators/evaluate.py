@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import gt_not_nan, safe_ratio
+from ..functions.params import attach_row
 from .quantile import approx_quantile, exact_quantile
 from ..session import materialize
 
@@ -41,7 +42,7 @@ def label_metrics(scores: DataFrame, labels: DataFrame, threshold: DataFrame,
     """
     g = list(group_cols)
     j = scores.join(dedupe_labels(labels, keys), keys, "left")
-    j = j.join(F.broadcast(threshold), g, "inner") if g else j.crossJoin(F.broadcast(threshold))
+    j = j.join(F.broadcast(threshold), g, "inner") if g else attach_row(j, threshold)
     actual = F.coalesce(F.col("is_anomaly"), F.lit(0)) == 1
     pred = gt_not_nan(score_col, 0) & (F.col(score_col) > F.col("threshold_used"))
     c = j.groupBy(*g).agg(
@@ -66,10 +67,10 @@ def evaluate(scores: DataFrame, labels: DataFrame | None = None, score_col: str
     stats = score_stats(scores, score_col, g)
     thr = score_threshold(scores, score_col, q, g, exact)
     # Without groups every part is a global aggregate: exactly one row, also on empty input.
-    rep = stats.join(thr, g, "left") if g else stats.crossJoin(thr)
+    rep = stats.join(thr, g, "left") if g else attach_row(stats, thr)
     if labels is not None:
         m = label_metrics(scores, labels, thr, score_col, group_cols=g)
-        rep = rep.join(m, g, "left") if g else rep.crossJoin(m)
+        rep = rep.join(m, g, "left") if g else attach_row(rep, m)
     else:
         rep = rep.select("*", *[F.lit(None).cast("double").alias(c) for c in ("precision", "recall", "f1_score")])
     status = F.when(F.col("num_records_evaluated") == 0, F.lit("NoData")).otherwise(F.lit("Success"))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .knn import KdTree, build_tree, knn
 from .quantile import exact_quantile
+from ..functions.params import attach_row
 from ..session import materialize
 
 EPS = 1e-10
@@ -139,6 +140,6 @@ def contamination_offset(scored: DataFrame, contamination="auto", score_col: str
 
 def lof_flag(scored: DataFrame, contamination="auto", score_col: str = "lof_score") -> DataFrame:
     """Adds ``is_outlier`` = score below the offset (1 = outlier)."""
-    off = F.broadcast(contamination_offset(scored, contamination, score_col))
-    return scored.crossJoin(off).withColumn(
+    off = contamination_offset(scored, contamination, score_col)
+    return attach_row(scored, off).withColumn(
         "is_outlier", (F.col(score_col) < F.col("offset")).cast("int")).drop("offset")

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.params import attach_row
 from ..session import checkpoint_root, materialize
 
 _LOCAL_BITS = (1 << 33) - 1  # monotonically_increasing_id: low 33 bits = row number in the partition
@@ -46,7 +47,7 @@ def ranked(df: DataFrame, value_col: str, group_cols=(), partitions: int | None
     r = srt.join(F.broadcast(offs.select("_pid", "_off")), "_pid").withColumn("_grank", F.col("_off") + F.col("_loc"))
     if not g:
         n = r.agg(F.count(F.lit(1)).alias("_n"))
-        return r.crossJoin(F.broadcast(n)).select("_v", F.col("_grank").alias("_rank"), "_n")
+        return attach_row(r, n).select("_v", F.col("_grank").alias("_rank"), "_n")
     first = r.groupBy(*g).agg(F.min("_grank").alias("_g0"), F.count(F.lit(1)).alias("_n"))
     return r.join(first, g).select(*g, "_v", (F.col("_grank") - F.col("_g0")).alias("_rank"), "_n")
 

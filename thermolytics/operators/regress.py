@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.params import attach_row
+
 
 def fit_hdd_regression(df: DataFrame, y: str = "daily_energy_kwh", x: str = "hdd") -> DataFrame:
     """One-row table (slope, intercept, n) of ordinary least squares with intercept.
@@ -24,7 +26,7 @@ def fit_hdd_regression(df: DataFrame, y: str = "daily_energy_kwh", x: str = "hdd
 def regression_residual(df: DataFrame, model: DataFrame, y: str = "daily_energy_kwh", x: str = "hdd",
                         out: str = "residual") -> DataFrame:
     """``y - (intercept + slope * x)`` with nulls as 0; the model row is broadcast."""
-    m = F.broadcast(model.select(F.col("slope").alias("_slope"), F.col("intercept").alias("_icpt")))
+    m = model.select(F.col("slope").alias("_slope"), F.col("intercept").alias("_icpt"))
     yy = F.coalesce(F.col(y).cast("double"), F.lit(0.0))
     xx = F.coalesce(F.col(x).cast("double"), F.lit(0.0))
-    return df.crossJoin(m).withColumn(out, yy - (F.col("_icpt") + F.col("_slope") * xx)).drop("_slope", "_icpt")
+    return attach_row(df, m).withColumn(out, yy - (F.col("_icpt") + F.col("_slope") * xx)).drop("_slope", "_icpt")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.params import attach_row
+
 
 def require_features(df: DataFrame, cols, exc=ValueError, msg: str | None = None) -> None:
     if not cols:
@@ -42,8 +44,8 @@ def apply_scaler(df: DataFrame, params: DataFrame, cols, prefix: str = "z_") ->
 
     The parameter table has exactly one row, so it is broadcast to every task.
     """
-    p = F.broadcast(params.select(*[f"{c}_mean" for c in cols], *[f"{c}_std" for c in cols]))
-    j = df.crossJoin(p)
+    p = params.select(*[f"{c}_mean" for c in cols], *[f"{c}_std" for c in cols])
+    j = attach_row(df, p)
     out = j.select(*df.columns, *[((F.coalesce(F.col(c).cast("double"), F.lit(0.0)) - F.col(f"{c}_mean"))
                                     / F.col(f"{c}_std")).alias(f"{prefix}{c}") for c in cols])
     return out
