@@ -36,7 +36,9 @@ def upsert_alerts(spark: SparkSession, new: DataFrame, path: str) -> int:
     """Merge ``new`` into the store; returns the number of touched partitions."""
     new = to_store(new)
     dates = new.select("EventDate").distinct()
-    existing = read_alerts(spark, path).join(F.broadcast(dates), "EventDate", "left_semi") \
+    # Semi join on the touched dates: the store scan keeps only those partitions
+    # (dynamic partition pruning); AQE picks the join strategy by measured size.
+    existing = read_alerts(spark, path).join(dates, "EventDate", "left_semi") \
         if _exists(spark, path) else None
     merged = merge_alerts(existing.select(*ALERT_COLUMNS), new) if existing is not None else merge_alerts(
         new.limit(0), new)
@@ -62,7 +64,7 @@ def delete_from_store(spark: SparkSession, path: str, keys: DataFrame) -> None:
     """Remove listed alerts from the store, rewriting only their partitions."""
     dates = read_alerts(spark, path).join(keys.select("AlertID"), "AlertID", "left_semi") \
         .select("EventDate").distinct()
-    part = read_alerts(spark, path).join(F.broadcast(dates), "EventDate", "left_semi")
+    part = read_alerts(spark, path).join(dates, "EventDate", "left_semi")
     kept = delete_alerts(part, keys)
     stage = staging_path(spark, "alerts-del")
     kept.write.mode("overwrite").partitionBy("EventDate").parquet(stage)
