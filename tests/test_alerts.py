@@ -78,3 +78,16 @@ def test_store_upsert_idempotent_and_delete(spark, tmp_dir):
     delete_from_store(spark, store, spark.createDataFrame([("apt3#2024-01-19",)], "AlertID string"))
     ids = {r.AlertID for r in read_alerts(spark, store).collect()}
     assert "apt3#2024-01-19" not in ids and "apt1#2024-01-18" in ids
+
+
+def test_jsonl_scores(spark, tmp_dir):
+    from thermolytics.sources.scores import read_scores_jsonl, write_scores
+    df = spark.createDataFrame([("apt1", "bldgA", "2024-01-18", 6.5), ("apt2", "bldgA", "2024-01-18", 3.2)],
+                               "apartment_id string, building_id string, event_date string, "
+                               "anomaly_score_combined double")
+    write_scores(df, f"{tmp_dir}/jl", accept="application/jsonlines")
+    good, bad = parse_scores(read_scores_jsonl(spark, f"{tmp_dir}/jl"))
+    assert bad.count() == 0
+    assert {r.AlertID for r in make_alerts(good, 5.0).collect()} == {"apt1#2024-01-18"}
+    with pytest.raises(ValueError):
+        write_scores(df, f"{tmp_dir}/x", accept="text/html")
