@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from thermolytics.operators.alerts import alert_counts, dedupe_alerts, make_alerts, merge_alerts, parse_scores
 from thermolytics.plans.jobs import alerts_job

@@ -23,7 +23,6 @@ rule the SQL oracle uses, so ties are deterministic.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
