@@ -100,3 +100,14 @@ def test_feature_store_roundtrip(spark, tmp_dir):
     assert back.where("event_date IS NULL").count() == 0 and back.count() == 8
     got = {(r.apartment_record_id, str(r.event_date)): r.daily_energy_kwh for r in latest_features(back).collect()}
     assert got[("apt1", "2024-01-15")] == 100.0 and got[("apt2", "2024-01-15")] == 5.0 and len(got) == 5
+
+
+def test_latest_approved_and_none(spark):
+    from thermolytics.operators.dedup import latest_approved, require_one
+    reg = spark.createDataFrame([("g1", 1, "Approved", "2024-01-01"), ("g1", 2, "Approved", "2024-02-01"),
+                                 ("g1", 3, "Rejected", "2024-03-01"), ("g2", 4, "PendingManualApproval", "2024-01-01")],
+                                "group_name string, package_id int, status string, creation_time string")
+    got = {r.group_name: r.package_id for r in latest_approved(reg).collect()}
+    assert got == {"g1": 2}
+    with pytest.raises(ValueError, match="No approved model found in group g2"):
+        require_one(latest_approved(reg).where("group_name = 'g2'"), "g2")

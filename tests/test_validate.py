@@ -33,3 +33,14 @@ def test_statuses_and_profile(spark):
     r2 = check_contract(df, ok)
     assert {r.status for r in r2.collect()} == {"ok", "extra"}
     assert contract_passed(r2).first().passed is True
+
+
+def test_unreadable_path_fails(spark, tmp_dir):
+    from thermolytics.operators.validate import validate_path
+    rep = validate_path(spark, f"{tmp_dir}/nothing-here", {"columns": [{"name": "a", "type": "double"}]})
+    rows = rep.collect()
+    assert len(rows) == 1 and rows[0].status == "unreadable"
+    assert contract_passed(rep).first().passed is False
+    spark.createDataFrame([(1.0,)], "a double").write.parquet(f"{tmp_dir}/t")
+    ok = validate_path(spark, f"{tmp_dir}/t", {"columns": [{"name": "a", "type": "double"}]})
+    assert contract_passed(ok).first().passed is True

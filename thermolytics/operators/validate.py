@@ -80,5 +80,19 @@ def check_contract(df: DataFrame, contract) -> DataFrame:
 
 def contract_passed(report: DataFrame) -> DataFrame:
     """One row: passed = no missing column and no type mismatch."""
-    return report.agg(F.coalesce(F.bool_and(~F.col("status").isin("missing", "type_mismatch")),
+    return report.agg(F.coalesce(F.bool_and(~F.col("status").isin("missing", "type_mismatch", "unreadable")),
                                  F.lit(True)).alias("passed"))
+
+
+def validate_path(spark: SparkSession, path: str, contract, fmt: str = "parquet") -> DataFrame:
+    """``check_contract`` on the table at ``path``; a path that cannot be read gives one
+    row with status ``unreadable`` (a failure) instead of an exception."""
+    from pyspark.sql.utils import AnalysisException
+    try:
+        df = spark.read.format(fmt).load(path)
+    except AnalysisException as exc:
+        msg = str(exc).splitlines()[0][:500]
+        return spark.createDataFrame(
+            [(None, None, msg, "unreadable", None, None, None)],
+            "column string, expected string, actual string, status string, rows long, nulls long, invalid long")
+    return check_contract(df, contract)
