@@ -72,6 +72,7 @@ def delete_from_store(spark: SparkSession, path: str, keys: DataFrame) -> None:
     # Partitions whose last alert was deleted must be emptied explicitly.
     empty_dates = dates.join(staged.select("EventDate").distinct(), "EventDate", "left_anti")
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("EventDate").parquet(path)
+    # Only the dates whose partitions became empty reach the driver (at most the touched dates).
     _clear_partitions(spark, path, [r[0] for r in empty_dates.collect()])
 
 
