@@ -50,3 +50,23 @@ def test_daily_rollup_combines_before_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_avg" in plan and "partial_max" in plan
     assert out.first().daily_energy_kwh == 499.0
+
+
+def test_no_pair_joins_in_plans(spark):
+    """The kNN search and the LOF result contain no cartesian or nested-loop joins."""
+    from pyspark.sql import functions as F
+    from thermolytics.operators.knn import build_tree, knn
+    from thermolytics.operators.lof import distinct_vectors
+    from thermolytics.operators.scale import apply_scaler, fit_scaler
+    rng = np.random.default_rng(2)
+    X = rng.normal(size=(300, 3))
+    df = spark.createDataFrame([(int(i), "g", *map(float, x)) for i, x in enumerate(X)], ["id", "grp", "a", "b", "c"])
+    vec = distinct_vectors(df, ["grp"], ["a", "b", "c"], "id")
+    kk = vec.groupBy("grp").agg(F.lit(5).cast("long").alias("_k"))
+    tree = build_tree(vec, ["grp"], ["a", "b", "c"], leaf_size=20)
+    assert tree.depth >= 2
+    plans = [knn(tree, tree.vectors, kk, True), lof_scores(df, ["a", "b", "c"], "id", k=5, within="grp", leaf_size=20),
+             apply_scaler(df, fit_scaler(df, ["a"]), ["a"])]
+    for p in plans:
+        text = p._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in text and "NestedLoopJoin" not in text

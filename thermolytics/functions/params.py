@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_KEY = "_param_key"
-
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of ``one_row`` to every row of ``df``.
 
-    ``one_row`` must be a global aggregate (or a literal row): exactly one row
-    by construction, so broadcasting it is size-bounded. The attach is a
-    broadcast equi-join on a constant key: no data moves and no pairs form.
+    ``one_row`` is a global aggregate (exactly one row by construction). It
+    is read as one scalar subquery: Spark runs it once, and every row gets
+    its values as constants in a projection. There is no join and no data
+    movement, and a second row would fail the query instead of multiplying
+    rows.
     """
-    right = F.broadcast(one_row.withColumn(_KEY, F.lit(0)))
-    return df.withColumn(_KEY, F.lit(0)).join(right, _KEY, "inner").drop(_KEY)
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*cols).alias("_p")).scalar()
+    return df.select("*", *[packed.getField(c).alias(c) for c in cols])
