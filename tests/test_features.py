@@ -142,3 +142,18 @@ def test_weather_per_building_does_not_fan_out(spark):
                            weather_key_cols={"building_id": "building_id_weather"})
     r2 = {(x.apartment_id, str(x.event_date)): x for x in keyed.collect()}
     assert r2[("apt1", "2024-01-15")].hdd == 10.0
+
+
+def test_per_meter_deltas(spark):
+    """Two counters in one apartment: per-meter deltas are summed instead of mixing counters."""
+    from thermolytics.operators.daily import daily_consumption
+    rows = [(ts("2024-01-15", "00:00"), "m1", "apt1", "b", 100.0, 20.0, 21.0, 10.0),
+            (ts("2024-01-15", "23:00"), "m1", "apt1", "b", 104.0, 20.0, 21.0, 12.0),
+            (ts("2024-01-15", "00:00"), "m2", "apt1", "b", 500.0, 22.0, 21.0, 1.0),
+            (ts("2024-01-15", "23:00"), "m2", "apt1", "b", 503.0, 22.0, 21.0, 2.0)]
+    m = spark.createDataFrame(rows, METER)
+    mixed = daily_consumption(m).first()
+    per = daily_consumption(m, per_meter=True).first()
+    assert mixed.daily_energy_kwh == 403.0          # max of one counter minus min of the other
+    assert per.daily_energy_kwh == 7.0 and per.daily_water_l == 3.0
+    assert per.avg_temp_diff == mixed.avg_temp_diff == 0.0

@@ -41,3 +41,33 @@ def test_cleanup_staging_by_age(spark, tmp_dir):
     os.utime(f"{tmp_dir}/keep-me", (old, old))
     assert cleanup_staging(spark, older_than_hours=1, root=tmp_dir) == 1
     assert sorted(os.listdir(tmp_dir)) == ["keep-me", "stage-new-1"]
+
+
+def test_positional_scoring_rows(spark, tmp_dir):
+    import pytest
+    from thermolytics.sources.features import attach_names, read_inference_features
+    feats = ["daily_energy_kwh", "hdd", "avg_temp_diff"]
+    with open(f"{tmp_dir}/ids.csv", "w") as f:
+        f.write("apt1,bldgA,2024-01-18,10,8,-0.5\n")
+    with open(f"{tmp_dir}/plain.csv", "w") as f:
+        f.write("5,8,-0.8\n")
+    r = read_inference_features(spark, f"{tmp_dir}/ids.csv", feature_columns=feats).first()
+    assert (r.apartment_id, r.daily_energy_kwh, r.avg_temp_diff) == ("apt1", 10.0, -0.5)
+    p = read_inference_features(spark, f"{tmp_dir}/plain.csv", feature_columns=feats).first()
+    assert p.apartment_id is None and p.hdd == 8.0
+    with pytest.raises(ValueError, match="do not match expected feature columns"):
+        attach_names(spark.createDataFrame([("1", "2")], "a string, b string"), feats)
+    with pytest.raises(ValueError, match="Unsupported content type"):
+        read_inference_features(spark, f"{tmp_dir}/plain.csv", "application/json")
+
+
+def test_feature_store_rejects(spark, tmp_dir):
+    from pyspark.sql import functions as F
+    from thermolytics.schemas import FEATURE
+    from thermolytics.sources.features import read_features, write_features
+    rows = [("apt1", dt.datetime(2024, 2, 1), dt.date(2024, 1, 15), "b", *[1.0] * 8),
+            (None, dt.datetime(2024, 2, 1), dt.date(2024, 1, 15), "b", *[1.0] * 8)]
+    df = spark.createDataFrame(rows, FEATURE)
+    write_features(df, f"{tmp_dir}/store", f"{tmp_dir}/rejects")
+    assert read_features(spark, f"{tmp_dir}/store").count() == 1
+    assert spark.read.parquet(f"{tmp_dir}/rejects").where(F.col("apartment_record_id").isNull()).count() == 1
