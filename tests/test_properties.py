@@ -35,3 +35,23 @@ def test_latest_per_key_property(spark, rows):
         if k not in exp or t > exp[k][0]:
             exp[k] = (t, v)
     assert got == exp
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10_000), n=st.integers(2, 90), k=st.integers(1, 8), dims=st.integers(1, 3),
+       grid=st.sampled_from([0.5, 1.0]))
+def test_lof_property(spark, seed, n, k, dims, grid):
+    from tests.lof_brute import lof as brute_lof
+    from thermolytics.operators.lof import lof_scores
+    rng = np.random.default_rng(seed)
+    X = np.round(rng.normal(size=(n, dims)) * 2 / grid) * grid      # coarse grid: ties and copies
+    ids = rng.permutation(n) + 1
+    cols = [f"x{j}" for j in range(dims)]
+    df = spark.createDataFrame([(int(i), *map(float, x)) for i, x in zip(ids, X)], ["id", *cols])
+    got = {r.id: r.lof for r in lof_scores(df, cols, "id", k=k, leaf_size=4).collect()}
+    exp, _, _ = brute_lof(X, ids, k)
+    for i, e in zip(ids, exp):
+        if np.isnan(e):
+            assert got[int(i)] is None
+        else:
+            assert got[int(i)] == pytest.approx(e, rel=1e-9, abs=1e-9)
