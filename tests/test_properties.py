@@ -55,3 +55,22 @@ def test_lof_property(spark, seed, n, k, dims, grid):
             assert got[int(i)] is None
         else:
             assert got[int(i)] == pytest.approx(e, rel=1e-9, abs=1e-9)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10_000), n_ref=st.integers(3, 70), n_q=st.integers(1, 30), k=st.integers(1, 6))
+def test_lof_novelty_property(spark, seed, n_ref, n_q, k):
+    from tests.lof_brute import novelty as brute_novelty
+    from thermolytics.operators.lof import fit_lof, lof_novelty
+    rng = np.random.default_rng(seed)
+    Xr = np.round(rng.normal(size=(n_ref, 2)) * 2)
+    Xq = np.round(rng.normal(size=(n_q, 2)) * 2)
+    idr = np.arange(n_ref) + 1
+    idq = np.arange(n_q) + 10_000
+    ref = spark.createDataFrame([(int(i), *map(float, x)) for i, x in zip(idr, Xr)], ["id", "a", "b"])
+    qry = spark.createDataFrame([(int(i), *map(float, x)) for i, x in zip(idq, Xq)], ["id", "a", "b"])
+    model = fit_lof(ref, ["a", "b"], "id", k=k, leaf_size=4)
+    got = {r.id: r.lof for r in lof_novelty(model, qry, ["a", "b"], "id").collect()}
+    exp = brute_novelty(Xr, idr, Xq, k)
+    for i, e in zip(idq, exp):
+        assert got[int(i)] == pytest.approx(e, rel=1e-9, abs=1e-9)
