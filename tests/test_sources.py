@@ -71,3 +71,13 @@ def test_feature_store_rejects(spark, tmp_dir):
     write_features(df, f"{tmp_dir}/store", f"{tmp_dir}/rejects")
     assert read_features(spark, f"{tmp_dir}/store").count() == 1
     assert spark.read.parquet(f"{tmp_dir}/rejects").where(F.col("apartment_record_id").isNull()).count() == 1
+
+
+def test_read_labels_optional(spark, tmp_dir):
+    from thermolytics.sources.labels import read_labels
+    assert read_labels(spark, None) is None
+    assert read_labels(spark, f"{tmp_dir}/missing") is None
+    spark.createDataFrame([("apt1", dt.date(2024, 1, 19), 1)], "apartment_record_id string, event_date date, "
+                                                             "is_anomaly long").write.parquet(f"{tmp_dir}/lab")
+    lab = read_labels(spark, f"{tmp_dir}/lab")
+    assert lab.schema["is_anomaly"].dataType.simpleString() == "int" and lab.count() == 1
