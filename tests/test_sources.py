@@ -81,3 +81,16 @@ def test_read_labels_optional(spark, tmp_dir):
                                                              "is_anomaly long").write.parquet(f"{tmp_dir}/lab")
     lab = read_labels(spark, f"{tmp_dir}/lab")
     assert lab.schema["is_anomaly"].dataType.simpleString() == "int" and lab.count() == 1
+
+
+def test_write_meter_registers_table(spark, tmp_dir):
+    rows = [("2024-01-15 10:00:00", "m", "a", "b", 1.0, 20.0, 21.0, 1.0),
+            ("2024-01-16 10:00:00", "m", "a", "b", 2.0, 20.0, 21.0, 1.0)]
+    raw = spark.createDataFrame(rows, "timestamp_str string, meter_id string, apartment_id string, "
+                                      "building_id string, energy_kwh double, room_temp_c double, "
+                                      "setpoint_temp_c double, hot_water_litres double")
+    write_meter(clean_meter(raw), f"{tmp_dir}/meter_tbl", table="meter_catalog_test")
+    write_meter(clean_meter(raw), f"{tmp_dir}/meter_tbl", table="meter_catalog_test")   # append
+    t = spark.table("meter_catalog_test")
+    assert t.count() == 4 and {r.day for r in t.collect()} == {15, 16}
+    spark.sql("DROP TABLE meter_catalog_test")
