@@ -9,4 +9,11 @@ Sub-packages:
   streaming  incremental variants on Structured Streaming
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Kernels travel to the executors with their code, so workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -47,18 +48,19 @@ def get_session(master: str | None = None, app: str = "thermolytics",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged tables.
 
-    Uses ``spark.checkpoint.dir`` as configured for the cluster. Only when it
-    is unset (local tests) a folder under the system temp dir is used, and it
-    is registered so that ``DataFrame.checkpoint()`` works too.
+    Uses ``spark.checkpoint.dir`` as configured for the cluster. Where it is unset, a
+    ``local`` master falls back to the system temp folder (tests); on any other master
+    this raises, because each executor would write to its own disk.
+    The caller's session settings are not changed.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "thermolytics-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) \
+        or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder when the master is {master!r}")
+    return os.path.join(os.environ.get("TMPDIR", "/tmp"), "thermolytics-checkpoints")
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
@@ -66,33 +68,43 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
 
 
-MATERIALIZE_ROWS_PER_FILE = 100_000
-
-
 def materialize(df, name: str, count: bool = False):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` but in one job (a reliable RDD
     checkpoint computes its input twice unless cached) and in a columnar
     format. With ``count=True`` the row count is taken from an observation
-    on the same write and returned as ``(df, n)``.
+    on the same write and returned as ``(df, n)``. File sizes follow the
+    writing partitions, which adaptive execution sizes by bytes.
     """
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
     spark = df.sparkSession
     path = staging_path(spark, name)
-    # Capped file size: a table re-read by later steps splits into several tasks even
-    # when AQE wrote it from one coalesced partition (a one-file read is one task).
-    rows = int(spark.conf.get("thermolytics.materialize.maxRecordsPerFile", str(MATERIALIZE_ROWS_PER_FILE)))
     if count:
         obs = Observation(f"rows-{name}")
         df = df.observe(obs, F.count(F.lit(1)).alias("n"))
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(path)
-    out = spark.read.parquet(path)
+    df.write.mode("overwrite").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
     return (out, int(obs.get["n"])) if count else out
 
 
+def release(*frames) -> None:
+    """Delete the staged tables that ``frames`` (returned by ``materialize``) read.
+
+    For intermediate results whose every use has already been written elsewhere.
+    Only ``stage-*`` folders under the checkpoint folder are touched.
+    """
+    for df in frames:
+        spark = df.sparkSession
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if folder.rsplit("/", 1)[-1].startswith("stage-"):
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)
+
+
 def cleanup_staging(spark: SparkSession, older_than_hours: float = 24.0, root: str | None = None) -> int:
     """Delete staged tables (``stage-*`` folders) older than ``older_than_hours`` under
     the shared checkpoint folder (or ``root``). Staged tables back lazily evaluated
