@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import materialize, release
-from .common import WORD
+from ..session import materialize
+from .common import WORD, free_name, row_key
 
 WEIGHTS = (3.0, 1.0, 2.0)   # by rank of the source, repeating
 SHARE = 1.5                 # of all sizes
@@ -108,9 +108,15 @@ def thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
     return state.select("source", "epoch", F.col("prefix").alias("threshold"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target, taken (times the mix takes it, by its size)."""
-    sized = materialize(docs.select("doc_id", "source", doc_size().alias("size"), doc_hash().alias("hash")), "mix-sizes")
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS,
+        key: bool = False) -> DataFrame:
+    """Per document: doc_id, source, size, source_size, target, taken (times the mix takes it, by its size).
+
+    With ``key`` also the row's ``key`` (``row_key``).
+    """
+    ids = ["doc_id", *["key"][:key]]
+    rows = docs.select("doc_id", "source", "text", *[row_key().alias("key")][:key])
+    sized = materialize(rows.select(*ids, "source", doc_size().alias("size"), doc_hash().alias("hash")), "mix-sizes")
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = materialize(source_targets(sizes, weights, share, epochs), "mix-targets")
     budgets = targets.select("source", F.explode(F.sequence(F.lit(1), F.lit(int(epochs)))).alias("epoch"),
@@ -122,4 +128,13 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EP
     per_source = _null_safe(targets, wide, ["source"])
     times = F.size(F.filter("cuts", lambda c: F.col("hash") < c))
     return _null_safe(sized, per_source, ["source"]) \
-        .select("doc_id", "source", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"))
+        .select(*ids, "source", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken"))
+
+
+def sample(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it (documents of size 0 not at all)."""
+    key, n = free_name(docs, "_key"), free_name(docs, "_times")
+    times = mix(docs, weights, share, epochs, key=True) \
+        .where("taken > 0").select(F.col("key").alias(key), (F.col("taken") / F.col("size")).cast("int").alias(n)).distinct()
+    return docs.withColumn(key, row_key()).join(times, key) \
+        .withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)
