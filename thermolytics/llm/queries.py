@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import langid, lines, mixing
+from . import langid, lines, mixing, substrings, superminhash
 from .common import table
 
 
@@ -17,14 +17,25 @@ def op5_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op4_substring_dedup(spark, sf_dir):
+    out = substrings.dedup_substrings(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op10_near_dedup(spark, sf_dir):
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op8_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op8_source_mixing": op8_source_mixing,
+    "op10_near_dedup": op10_near_dedup,
 }
 
 ORACLE_SQL = {
