@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import langid, lines, mixing, packing, substrings, superminhash
+from . import langid, lines, mixing, packing, quality, substrings, superminhash
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op2_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark, sf_dir):
     out = substrings.dedup_substrings(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -37,6 +41,7 @@ def op8_source_mixing(spark, sf_dir):
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
+    "op3_quality": op3_quality,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op8_source_mixing": op8_source_mixing,
