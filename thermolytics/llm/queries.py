@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import langid, lines, mixing, packing, quality, substrings, superminhash
+from . import graph_dedup, langid, lines, mixing, packing, quality, substrings, superminhash
 from .common import table
 
 
@@ -34,6 +34,10 @@ def op10_near_dedup(spark, sf_dir):
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op6_embedding_dedup(spark, sf_dir):
+    return graph_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -44,6 +48,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op8_source_mixing": op8_source_mixing,
     "op10_near_dedup": op10_near_dedup,
 }
