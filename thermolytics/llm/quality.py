@@ -89,8 +89,9 @@ def features(n: int, s: dict[str, float], words: list[bytes], known: dict[bytes,
     shapes = Counter(b" ".join(words).translate(_SHAPE).split())
     if len(known) > 200_000:
         known.clear()
-    for x in shapes.keys() - known.keys():
-        known[x] = int(word_hashes([x])[0]) % DIM
+    for x in shapes:
+        if x not in known:
+            known[x] = int(word_hashes([x])[0]) % DIM
     levels = [b"%s=%d" % (k.encode(), min(20, int(v * (1 if k == "word_length" else 20)))) for k, v in s.items()]
     at = [known[x] for x in shapes] + (word_hashes(levels) % np.uint64(DIM)).astype(int).tolist()
     weight = np.sqrt([c / n for c in shapes.values()]).tolist() + [1.0] * len(levels)

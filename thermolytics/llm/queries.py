@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import graph_dedup, langid, lines, mixing, packing, quality, substrings, superminhash
+from . import graph_dedup, langid, lines, mixing, packing, postings, quality, substrings, superminhash, token_tree
 from .common import table
 
 
@@ -30,6 +30,10 @@ def op4_substring_dedup(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_nearest_neighbours(spark, sf_dir):
+    return postings.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_near_dedup(spark, sf_dir):
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
@@ -38,6 +42,10 @@ def op6_embedding_dedup(spark, sf_dir):
     return graph_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op7_token_counts(spark, sf_dir):
+    return token_tree.recount(table(spark, sf_dir, "documents"))
+
+
 def op8_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
@@ -49,7 +57,9 @@ QUERIES = {
     "op4_substring_dedup": op4_substring_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_source_mixing": op8_source_mixing,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_near_dedup": op10_near_dedup,
 }
 
