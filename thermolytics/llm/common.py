@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,10 +70,11 @@ def rows(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
     return zip(*(batch.column(n).to_pylist() for n in names), strict=True)
 
 
-def emit(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    """A batch from columns given as lists, numpy or Arrow arrays."""
-    arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+def slices(batches: Iterable[pa.RecordBatch], n: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of ``n`` rows, so that a kernel holds Python objects of few rows at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, n):
+            yield b.slice(i, n)
 
 
 def slots(spark: SparkSession) -> int:

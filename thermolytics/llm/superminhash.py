@@ -13,10 +13,11 @@ positions hold values below the next rank.
    third of all rows is one row per task), and each class in a shared bucket is paired with
    that hub: candidates grow with the rows, not with their pairs.
 3. Candidates are confirmed on full sets, and components found.
-4. Buckets whose classes still lie in several components are compared across components, in
-   blocks of bounded size, by signature; pairs that come within ``SLACK`` of the threshold are
-   confirmed on full sets too. After that no pair of classes that shares a bucket is left untested,
-   but for those that are connected already. There is no cap on buckets or partners.
+4. Buckets whose classes still lie in several components are compared across components, in blocks
+   of bounded size, by signature; pairs that come within ``SLACK`` of the threshold are confirmed
+   on full sets in the same task. After that no two classes that share a bucket are left
+   untested, but for those that are connected already. A task returns a forest of links, not all
+   pairs. There is no cap on buckets or partners.
 
 Cases: null or word-less texts have empty sets, are linked with nothing and are kept. Rows that
 share a doc_id count as one document that has each of their sets. A null doc_id takes no part:
@@ -33,14 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, release
-from .common import as_long, free_name, mixed, row_key, rows, run_hashes, utf8, word_hashes
+from .common import as_long, free_name, mixed, row_key, rows, run_hashes, slices, utf8, word_hashes
 from .components import components
 
 K = 5
 BANDS, PER_BAND = 21, 6
 SLOTS = BANDS * PER_BAND
-SLACK = 0.2             # over 6 standard deviations of the estimate
-BLOCK = 512             # classes of a bucket that meet in one task
+SLACK = 0.13            # four standard deviations of the estimate
+BLOCK = 256             # classes of a bucket in a block; two blocks meet in a task
+BLOCK_BYTES = 32 << 20  # of their sets
 PERCENT = 80
 PART = 1 << 17          # elements whose permutations are in memory at once
 _GOLD = 0x9E3779B97F4A7C15
@@ -92,77 +94,104 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 def sketches(docs: DataFrame, k: int = K) -> DataFrame:
     """(doc_id, n_shingles, lo, hi, bands, sig): set size, 128-bit set identity, band keys, 32-bit signature."""
     def make(batches):
-        for b in batches:
-            for i in range(0, b.num_rows, 256):
-                part = b.slice(i, 256)
-                sets = [shingle_set(t, k) for t in part.column("text").to_pylist()]
-                sig = signatures(sets)
-                ids = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-                two = np.frombuffer(b"".join(ids), np.int64).reshape(-1, 2)
-                bands = pa.ListArray.from_arrays(np.arange(0, BANDS * len(sets) + 1, BANDS, dtype=np.int32),
-                                                 as_long(band_keys(sig).reshape(-1)))
-                short = mixed(sig).astype(np.uint32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(two[:, 0]),
-                     pa.array(two[:, 1]), bands, pa.array([s.tobytes() for s in short], pa.binary())],
-                    names=["doc_id", "n_shingles", "lo", "hi", "bands", "sig"])
+        for part in slices(batches):
+            sets = [shingle_set(t, k) for t in part.column("text").to_pylist()]
+            sig = signatures(sets)
+            ids = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            two = np.frombuffer(b"".join(ids), np.int64).reshape(-1, 2)
+            bands = pa.ListArray.from_arrays(np.arange(0, BANDS * len(sets) + 1, BANDS, dtype=np.int32),
+                                             as_long(band_keys(sig).reshape(-1)))
+            short = mixed(sig).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(two[:, 0]),
+                 pa.array(two[:, 1]), bands, pa.array([s.tobytes() for s in short], pa.binary())],
+                names=["doc_id", "n_shingles", "lo", "hi", "bands", "sig"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text")) \
         .mapInArrow(make, "doc_id long, n_shingles long, lo long, hi long, bands array<long>, sig binary")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, percent: int, k: int = K) -> DataFrame:
-    """Those of ``pairs`` (a, b) with 100 * intersection >= percent * union of the full sets."""
-
-    def sets_of(batches):
-        for b in batches:
+def full_sets(docs: DataFrame, ids: DataFrame, k: int = K) -> DataFrame:
+    """(id, elements): the sets of the documents in ``ids`` (column id), from their whole texts."""
+    def make(batches):
+        for b in slices(batches):
             sets = [shingle_set(t, k).tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(sets, pa.binary())], names=["id", "elements"])
 
+    # A shuffle join at every size: the ids grow with the documents, and hashing spares sorting texts.
+    return docs.select(F.col("doc_id").cast("long").alias("id"), utf8().alias("text")) \
+        .join(ids.hint("shuffle_hash"), "id", "left_semi").mapInArrow(make, "id long, elements binary")
+
+
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union of two sorted sets."""
+    if len(x) < len(y):
+        x, y = y, x
+    if not len(y) or 100 * len(y) < percent * len(x):
+        return False
+    both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (a, b) that are linked by their full ``sets``."""
     def check(batches):
-        for b in batches:
-            keep = []
-            for x, y in rows(b, "x", "y"):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both) and both > 0)
+        for b in slices(batches):
+            keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in rows(b, "x", "y")]
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    wanted = docs.select(F.col("doc_id").cast("long").alias("id"), utf8().alias("text")).join(ids, "id", "left_semi")
-    sets = materialize(wanted.mapInArrow(sets_of, "id long, elements binary"), "dup-sets")
     sides = pairs.join(sets.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b") \
         .join(sets.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a")
-    links = materialize(sides.mapInArrow(check, "a long, b long").distinct(), "dup-links")
-    release(sets)
-    return links
+    return materialize(sides.mapInArrow(check, "a long, b long").distinct(), "dup-links")
+
+
+def _open_buckets(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, cls, label) of the buckets whose classes lie in several components."""
+    labelled = shared.select("key", "cls").join(found.select(F.col("id").alias("cls"), "component"), "cls", "left") \
+        .select("key", "cls", F.coalesce("component", "cls").alias("label"))
+    several = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+    return materialize(labelled.join(several, "key", "left_semi"), "dup-rest")
 
 
 def _across(rest: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) from different components of one bucket whose estimate is near the threshold.
+    """Links (a, b) between components of one bucket: enough of them to connect what is connected.
 
-    ``rest`` has key, cls, label, sig. Each bucket is dealt into blocks of about ``BLOCK`` classes
-    and each two of its blocks meet in one group.
+    ``rest`` has key, cls, label, bands, sig, elements. Each bucket is dealt into blocks of about
+    ``BLOCK`` classes (fewer, where sets are large) and each two of its blocks meet in one group.
+    A pair is compared in the first bucket that both are in, by signature and, if that comes near
+    the threshold, by full sets, unless its components have been connected in this task by then.
     """
     least = max(1, int(SLOTS * (percent / 100 - SLACK)))
-    sizes = rest.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+    n = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.length("elements")) / BLOCK_BYTES))
+    sizes = rest.groupBy("key").agg(n.cast("int").alias("n"))
     block = F.pmod(F.xxhash64("cls"), F.col("n")).cast("int")
     dealt = rest.join(sizes, "key").withColumn("own", block) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))) \
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "label", "sig")
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "cls", "label",
+                "bands", "sig", "elements")
 
     def compare(t: pa.Table) -> pa.Table:
-        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        key, i, j = (t.column(c)[0].as_py() for c in ("key", "i", "j"))
         own, cls, label = (t.column(c).to_numpy() for c in ("own", "cls", "label"))
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(len(cls), -1)
+        bands = t.column("bands").combine_chunks().flatten().to_numpy().reshape(len(cls), -1)
+        sets = [np.frombuffer(x, np.uint64) for x in t.column("elements").to_pylist()]
+        group = np.unique(label, return_inverse=True)[1]
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        ends = [np.empty((2, 0), np.int64)]
+        a, b = [], []
         for x in left:
-            y = right[(label[right] != label[x]) & ((cls[right] > cls[x]) | (i != j))]
-            y = y[(sig[y] == sig[x]).sum(axis=1) >= least]
-            ends.append(np.stack([np.minimum(cls[x], cls[y]), np.maximum(cls[x], cls[y])]))
-        a, b = np.concatenate(ends, axis=1)
-        return pa.table({"a": a, "b": b})
+            y = right[(group[right] != group[x]) & ((cls[right] > cls[x]) | (i != j))]
+            alike = (sig[y] == sig[x]).sum(axis=1)
+            y, alike = y[alike >= least], alike[alike >= least]
+            shared = bands[y] == bands[x]
+            first = bands[x][shared.argmax(axis=1)] == key
+            y = y[first][np.argsort(-alike[first], kind="stable")]
+            for z in y:
+                if group[z] != group[x] and linked(sets[x], sets[z], percent):
+                    a.append(int(min(cls[x], cls[z])))
+                    b.append(int(max(cls[x], cls[z])))
+                    group[group == group[z]] = group[x]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
@@ -179,27 +208,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K) -> Data
     release(keys)
     pairs = materialize(shared.where("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct(),
                         "dup-pairs")
-    links = confirmed(docs, pairs, percent, k)
+    sets = materialize(full_sets(docs, shared.select(F.col("cls").alias("id")).distinct(), k), "dup-sets")
+    links = confirmed(sets, pairs, percent)
     # Rows that share an id are one document: its id and the classes of its sets belong together.
     again = full.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     again = full.join(again, "doc_id", "left_semi").join(classes, ["lo", "hi"]) \
         .select(F.col("doc_id").alias("a"), F.col("cls").alias("b")).where("a <> b").distinct()
     links = links.union(again)
     found = components(links)
-
-    labelled = shared.select("key", "cls").join(found.select(F.col("id").alias("cls"), "component"), "cls", "left") \
-        .select("key", "cls", F.coalesce("component", "cls").alias("label"))
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    rest = materialize(labelled.join(open_keys, "key", "left_semi"), "dup-rest")
+    rest = _open_buckets(shared, found)
     if not rest.isEmpty():
-        sigs = full.join(classes, ["lo", "hi"]).where("doc_id = cls").select("cls", "sig").dropDuplicates(["cls"])
-        more = _across(rest.join(sigs, "cls"), percent).join(pairs, ["a", "b"], "left_anti")
-        more = materialize(more, "dup-more")
-        if not more.isEmpty():
-            first, links = found, links.union(confirmed(docs, more, percent, k))
-            found = components(links)
-            release(first)
-        release(more)
+        whole = full.join(classes, ["lo", "hi"]).where("doc_id = cls").select("cls", "bands", "sig") \
+            .dropDuplicates(["cls"]).join(sets.withColumnRenamed("id", "cls"), "cls")
+        links = links.union(materialize(_across(rest.join(whole, "cls"), percent), "dup-links"))
+        release(found)
+        found = components(links)
+    release(rest)
     out = sketch.select("doc_id", "n_shingles", "lo", "hi").join(classes, ["lo", "hi"], "left") \
         .join(found.withColumnRenamed("id", "cls"), "cls", "left") \
         .select("doc_id", "n_shingles",
@@ -207,7 +231,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K) -> Data
                 .otherwise(F.coalesce("component", "cls")).alias("component_id"))
     # An id with several sets: the smallest component of its rows (all are connected, but for empty ones).
     out = materialize(out.select("*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")), "dup-result")
-    release(sketch, classes, shared, pairs, rest, found)
+    release(sketch, classes, shared, sets, pairs, found)
     return out
 
 
