@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import mixed, utf8
+from .common import mixed, slices, utf8
 
 WINDOW = 2048
 END = 1
@@ -91,27 +91,25 @@ def encoded(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) ->
     def encode(batches):
         words, part, n_seq = WordIds(path), TaskContext.get().partitionId(), 0
         df = np.zeros(words.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
-        for b in batches:
-            for k in range(0, b.num_rows, 256):
-                piece = b.slice(k, 256)
-                out = {c: [] for c in ("tokens", "crcs", "first", "rest", "sketch")}
-                for ids in words.ids(piece.column("text").to_pylist()):
-                    ids = np.append(ids, np.uint32(end))
-                    full = len(ids) // window
-                    rest = ids[full * window:]
-                    out["tokens"].append(len(ids))
-                    out["crcs"].append([crc(ids[i * window:(i + 1) * window]) for i in range(full)])
-                    out["first"].append((1 << 62) | (part << 36) | n_seq)
-                    n_seq += full
-                    terms = np.unique(rest)
-                    df[terms] += 1
-                    low = np.sort(mixed(terms.astype(np.uint64)) >> np.uint64(44))[:3].tolist()
-                    out["sketch"].append(sum(x << s for x, s in zip(low, (40, 20, 0))))
-                    out["rest"].append(rest.astype("<u4").tobytes() if len(df) > 1 << 16 else rest.astype("<u2").tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array(out["tokens"], pa.int64()), pa.array(out["crcs"], pa.list_(pa.int64())),
-                     pa.array(out["first"], pa.int64()), pa.array(out["rest"], pa.binary()),
-                     pa.array(out["sketch"], pa.int64()), pa.nulls(piece.num_rows, pa.binary())], names=names)
+        for piece in slices(batches):
+            out = {c: [] for c in ("tokens", "crcs", "first", "rest", "sketch")}
+            for ids in words.ids(piece.column("text").to_pylist()):
+                ids = np.append(ids, np.uint32(end))
+                full = len(ids) // window
+                rest = ids[full * window:]
+                out["tokens"].append(len(ids))
+                out["crcs"].append([crc(ids[i * window:(i + 1) * window]) for i in range(full)])
+                out["first"].append((1 << 62) | (part << 36) | n_seq)
+                n_seq += full
+                terms = np.unique(rest)
+                df[terms] += 1
+                low = np.sort(mixed(terms.astype(np.uint64)) >> np.uint64(44))[:3].tolist()
+                out["sketch"].append(sum(x << s for x, s in zip(low, (40, 20, 0))))
+                out["rest"].append(rest.astype("<u4").tobytes() if len(df) > 1 << 16 else rest.astype("<u2").tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("doc_id"), pa.array(out["tokens"], pa.int64()), pa.array(out["crcs"], pa.list_(pa.int64())),
+                 pa.array(out["first"], pa.int64()), pa.array(out["rest"], pa.binary()),
+                 pa.array(out["sketch"], pa.int64()), pa.nulls(piece.num_rows, pa.binary())], names=names)
         yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(
             (None, None, None, None, None, None, df.tobytes()),
             (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.binary(), pa.int64(), pa.binary()))], names=names)
@@ -217,9 +215,10 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end: in
     n_docs, mean = stat["n"], (stat["ids"] or 0) / max(1, stat["n"])
 
     def shards(batches):
-        t = pa.Table.from_batches(list(batches))                # one shard
-        if not t.num_rows:
+        held = [b for b in batches if b.num_rows]               # one shard
+        if not held:
             return
+        t = pa.Table.from_batches(held)
         t = t.sort_by([("sketch", "ascending"), ("doc_id", "ascending"), ("first", "ascending")])
         ids, tokens = t.column("doc_id").to_pylist(), t.column("doc_tokens").to_pylist()
         texts = [np.frombuffer(x, f"<u{width}") for x in t.column("rest").to_pylist()]

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, release
-from .common import run_hashes, utf8, word_hashes
+from .common import run_hashes, slices, utf8, word_hashes
 
 DIM = 1 << 13
 ROUNDS = 60             # of EM at most
@@ -102,7 +102,7 @@ def labelled(docs: DataFrame) -> DataFrame:
     """(pattern, at, weight): vote pattern and hashed features of each document with words."""
     def make(batches):
         known: dict[bytes, int] = {}
-        for b in batches:
+        for b in slices(batches):
             out = []
             for text in b.column("text").to_pylist():
                 n, s, words = statistics(text)
@@ -156,22 +156,20 @@ def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, dict[int, float]]:
 
     def train(batches):
         w, grad, total = np.zeros(DIM + 1), np.full(DIM + 1, 1e-3), 0
-        for b in batches:
-            for k in range(0, b.num_rows, BLOCK):
-                part = b.slice(k, BLOCK)
-                at = [np.frombuffer(x, np.uint16) for x in part.column("at").to_pylist()]
-                weight = [np.frombuffer(x, np.float32) for x in part.column("weight").to_pylist()]
-                y = np.array([posterior[p] for p in part.column("pattern").to_pylist()])
-                total += len(y)
-                for _ in range(EPOCHS):
-                    for i in range(0, len(y), BATCH):
-                        n = len(y[i:i + BATCH])
-                        row = np.repeat(np.arange(n), [len(x) for x in at[i:i + BATCH]])
-                        a, x = np.concatenate(at[i:i + BATCH]).astype(np.int64), np.concatenate(weight[i:i + BATCH])
-                        off = 1 / (1 + np.exp(-np.clip(_margins(a, x, row, n, w), -30, 30))) - y[i:i + BATCH]
-                        g = np.append(np.bincount(a, off[row] * x, DIM), off.sum()) / n + 1e-5 * w
-                        grad += g * g
-                        w -= RATE * g / np.sqrt(grad)
+        for part in slices(batches, BLOCK):
+            at = [np.frombuffer(x, np.uint16) for x in part.column("at").to_pylist()]
+            weight = [np.frombuffer(x, np.float32) for x in part.column("weight").to_pylist()]
+            y = np.array([posterior[p] for p in part.column("pattern").to_pylist()])
+            total += len(y)
+            for _ in range(EPOCHS):
+                for i in range(0, len(y), BATCH):
+                    n = len(y[i:i + BATCH])
+                    row = np.repeat(np.arange(n), [len(x) for x in at[i:i + BATCH]])
+                    a, x = np.concatenate(at[i:i + BATCH]).astype(np.int64), np.concatenate(weight[i:i + BATCH])
+                    off = 1 / (1 + np.exp(-np.clip(_margins(a, x, row, n, w), -30, 30))) - y[i:i + BATCH]
+                    g = np.append(np.bincount(a, off[row] * x, DIM), off.sum()) / n + 1e-5 * w
+                    grad += g * g
+                    w -= RATE * g / np.sqrt(grad)
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIM + 1)), pa.array(w * total),
                                               pa.array([total] * (DIM + 1))], names=["i", "w", "n"])

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, release
-from .common import as_long, mixed, rows, run_hashes, utf8, word_hashes
+from .common import as_long, mixed, rows, run_hashes, slices, utf8, word_hashes
 
 LENGTH = 20
 SEED = 6
@@ -67,7 +67,7 @@ def window_segments(h: np.ndarray, length: int = LENGTH, seed: int = SEED):
 def segments(docs: DataFrame) -> DataFrame:
     """(anchor, seg, did, at, again): ``again`` marks a segment that is in its document earlier as well."""
     def make(batches):
-        for b in batches:
+        for b in slices(batches):
             out = []
             for did, tag, text in rows(b, "did", "tag", "text"):
                 first, count, anchor, seg = window_segments(word_hashes(text.split()))
@@ -119,7 +119,7 @@ def _split(ats, wholes, tag):
 def _windows(docs: DataFrame, marks: DataFrame) -> DataFrame:
     """(did, at, whole=True): single windows of match ends that start earlier somewhere."""
     def make(batches):
-        for b in batches:
+        for b in slices(batches):
             out = []
             for did, tag, text, ats, wholes in rows(b, "did", "tag", "text", "ats", "wholes"):
                 first, count, whole = _split(ats, wholes, tag)
@@ -154,7 +154,7 @@ def _windows(docs: DataFrame, marks: DataFrame) -> DataFrame:
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_words, n_removed, removed (spans of words, first and end) and kept (words joined by one space)."""
     def cut(batches):
-        for b in batches:
+        for b in slices(batches):
             ids, n, gone, spans, kept = [], [], [], [], []
             for did, tag, text, ats, wholes in rows(b, "did", "tag", "text", "ats", "wholes"):
                 words = text.split()

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import rows
+from .common import rows, slices
 
 CHUNK = 64
 AHEAD = 3
@@ -174,7 +174,7 @@ def recount(docs: DataFrame, rule: Callable[[str], list[Edit]] = scrub, path: st
 
     def count(batches):
         encoder = Encoder(path)
-        for b in batches:
+        for b in slices(batches):
             out = []
             for doc_id, text in rows(b, "doc_id", "text"):
                 text = text or ""
@@ -194,7 +194,7 @@ def trees(docs: DataFrame, path: str | None = None) -> DataFrame:
     """(doc_id, text, sizes, counts, n_tokens): the pre-tokens' lengths and token counts as arrays."""
     def make(batches):
         encoder = Encoder(path)
-        for b in batches:
+        for b in slices(batches):
             out = []
             for doc_id, text in rows(b, "doc_id", "text"):
                 pieces = encoder.pattern.findall(text or "")
@@ -215,7 +215,7 @@ def edited(state: DataFrame, edits: DataFrame, path: str | None = None) -> DataF
     """``trees`` after ``edits`` (doc_id, start, end, replacement), plus n_encoded."""
     def change(batches):
         encoder = Encoder(path)
-        for b in batches:
+        for b in slices(batches):
             out = []
             for doc_id, text, sizes, counts, n, todo in rows(b, *NAMES, "edits"):
                 anew = 0
