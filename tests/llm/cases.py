@@ -1,0 +1,52 @@
+"""Small tables with the awkward rows that every operator must take."""
+
+import random
+
+from pyspark.sql import types as T
+
+DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+                     T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+                     T.StructField("n_chars", T.LongType())])
+#: Columns whose names an operator might use itself.
+CLASH = ("key", "_key", "n", "h", "hash", "size", "kept", "component_id", "_dropped", "n_lines", "tag", "did", "score", "list")
+
+
+def words(seed, n):
+    rng = random.Random(seed)
+    return [rng.choice("bcdfglmnprst") + rng.choice("aeiou") + rng.choice("klmnrst") + rng.choice(["", "a", "en", "os", "ing"])
+            for _ in range(n)]
+
+
+def awkward():
+    """(doc_id, text, lang, source, n_chars) rows: nulls, empty and long texts, copies, repeated rows, odd spaces."""
+    base = " ".join(words(1, 120))
+    long = " ".join(words(2, 30000))
+    rows = [
+        (1, base, "en", "a", 1), (2, base, "en", "a", 1), (3, base + " tail", "en", None, 1), (4, None, "en", "b", None),
+        (5, "", "en", "b", 0), (6, " \t\n \x0b", None, "b", 4), (7, "one", "de", "c", 3), (8, long, "de", "c", 5),
+        (9, " ".join(words(3, 40)) + " " + " ".join(words(1, 120)[30:70]), "de", None, 9),
+        (10, "x" * 30000, None, "d", 7), (11, "la la la " * 40, "en", "d", 8), (11, "la la la " * 40, "en", "d", 8),
+        (None, base, "en", "e", 2), (None, "other text here", None, None, 2), (12, "a b 　c \u0085d e", "de", "e", 3),
+        (13, "123 456", "en", "e", 3), (14, "same words differ\nA 1\nB 2", "en", "e", 3), (14, "not the same text", "en", "e", 3),
+        (0, "\n".join(" ".join(words(40 + i, 12)) for i in range(8)), "en", "a", 3),
+    ]
+    return rows
+
+
+def frame(spark, rows=None, extra=False):
+    df = spark.createDataFrame(awkward() if rows is None else rows, DOCS)
+    if extra:
+        from pyspark.sql import functions as F
+        df = df.select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASH)])
+    return df
+
+
+def documents(spark, texts):
+    """doc_id 0, 1, ... with the given texts."""
+    return frame(spark, [(i, t, "en", f"s{i % 3}", len(t or "")) for i, t in enumerate(texts)])
+
+
+def collected(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
