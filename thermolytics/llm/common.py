@@ -39,6 +39,14 @@ def utf8(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string").cast("binary"), F.lit(b""))
 
 
+class Numbers(dict):
+    """Numbers its keys 0, 1, ... as they are first looked up."""
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        return n
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 

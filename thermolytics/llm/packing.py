@@ -22,7 +22,9 @@ by sketch and id. An empty table gives an empty result; other columns are ignore
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import mixed, slices, utf8
+from .common import Numbers, mixed, slices, utf8
 
 WINDOW = 2048
 END = 1
@@ -46,40 +48,78 @@ def crc(ids: np.ndarray) -> int:
 
 
 class WordIds:
-    """Ids of texts through a bounded cache of the ids of words."""
+    """Ids of texts through a bounded cache of words.
 
-    def __init__(self, path: str, most: int = 400_000):
-        from tokenizers import Tokenizer
+    Most words are lower-case letters, perhaps with marks after them. The tokenizer cuts between
+    the two, so a word is kept as one or two units: letters and marks, or else the word as it
+    is. Units of letters need no normalising and no pattern, and are encoded many at a time, in one
+    text: each ends with a token that ends a word.
+    """
+
+    #: Lines of ASCII and Latin-1 lower-case letters and then marks (no ' or <), or any others.
+    PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:;=-@\[-`{-~]*)\n|[^\n]*\n")
+
+    def __init__(self, path: str, most: int = 600_000):
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark runs the tasks side by side
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self):
-        self.known, self.flat = {}, np.empty(0, np.uint32)
+        self.known, self.pairs = Numbers(), np.empty((0, 2), np.int64)      # words, their units (-1: none)
+        self.units, self.flat = Numbers(), np.empty(0, np.uint32)
         self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
 
+    def add(self, letters: bool = False) -> None:
+        """Encode the units that are new."""
+        new = [u.decode("utf-8", "replace") for u in islice(self.units, len(self.size), None)]
+        if not new:
+            return
+        ids = self.letters.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids if letters else ()
+        ids = np.array(ids, np.uint32)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if letters and len(ends) == len(new):
+            size = np.diff(ends, prepend=0)
+        else:
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+            size = np.fromiter(map(len, lists), np.int64, len(lists))
+            ids = np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum()))
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+        self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, ids])
+
+    def learn(self, new: list[bytes]) -> None:
+        parts = self.PLAIN.findall(b"\n".join(new) + b"\n")
+        core, mark = [c for c, _ in parts], [m for _, m in parts]
+        plain = np.fromiter(map(bool, core), bool, len(core))
+        pairs = np.empty((len(new), 2), np.int64)
+        pairs[plain, 0] = list(map(self.units.__getitem__, filter(None, core)))
+        self.add(letters=True)
+        pairs[~plain, 0] = [self.units[w] for w, c in zip(new, core) if not c]
+        pairs[:, 1] = [self.units[m] if m else -1 for m in mark]
+        self.add()
+        self.pairs = np.concatenate([self.pairs, pairs])
+
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.known) > self.most:
             self.clear()
-        known, at, counts = self.known, [], []
-        for t in texts:
-            words = t.split()
-            at.extend([known.setdefault(w, len(known)) for w in words])
-            counts.append(len(words))
-        new = list(known)[len(self.start):]
-        if new:
-            got = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new],
-                                                                   add_special_tokens=False)]
-            size = np.fromiter(map(len, got), np.int64, len(got))
-            flat = np.fromiter((i for x in got for i in x), np.uint32, int(size.sum()))
-            self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
-            self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, flat])
-        at = np.array(at, np.int64)
-        size = self.size[at]
+        # Lower case is the tokenizer's own step; markers of special tokens are the exception.
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        if len(self.known) > len(self.pairs):
+            self.learn(list(islice(self.known, len(self.pairs), None)))
+        unit = self.pairs[at].reshape(-1)
+        size = np.where(unit < 0, 0, self.size[unit])
         ends = np.cumsum(size)
-        every = self.flat[np.repeat(self.start[at] - (ends - size), size) + np.arange(int(size.sum()))]
-        cuts = np.r_[0, ends][np.cumsum([0, *counts])]
+        every = self.flat[np.repeat(self.start[unit] - (ends - size), size) + np.arange(int(size.sum()))]
+        cuts = np.r_[0, ends][2 * np.r_[0, np.cumsum(counts)]]
         return [every[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
