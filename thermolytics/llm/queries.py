@@ -140,9 +140,12 @@ templates as (
          any_value(w.n_words)::varchar || ' ' || string_agg(w.p::varchar || '=' || w.word, ' ' order by w.p) as template
   from words w join constant c on w.leaf = c.leaf and w.p = c.p and w.word = c.word
   group by w.masked, w.leaf),
+fitting as (
+  select * from templates
+  where n_const >= 2 and n_const >= 0.7 * (n_words - (length(masked) - length(replace(masked, '<*>', ''))) / 3)),
 recurring as (
-  select masked from templates where n_const >= 0.7 * n_words
-    and template in (select template from templates where n_const >= 0.7 * n_words group by template having sum(support) >= 20)),
+  select masked from fitting
+    where template in (select template from fitting group by template having sum(support) >= 20)),
 dropped as (
   select doc_id, n from placed where masked in (select masked from recurring)),
 kept as (
