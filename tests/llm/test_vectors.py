@@ -1,0 +1,141 @@
+"""Embedding near-dedup and nearest neighbours, against brute force in double precision."""
+
+import numpy as np
+import pytest
+
+from thermolytics.llm import graph_dedup, postings, vectors
+
+from .cases import CLASH
+from ..conftest import SF
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def frame(spark, rows, extra=False):
+    df = spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], 0) for i, v in rows], SCHEMA)
+    if extra:
+        from pyspark.sql import functions as F
+        df = df.select("*", *[F.lit(i).alias(c) for i, c in enumerate((*CLASH, "node", "v", "id", "cluster", "near"))])
+    return df
+
+
+def points(n, dim=16, seed=0, groups=0, size=0, noise=0.05):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    for g in range(groups):
+        at = rng.choice(n, size, replace=False)
+        x[at] = x[at[0]] + noise * rng.normal(size=(size, dim))
+    return x.astype(np.float32)
+
+
+def links(x, threshold):
+    u = x.astype(float)
+    u /= np.sqrt((u * u).sum(axis=1, keepdims=True))
+    s = u @ u.T >= threshold
+    np.fill_diagonal(s, False)
+    a, b = np.nonzero(s)
+    return s.sum(axis=1), graph_dedup._local_components(len(x), a, b)
+
+
+def awkward():
+    nan, inf = float("nan"), float("inf")
+    return [(1, [1, 0, 0]), (2, [1, 0, 0]), (3, [2, 0, 0]), (4, [1, 0.1, 0]), (5, [0, 0, 0]), (6, None), (7, [nan, 1, 0]),
+            (8, [inf, 0, 0]), (9, [None, 1, 0]), (10, [1, 0]), (11, []), (None, [1, 0, 0]), (0, [0, 1, 0]), (0, [0, 1, 0]),
+            (12, [-1, 0, 0]), (13, [1e-30, 0, 0]), (50, [3e38, 0, 0])]
+
+
+@pytest.mark.parametrize("n, groups, size", [(300, 4, 20), (700, 1, 250)])
+def test_dedup_against_brute_force(spark, n, groups, size):
+    x = points(n, groups=groups, size=size)
+    degree, label = links(x, 0.95)
+    got = sorted(map(tuple, graph_dedup.near_duplicates(frame(spark, enumerate(x))).collect()))
+    assert degree.sum() > 0
+    found = np.array([r[1] for r in got])
+    assert (found <= degree).all() and found.sum() >= 0.99 * degree.sum()
+    assert [r[2] for r in got] == label.tolist() and all(r[3] == (r[0] == r[2]) for r in got)
+
+
+def test_blocks_of_one_cluster(spark, monkeypatch):
+    monkeypatch.setattr(graph_dedup, "SHARD", 40)
+    x = points(300, groups=1, size=120)
+    degree, label = links(x, 0.95)
+    got = sorted(map(tuple, graph_dedup.near_duplicates(frame(spark, enumerate(x))).collect()))
+    assert sum(r[1] for r in got) >= 0.99 * degree.sum() and [r[2] for r in got] == label.tolist()
+
+
+def test_a_third_of_all_vectors_is_one(spark):
+    x = points(300)
+    x[::3] = x[0]
+    got = {r["vec_id"]: r for r in graph_dedup.near_duplicates(frame(spark, enumerate(x))).collect()}
+    assert all((got[i]["n_links"], got[i]["component_id"]) == (99, 0) for i in range(0, 300, 3))
+
+
+def test_dedup_whole_table_and_audit(spark):
+    df = spark.read.parquet(f"{SF}/embeddings.parquet")
+    got = graph_dedup.near_duplicates(df)
+    assert got.count() == df.count() and graph_dedup.audit(df, got) >= 0.95
+
+
+def test_dedup_awkward_rows(spark):
+    rows = graph_dedup.near_duplicates(frame(spark, awkward(), extra=True)).collect()
+    assert len(rows) == len(awkward())
+    got = {r["vec_id"]: tuple(r)[1:] for r in rows}
+    # 1, 2, 3, 13 and 50 have one direction, 4 is within 0.95 of it.
+    assert all(got[i] == (5, 1, i == 1) for i in (1, 2, 3, 4, 13, 50))
+    assert all(got[i] == (0, i, True) for i in (5, 6, 7, 8, 9, 10, 11, 12))
+    assert got[0] == (1, 0, True) and got[None] == (0, None, True)
+    assert graph_dedup.near_duplicates(frame(spark, [])).collect() == []
+
+
+def exact(x, ids, every, k):
+    u = x.astype(float)
+    norm = np.sqrt((u * u).sum(axis=1))
+    out = []
+    for q in np.flatnonzero(ids % every == 0):
+        s = (u * u[q]).sum(axis=1) / (norm * norm[q])
+        s[ids == ids[q]] = -9
+        top = [i for i in np.lexsort((ids, -s)) if s[i] > -9][:k]
+        out += [(int(ids[q]), r + 1, int(ids[i]), s[i]) for r, i in enumerate(top)]
+    return out
+
+
+def test_search_against_brute_force(spark):
+    x = points(1500, dim=24, groups=3, size=30, noise=0.3)
+    want = exact(x, np.arange(1500), 50, 5)
+    df = frame(spark, enumerate(x))
+    result = postings.nearest(df)
+    got = sorted(map(tuple, result.collect()))
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert len({(r[0], r[2]) for r in got} & {(r[0], r[2]) for r in want}) >= 0.9 * len(want)
+    score = {(r[0], r[2]): r[3] for r in exact(x, np.arange(1500), 50, 1499)}
+    assert all(abs(score[q, v] - s) < 1e-15 for q, _, v, s in got)
+    assert postings.recall(df, result) >= 0.9
+
+
+def test_ties_go_to_smaller_ids(spark, monkeypatch):
+    """A third of all vectors are equal, and lists are dealt into parts."""
+    monkeypatch.setattr(postings, "LIST", 30)
+    x = points(600, dim=8)
+    x[1::3] = x[50]
+    got = sorted(map(tuple, postings.nearest(frame(spark, enumerate(x))).where("query_id = 50").collect()))
+    assert [(r[1], r[2]) for r in got] == [(1, 1), (2, 4), (3, 7), (4, 10), (5, 13)]
+    assert len({r[3] for r in got}) == 1 and abs(got[0][3] - 1) < 1e-12
+
+
+def test_search_awkward_rows(spark):
+    got = sorted(map(tuple, postings.nearest(frame(spark, awkward(), extra=True)).collect()))
+    assert {r[0] for r in got} == {0, 50}
+    assert [r[2] for r in got if r[0] == 50] == [1, 2, 3, 13, 4]
+    assert all(r[2] != 0 for r in got if r[0] == 0)
+    few = [tuple(r) for r in postings.nearest(frame(spark, [(0, [1, 0]), (7, [0, 1])])).collect()]
+    assert few == [(0, 1, 7, 0.0)]
+    assert postings.nearest(frame(spark, [(0, [1, 0])])).collect() == []
+    assert postings.nearest(frame(spark, [])).collect() == []
+
+
+def test_search_finds_every_node_in_range():
+    x = vectors.unit(points(400, dim=8, groups=1, size=200, noise=0.02).astype(float))
+    graph = vectors.padded(vectors.with_reverse(vectors.pruned_graph(x)))
+    seen = vectors.beam_search(x[:50], x, graph, np.array([0]), beam=16, reach=0.95)
+    near = x[:50] @ x.T >= 0.95
+    assert (seen[near] >= 0.95 - 1e-9).mean() > 0.99

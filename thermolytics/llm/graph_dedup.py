@@ -47,6 +47,8 @@ def dealt(nodes: DataFrame, overlap: int = OVERLAP) -> DataFrame:
     """(cluster, part, parts, node, weight, v, homes): each node in each of its shards."""
     n = nodes.count()
     centre = centroids(sample(nodes.withColumnRenamed("node", "id")), min(CLUSTER_MOST, max(1, n // PER_CLUSTER)))
+    if not len(centre):
+        centre = np.zeros((1, 1))       # no vectors, nothing to assign
     most = min(overlap, len(centre))
 
     def assign(batches):

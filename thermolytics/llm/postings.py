@@ -130,6 +130,8 @@ def search(vectors: DataFrame, queries: Column | str, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): ``k`` nearest of the rows of ``vectors`` (id, v) that satisfy ``queries``."""
     vectors = materialize(vectors, "ann-vectors")
     x = sample(vectors)
+    if not len(x):
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     n = vectors.count()
     centres = Centres(centroids(x, min(CLUSTER_MOST, max(1, n // PER_LIST))))
     ratio = calibrated(x, centres, k)

@@ -51,6 +51,8 @@ def sample(vectors: DataFrame, seed: int = 7) -> np.ndarray:
 
 def centroids(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
     """Spherical k-means; a cluster that runs empty restarts at the vector worst served."""
+    if not len(x):
+        return x
     k = max(1, min(k, len(x)))
     c = x[np.random.default_rng(seed).permutation(len(x))[:k]]
     for _ in range(rounds):
