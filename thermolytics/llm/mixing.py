@@ -136,5 +136,5 @@ def sample(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int =
     key, n = free_name(docs, "_key"), free_name(docs, "_times")
     times = mix(docs, weights, share, epochs, key=True) \
         .where("taken > 0").select(F.col("key").alias(key), (F.col("taken") / F.col("size")).cast("int").alias(n)).distinct()
-    return docs.withColumn(key, row_key()).join(times, key) \
+    return docs.withColumn(key, row_key()).join(times.hint("shuffle_hash"), key) \
         .withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns)

@@ -239,6 +239,6 @@ def drop_near_duplicates(docs: DataFrame, percent: int = PERCENT, k: int = K) ->
     """``docs`` without the documents that have a near copy with a smaller id; of equal rows one stays."""
     kept = near_duplicates(docs.select("doc_id", "text"), percent, k).where("kept").select("doc_id").distinct()
     key = free_name(docs, "_key")
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").select(*docs.columns) \
+    named = docs.where("doc_id is not null").join(kept.hint("shuffle_hash"), "doc_id", "left_semi").select(*docs.columns) \
         .withColumn(key, row_key()).dropDuplicates(["doc_id", key]).drop(key)
     return named.union(docs.where("doc_id is null"))
