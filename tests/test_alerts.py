@@ -90,3 +90,40 @@ def test_jsonl_scores(spark, tmp_dir):
     assert {r.AlertID for r in make_alerts(good, 5.0).collect()} == {"apt1#2024-01-18"}
     with pytest.raises(ValueError):
         write_scores(df, f"{tmp_dir}/x", accept="text/html")
+
+
+def test_store_keeps_alerts_without_a_date(spark, tmp_dir):
+    from thermolytics.operators.alerts import make_alerts
+    from thermolytics.sources.alerts_store import delete_from_store, read_alerts, upsert_alerts
+    store = f"{tmp_dir}/store"
+
+    def put(apartment, date, when):
+        rows = spark.createDataFrame([(apartment, "b", date, 9.0, "f")],
+                                     "apartment_id string, building_id string, event_date string, anomaly_score_combined double, source_file string")
+        upsert_alerts(spark, make_alerts(rows, 5.0, when), store)
+
+    for apartment, date in (("apt1", ""), ("apt9", ""), ("apt1", "2024/01=x%"), ("apt2", "2024-01-18"), ("apt1", "")):
+        put(apartment, date, "t1")
+    ids = {"apt1#", "apt9#", "apt1#2024/01=x%", "apt2#2024-01-18"}
+    assert {r.AlertID for r in read_alerts(spark, store).collect()} == ids
+    assert {r.AlertID for r in read_alerts(spark, store, "").collect()} == {"apt1#", "apt9#"}
+    assert {r.AlertID for r in read_alerts(spark, store, "2024-01-18").collect()} == {"apt2#2024-01-18"}
+    delete_from_store(spark, store, spark.createDataFrame([("apt1#2024/01=x%",), ("apt9#",)], "AlertID string"))
+    assert {r.AlertID for r in read_alerts(spark, store).collect()} == {"apt1#", "apt2#2024-01-18"}
+
+
+def test_unreadable_files_are_reported(spark, tmp_dir):
+    import gzip
+    import os
+
+    from thermolytics.sources.scores import read_scores, unread_files
+    os.makedirs(f"{tmp_dir}/s")
+    with open(f"{tmp_dir}/s/good.csv", "w") as f:
+        f.write("apt1,b,2024-01-18,6.5\n")
+    with open(f"{tmp_dir}/s/bad.csv.gz", "wb") as f:
+        f.write(gzip.compress(b"apt2,b,2024-01-18,6.5\n")[:12])
+    with pytest.raises(Exception):
+        read_scores(spark, f"{tmp_dir}/s", ("csv", "csv.gz")).count()
+    df = read_scores(spark, f"{tmp_dir}/s", ("csv", "csv.gz"), skip_unreadable=True)
+    assert [r.apartment_id for r in df.collect()] == ["apt1"]
+    assert [r.source_file.rsplit("/", 1)[1] for r in unread_files(spark, f"{tmp_dir}/s", df, ("csv", "csv.gz")).collect()] == ["bad.csv.gz"]

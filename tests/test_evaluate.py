@@ -61,3 +61,34 @@ def test_gate(spark):
     assert not g[3].passed and "throughput" in g[3].reasons
     assert not g[4].passed                       # infinite vs finite previous
     assert g[5].passed                           # previous infinite: no finite reference
+
+
+def metrics(spark, rows, labels, threshold):
+    from thermolytics.operators.evaluate import label_metrics
+    s = spark.createDataFrame(rows, "apartment_record_id string, event_date string, anomaly_score_combined double")
+    lab = spark.createDataFrame(labels, "apartment_record_id string, event_date string, is_anomaly int")
+    thr = spark.createDataFrame([(threshold,)], "threshold_used double").groupBy().max("threshold_used") \
+        .withColumnRenamed("max(threshold_used)", "threshold_used")
+    return tuple(label_metrics(s, lab, thr).first())
+
+
+def test_unscored_anomalies_are_misses(spark):
+    labels = [("a", "d", 1), ("b", "d", 1), ("c", "d", 1), ("e", "d", 0)]
+    rows = [("a", "d", 9.0), ("b", "d", None), ("c", "d", float("nan")), ("e", "d", 1.0)]
+    assert metrics(spark, rows, labels, 5.0) == pytest.approx((1.0, 1 / 3, 0.5))
+
+
+def test_negative_thresholds(spark):
+    assert metrics(spark, [("a", "d", -1.0), ("b", "d", -0.5), ("c", "d", -3.0)], [("a", "d", 1), ("b", "d", 1)], -2.0) == (1.0, 1.0, 1.0)
+
+
+def test_an_empty_label_table_gives_no_metrics(spark):
+    assert metrics(spark, [("a", "d", 9.0)], [], 5.0) == (None, None, None)
+
+
+def test_threshold_join_has_no_broadcast_hint(spark):
+    from thermolytics.operators.evaluate import label_metrics, score_threshold
+    s = spark.createDataFrame([("a", "d", 1.0)], "apartment_record_id string, event_date string, anomaly_score_combined double")
+    lab = spark.createDataFrame([("a", "d", 1)], "apartment_record_id string, event_date string, is_anomaly int")
+    plan = label_metrics(s, lab, score_threshold(s, group_cols=["event_date"], exact=False), group_cols=["event_date"])
+    assert "hint" not in plan._jdf.queryExecution().logical().toString().lower()

@@ -82,3 +82,56 @@ def test_flag_auto_and_contamination(spark):
     scores = np.array([r.lof_score for r in c])
     off = np.percentile(scores, 10)
     assert all(r.is_outlier == int(r.lof_score < off) for r in c)
+
+
+def test_no_join_by_group_alone(spark):
+    """With broadcasts off, no step of the fit or the search joins rows by their group."""
+    from thermolytics.operators import knn, lof
+    X, ids, grp = make_points(n=200)
+    df, dims = frame(spark, X, ids, grp)
+    plans = []
+    keep = knn.materialize, lof.materialize
+
+    def spy(d, name, count=False):
+        plans.append(d._jdf.queryExecution().executedPlan().toString())
+        return keep[0](d, name, count)
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    knn.materialize = lof.materialize = spy
+    try:
+        model = fit_lof(df, dims, "id", k=5, within="grp", leaf_size=20)
+        out = lof_novelty(model, df, dims, "id")
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        assert out.count() == 200
+    finally:
+        knn.materialize, lof.materialize = keep
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    import re
+    joins = [m for p in plans for m in re.findall(r"Join \[([^\]]*)\]", p)]
+    assert joins and not [j for j in joins if re.fullmatch(r"grp#\d+L?", j)]
+
+
+def test_depth_of_deep_nodes(spark):
+    from thermolytics.operators.knn import _depth
+    from pyspark.sql import functions as F
+    ids = [4 ** d + x for d in range(0, 30) for x in (0, 3 * 4 ** d - 1)]
+    got = spark.createDataFrame([(i,) for i in ids], "n long").select("n", _depth(F.col("n")).alias("d")).collect()
+    assert all(4 ** r.d <= r.n < 4 ** (r.d + 1) for r in got)
+
+
+def test_nodes_too_large_at_the_deepest_level_raise(spark):
+    from thermolytics.operators.knn import build_tree
+    rows = [("g", i, float(i), 1) for i in range(200)]
+    vec = spark.createDataFrame(rows, "g string, vid long, x double, cnt long")
+    with pytest.raises(RuntimeError, match="depth 1"):
+        build_tree(vec, ["g"], ["x"], leaf_size=4, max_depth=1)
+
+
+def test_rows_of_unseen_groups_have_no_score(spark):
+    X, ids, grp = make_points(n=90)
+    df, dims = frame(spark, X, ids, grp)
+    model = fit_lof(df.where("grp = 'g1'"), dims, "id", k=5, within="grp")
+    got = {r.grp for r in lof_novelty(model, df, dims, "id").where("lof is null").collect()}
+    assert got == {"g2"}
+    everywhere = fit_lof(df.where("grp = 'g1'"), dims, "id", k=5)
+    assert lof_novelty(everywhere, df, dims, "id").where("lof is null").count() == 0

@@ -109,5 +109,30 @@ def test_latest_approved_and_none(spark):
                                 "group_name string, package_id int, status string, creation_time string")
     got = {r.group_name: r.package_id for r in latest_approved(reg).collect()}
     assert got == {"g1": 2}
-    with pytest.raises(ValueError, match="No approved model found in group g2"):
+    with pytest.raises(ValueError, match="group g2"):
         require_one(latest_approved(reg).where("group_name = 'g2'"), "g2")
+
+
+def test_contamination_and_row_layout(spark):
+    """The fraction sets the outlier offset on the training rows; ids from keys make results independent of layout."""
+    import numpy as np
+
+    from thermolytics.operators.strategy import fit, score
+    rng = np.random.default_rng(3)
+    rows = [(f"apt{i % 20}", f"2024-01-{1 + i // 20:02}", *map(float, np.round(rng.normal(size=2), 1)), float(i % 9)) for i in range(200)]
+    df = spark.createDataFrame(rows, "apartment_id string, event_date string, daily_energy_kwh double, avg_temp_diff double, hdd double")
+    cols = ["daily_energy_kwh", "avg_temp_diff"]
+
+    def fitted(d, **kw):
+        return fit("LR_LOF", d, feature_columns=cols, lof_neighbors=7, **kw)
+
+    model = fitted(df, lof_contamination=0.1)
+    lof = [-r["lof"] for r in model.lof.ref.collect() for _ in range(r["cnt"])]
+    assert model.offset.first()[0] == pytest.approx(np.quantile(lof, 0.1))
+    assert fitted(df).offset.first()[0] == -1.5
+    got = score(model, df)
+    assert got.where("is_outlier = 1").count() > 0
+    key = ["apartment_id", "event_date", "anomaly_score_combined"]
+    again = score(fitted(df.repartition(7, "hdd"), lof_contamination=0.1), df.orderBy("hdd"))
+    a, b = ({tuple(r[:2]): r[2] for r in d.select(*key).collect()} for d in (got, again))
+    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], rel=1e-9) for k in a)

@@ -62,10 +62,9 @@ def test_no_pair_joins_in_plans(spark):
     X = rng.normal(size=(300, 3))
     df = spark.createDataFrame([(int(i), "g", *map(float, x)) for i, x in enumerate(X)], ["id", "grp", "a", "b", "c"])
     vec = distinct_vectors(df, ["grp"], ["a", "b", "c"], "id")
-    kk = vec.groupBy("grp").agg(F.lit(5).cast("long").alias("_k"))
     tree = build_tree(vec, ["grp"], ["a", "b", "c"], leaf_size=20)
     assert tree.depth >= 2
-    plans = [knn(tree, tree.vectors, kk, True), lof_scores(df, ["a", "b", "c"], "id", k=5, within="grp", leaf_size=20),
+    plans = [knn(tree, tree.vectors, 5, True), lof_scores(df, ["a", "b", "c"], "id", k=5, within="grp", leaf_size=20),
              apply_scaler(df, fit_scaler(df, ["a"]), ["a"])]
     for p in plans:
         text = p._jdf.queryExecution().executedPlan().toString()

@@ -94,3 +94,44 @@ def test_write_meter_registers_table(spark, tmp_dir):
     t = spark.table("meter_catalog_test")
     assert t.count() == 4 and {r.day for r in t.collect()} == {15, 16}
     spark.sql("DROP TABLE meter_catalog_test")
+
+
+def test_an_empty_feature_store_is_an_error(spark, tmp_dir):
+    import os
+
+    import pytest
+
+    from thermolytics.plans.jobs import train
+    from thermolytics.schemas import FEATURE
+    from thermolytics.sources.features import read_features
+    os.makedirs(f"{tmp_dir}/none")
+    with pytest.raises(FileNotFoundError):
+        read_features(spark, f"{tmp_dir}/none")
+    with pytest.raises(FileNotFoundError):
+        read_features(spark, f"{tmp_dir}/missing")
+    spark.createDataFrame([], FEATURE).write.parquet(f"{tmp_dir}/empty")
+    with pytest.raises((FileNotFoundError, ValueError)):
+        train(spark, f"{tmp_dir}/empty", f"{tmp_dir}/model")
+
+
+def test_a_large_day_has_several_writers(spark, tmp_dir):
+    import os
+
+    from thermolytics.operators.clean import clean_meter
+    from thermolytics.schemas import RAW
+    from thermolytics.sources.meter import write_meter
+    from pyspark.sql import functions as F
+    raw = spark.range(60000).select(
+        F.when(F.col("id") % 50 == 0, "2024-01-16 10:00:00").otherwise("2024-01-15 10:00:00").alias("timestamp_str"),
+        F.sha2(F.col("id").cast("string"), 256).alias("meter_id"), F.lit("a").alias("apartment_id"), F.lit("b").alias("building_id"),
+        *[F.rand(i).alias(c) for i, c in enumerate(("energy_kwh", "room_temp_c", "setpoint_temp_c", "hot_water_litres"))])
+    assert set(raw.columns) == set(RAW.fieldNames())
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        write_meter(clean_meter(raw.repartition(4)), f"{tmp_dir}/m")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {d: len([f for f in os.listdir(f"{tmp_dir}/m/year=2024/month=1/day={d}") if f.endswith(".parquet")]) for d in (15, 16)}
+    assert 1 < files[15] <= 8 and files[16] <= files[15]
+    write_meter(clean_meter(raw.repartition(4)), f"{tmp_dir}/small")        # far below the advised size: few files
+    assert sum(f.endswith(".parquet") for _, _, names in os.walk(f"{tmp_dir}/small") for f in names) <= 4

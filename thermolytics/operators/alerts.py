@@ -18,12 +18,14 @@ def parse_scores(text: DataFrame, source_col: str = "source_file") -> tuple[Data
     (all text), ``_corrupt_record`` (set by the CSV reader when a line does
     not have exactly four fields) and ``source_col``.
     A row is rejected when it is malformed, its score does not parse as a
-    number, or the score is NaN or infinite (no decimal form). Rejects keep
-    their text and a reason.
+    number, or the score is NaN or infinite (no decimal form). A row whose score is
+    empty was not scored (its group is not in the fitted model) and has a reason of its
+    own. Rejects keep their text and a reason.
     """
     score = F.col("anomaly_score_combined").try_cast("double")
     malformed = F.col("_corrupt_record").isNotNull()
     reason = (F.when(malformed, F.lit("field count"))
+              .when(F.trim(F.coalesce("anomaly_score_combined", F.lit(""))) == "", F.lit("no score"))
               .when(score.isNull(), F.lit("unparsable score"))
               .when(F.isnan(score) | (F.abs(score) == F.lit(float("inf"))), F.lit("non-finite score")))
     tagged = text.withColumn("_reason", reason)

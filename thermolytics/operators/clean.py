@@ -15,7 +15,7 @@ NUMERIC_RAW = ["energy_kwh", "room_temp_c", "setpoint_temp_c", "hot_water_litres
 def require_columns(df, cols) -> DataFrame:
     """Fail at plan time when ``df`` lacks any of ``cols`` (listed in ``cols`` order)."""
     if not isinstance(df, DataFrame):
-        raise TypeError("Input df_raw must be a Spark DataFrame")
+        raise TypeError("clean_meter takes a Spark DataFrame")
     present = set(df.columns)
     missing = [c for c in cols if c not in present]
     if missing:

@@ -44,5 +44,5 @@ def latest_approved(registry: DataFrame, group_col: str = "group_name", status_c
 def require_one(df: DataFrame, what: str) -> DataFrame:
     """Fail when ``df`` is empty (one cheap ``limit(1)`` job)."""
     if df.isEmpty():
-        raise ValueError(f"No approved model found in group {what}")
+        raise ValueError(f"Nothing approved yet in model group {what}")
     return df

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import gt_not_nan, safe_ratio
+from ..functions.numeric import safe_ratio
 from ..functions.params import attach_row
 from .quantile import approx_quantile, exact_quantile
 from ..session import materialize
@@ -38,28 +38,33 @@ def label_metrics(scores: DataFrame, labels: DataFrame, threshold: DataFrame,
                   score_col: str = "anomaly_score_combined", keys=LABEL_KEYS, group_cols=()) -> DataFrame:
     """precision, recall, F1 of ``score > threshold`` against labels.
 
-    Unlabelled rows count as normal; a zero denominator gives 0.
+    Unlabelled rows count as normal; a row without a score (null or NaN) is predicted normal, so a
+    labelled anomaly that could not be scored is a miss. A zero denominator gives 0. With an empty
+    label table there is nothing to measure: the metrics are null.
     """
     g = list(group_cols)
     j = scores.join(dedupe_labels(labels, keys), keys, "left")
-    j = j.join(F.broadcast(threshold), g, "inner") if g else attach_row(j, threshold)
+    j = j.join(threshold, g, "left") if g else attach_row(j, threshold)
     actual = F.coalesce(F.col("is_anomaly"), F.lit(0)) == 1
-    pred = gt_not_nan(score_col, 0) & (F.col(score_col) > F.col("threshold_used"))
+    s = F.col(score_col).cast("double")
+    pred = F.coalesce((s > F.col("threshold_used")) & ~F.isnan(s), F.lit(False))
     c = j.groupBy(*g).agg(
         F.count_if(pred & actual).alias("tp"), F.count_if(pred & ~actual).alias("fp"),
         F.count_if(~pred & actual).alias("fn"))
     p = safe_ratio(F.col("tp"), F.col("tp") + F.col("fp"))
     r = safe_ratio(F.col("tp"), F.col("tp") + F.col("fn"))
     f1 = safe_ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
-    return c.select(*g, p.alias("precision"), r.alias("recall"), f1.alias("f1_score"))
+    c = attach_row(c, labels.agg(F.count(F.lit(1)).alias("_labels")))
+    known = [F.when(F.col("_labels") > 0, m).alias(n) for m, n in ((p, "precision"), (r, "recall"), (f1, "f1_score"))]
+    return c.select(*g, *known)
 
 
 def evaluate(scores: DataFrame, labels: DataFrame | None = None, score_col: str = "anomaly_score_combined",
              q: float = 0.95, group_cols=(), exact: bool = True) -> DataFrame:
     """Evaluation report, one row (per group): stats, threshold, label metrics, status.
 
-    status = NoData when there are no scores, else Success. Without labels
-    the label metrics are null.
+    status = NoData when there are no scores, else Success. Without labels, or
+    with an empty label table, the label metrics are null.
     """
     g = list(group_cols)
     # Scores feed three aggregates; write them once instead of recomputing the scoring three times.

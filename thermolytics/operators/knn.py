@@ -67,8 +67,20 @@ def _child(dims) -> F.Column:
 
 
 def _depth(node) -> F.Column:
-    """Depth of a node id: ids of depth d lie in [FANOUT^d, FANOUT^(d+1))."""
-    return F.floor(F.log2(node) / LOG2_FANOUT).cast("int")
+    """Depth of a node id: ids of depth d lie in [FANOUT^d, FANOUT^(d+1)). Counted in bits,
+    because a floating logarithm rounds up at the end of deep levels."""
+    return F.floor((F.length(F.bin(node)) - 1) / LOG2_FANOUT).cast("int")
+
+
+def _spread(rows: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Both with a salt ``_s``, the small per-group ``table`` repeated for each of its values.
+
+    At the root every row of a group has the same node: without the salt, a join there would bring a
+    group together by its key alone.
+    """
+    n = _search_partitions(rows.sparkSession)
+    return (rows.withColumn("_s", F.pmod(F.xxhash64(key), F.lit(n)).cast("int")),
+            table.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))))
 
 
 def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_depth: int = 30) -> KdTree:
@@ -80,7 +92,7 @@ def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_dept
     # One level per pass until no node holds more than leaf_size vectors. Median cuts
     # halve a node, so this takes about log2(largest group / leaf_size) passes.
     probs = [i / FANOUT for i in range(1, FANOUT)]
-    while depth < max_depth:
+    while True:
         aggs = [F.count(F.lit(1)).alias("_n")]
         for i, c in enumerate(x):
             aggs += [F.min(c).alias(f"_mn{i}"), F.max(c).alias(f"_mx{i}"),
@@ -104,9 +116,15 @@ def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_dept
         splits, n_split = materialize(splits, "kd-splits", count=True)
         if n_split == 0:
             break
+        if depth == max_depth:
+            raise RuntimeError(f"{n_split} nodes still hold more than {leaf_size} vectors at depth {max_depth}")
         depth += 1
         split_tables.append(splits)
-        j = cur.join(splits, [*g, "node"], "left")
+        if depth == 1:
+            salted, roots = _spread(cur, splits, "vid")
+            j = salted.join(roots, [*g, "node", "_s"], "left")
+        else:
+            j = cur.join(splits, [*g, "node"], "left")
         cur = j.select(*g, "vid", *x, "cnt",
                        F.when(F.col("dim").isNull(), F.col("node")).otherwise(_child(x)).alias("node"))
         cur = materialize(cur, "kd-level")
@@ -141,10 +159,13 @@ def descend(tree: KdTree, queries: DataFrame) -> DataFrame:
     g, x = tree.groups, tree.dims
     cur = queries.withColumn("leaf", F.lit(1).cast("long"))
     for level in range(tree.depth):
-        # Only this depth's cuts: at the top levels the table is tiny (every query
-        # starts at the root, a single hot key), so AQE broadcasts it by measured size.
+        # Only this depth's cuts.
         s = tree.splits.where(_depth(F.col("node")) == level).withColumnRenamed("node", "leaf")
-        j = cur.join(s, [*g, "leaf"], "left").withColumnRenamed("leaf", "node")
+        if level == 0:
+            salted, roots = _spread(cur, s, "vid")
+            j = salted.join(roots, [*g, "leaf", "_s"], "left").withColumnRenamed("leaf", "node")
+        else:
+            j = cur.join(s, [*g, "leaf"], "left").withColumnRenamed("leaf", "node")
         cur = j.select(*queries.columns,
                        F.when(F.col("dim").isNull(), F.col("node")).otherwise(_child(x)).alias("leaf"))
     return cur
@@ -153,7 +174,8 @@ def descend(tree: KdTree, queries: DataFrame) -> DataFrame:
 def _neighbour_schema(groups_schema) -> T.StructType:
     return T.StructType([*groups_schema,
                          T.StructField("qid", T.LongType()), T.StructField("cid", T.LongType()),
-                         T.StructField("dist", T.DoubleType()), T.StructField("w", T.LongType())])
+                         T.StructField("dist", T.DoubleType()), T.StructField("w", T.LongType()),
+                         T.StructField("_k", T.LongType())])
 
 
 def _topk_kernel(dims, group_names, self_mode: bool):
@@ -166,10 +188,10 @@ def _topk_kernel(dims, group_names, self_mode: bool):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         cand = pdf[pdf["_role"] != 1]
         qry = pdf[pdf["_role"] != 0]
-        cols = [*group_names, "qid", "cid", "dist", "w"]
+        cols = [*group_names, "qid", "cid", "dist", "w", "_k"]
         if cand.empty or qry.empty:
             return pd.DataFrame({c: [] for c in cols})
-        k = int(pdf["_k"].iloc[0])
+        k = int(cand["_k"].iloc[0])
         C = cand[dims].to_numpy(dtype=np.float64)
         cid = cand["vid"].to_numpy(dtype=np.int64)
         ccnt = cand["cnt"].to_numpy(dtype=np.int64)
@@ -207,7 +229,7 @@ def _topk_kernel(dims, group_names, self_mode: bool):
             out_d.append(dist[rows, sel])
             out_w.append(np.minimum(w_s[rows, pos], k - before[rows, pos]))
         res = pd.DataFrame({"qid": np.concatenate(out_q), "cid": np.concatenate(out_c),
-                            "dist": np.concatenate(out_d), "w": np.concatenate(out_w).astype(np.int64)})
+                            "dist": np.concatenate(out_d), "w": np.concatenate(out_w).astype(np.int64), "_k": k})
         for gname in group_names:
             res.insert(0, gname, pdf[gname].iloc[0])
         return res[cols]
@@ -269,16 +291,18 @@ def merge_topk(rows: DataFrame, groups, k_col: str = "_k") -> DataFrame:
                     F.least(F.col("w"), F.col(k_col) - F.col("_before")).cast("long").alias("w"))
 
 
-def knn(tree: KdTree, queries: DataFrame, k_by_group: DataFrame, self_mode: bool) -> DataFrame:
+def knn(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool = False) -> DataFrame:
     """Neighbour rows (G..., qid, cid, dist, w) for queries (G..., vid, dims..., cnt[, leaf]).
 
-    ``k_by_group`` holds (G..., _k). In self mode the queries are the tree's
-    own vectors (their copies count as neighbours, themselves not).
+    In self mode the queries are the tree's own vectors (their copies count as
+    neighbours, themselves not) and a group of at most ``k`` rows gives all its others. Without
+    ``k`` the tree's vectors carry their group's own ``_k``, as a fitted reference does. Either way
+    the rows bring k along, so nothing is joined by the group alone.
     """
     g, x = tree.groups, tree.dims
     gschema = [queries.schema[c] for c in g]
     nschema = _neighbour_schema(gschema)
-    cands = tree.vectors.join(k_by_group, g)
+    cands = tree.vectors if k is None else tree.vectors.withColumn("_k", F.lit(k).cast("long"))
     if self_mode:
         q = cands
         first = q.withColumn("_role", F.lit(2)).withColumn("_r", F.lit(None).cast("double"))
@@ -286,10 +310,10 @@ def knn(tree: KdTree, queries: DataFrame, k_by_group: DataFrame, self_mode: bool
     else:
         if "leaf" not in queries.columns:
             queries = descend(tree, queries)
-        q = queries.join(k_by_group, g)
+        q = queries
         r1 = _search_chunked(cands, q, tree, False, nschema)
     # Used by the bound and by the final merge: materialise once.
-    r1 = materialize(r1, "knn-r1").join(k_by_group, g)
+    r1 = materialize(r1, "knn-r1")
     # Radius bound per query from its own leaf (infinite when the leaf had too few points).
     bound = r1.groupBy(*g, "qid").agg(F.max("dist").alias("_r"), F.sum("w").alias("_got"), F.first("_k").alias("_k"))
     qb = q.select(*g, F.col("vid").alias("qid"), *x, F.col("leaf").alias("_own")) \
@@ -302,10 +326,8 @@ def knn(tree: KdTree, queries: DataFrame, k_by_group: DataFrame, self_mode: bool
     boxes = tree.boxes.withColumn("_depth", _depth(F.col("node")))
     kids = boxes.where(F.col("node") > 1).withColumn("_parent", F.shiftright("node", LOG2_FANOUT)) \
         .unionByName(boxes.where(F.col("is_leaf")).withColumn("_parent", F.col("node")))
-    frontier = qb.withColumn("node", F.lit(1).cast("long"))
-    root_leaf = tree.boxes.where(F.col("node") == 1).select(*g, F.col("is_leaf").alias("_rootleaf"))
-    frontier = frontier.join(root_leaf, g).where(~F.col("_rootleaf")).drop("_rootleaf") \
-        .withColumn("is_leaf", F.lit(False))
+    # Queries whose own leaf is the root have nowhere else to look.
+    frontier = qb.where(F.col("_own") != 1).withColumn("node", F.lit(1).cast("long")).withColumn("is_leaf", F.lit(False))
     # The box table is small and joined by broadcast, so the walk keeps the frontier's
     # partitioning: spread the queries over all task slots first.
     frontier = frontier.repartition(_search_partitions(queries.sparkSession), *g, "qid")
@@ -314,8 +336,12 @@ def knn(tree: KdTree, queries: DataFrame, k_by_group: DataFrame, self_mode: bool
         # table is tiny while every query shares the same node key.
         lk = kids.where(((F.col("_parent") != F.col("node")) & (F.col("_depth") == level + 1))
                         | ((F.col("_parent") == F.col("node")) & (F.col("_depth") <= level)))
-        f, b = frontier.alias("f"), lk.alias("b")
+        if level == 0:
+            f, b = (d.alias(a) for d, a in zip(_spread(frontier, lk, "qid"), "fb"))
+        else:
+            f, b = frontier.alias("f"), lk.alias("b")
         cond = [F.col(f"f.{c}") == F.col(f"b.{c}") for c in g] + [F.col("f.node") == F.col("b._parent")]
+        cond += [F.col("f._s") == F.col("b._s")] if level == 0 else []
         j = f.join(b, cond, "inner")
         j = j.select(*[F.col(f"f.{c}").alias(c) for c in g], "f.qid", *[F.col(f"f.{c}") for c in x],
                      "f._own", "f._r", F.col("b.node").alias("node"), "b.is_leaf",
@@ -329,12 +355,9 @@ def knn(tree: KdTree, queries: DataFrame, k_by_group: DataFrame, self_mode: bool
         qv = q.select(*g, "vid", *x, "cnt")
         pairs = other.join(qv.withColumnRenamed("vid", "qid"), [*g, "qid"]) \
                      .select(*g, F.col("qid").alias("vid"), *x, "cnt", F.col("node").alias("leaf"), "_r")
-        pairs = pairs.join(k_by_group, g)
         r2 = _search_chunked(cands, pairs, tree, False, nschema)
-        allrows = r1.select(*g, "qid", "cid", "dist", "w").unionByName(r2)
-    else:
-        allrows = r1.select(*g, "qid", "cid", "dist", "w")
-    return merge_topk(allrows.join(k_by_group, g), g)
+        r1 = r1.unionByName(r2)
+    return merge_topk(r1, g)
 
 
 def _search_chunked(cands: DataFrame, queries: DataFrame, tree: KdTree, self_mode: bool, nschema) -> DataFrame:
@@ -342,13 +365,14 @@ def _search_chunked(cands: DataFrame, queries: DataFrame, tree: KdTree, self_mod
     g, x = tree.groups, tree.dims
     qcount = queries.groupBy(*g, "leaf").agg(F.count(F.lit(1)).alias("_nq"))
     nchunks = F.greatest(F.lit(1), F.ceil(F.col("_nq") / F.lit(QUERY_CHUNK))).cast("int")
-    chunks = qcount.select(*g, "leaf", nchunks.alias("_nc"))
+    # Queries of a group that the tree does not have meet no vectors: they get no rows.
+    chunks = qcount.join(cands.select(*g, "leaf").distinct(), [*g, "leaf"]).select(*g, "leaf", nchunks.alias("_nc"))
     q = queries.join(chunks, [*g, "leaf"]).withColumn(
         "_chunk", F.pmod(F.xxhash64("vid"), F.col("_nc").cast("long")).cast("int"))
     c = cands.join(chunks, [*g, "leaf"]).withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0), F.col("_nc") - 1)))
-    cols = [*g, "leaf", "_chunk", "vid", *x, "cnt", "_k"]
+    cols = [*g, "leaf", "_chunk", "vid", *x, "cnt"]
     qr = F.col("_r") if "_r" in q.columns else F.lit(None).cast("double")
-    tasks = c.select(*cols, F.lit(None).cast("double").alias("_r"), F.lit(0).alias("_role")) \
-             .unionByName(q.select(*cols, qr.alias("_r"), F.lit(1).alias("_role")))
+    tasks = c.select(*cols, "_k", F.lit(None).cast("double").alias("_r"), F.lit(0).alias("_role")) \
+             .unionByName(q.select(*cols, F.lit(None).cast("long").alias("_k"), qr.alias("_r"), F.lit(1).alias("_role")))
     return _search(tasks, [*g, "leaf", "_chunk"], tree, self_mode, nschema)

@@ -32,8 +32,7 @@ GLOBAL = "_g"
 @dataclass
 class LofModel:
     tree: KdTree
-    ref: DataFrame          # G..., vid, dims..., cnt, kdist, lrd, lof
-    k_by_group: DataFrame   # G..., _k
+    ref: DataFrame          # G..., vid, dims..., cnt, leaf, kdist, lrd, lof, _k (k clipped to the group)
     groups: list
     dims: list
     within: str | None
@@ -66,21 +65,25 @@ def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None =
     df, g = _groups(df, within)
     x = list(dims)
     vec = materialize(distinct_vectors(df, g, x, id_col), "lof-vectors")
-    kk = vec.groupBy(*g).agg(F.sum("cnt").alias("_n")) \
-            .select(*g, F.least(F.lit(k), F.col("_n") - 1).cast("long").alias("_k")) \
-            .where(F.col("_k") >= 1)
     tree = build_tree(vec, g, x, leaf_size=max(leaf_size, 4 * k))
-    nb = materialize(knn(tree, tree.vectors, kk, self_mode=True), "lof-neighbours")
-    kd = nb.groupBy(*g, "qid").agg(F.max("dist").alias("kdist"))
-    reach = nb.join(kd.withColumnRenamed("qid", "cid").withColumnRenamed("kdist", "_ckd"), [*g, "cid"])
+    nb = materialize(knn(tree, tree.vectors, k, self_mode=True), "lof-neighbours")
+    # The neighbours' multiplicities add up to k, or to all the others of a smaller group.
+    kd = nb.groupBy(*g, "qid").agg(F.max("dist").alias("kdist"), F.sum("w").cast("long").alias("_k"))
+    reach = nb.drop("_k").join(kd.select(*g, F.col("qid").alias("cid"), F.col("kdist").alias("_ckd")), [*g, "cid"])
     lrd = reach.groupBy(*g, "qid").agg(
         (F.lit(1.0) / (F.sum(F.col("w") * F.greatest("dist", "_ckd")) / F.sum("w") + F.lit(EPS))).alias("lrd"))
     nl = nb.join(lrd.withColumnRenamed("qid", "cid").withColumnRenamed("lrd", "_clrd"), [*g, "cid"])
     mean_n = nl.groupBy(*g, "qid").agg((F.sum(F.col("w") * F.col("_clrd")) / F.sum("w")).alias("_mlrd"))
     stats = kd.join(lrd, [*g, "qid"]).join(mean_n, [*g, "qid"]) \
-              .select(*g, F.col("qid").alias("vid"), "kdist", "lrd", (F.col("_mlrd") / F.col("lrd")).alias("lof"))
+              .select(*g, F.col("qid").alias("vid"), "kdist", "lrd", (F.col("_mlrd") / F.col("lrd")).alias("lof"), "_k")
     ref = materialize(tree.vectors.join(stats, [*g, "vid"], "left"), "lof-ref")
-    return LofModel(tree, ref, kk, g, x, within, k)
+    return LofModel(_reference(tree, ref), ref, g, x, within, k)
+
+
+def _reference(tree: KdTree, ref: DataFrame) -> KdTree:
+    """The fitted tree over the reference vectors, each with its group's k (a group of one row has none)."""
+    vectors = ref.where(F.col("_k") >= 1).select(*tree.groups, "vid", *tree.dims, "cnt", "leaf", "_k")
+    return KdTree(vectors, tree.splits, tree.boxes, tree.groups, tree.dims, tree.depth, tree.leaf_size)
 
 
 def _attach(df: DataFrame, g, x, scored: DataFrame, cols) -> DataFrame:
@@ -114,7 +117,7 @@ def lof_novelty(model: LofModel, df: DataFrame, dims, id_col: str) -> DataFrame:
         d2 = d2.select("*", *[F.col(a).alias(b) for a, b in zip(x, model.dims) if a != b])
         x = model.dims
     q = distinct_vectors(d2, g, x, id_col)
-    nb = knn(model.tree, q, model.k_by_group, self_mode=False)
+    nb = knn(model.tree, q)
     ref = model.ref.select(*g, F.col("vid").alias("cid"), F.col("kdist").alias("_ckd"), F.col("lrd").alias("_clrd"))
     j = nb.join(ref, [*g, "cid"])
     agg = j.groupBy(*g, "qid").agg(

@@ -12,14 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.params import attach_row
 from ..session import materialize
 
 _LOCAL_BITS = (1 << 33) - 1  # monotonically_increasing_id: low 33 bits = row number in the partition
 
 
-def ranked(df: DataFrame, value_col: str, group_cols=(), partitions: int | None = None) -> DataFrame:
-    """Adds ``_rank`` (0-based, by value within group) and ``_n`` (group size).
+def numbered(df: DataFrame, value_col: str, group_cols=(), partitions: int | None = None) -> DataFrame:
+    """(G..., _v, _grank): non-null values numbered from 0 in order of group and value.
 
     The sorted, numbered rows are written once to the shared checkpoint
     folder so that the rank and count steps see one fixed numbering, also
@@ -43,12 +42,8 @@ def ranked(df: DataFrame, value_col: str, group_cols=(), partitions: int | None
     sizes = srt.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offs = sizes.withColumn("_off", F.coalesce(
         F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    r = srt.join(F.broadcast(offs.select("_pid", "_off")), "_pid").withColumn("_grank", F.col("_off") + F.col("_loc"))
-    if not g:
-        n = r.agg(F.count(F.lit(1)).alias("_n"))
-        return attach_row(r, n).select("_v", F.col("_grank").alias("_rank"), "_n")
-    first = r.groupBy(*g).agg(F.min("_grank").alias("_g0"), F.count(F.lit(1)).alias("_n"))
-    return r.join(first, g).select(*g, "_v", (F.col("_grank") - F.col("_g0")).alias("_rank"), "_n")
+    return srt.join(F.broadcast(offs.select("_pid", "_off")), "_pid") \
+        .select(*g, "_v", (F.col("_off") + F.col("_loc")).alias("_grank"))
 
 
 def exact_quantile(df: DataFrame, value_col: str, q: float, group_cols=(), alias: str = "quantile") -> DataFrame:
@@ -59,14 +54,18 @@ def exact_quantile(df: DataFrame, value_col: str, q: float, group_cols=(), alias
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be within [0, 1]")
     g = list(group_cols)
-    r = ranked(df, value_col, g)
+    r = numbered(df, value_col, g)
+    # Each group's rows stand side by side: the wanted positions are counted from its first. They are
+    # joined by position, which is unique, not by group.
     pos = F.lit(q) * (F.col("_n") - 1)
-    lo, hi = F.floor(pos), F.ceil(pos)
-    sel = r.where((F.col("_rank") == lo) | (F.col("_rank") == hi))
-    agg = sel.groupBy(*g).agg(
-        F.min(F.when(F.col("_rank") == lo, F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_rank") == hi, F.col("_v"))).alias("_hi"),
-        F.first(pos).alias("_pos"))
+    ends = r.groupBy(*g).agg(F.min("_grank").alias("_g0"), F.count(F.lit(1)).alias("_n")).where("_n > 0") \
+        .select(*g, pos.alias("_pos"), F.explode(F.array(F.struct(F.lit(0).alias("_end"), (F.col("_g0") + F.floor(pos)).alias("_grank")),
+                                                         F.struct(F.lit(1).alias("_end"), (F.col("_g0") + F.ceil(pos)).alias("_grank")))).alias("_e")) \
+        .select(*g, "_pos", "_e.*")
+    agg = ends.join(r.select("_grank", "_v"), "_grank").groupBy(*g).agg(
+        F.max(F.when(F.col("_end") == 0, F.col("_v"))).alias("_lo"),
+        F.max(F.when(F.col("_end") == 1, F.col("_v"))).alias("_hi"),
+        F.first("_pos").alias("_pos"))
     frac = F.col("_pos") - F.floor(F.col("_pos"))
     return agg.select(*g, (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac).alias(alias))
 

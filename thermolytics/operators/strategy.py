@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .knn import KdTree
-from .lof import GLOBAL, LofModel, fit_lof, lof_novelty
+from .lof import GLOBAL, LofModel, _reference, contamination_offset, fit_lof, lof_novelty
 from .regress import fit_hdd_regression, regression_residual
 from .scale import apply_scaler, fit_scaler, require_features
+from ..functions.params import attach_row
 from ..session import materialize
 
 DEFAULT_ID = "_row_id"
@@ -27,22 +28,25 @@ class FittedModel:
     feature_columns: list
     scaler: DataFrame
     regression: DataFrame
+    offset: DataFrame       # one row: LOF scores below it are outliers
     lof: LofModel
     params: dict = field(default_factory=dict)
 
 
 def _with_row_id(df: DataFrame, id_col: str | None) -> tuple[DataFrame, str]:
+    """Id that breaks ties between equally near neighbours: a given column, or a hash of the record's
+    key and date, so that results do not depend on how rows are laid out."""
     if id_col and id_col in df.columns:
         return df, id_col
-    # Stable per row as long as the input files and their order are unchanged.
-    return df.withColumn(DEFAULT_ID, F.monotonically_increasing_id()), DEFAULT_ID
+    keys = [c for c in ("apartment_record_id", "apartment_id", "building_id", "event_date") if c in df.columns]
+    return df.withColumn(DEFAULT_ID, F.xxhash64(*(keys or sorted(df.columns)))), DEFAULT_ID
 
 
 def fit_lr_lof(features: DataFrame, feature_columns, lof_neighbors: int = 20, lof_contamination="auto",
                within: str | None = None, id_col: str | None = None, leaf_size: int = 1024) -> FittedModel:
     """Scaler (population std) + energy~hdd regression + LOF on the scaled features."""
     if not feature_columns:
-        raise ValueError("Hyperparameter 'feature_columns' must be provided for LR_LOF_Model")
+        raise ValueError("Hyperparameter 'feature_columns' must be provided: the names of the model's inputs")
     missing = [c for c in list(feature_columns) + ["hdd", "daily_energy_kwh"] if c not in features.columns]
     if missing:
         raise KeyError(f"Columns not found: {missing}")
@@ -53,14 +57,18 @@ def fit_lr_lof(features: DataFrame, feature_columns, lof_neighbors: int = 20, lo
     df, rid = _with_row_id(filled, id_col)
     z = apply_scaler(df, scaler, cols)
     lof = fit_lof(z, [f"z_{c}" for c in cols], rid, k=int(lof_neighbors), within=within, leaf_size=leaf_size)
-    return FittedModel("LR_LOF", cols, scaler, reg, lof,
+    # Contamination sets the outlier offset on the training rows' own scores, as often as each vector occurs.
+    own = lof.ref.select((-F.col("lof")).alias("lof_score"), F.explode(F.sequence(F.lit(1), F.col("cnt"))).alias("_copy")) \
+        if lof_contamination not in (None, "auto") else lof.ref.select((-F.col("lof")).alias("lof_score"))
+    offset = materialize(contamination_offset(own, lof_contamination), "model-offset")
+    return FittedModel("LR_LOF", cols, scaler, reg, offset, lof,
                        {"lof_neighbors": int(lof_neighbors), "lof_contamination": str(lof_contamination),
                         "within": within, "leaf_size": leaf_size})
 
 
 def score_lr_lof(model: FittedModel, df: DataFrame, id_col: str | None = None) -> DataFrame:
-    """Adds residual, lof_score (novelty, higher = more normal) and
-    anomaly_score_combined = |residual| - lof_score."""
+    """Adds residual, lof_score (novelty, higher = more normal), is_outlier (lof_score below
+    the fitted offset) and anomaly_score_combined = |residual| - lof_score."""
     require_features(df, model.feature_columns + ["hdd", "daily_energy_kwh"], ValueError,
                      "Missing feature columns in evaluation data.")
     cols = model.feature_columns
@@ -69,7 +77,9 @@ def score_lr_lof(model: FittedModel, df: DataFrame, id_col: str | None = None) -
     z = apply_scaler(d, model.scaler, cols)
     scored = lof_novelty(model.lof, z, [f"z_{c}" for c in cols], rid)
     scored = regression_residual(scored, model.regression)
-    out = scored.withColumn("anomaly_score_combined", F.abs("residual") - F.col("lof_score"))
+    out = attach_row(scored, model.offset) \
+        .withColumn("is_outlier", (F.col("lof_score") < F.col("offset")).cast("int")).drop("offset") \
+        .withColumn("anomaly_score_combined", F.abs("residual") - F.col("lof_score"))
     return out.drop(*[f"z_{c}" for c in cols], *([DEFAULT_ID] if rid == DEFAULT_ID else []))
 
 
@@ -93,15 +103,15 @@ def score(model: FittedModel, df: DataFrame, **kw) -> DataFrame:
 
 # ---------------------------------------------------------------- persistence
 def save_model(model: FittedModel, path: str) -> None:
-    """Parquet tables: scaler, regression, lof_ref, tree_splits, tree_boxes, lof_k; plus meta JSON."""
+    """Parquet tables: scaler, regression, offset, lof_ref, tree_splits, tree_boxes; plus meta JSON."""
     spark = model.scaler.sparkSession
     p = path.rstrip("/")
     model.scaler.write.mode("overwrite").parquet(f"{p}/scaler")
     model.regression.write.mode("overwrite").parquet(f"{p}/regression")
+    model.offset.write.mode("overwrite").parquet(f"{p}/offset")
     model.lof.ref.write.mode("overwrite").parquet(f"{p}/lof_ref")
     model.lof.tree.splits.write.mode("overwrite").parquet(f"{p}/tree_splits")
     model.lof.tree.boxes.write.mode("overwrite").parquet(f"{p}/tree_boxes")
-    model.lof.k_by_group.write.mode("overwrite").parquet(f"{p}/lof_k")
     meta = {"strategy": model.strategy, "feature_columns": model.feature_columns, "params": model.params,
             "groups": model.lof.groups, "dims": model.lof.dims, "within": model.lof.within,
             "k": model.lof.k, "depth": model.lof.tree.depth, "leaf_size": model.lof.tree.leaf_size,
@@ -116,10 +126,9 @@ def load_model(spark: SparkSession, path: str) -> FittedModel:
     vectors = ref.select(*meta["groups"], "vid", *meta["dims"], "cnt", "leaf")
     tree = KdTree(vectors, spark.read.parquet(f"{p}/tree_splits"), spark.read.parquet(f"{p}/tree_boxes"),
                   meta["groups"], meta["dims"], meta["depth"], meta["leaf_size"])
-    lof = LofModel(tree, ref, spark.read.parquet(f"{p}/lof_k"), meta["groups"], meta["dims"],
-                   meta["within"], meta["k"])
+    lof = LofModel(_reference(tree, ref), ref, meta["groups"], meta["dims"], meta["within"], meta["k"])
     return FittedModel(meta["strategy"], meta["feature_columns"], spark.read.parquet(f"{p}/scaler"),
-                       spark.read.parquet(f"{p}/regression"), lof, meta["params"])
+                       spark.read.parquet(f"{p}/regression"), spark.read.parquet(f"{p}/offset"), lof, meta["params"])
 
 
 __all__ = ["FittedModel", "fit", "score", "get_strategy", "save_model", "load_model", "STRATEGIES", "GLOBAL"]

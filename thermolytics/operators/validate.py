@@ -14,7 +14,7 @@ def load_contract(text) -> dict:
     """JSON text (or a dict) with a ``columns`` list of {name, type}."""
     d = json.loads(text) if isinstance(text, (str, bytes)) else text
     if not isinstance(d, dict) or "columns" not in d:
-        raise ValueError("Expected schema JSON must be an object with a 'columns' key.")
+        raise ValueError("A contract is a JSON object that lists its columns under 'columns'")
     return d
 
 

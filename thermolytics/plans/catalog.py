@@ -216,18 +216,18 @@ from ..operators.evaluate import evaluate, gate, label_metrics, score_stats, sco
 SPLIT_DATE = "2024-01-21"   # rows before: reference (training) set; from this day on: new rows to score
 
 
-def sql_novelty_ctes(zq: str, k: int = 20) -> list:
-    """Novelty LOF of rows of ``zq`` against the reference CTEs prefixed r_."""
+def sql_novelty_ctes(zq: str, ref: str = "r_", out: str = "q") -> list:
+    """Novelty LOF (table ``{out}lof``) of rows of ``zq`` against the reference CTEs prefixed ``ref``."""
     return [
-        ("qpairs", f"SELECT q.building_id, q.id AS qid, b.id AS cid, b.rep AS crep, {sql_dist('q', 'b')} AS dist "
-                   f"FROM {zq} q JOIN r_refr b ON q.building_id = b.building_id"),
-        ("qrk", "SELECT x.*, row_number() OVER (PARTITION BY x.qid ORDER BY round(x.dist, 9), x.crep, x.cid) AS rn "
-                "FROM qpairs x"),
-        ("qnb", "SELECT r.* FROM qrk r JOIN r_kk USING (building_id) WHERE r.rn <= r_kk.k"),
-        ("qlrd", "SELECT n.qid, 1.0 / (avg(greatest(n.dist, d.kdist)) + 1e-10) AS lrd "
-                 "FROM qnb n JOIN r_kd d ON n.cid = d.qid GROUP BY n.qid"),
-        ("qlof", "SELECT n.qid, avg(l2.lrd) / any_value(q.lrd) AS lof FROM qnb n "
-                 "JOIN qlrd q ON n.qid = q.qid JOIN r_lrd l2 ON n.cid = l2.qid GROUP BY n.qid"),
+        (f"{out}pairs", f"SELECT q.building_id, q.id AS qid, b.id AS cid, b.rep AS crep, {sql_dist('q', 'b')} AS dist "
+                        f"FROM {zq} q JOIN {ref}refr b ON q.building_id = b.building_id"),
+        (f"{out}rk", "SELECT x.*, row_number() OVER (PARTITION BY x.qid ORDER BY round(x.dist, 9), x.crep, x.cid) AS rn "
+                     f"FROM {out}pairs x"),
+        (f"{out}nb", f"SELECT r.* FROM {out}rk r JOIN {ref}kk USING (building_id) WHERE r.rn <= {ref}kk.k"),
+        (f"{out}lrd", "SELECT n.qid, 1.0 / (avg(greatest(n.dist, d.kdist)) + 1e-10) AS lrd "
+                      f"FROM {out}nb n JOIN {ref}kd d ON n.cid = d.qid GROUP BY n.qid"),
+        (f"{out}lof", f"SELECT n.qid, avg(l2.lrd) / any_value(q.lrd) AS lof FROM {out}nb n "
+                      f"JOIN {out}lrd q ON n.qid = q.qid JOIN {ref}lrd l2 ON n.cid = l2.qid GROUP BY n.qid"),
     ]
 
 
@@ -866,3 +866,166 @@ def q_evaluation_report_json(spark, sf_dir):
     path = staging_path(spark, "report")
     write_report(rep, path)
     return read_report(spark, path, rep.schema)
+
+
+# ---------------------------------------------------------------- stored forms of sources
+from ..session import materialize  # noqa: E402
+
+from ..sources.alerts_store import delete_from_store, upsert_alerts  # noqa: E402
+from ..sources.labels import read_labels  # noqa: E402
+from ..sources.meter import read_meter, read_raw_meter, write_meter  # noqa: E402
+
+
+def write_raw_folders(spark, sf_dir, where="true") -> str:
+    """Raw rows as JSON files, in nested folders by apartment and one file group at the top."""
+    path = staging_path(spark, "raw-nested")
+    raw = tv.raw(spark, sf_dir).drop("extra_raw_col").where(where)
+    raw.where("building_id <> 'bldg1'").withColumn("year", F.lit(2024)).withColumn("house", F.col("building_id")) \
+        .write.partitionBy("year", "house").json(path)
+    raw.where("building_id = 'bldg1'").write.mode("append").json(path)
+    return path
+
+
+@register("raw_meter_nested", tv.with_views(SQL_CLEAN, "raw"))
+def q_raw_meter_nested(spark, sf_dir):
+    """JSON files at any depth, read with the fixed schema and cleaned."""
+    return rounded(clean_meter(read_raw_meter(spark, write_raw_folders(spark, sf_dir))).select(*METER_OUT))
+
+
+@register("incremental_ingest_runs", tv.with_views(SQL_CLEAN, "raw"))
+def q_incremental_ingest_runs(spark, sf_dir):
+    """Two runs over a growing folder with nested files: each file is ingested once."""
+    src, dest, cp = (staging_path(spark, n) for n in ("raw-json", "meter", "meter-cp"))
+    raw = tv.raw(spark, sf_dir).drop("extra_raw_col")
+    first = F.col("building_id").isin("bldg0", "bldg1", "bldg2")
+    raw.where(first).write.json(f"{src}/2024/01")
+    ingest_incremental(spark, src, dest, cp)
+    raw.where(~first).write.json(f"{src}/2024/02/late")
+    raw.where("building_id is null").write.json(f"{src}/top")
+    ingest_incremental(spark, src, dest, cp)
+    return rounded(spark.read.schema(METER).parquet(dest).select(*METER_OUT))
+
+
+@register("meter_table_range", tv.with_views(
+    SQL_CLEAN + " AND try_strptime(timestamp_str, '%Y-%m-%d %H:%M:%S') >= DATE '2024-01-10'"
+                " AND try_strptime(timestamp_str, '%Y-%m-%d %H:%M:%S') < DATE '2024-01-21'", "raw"))
+def q_meter_table_range(spark, sf_dir):
+    """The written, partitioned meter table read for whole days: only their folders are listed."""
+    path = staging_path(spark, "meter-table")
+    write_meter(clean_meter(tv.raw(spark, sf_dir)), path)
+    return rounded(read_meter(spark, path, "2024-01-10", "2024-01-20").select(*METER_OUT))
+
+
+@register("ingest_audit", tv.with_views(
+    f"SELECT (SELECT count(*) FROM raw) AS rows_read, (SELECT count(*) FROM ({SQL_CLEAN}) c) AS rows_written", "raw"))
+def q_ingest_audit(spark, sf_dir):
+    """Counts that the ingest job observes while it writes."""
+    from .jobs import ingest
+    counts = ingest(spark, write_raw_folders(spark, sf_dir), staging_path(spark, "meter-audit"))
+    return spark.createDataFrame([(counts["rows_read"], counts["rows_written"])], "rows_read long, rows_written long")
+
+
+@register("labels_from_file", tv.with_views(
+    "SELECT apartment_record_id, event_date, CAST(max(is_anomaly) AS INTEGER) AS is_anomaly FROM labels_v GROUP BY 1, 2",
+    "labels_v"))
+def q_labels_from_file(spark, sf_dir):
+    """Labels written as Parquet, read back as the optional label table, one per key."""
+    from ..operators.evaluate import dedupe_labels
+    path = staging_path(spark, "labels")
+    labels_for(spark, sf_dir).write.parquet(path)
+    return dedupe_labels(read_labels(spark, path))
+
+
+# Alerts of day 18 lack their date, as score files with an empty date field give them.
+SQL_UNDATED = ("SELECT * REPLACE (CASE WHEN EventDate = '2024-01-18' THEN '' ELSE EventDate END AS EventDate, "
+               "CASE WHEN EventDate = '2024-01-18' THEN ApartmentID || '#' ELSE AlertID END AS AlertID) FROM alerts")
+
+
+def stored_alerts(spark, sf_dir) -> str:
+    """A store after two upserts that overlap in dates, in alerts and in alerts without a date."""
+    good = materialize(parsed_scores(spark, sf_dir)[0], "store-scores")
+    day = F.when(F.col("event_date") == "2024-01-18", "").otherwise(F.col("event_date"))
+    store = staging_path(spark, "alert-store")
+    early, late = good.where("event_date <= '2024-01-20'"), good.where("event_date >= '2024-01-15'")
+    # The first upsert lacks building 2: its undated alerts arrive later, into a folder that has others.
+    upsert_alerts(spark, alert_rows(early.where("building_id <> 'bldg2'").withColumn("event_date", day), ALERT_TIME_1, "Seen"), store)
+    upsert_alerts(spark, alert_rows(late.where("event_date <> '2024-01-18' OR building_id = 'bldg2'")
+                                    .withColumn("event_date", day), ALERT_TIME_2), store)
+    return store
+
+
+SQL_STORED = ("""SELECT AlertID, ApartmentID, EventDate, BuildingID, AnomalyScore, Threshold, Status, SourceGroup, AlertTimestamp
+    FROM (SELECT *, row_number() OVER (PARTITION BY AlertID ORDER BY AlertTimestamp DESC, AnomalyScore DESC) AS rn FROM (
+            SELECT * REPLACE ('Seen' AS Status), '""" + ALERT_TIME_1 + """' AS AlertTimestamp FROM undated
+            WHERE day <= '2024-01-20' AND BuildingID <> 'bldg2'
+            UNION ALL
+            SELECT *, '""" + ALERT_TIME_2 + """' AS AlertTimestamp FROM undated
+            WHERE day >= '2024-01-15' AND (day <> '2024-01-18' OR BuildingID = 'bldg2')) u) x WHERE rn = 1""")
+STORED_CTES = [("undated", SQL_UNDATED.replace("SELECT * REPLACE", "SELECT EventDate AS day, * REPLACE")), ("stored", SQL_STORED)]
+
+
+def stored_out(a):
+    a = a.withColumn("AnomalyScore", F.col("AnomalyScore").cast("double")).withColumn("Threshold", F.col("Threshold").cast("double"))
+    return alert_out(a, ["AlertTimestamp"])
+
+
+@register("alerts_store_upsert", alert_sql("SELECT * FROM stored", STORED_CTES))
+def q_alerts_store_upsert(spark, sf_dir):
+    return stored_out(read_alerts(spark, stored_alerts(spark, sf_dir)))
+
+
+@register("alerts_store_for_date", alert_sql("SELECT * FROM stored WHERE EventDate = '2024-01-17'", STORED_CTES))
+def q_alerts_store_for_date(spark, sf_dir):
+    return stored_out(read_alerts(spark, stored_alerts(spark, sf_dir), "2024-01-17"))
+
+
+@register("alerts_store_delete", alert_sql(
+    "SELECT * FROM stored WHERE BuildingID <> 'bldg3' AND EventDate <> '2024-01-17'", STORED_CTES))
+def q_alerts_store_delete(spark, sf_dir):
+    """One building's alerts go, and all of one date, whose folder is emptied."""
+    store = stored_alerts(spark, sf_dir)
+    keys = read_alerts(spark, store).where("BuildingID = 'bldg3' OR EventDate = '2024-01-17'").select("AlertID")
+    delete_from_store(spark, store, materialize(keys, "delete-keys"))
+    return stored_out(read_alerts(spark, store))
+
+
+@register("stream_alert_counts", alert_sql(
+    f"""SELECT file_group AS source_group, count(*) FILTER (WHERE ok) AS rows_parsed,
+               count(*) FILTER (WHERE NOT ok) AS rows_rejected,
+               count(*) FILTER (WHERE ok AND TRY_CAST(f[4] AS DOUBLE) > {THRESHOLD}) AS alerts_generated
+        FROM okrows GROUP BY file_group"""))
+def q_stream_alert_counts(spark, sf_dir):
+    """Per-file counts that the stream writes beside the alerts, rejects included."""
+    scores = write_score_files(spark, sf_dir)
+    store, cp, rejects, counts = (staging_path(spark, n) for n in ("alert-store", "alert-cp", "rejects", "counts"))
+    stream_alerts(spark, scores, store, cp, THRESHOLD, ALERT_TIME_1, rejects_path=rejects, counts_path=counts)
+    c = spark.read.parquet(counts).withColumn("source_group", source_group("source_file"))
+    return c.groupBy("source_group").agg(*[F.sum(n).alias(n) for n in ("rows_parsed", "rows_rejected", "alerts_generated")])
+
+
+# ---------------------------------------------------------------- one model over all rows; rows without a score
+@register("lof_novelty_global", novelty_sql(
+    "SELECT zq.building_id, zq.apartment_id, zq.event_date, " + r6("gqlof.lof", "lof")
+    + " FROM zq LEFT JOIN gqlof ON zq.id = gqlof.qid",
+    extra=[("zrall", "SELECT * REPLACE ('all' AS building_id) FROM zr"), ("zqall", "SELECT * REPLACE ('all' AS building_id) FROM zq")]
+    + sql_lof_ctes("zrall", prefix="g_") + sql_novelty_ctes("zqall", "g_", "gq")))
+def q_lof_novelty_global(spark, sf_dir):
+    """New rows against one model fitted on all rows."""
+    zr, zq, _ = split_sets(spark, sf_dir)
+    model = fit_lof(zr, ZCOLS, "id", k=20)
+    return rounded(lof_novelty(model, zq, ZCOLS, "id").select(*KEYS3, "lof"))
+
+
+@register("label_metrics_unscored", novelty_sql(
+    "SELECT " + ", ".join(r6(c, c) for c in ("precision", "recall", "f1_score")) + " FROM metrics",
+    extra=LABEL_CTE + [("partly", "SELECT * REPLACE (CASE WHEN building_id = 'bldg4' THEN NULL ELSE anomaly_score_combined END "
+                                  "AS anomaly_score_combined) FROM scores")]
+    + [(n, s.replace("FROM scores", "FROM partly")) for n, s in THR_CTE]
+    + [("metrics", SQL_METRICS.replace("scores s", "partly s").replace(
+        "s.anomaly_score_combined > t.thr AS pred", "coalesce(s.anomaly_score_combined > t.thr, false) AS pred"))],
+    views=("meter", "weather", "labels_v")))
+def q_label_metrics_unscored(spark, sf_dir):
+    """One building's rows have no score: its labelled anomalies are misses."""
+    s = scores_keyed(spark, sf_dir).withColumn(
+        "anomaly_score_combined", F.when(F.col("building_id") != "bldg4", F.col("anomaly_score_combined")))
+    return rounded(label_metrics(s, labels_for(spark, sf_dir), score_threshold(s, q=0.95)))

@@ -33,13 +33,13 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def ingest(spark: SparkSession, source, dest: str, table: str | None = None) -> dict:
-    """Raw JSON -> cleaned, partitioned meter table (append). Counts come from one
-    observation on the write, not from extra passes."""
-    raw = read_raw_meter(spark, source)
-    obs = Observation("ingest")
-    clean = clean_meter(raw).observe(obs, F.count(F.lit(1)).alias("rows_written"))
+    """Raw JSON -> cleaned, partitioned meter table (append). Counts of rows read and written come
+    from observations on the write, not from extra passes."""
+    read, written = Observation("ingest-read"), Observation("ingest-written")
+    raw = read_raw_meter(spark, source).observe(read, F.count(F.lit(1)).alias("rows_read"))
+    clean = clean_meter(raw).observe(written, F.count(F.lit(1)).alias("rows_written"))
     write_meter(clean, dest, table)
-    return obs.get
+    return read.get | written.get
 
 
 def build_training_features(spark: SparkSession, meter_path: str, weather_path: str, start, end,
@@ -54,8 +54,10 @@ def build_inference_features(spark: SparkSession, meter_path: str, weather_path:
 
 def train(spark: SparkSession, features_path: str, model_path: str, strategy: str = "LR_LOF",
           feature_columns=MODEL_FEATURES, **params) -> None:
-    """Feature store (newest row per key) -> fitted model tables."""
+    """Feature store (newest row per key) -> fitted model tables. Fails on a store without rows."""
     feats = latest_features(read_features(spark, features_path))
+    if feats.isEmpty():
+        raise ValueError(f"The feature store {features_path} has no rows to train on")
     model = fit(strategy, feats, feature_columns=list(feature_columns), **params)
     save_model(model, model_path)
 

@@ -1,6 +1,6 @@
-"""Alert table keyed by AlertID, stored as Parquet partitioned by EventDate.
+"""Alert table keyed by AlertID, stored as Parquet partitioned by a key derived from EventDate.
 
-Upserts rewrite only the EventDate partitions that the new alerts touch
+Upserts rewrite only the folders that the new alerts touch
 (dynamic partition overwrite); the merged rows are staged first so a path
 is never read and overwritten by one plan.
 """
@@ -13,45 +13,63 @@ from pyspark.sql.utils import AnalysisException
 
 from ..operators.alerts import merge_alerts
 from ..schemas import ALERT_COLUMNS, ALERT_DECIMAL
-from ..session import staging_path
+from ..session import materialize, release
 
 STORE_SCHEMA = ("AlertID string, ApartmentID string, BuildingID string, AnomalyScore decimal(38,18), "
                 "Threshold decimal(38,18), AlertTimestamp string, Status string, S3SourceFile string, "
                 "EventDate string")
+PART = "event_part"
+NO_DATE = "none"
+
+
+def part_of(date="EventDate"):
+    """Folder key of a date. Empty and null dates have one of their own: as a partition value they
+    would read back as null and be lost to joins."""
+    return F.when(F.coalesce(date, F.lit("")) == "", F.lit(NO_DATE)).otherwise(F.concat(F.lit("d"), date))
 
 
 def to_store(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast(ALERT_DECIMAL).alias(c) if c in ("AnomalyScore", "Threshold") else F.col(c)
-                       for c in ALERT_COLUMNS])
+    cols = [F.col(c).cast(ALERT_DECIMAL).alias(c) if c in ("AnomalyScore", "Threshold") else F.col(c) for c in ALERT_COLUMNS]
+    return df.select(*cols, part_of().alias(PART))
 
 
-def read_alerts(spark: SparkSession, path: str) -> DataFrame:
+def _scan(spark: SparkSession, path: str) -> DataFrame:
     try:
-        return spark.read.schema(STORE_SCHEMA).parquet(path).select(*ALERT_COLUMNS)
+        return spark.read.schema(f"{STORE_SCHEMA}, {PART} string").parquet(path)
     except AnalysisException:
-        return spark.createDataFrame([], STORE_SCHEMA).select(*ALERT_COLUMNS)
+        return spark.createDataFrame([], f"{STORE_SCHEMA}, {PART} string")
+
+
+def read_alerts(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
+    """All alerts of the store, or those of one EventDate (reads that folder only)."""
+    df = _scan(spark, path)
+    if date is not None:
+        df = df.where(F.col(PART) == part_of(F.lit(date))).where(F.coalesce("EventDate", F.lit("")) == date)
+    return df.select(*ALERT_COLUMNS)
+
+
+def _overwrite(staged: DataFrame, path: str) -> None:
+    """Replace the folders that ``staged`` has rows for. Not atomic over folders: a job that dies here
+    leaves some replaced; running the same upsert again completes it."""
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path))
 
 
 def upsert_alerts(spark: SparkSession, new: DataFrame, path: str) -> int:
-    """Merge ``new`` into the store; returns the number of touched partitions."""
-    new = to_store(new)
-    dates = new.select("EventDate").distinct()
-    # Semi join on the touched dates: the store scan keeps only those partitions
+    """Merge ``new`` into the store; returns the number of touched folders."""
+    new, _ = materialize(to_store(new), "alerts-new", count=True)      # evaluated once
+    parts = new.select(PART).distinct()
+    # Semi join on the touched folders: the scan of the store keeps only those
     # (dynamic partition pruning); AQE picks the join strategy by measured size.
-    existing = read_alerts(spark, path).join(dates, "EventDate", "left_semi") \
-        if _exists(spark, path) else None
-    merged = merge_alerts(existing.select(*ALERT_COLUMNS), new) if existing is not None else merge_alerts(
-        new.limit(0), new)
-    stage = staging_path(spark, "alerts")
-    merged.write.mode("overwrite").partitionBy("EventDate").parquet(stage)
-    staged = spark.read.schema(STORE_SCHEMA).parquet(stage)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("EventDate").parquet(path))
-    return staged.select("EventDate").distinct().count()
+    existing = _scan(spark, path).join(parts, PART, "left_semi").select(*new.columns)
+    staged = materialize(merge_alerts(existing, new), "alerts-merged")
+    _overwrite(staged, path)
+    touched = parts.count()
+    release(new, staged)
+    return touched
 
 
 def alerts_for_date(df: DataFrame, date: str) -> DataFrame:
-    """All alerts of one EventDate (partition-pruned on the store)."""
+    """All alerts of one EventDate in a frame (``read_alerts`` with a date prunes the store)."""
     return df.where(F.col("EventDate") == F.lit(date))
 
 
@@ -61,30 +79,22 @@ def delete_alerts(df: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def delete_from_store(spark: SparkSession, path: str, keys: DataFrame) -> None:
-    """Remove listed alerts from the store, rewriting only their partitions."""
-    dates = read_alerts(spark, path).join(keys.select("AlertID"), "AlertID", "left_semi") \
-        .select("EventDate").distinct()
-    part = read_alerts(spark, path).join(dates, "EventDate", "left_semi")
-    kept = delete_alerts(part, keys)
-    stage = staging_path(spark, "alerts-del")
-    kept.write.mode("overwrite").partitionBy("EventDate").parquet(stage)
-    staged = spark.read.schema(STORE_SCHEMA).parquet(stage)
-    # Partitions whose last alert was deleted must be emptied explicitly.
-    empty_dates = dates.join(staged.select("EventDate").distinct(), "EventDate", "left_anti")
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("EventDate").parquet(path)
-    # Only the dates whose partitions became empty reach the driver (at most the touched dates).
-    _clear_partitions(spark, path, [r[0] for r in empty_dates.collect()])
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    """Remove listed alerts from the store, rewriting only their folders."""
+    store = _scan(spark, path)
+    parts = materialize(store.join(keys.select("AlertID").distinct(), "AlertID", "left_semi").select(PART).distinct(), "alerts-parts")
+    part = store.join(parts, PART, "left_semi").select(*ALERT_COLUMNS, PART)
+    staged = materialize(delete_alerts(part, keys).select(*ALERT_COLUMNS, PART), "alerts-del")
+    # Folders whose last alert was deleted must be emptied explicitly.
+    empty = [r[0] for r in parts.join(staged.select(PART).distinct(), PART, "left_anti").collect()]    # at most the touched ones
+    _overwrite(staged, path)
+    _clear_partitions(spark, path, empty)
+    release(parts, staged)
 
 
 def _clear_partitions(spark: SparkSession, path: str, dates) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     for d in dates:
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/EventDate={d}")
+        name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(d)
+        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{PART}={name}")
         p.getFileSystem(conf).delete(p, True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..schemas import FEATURE, FEATURE_COLUMNS, INFER, INFER_COLUMNS
+from ..session import materialize, release
 
 KEY_COLUMNS = ["apartment_record_id", "event_time"]
 
@@ -19,23 +20,30 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     lose it.
     """
     try:
-        return spark.read.schema(FEATURE).parquet(path)
+        df = spark.read.schema(FEATURE).parquet(path)
     except AnalysisException as exc:
-        raise FileNotFoundError(f"No parquet files found under {path}") from exc
+        raise FileNotFoundError(f"The feature store {path} cannot be read") from exc
+    if not df.inputFiles():
+        raise FileNotFoundError(f"The feature store {path} has no data files")
+    return df
 
 
 def write_features(df: DataFrame, path: str, reject_path: str | None = None) -> None:
     """Append feature rows partitioned by event_date.
 
     Rows without a record id or event time cannot be keyed by the store;
-    they go to ``reject_path`` (when given) instead of the store. Nothing is
-    collected to the driver.
+    they go to ``reject_path`` (when given) instead of the store; the rows are then staged, so that
+    they are computed once. Writers are rebalanced by date. Nothing is collected to the driver.
     """
     ok = F.col("apartment_record_id").isNotNull() & F.col("event_time").isNotNull()
     tagged = df.select(*FEATURE_COLUMNS).withColumn("_ok", ok)
-    tagged.where("_ok").drop("_ok").write.mode("append").partitionBy("event_date").parquet(path)
+    if reject_path:
+        tagged = materialize(tagged, "features")
+    tagged.where("_ok").drop("_ok").hint("rebalance", "event_date") \
+        .write.mode("append").partitionBy("event_date").parquet(path)
     if reject_path:
         tagged.where("NOT _ok").drop("_ok").write.mode("append").parquet(reject_path)
+        release(tagged)
 
 
 def write_inference_features(df: DataFrame, path: str, fmt: str = "parquet") -> None:

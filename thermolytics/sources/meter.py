@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.dates import date_range_predicate
 from ..schemas import METER, PARTITION_COLUMNS, RAW
@@ -35,17 +34,15 @@ def read_meter(spark: SparkSession, path: str, start=None, end=None) -> DataFram
     return df
 
 
-def write_meter(df: DataFrame, path: str, table: str | None = None, files_per_day: int = 8) -> None:
+def write_meter(df: DataFrame, path: str, table: str | None = None) -> None:
     """Append Snappy Parquet partitioned by year/month/day.
 
-    Rows are clustered by day plus a hash salt of (meter, timestamp), so a day
-    is written by at most ``files_per_day`` tasks: few files per directory,
-    and a day that holds a large share of the readings is still spread over
-    several writers. With ``table`` the data is also registered in the
+    Rows are rebalanced by day: adaptive execution sizes the writing tasks by bytes, so small
+    days give one file each and a day that holds a large share of the readings is split over
+    as many writers as its size asks for. With ``table`` the data is also registered in the
     session catalog (new partitions are discovered by the append).
     """
-    salt = F.pmod(F.xxhash64("meter_id", "event_ts"), F.lit(files_per_day))
-    w = (df.repartition(*PARTITION_COLUMNS, salt)
+    w = (df.hint("rebalance", *PARTITION_COLUMNS)
          .write.mode("append").partitionBy(*PARTITION_COLUMNS).option("compression", "snappy"))
     if table:
         w.option("path", path).saveAsTable(table)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..schemas import SCORE_COLUMNS
 
 CSV_SUFFIXES = ("csv", "out")
+JSON_SUFFIXES = ("json", "jsonl")
 
 
 def write_scores(df: DataFrame, path: str, accept: str = "text/csv") -> None:
@@ -41,16 +42,31 @@ def parse_score_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
         *[c for c in lines.columns if c != value_col])
 
 
-def read_scores(spark: SparkSession, path: str, suffixes=CSV_SUFFIXES) -> DataFrame:
+def _suffix_glob(suffixes) -> str:
+    return "*.{" + ",".join(suffixes) + "}"
+
+
+def unread_files(spark: SparkSession, path: str, read: DataFrame, suffixes=CSV_SUFFIXES) -> DataFrame:
+    """(source_file, bytes) of the non-empty files under ``path`` from which ``read`` has no row.
+
+    Lists the files without opening them. After a read with ``skip_unreadable`` these are the ones
+    that were skipped.
+    """
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", _suffix_glob(suffixes))
+             .option("recursiveFileLookup", "true").load(path).where("length > 0")
+             .select(F.col("path").alias("source_file"), F.col("length").alias("bytes")))
+    return files.join(read.select("source_file").distinct(), "source_file", "left_anti")
+
+
+def read_scores(spark: SparkSession, path: str, suffixes=CSV_SUFFIXES, skip_unreadable: bool = False) -> DataFrame:
     """Score text rows from every file under ``path`` whose name ends in one of
     ``suffixes`` (so ``.csv.out`` matches too). All fields stay text; a line
     without exactly four fields has ``_corrupt_record`` set. ``source_file``
-    is the file the row came from.
+    is the file the row came from. A file that cannot be read fails the job, unless
+    ``skip_unreadable`` isolates the fault: then report what was skipped with ``unread_files``.
     """
-    glob = "*.{" + ",".join(suffixes) + "}"
-    # A file that cannot be read is skipped (per-file fault isolation); its rows are simply absent.
-    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-             .option("ignoreCorruptFiles", "true").text(path)
+    lines = (spark.read.option("pathGlobFilter", _suffix_glob(suffixes)).option("recursiveFileLookup", "true")
+             .option("ignoreCorruptFiles", str(skip_unreadable).lower()).text(path)
              .select("value", F.col("_metadata.file_path").alias("source_file")))
     return parse_score_lines(lines)
 

@@ -5,28 +5,49 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.alerts import DEFAULT_THRESHOLD, dedupe_alerts, make_alerts, parse_scores
-from ..sources.scores import parse_score_lines
+from ..operators.alerts import DEFAULT_THRESHOLD, alert_counts, dedupe_alerts, make_alerts, parse_scores
+from ..session import materialize, release
 from ..sources.alerts_store import upsert_alerts
+from ..sources.scores import JSON_SUFFIXES, SCORE_DDL, parse_score_lines
 
 
 def stream_alerts(spark: SparkSession, scores_dir: str, store_path: str, checkpoint: str,
-                  threshold: float = DEFAULT_THRESHOLD, alert_time=None, suffixes=("csv", "out")) -> None:
-    """Process every score file not yet seen; each micro-batch is merged into the
-    store with ``upsert_alerts`` (idempotent per AlertID, so a replayed batch
-    after a failure leaves the same store)."""
+                  threshold: float = DEFAULT_THRESHOLD, alert_time=None, suffixes=("csv", "out", *JSON_SUFFIXES),
+                  rejects_path: str | None = None, counts_path: str | None = None) -> None:
+    """Process every score file not yet seen, CSV lines or (by suffix) JSON Lines.
+
+    Each micro-batch is merged into the store with ``upsert_alerts`` (idempotent per AlertID, so a
+    replayed batch after a failure leaves the same store). Rejected rows and counts per file are
+    written under ``rejects_path`` and ``counts_path``, one folder per batch (``batch=N``), which a
+    replay replaces. An unreadable file fails the run: its rows are never dropped unseen.
+    """
     glob = "*.{" + ",".join(suffixes) + "}"
     lines = (spark.readStream.format("text")
              .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
              .load(scores_dir)
              .select("value", F.col("_metadata.file_path").alias("source_file")))
-    src = parse_score_lines(lines)
+    is_json = F.col("source_file").rlike(r"\.(" + "|".join(JSON_SUFFIXES) + ")$")
 
-    def merge(batch, _epoch):
-        good, _bad = parse_scores(batch)
+    def merge(batch, epoch):
+        batch = materialize(batch, "score-lines")       # read once, used for alerts, rejects and counts
+        text = parse_score_lines(batch.where(~is_json)).unionByName(parse_json_lines(batch.where(is_json)))
+        good, bad = parse_scores(text)
         upsert_alerts(spark, dedupe_alerts(make_alerts(good, threshold, alert_time)), store_path)
+        if rejects_path:
+            bad.write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/batch={epoch}")
+        if counts_path:
+            alert_counts(good, bad, threshold).write.mode("overwrite").parquet(f"{counts_path.rstrip('/')}/batch={epoch}")
+        release(batch)
 
-    q = (src.writeStream.foreachBatch(merge)
+    q = (lines.writeStream.foreachBatch(merge)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def parse_json_lines(lines, value_col: str = "value"):
+    """JSON text lines -> the four text fields + ``_corrupt_record``, as ``parse_score_lines`` gives for CSV."""
+    parsed = F.from_json(F.col(value_col), SCORE_DDL, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return lines.select(*[parsed[c].alias(c) for c in ("apartment_id", "building_id", "event_date", "anomaly_score_combined")],
+                        F.when(F.trim(value_col) == "", F.col(value_col)).otherwise(parsed["_corrupt_record"]).alias("_corrupt_record"),
+                        *[c for c in lines.columns if c != value_col])

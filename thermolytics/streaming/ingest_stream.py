@@ -8,24 +8,38 @@ bounded batches and stops, so the job can run on a schedule.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.clean import clean_meter
 from ..schemas import PARTITION_COLUMNS, RAW
 
 
 def ingest_incremental(spark: SparkSession, source: str, dest: str, checkpoint: str, fmt: str = "json",
-                       schema=RAW, max_files_per_trigger: int = 1000) -> dict | None:
-    """Clean new raw files under ``source`` into the partitioned Parquet table ``dest``.
+                       schema=RAW, max_files_per_trigger: int = 1000, table: str | None = None,
+                       writers_per_day: int = 8) -> dict | None:
+    """Clean new raw files under ``source``, at any depth, into the partitioned Parquet table ``dest``.
 
-    Returns the last progress report (None when nothing was new).
+    A batch's rows of one day go to at most ``writers_per_day`` tasks, so a batch adds few files per
+    folder (a batch is bounded by ``max_files_per_trigger``). With ``table`` the folders are also
+    registered in the session catalog. Returns the last progress report (None when nothing was new).
     """
     stream = (spark.readStream.schema(schema).format(fmt)
-              .option("maxFilesPerTrigger", max_files_per_trigger)
+              .option("maxFilesPerTrigger", max_files_per_trigger).option("recursiveFileLookup", "true")
               .load(source))
-    query = (clean_meter(stream).writeStream.format("parquet")
+    salt = F.pmod(F.xxhash64("meter_id", "event_ts"), F.lit(writers_per_day))
+    query = (clean_meter(stream).repartition(*PARTITION_COLUMNS, salt).writeStream.format("parquet")
              .option("checkpointLocation", checkpoint)
              .partitionBy(*PARTITION_COLUMNS)
              .trigger(availableNow=True)
              .start(dest))
     query.awaitTermination()
+    if table:
+        register(spark, table, dest)
     return query.lastProgress
+
+
+def register(spark: SparkSession, table: str, path: str) -> None:
+    """Make the partitioned Parquet folder ``path`` a catalog table, with all its present partitions."""
+    if not spark.catalog.tableExists(table):
+        spark.catalog.createTable(table, path=path, source="parquet")
+    spark.catalog.recoverPartitions(table)
