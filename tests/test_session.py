@@ -5,7 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from thermolytics.session import checkpoint_root, materialize, release
+from thermolytics.session import checkpoint_root, materialize, release, scratch
 
 
 def session(master, conf=None):
@@ -40,3 +40,12 @@ def test_release_removes_only_staged_tables(spark, tmp_dir):
     own = spark.read.parquet(f"{tmp_dir}/own")
     release(own)
     assert own.count() == 3
+
+
+def test_a_job_leaves_no_staged_tables(spark):
+    root = checkpoint_root(spark)
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    with scratch(spark):
+        assert materialize(spark.range(5), "job").count() == 5
+        assert set(os.listdir(root)) != before
+    assert set(os.listdir(root)) == before

@@ -1,6 +1,6 @@
-from .dates import date_range_predicate, parse_date, parse_timestamp, validate_date
+from .dates import date_range_predicate, parse_timestamp, validate_date
 from .numeric import gt_not_nan, round6, safe_ratio
 from .params import attach_row
 
-__all__ = ["date_range_predicate", "parse_date", "parse_timestamp", "validate_date",
+__all__ = ["date_range_predicate", "parse_timestamp", "validate_date",
            "gt_not_nan", "round6", "safe_ratio", "attach_row"]

@@ -28,12 +28,6 @@ def parse_timestamp(col: str | Column, fmt: str = TIMESTAMP_FORMAT) -> Column:
     return F.try_to_timestamp(c, F.lit(fmt))
 
 
-def parse_date(col: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
-    """Text to date; unparsable text gives null."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.to_date(F.try_to_timestamp(c, F.lit(fmt)))
-
-
 def date_range_predicate(ts_col: str, start, end, columns=None) -> Column:
     """Rows whose timestamp falls on a day in [start, end], both days whole.
 

@@ -16,11 +16,6 @@ def require_features(df: DataFrame, cols, exc=ValueError, msg: str | None = None
         raise exc(msg or f"Missing feature columns: {missing}")
 
 
-def fill_features(df: DataFrame, cols, value: float = 0.0) -> DataFrame:
-    """Null feature values -> ``value`` (the model's imputation)."""
-    return df.fillna(value, subset=list(cols))
-
-
 def fit_scaler(df: DataFrame, cols) -> DataFrame:
     """One-row parameter table: ``<c>_mean`` and ``<c>_std`` per feature.
 

@@ -42,13 +42,6 @@ def _status_rows(schema: T.StructType, contract: dict):
     return rows
 
 
-def schema_status(spark: SparkSession, df: DataFrame, contract: dict) -> DataFrame:
-    """(column, expected, actual, status) from the schema alone; no job runs."""
-    rows = _status_rows(df.schema, load_contract(contract))
-    sch = "column string, expected string, actual string, status string"
-    return spark.createDataFrame(rows, sch)
-
-
 def check_contract(df: DataFrame, contract) -> DataFrame:
     """Status per column plus a data profile: rows, nulls and values that do
     not convert to the contract type (``try_cast``), from one aggregate.

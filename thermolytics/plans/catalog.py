@@ -90,6 +90,7 @@ from ..operators.lof import fit_lof, lof_flag, lof_novelty, lof_scores  # noqa:
 from ..operators.regress import fit_hdd_regression, regression_residual  # noqa: E402
 from ..operators.scale import apply_scaler, fit_scaler, scaler_long  # noqa: E402
 from ..schemas import MODEL_FEATURES  # noqa: E402
+from ..session import materialize  # noqa: E402
 
 FEATS = MODEL_FEATURES
 ZCOLS = [f"z_{c}" for c in FEATS]
@@ -256,7 +257,7 @@ def novelty_sql(select: str, extra=(), views=("meter", "weather")) -> str:
 
 
 def split_sets(spark, sf_dir):
-    f = filled_features(spark, sf_dir)
+    f = materialize(filled_features(spark, sf_dir), "features")     # scaler, fit, scoring and regression read it
     ref = f.where(F.col("event_date") < F.lit(SPLIT_DATE).cast("date"))
     qry = f.where(F.col("event_date") >= F.lit(SPLIT_DATE).cast("date"))
     params = fit_scaler(ref, FEATS)
@@ -581,7 +582,7 @@ ALERT_OUT = ["AlertID", "ApartmentID", "EventDate", "BuildingID", "AnomalyScore"
 
 def residual_scores(spark, sf_dir):
     """Score rows for the alert steps: |energy - regression(hdd)| of every daily row."""
-    f = filled_features(spark, sf_dir)
+    f = materialize(filled_features(spark, sf_dir), "features")
     r = regression_residual(f, fit_hdd_regression(f))
     return r.select("apartment_id", "building_id", F.date_format("event_date", "yyyy-MM-dd").alias("event_date"),
                     F.round(F.abs("residual"), 6).alias("score"), F.dayofmonth("event_date").alias("dom"))
@@ -612,7 +613,8 @@ def source_group(col="S3SourceFile"):
 
 
 def parsed_scores(spark, sf_dir):
-    return parse_scores(read_scores(spark, write_score_files(spark, sf_dir)))
+    """(parsed, rejected) of the written files; parsed once, as several steps branch on the rows."""
+    return parse_scores(materialize(read_scores(spark, write_score_files(spark, sf_dir)), "score-rows"))
 
 
 def alert_rows(good, alert_time=ALERT_TIME_1, status="Unseen"):
@@ -869,7 +871,6 @@ def q_evaluation_report_json(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- stored forms of sources
-from ..session import materialize  # noqa: E402
 
 from ..sources.alerts_store import delete_from_store, upsert_alerts  # noqa: E402
 from ..sources.labels import read_labels  # noqa: E402

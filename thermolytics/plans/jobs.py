@@ -17,6 +17,7 @@ from ..operators.dedup import latest_features
 from ..operators.evaluate import evaluate
 from ..operators.strategy import fit, save_model, score
 from ..schemas import MODEL_FEATURES, SCORE_COLUMNS
+from ..session import scratch
 from ..sources.alerts_store import upsert_alerts
 from ..sources.features import read_features, write_features
 from ..sources.meter import read_meter, read_raw_meter, read_weather, write_meter
@@ -44,8 +45,9 @@ def ingest(spark: SparkSession, source, dest: str, table: str | None = None) ->
 
 def build_training_features(spark: SparkSession, meter_path: str, weather_path: str, start, end,
                             out_path: str, **kw) -> None:
-    f = training_features(read_meter(spark, meter_path), read_weather(spark, weather_path), start, end, **kw)
-    write_features(f, out_path)
+    with scratch(spark):
+        f = training_features(read_meter(spark, meter_path), read_weather(spark, weather_path), start, end, **kw)
+        write_features(f, out_path)
 
 
 def build_inference_features(spark: SparkSession, meter_path: str, weather_path: str, date, **kw) -> DataFrame:
@@ -58,8 +60,9 @@ def train(spark: SparkSession, features_path: str, model_path: str, strategy: st
     feats = latest_features(read_features(spark, features_path))
     if feats.isEmpty():
         raise ValueError(f"The feature store {features_path} has no rows to train on")
-    model = fit(strategy, feats, feature_columns=list(feature_columns), **params)
-    save_model(model, model_path)
+    with scratch(spark):
+        model = fit(strategy, feats, feature_columns=list(feature_columns), **params)
+        save_model(model, model_path)
 
 
 def evaluate_job(model, eval_features: DataFrame, labels: DataFrame | None, report_path: str | None = None,

@@ -25,9 +25,6 @@ METER = _struct(("event_ts", T.TimestampType()), ("meter_id", S), ("apartment_id
 
 WEATHER_COLUMNS = ["hdd", "avg_temp_c"]
 
-DAILY_COLUMNS = ["building_id", "apartment_id", "event_date",
-                 "avg_temp_diff", "daily_energy_kwh", "daily_water_l"]
-
 FEATURE_COLUMNS = ["apartment_record_id", "event_time", "event_date", "building_id",
                    "daily_energy_kwh", "avg_temp_diff", "daily_water_l", "hdd", "avg_temp_c",
                    "energy_lag_1d", "energy_roll_avg_7d", "temp_diff_lag_1d"]
@@ -47,8 +44,6 @@ MODEL_FEATURES = ["daily_energy_kwh", "avg_temp_diff", "hdd", "avg_temp_c",
                   "energy_lag_1d", "energy_roll_avg_7d"]
 
 SCORE_COLUMNS = ["apartment_id", "building_id", "event_date", "anomaly_score_combined"]
-SCORE_TEXT = _struct(("apartment_id", S), ("building_id", S), ("event_date", S),
-                     ("anomaly_score_combined", S), ("_corrupt_record", S))
 
 LABEL = _struct(("apartment_record_id", S), ("event_date", T.DateType()), ("is_anomaly", I))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import re
 import uuid
@@ -65,7 +67,33 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint root for a staged table."""
-    return f"{checkpoint_root(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/stage-{name}-{uuid.uuid4().hex[:12]}"
+    own = _OWN.get()
+    if own is not None:
+        own.append(path)
+    return path
+
+
+_OWN: contextvars.ContextVar = contextvars.ContextVar("own_stages", default=None)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Deletes the staged tables made inside the block when it ends. For jobs that have written their
+    results elsewhere by then; a frame that still reads them must not leave the block."""
+    mark = _OWN.set([])
+    try:
+        yield
+    finally:
+        paths = _OWN.get()
+        _OWN.reset(mark)
+        for path in paths:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def materialize(df, name: str, count: bool = False):
@@ -97,12 +125,9 @@ def release(*frames) -> None:
     Only ``stage-*`` folders under the checkpoint folder are touched.
     """
     for df in frames:
-        spark = df.sparkSession
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if folder.rsplit("/", 1)[-1].startswith("stage-"):
-                path = jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(conf).delete(path, True)
+                _delete(df.sparkSession, folder)
 
 
 def cleanup_staging(spark: SparkSession, older_than_hours: float = 24.0, root: str | None = None) -> int:
