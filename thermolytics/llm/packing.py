@@ -47,29 +47,31 @@ def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def byte_character(b: int) -> str:
+    """The character for a byte in vocabularies over bytes: printable Latin-1 as it is, others from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return chr(b) if b in printable else chr(256 + sum(x not in printable for x in range(b)))
+
+
 class WordIds:
     """Ids of texts through a bounded cache of words.
 
     Most words are lower-case letters, perhaps with marks after them. The tokenizer cuts between
     the two, so a word is kept as one or two units: letters and marks, or else the word as it
-    is. Units of letters need no normalising and no pattern, and are encoded many at a time, in one
-    text: each ends with a token that ends a word.
+    is. Units of letters need no normalising and no pattern: the tokenizer's model takes them as
+    they are, its bytes above ASCII written as the characters that stand for them in its vocabulary.
     """
 
     #: Lines of ASCII and Latin-1 lower-case letters and then marks (no ' or <), or any others.
     PLAIN = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:;=-@\[-`{-~]*)\n|[^\n]*\n")
 
     def __init__(self, path: str, most: int = 600_000):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark runs the tasks side by side
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.letters = Tokenizer(self.tokenizer.model)
-        self.letters.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.last = np.zeros(max(vocab.values()) + 1, bool)
-        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.tokenize = self.tokenizer.model.tokenize
+        self.above = {c: "".join(map(byte_character, chr(c).encode())) for c in range(0x80, 0x100)}
         self.clear()
 
     def clear(self):
@@ -79,18 +81,16 @@ class WordIds:
 
     def add(self, letters: bool = False) -> None:
         """Encode the units that are new."""
-        new = [u.decode("utf-8", "replace") for u in islice(self.units, len(self.size), None)]
+        new = b" ".join(islice(self.units, len(self.size), None)).decode("utf-8", "replace")
         if not new:
             return
-        ids = self.letters.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids if letters else ()
-        ids = np.array(ids, np.uint32)
-        ends = np.flatnonzero(self.last[ids]) + 1
-        if letters and len(ends) == len(new):
-            size = np.diff(ends, prepend=0)
+        if letters:
+            tokenize = self.tokenize
+            lists = [[t.id for t in tokenize(u)] for u in new.translate(self.above).split(" ")]
         else:
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            size = np.fromiter(map(len, lists), np.int64, len(lists))
-            ids = np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum()))
+            lists = [e.ids for e in self.tokenizer.encode_batch_fast(new.split(" "), add_special_tokens=False)]
+        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        ids = np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum()))
         self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
         self.size, self.flat = np.concatenate([self.size, size]), np.concatenate([self.flat, ids])
 
