@@ -1030,3 +1030,26 @@ def q_label_metrics_unscored(spark, sf_dir):
     s = scores_keyed(spark, sf_dir).withColumn(
         "anomaly_score_combined", F.when(F.col("building_id") != "bldg4", F.col("anomaly_score_combined")))
     return rounded(label_metrics(s, labels_for(spark, sf_dir), score_threshold(s, q=0.95)))
+
+
+# ---------------------------------------------------------------- model metadata as string maps
+from ..functions.maps import model_properties, text_map  # noqa: E402
+
+PARAMS = {"lof_neighbors": "20", "lof_contamination": "auto"}
+
+
+@register("model_properties", alert_sql(
+    "SELECT building_id, unnest(map_entries(m)).key AS name, unnest(map_entries(m)).value AS value FROM (SELECT building_id, MAP {"
+    "'CommitId': 'none', " + ", ".join(f"'Hyperparameter_{k}': '{v}'" for k, v in PARAMS.items())
+    + ", 'Evaluation_num_records_evaluated': CAST(count(score) AS VARCHAR), "
+    "'Evaluation_score_max': CAST(CAST(round(max(score), 3) AS DECIMAL(18, 3)) AS VARCHAR), "
+    "'Evaluation_status': 'Success'} AS m FROM rs GROUP BY building_id) t"))
+def q_model_properties(spark, sf_dir):
+    """Parameters and evaluation of one model per building as prefixed string maps, through JSON text and back."""
+    s = residual_scores(spark, sf_dir).select("building_id", F.col("score").alias("anomaly_score_combined"))
+    stats = score_stats(s, group_cols=["building_id"])
+    metrics = text_map({"num_records_evaluated": F.col("num_records_evaluated"), "status": F.lit("Success"), "f1_score": F.lit(None),
+                        "score_max": F.round("score_max", 3).cast("decimal(18,3)")})
+    props = model_properties(text_map({k: F.lit(v) for k, v in PARAMS.items()}), metrics, CommitId="none")
+    back = F.from_json(F.to_json(props), "map<string,string>")
+    return stats.select("building_id", F.explode(back).alias("name", "value"))
