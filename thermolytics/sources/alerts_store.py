@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.alerts import merge_alerts
 from ..schemas import ALERT_COLUMNS, ALERT_DECIMAL
@@ -34,10 +33,11 @@ def to_store(df: DataFrame) -> DataFrame:
 
 
 def _scan(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(f"{STORE_SCHEMA}, {PART} string").parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], f"{STORE_SCHEMA}, {PART} string")
+    schema = f"{STORE_SCHEMA}, {PART} string"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_alerts(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
