@@ -66,3 +66,13 @@ def test_query_digest_and_empty_table(spark, tmp_path):
     got = queries.op4_substring_dedup(spark, str(tmp_path)).first()
     assert got["kept_sha256"] == hashlib.sha256(b"b a").hexdigest()
     assert run(frame(spark, [])) == []
+
+
+def test_many_rows_without_an_id(spark):
+    """A third of all rows lack an id, half of them equal: marks stay those of each text."""
+    from .cases import words
+    rows = [(i, " ".join(words(i, 60)), None, None, 0) for i in range(40)]
+    rows += [(None, " ".join(words(7, 60) if i % 2 else words(1000 + i, 60)), None, None, 0) for i in range(20)]
+    got = substrings.dedup_substrings(frame(spark, rows)).collect()
+    assert len(got) == 60 and all(r["n_removed"] == 0 for r in got if r["doc_id"] is None)
+    assert {r["doc_id"]: r["n_removed"] for r in got if r["doc_id"] is not None} == {i: 60 * (i == 7) for i in range(40)}

@@ -104,16 +104,16 @@ def _seeded(docs: DataFrame) -> DataFrame:
 
 
 def _gathered(marks: DataFrame) -> DataFrame:
-    """One row per document: its marks, bounded by its own words."""
-    return marks.groupBy("did").agg(F.collect_list("at").alias("ats"), F.collect_list("whole").alias("wholes"))
+    """(did, tag, marks): each text's marks, bounded by its own words. Sets: equal rows mark the same places."""
+    tag = F.col("at").bitwiseAND(F.lit((1 << _TAG_BITS) - 1))
+    return marks.groupBy("did", tag.alias("tag")).agg(F.collect_set(F.col("at") * 2 + F.col("whole").cast("long")).alias("marks"))
 
 
-def _split(ats, wholes, tag):
-    at = np.array(ats or (), np.int64)
-    whole = np.array(wholes or (), bool)
-    mine = (at & ((1 << _TAG_BITS) - 1)) == tag
-    at, whole = at[mine], whole[mine]
-    return at >> (_N_BITS + _TAG_BITS), (at >> _TAG_BITS) & ((1 << _N_BITS) - 1), whole
+def _split(marks):
+    """(first window, windows, whole) of each mark."""
+    marks = np.array(marks or (), np.int64)
+    at = marks >> 1
+    return at >> (_N_BITS + _TAG_BITS), (at >> _TAG_BITS) & ((1 << _N_BITS) - 1), (marks & 1).astype(bool)
 
 
 def _windows(docs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -121,8 +121,8 @@ def _windows(docs: DataFrame, marks: DataFrame) -> DataFrame:
     def make(batches):
         for b in slices(batches):
             out = []
-            for did, tag, text, ats, wholes in rows(b, "did", "tag", "text", "ats", "wholes"):
-                first, count, whole = _split(ats, wholes, tag)
+            for did, tag, text, marks in rows(b, "did", "tag", "text", "marks"):
+                first, count, whole = _split(marks)
                 first, count = first[~whole], count[~whole]
                 if not len(first):
                     continue
@@ -139,7 +139,7 @@ def _windows(docs: DataFrame, marks: DataFrame) -> DataFrame:
                                                  names=["one", "two", "did", "at", "again"])
 
     ends = marks.where("not whole")
-    windows = _input(docs).join(_gathered(ends), "did").select("did", "tag", "text", "ats", "wholes") \
+    windows = _input(docs).join(_gathered(ends), ["did", "tag"]).select("did", "tag", "text", "marks") \
         .mapInArrow(make, "one long, two long, did long, at long, again boolean")
     windows = materialize(windows, "sub-windows")
     firsts = windows.where("not again").groupBy("one", "two").agg(F.min("did").alias("first"), F.count("*").alias("n")) \
@@ -156,9 +156,9 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     def cut(batches):
         for b in slices(batches):
             ids, n, gone, spans, kept = [], [], [], [], []
-            for did, tag, text, ats, wholes in rows(b, "did", "tag", "text", "ats", "wholes"):
+            for did, text, marks in rows(b, "did", "text", "marks"):
                 words = text.split()
-                first, count, _ = _split(ats, wholes, tag)
+                first, count, _ = _split(marks)
                 step = np.zeros(len(words) + 1, np.int32)
                 np.add.at(step, first, 1)
                 np.add.at(step, first + count + LENGTH - 1, -1)
@@ -177,5 +177,5 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     marks = _seeded(docs)
     ends = _windows(docs, marks)
     every = _gathered(marks.where("whole").union(ends))
-    return _input(docs).join(every, "did", "left").select("did", "tag", "text", "ats", "wholes") \
+    return _input(docs).join(every, ["did", "tag"], "left").select("did", "text", "marks") \
         .mapInArrow(cut, "doc_id long, n_words long, n_removed long, removed array<struct<first:long,end:long>>, kept string")
