@@ -10,7 +10,7 @@ order; the last one is cut where the window ends and its rest is the next seed.
 neighbour shares a query term, the next unused document follows. So every sequence is full but the
 last of each shard.
 
-Shards are cut by (sketch, doc_id): copies, however many, spread over shards. A shard is a
+Shards are cut by (sketch, doc_id, row): copies, however many, spread over shards. A shard is a
 partition of bounded size; nothing but the table of document frequencies (one number per
 vocabulary id) reaches the driver.
 
@@ -259,7 +259,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end: in
         if not held:
             return
         t = pa.Table.from_batches(held)
-        t = t.sort_by([("sketch", "ascending"), ("doc_id", "ascending"), ("first", "ascending")])
+        t = t.sort_by([("sketch", "ascending"), ("doc_id", "ascending"), ("row", "ascending")])
         ids, tokens = t.column("doc_id").to_pylist(), t.column("doc_tokens").to_pylist()
         texts = [np.frombuffer(x, f"<u{width}") for x in t.column("rest").to_pylist()]
         base = (TaskContext.get().partitionId() + 1) << 32
@@ -268,8 +268,9 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end: in
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)],
                                          names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-    packed = rest.select("doc_id", "doc_tokens", "first", "rest", "sketch") \
-        .repartitionByRange(max(1, -(-n_docs // shard)), "sketch", "doc_id").mapInArrow(shards, PIECE)
+    # The row number splits rows that are equal in sketch and id.
+    packed = rest.select("doc_id", "doc_tokens", "first", "rest", "sketch", F.monotonically_increasing_id().alias("row")) \
+        .repartitionByRange(max(1, -(-n_docs // shard)), "sketch", "doc_id", "row").mapInArrow(shards, PIECE)
     whole = rows.where("df is null").select("doc_id", "doc_tokens", "first", F.posexplode("crcs").alias("i", "ids_crc32")) \
         .select("doc_id", (F.col("i") * F.lit(window).cast("long")).alias("start"), F.lit(window).cast("long").alias("length"),
                 "ids_crc32", "doc_tokens", (F.col("first") + F.col("i")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
