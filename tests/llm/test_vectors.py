@@ -153,3 +153,32 @@ def test_search_finds_every_node_in_range():
     seen = vectors.beam_search(x[:50], x, graph, np.array([0]), beam=16, reach=0.95)
     near = x[:50] @ x.T >= 0.95
     assert (seen[near] >= 0.95 - 1e-9).mean() > 0.99
+
+
+def test_each_query_has_its_k(spark, monkeypatch):
+    """Centroids sit on groups of three equal directions: the nearest list alone holds too few."""
+    monkeypatch.setattr(postings, "PER_LIST", 3)
+    x = np.repeat(points(200, dim=8, seed=5), 3, axis=0) * np.tile([1, 2, 4], 200)[:, None]
+    want = exact(x, np.arange(len(x)), 10, 5)
+    got = sorted(map(tuple, postings.nearest(frame(spark, enumerate(x)), every=10).collect()))
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert len({(r[0], r[2]) for r in got} & {(r[0], r[2]) for r in want}) >= 0.9 * len(want)
+
+
+def test_short_queries_are_scored_against_all(spark, monkeypatch):
+    """With lists of one vector each and no range, the first search finds next to nothing."""
+    monkeypatch.setattr(postings, "PER_LIST", 1)
+    monkeypatch.setattr(postings, "LIST", 100)
+    monkeypatch.setattr(postings, "calibrated", lambda *_: 1.0)
+    monkeypatch.setattr(postings, "COPIES", 1)
+    x = points(400, dim=8)
+    near = postings.Centres.near
+    monkeypatch.setattr(postings.Centres, "near", lambda self, x, ratio, most=None, held=None, need=0: near(self, x, ratio, most))
+    got = sorted(map(tuple, postings.nearest(frame(spark, enumerate(x)), every=20).collect()))
+    assert [(r[0], r[1], r[2]) for r in got] == [r[:3] for r in exact(x, np.arange(400), 20, 5)]
+
+
+def test_rows_that_repeat_are_one_candidate(spark):
+    rows = [(0, [1, 0])] + [(7, [1, 0.1])] * 8 + [(i, [1, i]) for i in range(1, 6)]
+    got = [tuple(r)[:3] for r in postings.nearest(frame(spark, rows)).orderBy("rank").collect()]
+    assert got == [(0, 1, 7), (0, 2, 1), (0, 3, 2), (0, 4, 3), (0, 5, 4)]

@@ -5,8 +5,10 @@ A vector is put on the list of its nearest centroid, found by greedy search on t
 boundary vector also on the lists of up to ``COPIES`` centroids that are nearly as close. Lists
 above ``LIST`` vectors are dealt by hash into parts of about that size, so no task holds more than
 a part, however many vectors are alike. A query searches the centroid graph, and takes the lists whose
-distance is within a ratio of the nearest one's; it is sent to every part of those lists.
-Each part scores its queries exactly and returns their best ``k``; the results are merged per query.
+distance is within a ratio of that of the nearest one (with nearer ones, of those that are first to be home
+to more than ``k`` vectors); it is sent to every part of those lists. Each part scores its queries exactly and
+returns their best ``k``; the results are merged per query. Queries that still have fewer than ``k``, though
+there are more candidates, are scored against all vectors, in blocks.
 
 The ratio is calibrated: on the bounded sample, the smallest at which an index of the sample finds
 ``RECALL`` of the true neighbours of some of its rows. ``recall`` measures the index against
@@ -45,11 +47,25 @@ class Centres:
         self.graph = padded(with_reverse(pruned_graph(c)))
         self.start = np.array([(c @ c.mean(axis=0)).argmax()]) if len(c) else np.array([], np.int64)
 
-    def near(self, x: np.ndarray, ratio: float, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(row, list) pairs, nearest first in each row. ``x`` has unit rows."""
+    def near(self, x: np.ndarray, ratio: float, most: int | None = None, held: np.ndarray | None = None,
+             need: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """(row, list) pairs, nearest first in each row. ``x`` has unit rows.
+
+        With ``held``, the vectors whose nearest list is each, the ratio is to the distance up to which
+        the lists hold ``need`` vectors.
+        """
         seen = beam_search(x, self.c, self.graph, self.start, beam=16)
         dist = np.sqrt(np.maximum(0, 2 - 2 * seen))
-        bar = np.maximum(dist.min(axis=1, keepdims=True), 1e-6) * ratio
+        first = dist.min(axis=1, keepdims=True)
+        if held is not None:
+            few = np.flatnonzero(held[dist.argmin(axis=1)] < need)
+            for i in range(0, len(few), 64):
+                every = np.sqrt(np.maximum(0, 2 - 2 * (x[few[i:i + 64]] @ self.c.T)))
+                order = np.argsort(every, axis=1, kind="stable")
+                enough = np.minimum((np.cumsum(held[order], axis=1) < need).sum(axis=1), len(self.c) - 1)
+                reach = np.take_along_axis(order, enough[:, None], axis=1)
+                first[few[i:i + 64]] = np.maximum(first[few[i:i + 64]], np.take_along_axis(every, reach, axis=1))
+        bar = np.maximum(first, 1e-6) * ratio
         if not most:        # lists in range may lie past the beam: widen over all of the range
             seen = beam_search(x, self.c, self.graph, self.start, beam=16, reach=float(1 - bar.max() ** 2 / 2))
             dist = np.sqrt(np.maximum(0, 2 - 2 * seen))
@@ -84,18 +100,21 @@ def calibrated(x: np.ndarray, centres: Centres, k: int, queries: int = 200) -> f
     return RATIOS[-1]
 
 
-def _spread(rows: DataFrame, centres: Centres, ratio: float, most: int | None) -> DataFrame:
-    """(id, v, list): each vector on its lists."""
+def _spread(rows: DataFrame, centres: Centres, ratio: float, most: int | None, held: np.ndarray | None = None,
+            need: int = 0) -> DataFrame:
+    """(id, v, list, home): each vector on its lists; home is the nearest."""
     def put(batches):
         for b in batches:
             for i in range(0, b.num_rows, 256):
                 part = b.slice(i, 256)
-                row, cell = centres.near(unit(matrix(part.column("v"))), ratio, most)
+                row, cell = centres.near(unit(matrix(part.column("v"))), ratio, most, held, need)
                 at = pa.array(row)
                 yield pa.RecordBatch.from_arrays([part.column("id").take(at), part.column("v").take(at),
-                                                  pa.array(cell.astype(np.int32))], names=["id", "v", "list"])
+                                                  pa.array(cell.astype(np.int32)), pa.array(np.diff(row, prepend=-1) > 0)],
+                                                 names=["id", "v", "list", "home"])
 
-    return rows.select("id", "v").mapInArrow(put, f"id long, v {rows.schema['v'].dataType.simpleString()}, list int")
+    kind = rows.schema["v"].dataType.simpleString()
+    return rows.select("id", "v").mapInArrow(put, f"id long, v {kind}, list int, home boolean")
 
 
 def _best(k: int):
@@ -126,9 +145,19 @@ def _best(k: int):
     return score
 
 
+def _scored(held: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(query_id, rank, vec_id, score): ``k`` best of the vectors in the parts that a query is sent to."""
+    cols = ["list", "part", "id", "v"]
+    both = held.select(*cols, F.lit(False).alias("asks")).union(asked.select(*cols, F.lit(True).alias("asks")))
+    found = both.groupBy("list", "part").applyInArrow(_best(k), "query_id long, vec_id long, score double").distinct()
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
+        .select("query_id", "rank", "vec_id", "score")
+
+
 def search(vectors: DataFrame, queries: Column | str, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): ``k`` nearest of the rows of ``vectors`` (id, v) that satisfy ``queries``."""
-    vectors = materialize(vectors, "ann-vectors")
+    vectors = materialize(vectors.distinct(), "ann-vectors")        # equal rows are one candidate
     x = sample(vectors)
     if not len(x):
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -136,16 +165,26 @@ def search(vectors: DataFrame, queries: Column | str, k: int = 5) -> DataFrame:
     centres = Centres(centroids(x, min(CLUSTER_MOST, max(1, n // PER_LIST))))
     ratio = calibrated(x, centres, k)
     lists = materialize(_spread(vectors, centres, CLOSE, COPIES), "ann-lists")
-    asked = _spread(vectors.where(queries), centres, ratio, None)
-    parts = lists.groupBy("list").agg(F.ceil(F.count("*") / LIST).cast("int").alias("parts"))
-    held = lists.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("id", "v"), F.col("parts")).cast("int"))
-    asked = asked.join(parts, "list").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cols = ["list", "part", "id", "v"]
-    both = held.select(*cols, F.lit(False).alias("asks")).union(asked.select(*cols, F.lit(True).alias("asks")))
-    found = both.groupBy("list", "part").applyInArrow(_best(k), "query_id long, vec_id long, score double").distinct()
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k) \
-        .select("query_id", "rank", "vec_id", "score")
+    parts = lists.groupBy("list").agg(F.ceil(F.count("*") / LIST).cast("int").alias("parts"), F.count_if("home").alias("home"))
+    parts = materialize(parts, "ann-parts")
+    home = np.zeros(len(centres.c), np.int64)
+    for r in parts.collect():                                       # one row per centroid
+        home[r["list"]] = r["home"]
+    parts = parts.drop("home")
+    asked = _spread(vectors.where(queries), centres, ratio, None, home, k + 1)
+    deal = F.pmod(F.xxhash64("id", "v"), F.col("parts")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    found = _scored(lists.join(parts, "list").withColumn("part", deal), asked.join(parts, "list").withColumn("part", every), k)
+    found = materialize(found, "ann-found")
+
+    # A query has all of its k, or else all there are.
+    whole = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"))
+    short = materialize(vectors.where(queries).join(whole, "id", "left_anti"), "ann-short")
+    if not short.take(1) or vectors.select("id").distinct().count() < 2:
+        return found
+    block = [F.lit(0).alias("list"), F.lit(-(-n // LIST)).alias("parts")]
+    rest = _scored(vectors.select("*", *block).withColumn("part", deal), short.select("*", *block).withColumn("part", every), k)
+    return found.join(short, found["query_id"] == short["id"], "left_anti").union(rest)
 
 
 def nearest(df: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
