@@ -54,3 +54,36 @@ def test_clean_only_and_empty_tables(spark):
     rows = [(i, f"{GOOD}Item {i} of the list.", "en", "s", 0) for i in range(30)]
     assert all(r["kept"] for r in quality.classify(frame(spark, rows)).collect())
     assert collected(quality.classify(frame(spark, []))) == []
+
+
+def unlisted(n=40):
+    """(lang, text): clean documents of languages without fixed function words."""
+    import random
+    parts = {
+        "ru": ("и в не на что с по это как его к но они из у".split(), "дом река город книга слово время человек дорога ответ история".split(), " "),
+        "pl": ("w na nie z do się że jest jak po za od ale co".split(), "książka miasto droga słowo człowiek odpowiedź rzeka historia żona".split(), " "),
+        "fi": ("ja ei se että hän oli mutta niin kun kuin myös".split(), "talo kaupunki kirja sanoja ihminen vastaus historia järvi metsä".split(), " "),
+        "zh": (list("的一是不了在人有我他这"), [chr(0x5000 + 7 * i) + chr(0x6000 + 5 * i) for i in range(200)], "")}
+    for lang, (small, large, gap) in parts.items():
+        for i in range(n):
+            rng = random.Random(f"{lang}{i}")
+            line = lambda: gap.join(rng.choice(small if rng.random() < 0.45 else large) for _ in range(12)) + "."
+            yield lang, "\n".join(line() for _ in range(6))
+
+
+def test_clean_documents_of_other_languages_are_kept(spark):
+    import random
+    junk = ["Of%%% ath{}*** erntwh.%%% Thnt{}&&& ndre{}$$$ ", "than{} | thanond{} | aninged{} | ention{}. | "]
+    rows = [(i, f"{GOOD}Item {i} of the list.", "en", "s", 0) for i in range(300)]
+    rows += [(1000 + i, " ".join(junk[i % 2].replace("{}", random.Random(i * 99 + j).choice("abcdefgh") * 3) for j in range(8)), "en", "s", 0) for i in range(60)]
+    rows += [(2000 + i, text, lang, "s", 0) for i, (lang, text) in enumerate(unlisted())]
+    got = {r["doc_id"]: r for r in quality.classify(frame(spark, rows)).collect()}
+    assert all(r["kept"] and r["posterior"] > 0.9 for x, r in got.items() if not 1000 <= x < 2000)
+    assert all(r["posterior"] < 0.1 for x, r in got.items() if 1000 <= x < 2000)
+
+
+def test_word_length_counts_characters():
+    n, s, _ = quality.statistics("достопримечательность обеспечение".encode())
+    assert s["word_length"] == 16 and n == 2
+    n, s, _ = quality.statistics(("这是一个很长的句子没有空格" * 3).encode())
+    assert quality.votes(n, s)[quality.LABELLERS.index("word_length")] == 0

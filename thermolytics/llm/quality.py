@@ -8,6 +8,10 @@ which the scorer is trained: a logistic model over hashed features (shapes of wo
 of the document's statistics). Each task runs minibatch descent over its share of all documents,
 and the models are averaged by rows. No gold label is used.
 
+The fixed function words are those of four languages. Of a language (column lang, where there is one) of
+whose documents many lack them, the short words that stand in many of its documents are taken as well, counted over all
+documents. Scripts without spaces are read by the character.
+
 Scoring is a column function of the text, so a filter by it moves no rows.
 
 Cases: null text and text without words are scored 0 and rejected. An empty table gives an empty
@@ -16,7 +20,8 @@ result. Equal texts get equal scores. Other columns are ignored. Texts are read
 
 from __future__ import annotations
 
-from collections import Counter
+import re
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
@@ -25,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, release
+from .common import rows as rows_of
 from .common import run_hashes, slices, utf8, word_hashes
 
 DIM = 1 << 13
@@ -34,6 +40,10 @@ BLOCK, BATCH = 2048, 256
 RATE = 0.5
 FALSE_ALARMS = 0.001    # most that a labeller may call bad of the good documents
 CUT = 0.2               # documents scored below are rejected: only clear cases
+FEW_FUNCTION_WORDS = 0.04
+LACKING = 0.25          # share of a language's documents below that, from which on its own words are learned
+FREQUENT = 0.2          # share of a language's documents that a frequent word stands in
+SHORT = 6               # characters of a frequent word at most
 
 #: Frequent function words of English, German, French and Spanish.
 FUNCTION_WORDS = frozenset(
@@ -42,14 +52,35 @@ FUNCTION_WORDS = frozenset(
     b"le la les de et des en un une du que qui dans pour sur au par est il ne se pas plus elle avec ou son "
     b"el los y del se las por con una su para al lo como mas o pero sus".split())
 
+#: Letters of scripts without spaces: Thai, Lao, Burmese, Khmer, kana and Han.
+UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\U00020000-\U0003ffff])")
+_LEADS = bytes([0xE0, 0xE1, *range(0xE3, 0xEA), 0xF0])      # first bytes of their letters
+_FURTHER = bytes(range(0x80, 0xC0))                         # bytes of a character after its first
+
 SYMBOLS = b"#$%&*+<=>@[\\]^_`{|}~"
 _SHAPE = bytes(97 if 97 <= i <= 122 or i >= 128 else 65 if 65 <= i <= 90 else 48 if 48 <= i <= 57 else i for i in range(256))
 
 LABELLERS = ("symbols", "capitals", "function_words", "repetition", "separators", "exclamation", "word_length", "lines")
 
 
-def statistics(text: bytes) -> tuple[int, dict[str, float], list[bytes]]:
+def spaced(text: bytes) -> tuple[bytes, int]:
+    """The text with spaces around letters of scripts without them, and how many there are."""
+    if text.isascii() or len(text.translate(None, _LEADS)) == len(text):
+        return text, 0
+    out, n = UNSPACED.subn(r" \1 ", text.decode("utf-8", "replace"))
+    return (out.encode(), n) if n else (text, 0)
+
+
+def plain_words(text: bytes) -> list[bytes]:
+    """Words as they are looked up: lower-case, without punctuation."""
+    if not text.isascii():
+        text = text.decode("utf-8", "replace").lower().encode()
+    return text.lower().translate(None, b".,;:!?\"'()").split()
+
+
+def statistics(text: bytes, frequent: frozenset = FUNCTION_WORDS) -> tuple[int, dict[str, float], list[bytes]]:
     """(words, the labellers' measures, words)."""
+    text, single = spaced(text)
     words = text.split()
     n = len(words)
     if not n:
@@ -57,23 +88,24 @@ def statistics(text: bytes) -> tuple[int, dict[str, float], list[bytes]]:
     size = len(text)
     shape = text.translate(_SHAPE)
     lower, upper = shape.count(b"a"), shape.count(b"A")
+    further = size - len(text.translate(None, _FURTHER))
     runs = run_hashes(word_hashes(words), 5)
     lines = [x for x in text.split(b"\n") if x.strip()]
     return n, {
         "symbols": (size - len(text.translate(None, SYMBOLS))) / size,
         "capitals": upper / max(1, lower + upper),
-        "function_words": sum(w in FUNCTION_WORDS for w in text.lower().translate(None, b".,;:!?\"'()").split()) / n,
+        "function_words": sum(w in frequent for w in plain_words(text)) / n,
         "repetition": 1 - len(np.unique(runs)) / len(runs) if len(runs) else 0.0,
         "separators": sum(len(w) == 1 and not w.isalnum() and w < b"\x80" for w in words) / n,
         "exclamation": text.count(b"!") / n,
-        "word_length": (lower + upper) / n,
+        "word_length": (lower + upper - further) / (n - single + single / 3),    # three letters as a word where unspaced
         "lines": sum(len(x.split()) < 3 for x in lines) / len(lines) if len(lines) > 3 else 0.0,
     }, words
 
 
 def votes(n: int, s: dict[str, float]) -> np.ndarray:
     """Each labeller's vote: 0 abstains, 1 bad, 2 good."""
-    bad = np.array([s["symbols"] > 0.03, s["capitals"] > 0.5, n >= 20 and s["function_words"] < 0.04,
+    bad = np.array([s["symbols"] > 0.03, s["capitals"] > 0.5, n >= 20 and s["function_words"] < FEW_FUNCTION_WORDS,
                     n >= 20 and s["repetition"] > 0.4, s["separators"] > 0.1, s["exclamation"] > 0.25,
                     not 2 <= s["word_length"] <= 14, s["lines"] > 0.6])
     good = np.array([s["symbols"] < 0.005, False, s["function_words"] > 0.08, False, False, False, False, False])
@@ -98,14 +130,51 @@ def features(n: int, s: dict[str, float], words: list[bytes], known: dict[bytes,
     return np.array(at, np.int64), np.array(weight)
 
 
-def labelled(docs: DataFrame) -> DataFrame:
+def frequent_words(docs: DataFrame) -> frozenset:
+    """The fixed function words, and the frequent words of the languages that often lack these."""
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+
+    def count(batches):
+        found = defaultdict(Counter)
+        for b in slices(batches):
+            for lang, text in rows_of(b, "lang", "text"):
+                words = plain_words(spaced(text)[0])
+                if len(words) < 20:
+                    continue
+                found[lang][""] += 1
+                if sum(w in FUNCTION_WORDS for w in words) < FEW_FUNCTION_WORDS * len(words):
+                    found[lang][" "] += 1
+                    one = {w.decode("utf-8", "replace") for w in set(words)}
+                    found[lang].update(w for w in one if len(w) <= SHORT and w.isalpha())
+            if sum(map(len, found.values())) > 300_000:
+                yield from flush(found)
+                found.clear()
+        yield from flush(found)
+
+    def flush(found):
+        for lang, c in found.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.string()),
+                                              pa.array(list(c.values()), pa.int64())], names=["lang", "word", "n"])
+
+    counts = docs.select(lang.alias("lang"), utf8().alias("text")).mapInArrow(count, "lang string, word string, n long")
+    counts = materialize(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "quality-words")
+    lacking = counts.where("word in ('', ' ')").groupBy("lang") \
+        .agg(F.sum(F.when(F.col("word") == "", F.col("n"))).alias("all"), F.sum(F.when(F.col("word") == " ", F.col("n"))).alias("low")) \
+        .where(F.col("low") > LACKING * F.col("all"))
+    words = counts.where("word not in ('', ' ')").join(F.broadcast(lacking), "lang").where(F.col("n") >= FREQUENT * F.col("low"))
+    got = {r["word"].encode() for r in words.select("word").distinct().collect()}     # a few per language
+    release(counts)
+    return FUNCTION_WORDS | got
+
+
+def labelled(docs: DataFrame, frequent: frozenset = FUNCTION_WORDS) -> DataFrame:
     """(pattern, at, weight): vote pattern and hashed features of each document with words."""
     def make(batches):
         known: dict[bytes, int] = {}
         for b in slices(batches):
             out = []
             for text in b.column("text").to_pylist():
-                n, s, words = statistics(text)
+                n, s, words = statistics(text, frequent)
                 if n:
                     at, weight = features(n, s, words, known)
                     out.append((pattern(votes(n, s)), at.astype(np.uint16).tobytes(), weight.astype(np.float32).tobytes()))
@@ -148,9 +217,10 @@ def _margins(at, weight, row, n, w):
     return w[DIM] + np.bincount(row, w[at] * weight, n)
 
 
-def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, dict[int, float]]:
-    """(weights, vote table, posterior by pattern) from all documents."""
-    rows = materialize(labelled(docs), "quality-rows")
+def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, dict[int, float], frozenset]:
+    """(weights, vote table, posterior by pattern, frequent words) from all documents."""
+    frequent = frequent_words(docs)
+    rows = materialize(labelled(docs, frequent), "quality-rows")
     counts = rows.groupBy("pattern").count().toPandas().sort_values("pattern")      # at most 3 ** labellers rows
     posterior, table = estimate(counts["pattern"].to_numpy(np.int64), counts["count"].to_numpy(float))
 
@@ -178,18 +248,18 @@ def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, dict[int, float]]:
     weights = np.zeros(DIM + 1)
     weights[got["i"].to_numpy(np.int64)] = got["w"].to_numpy()
     release(rows)
-    return weights, table, posterior
+    return weights, table, posterior, frequent
 
 
 def scorer(model, text: str = "text") -> Column:
     """struct(score, posterior, votes) of a text column: probability of good by the scorer and by the votes."""
-    weights, _, posterior = model
+    weights, _, posterior, frequent = model
 
     @F.pandas_udf("score double, posterior double, votes string")
     def score(texts: pd.Series) -> pd.DataFrame:
         known, out = {}, []
         for t in texts:
-            n, s, words = statistics(t)
+            n, s, words = statistics(t, frequent)
             if not n:
                 out.append((0.0, None, None))
                 continue
