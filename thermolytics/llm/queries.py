@@ -1,10 +1,10 @@
-"""Registered queries of the ten operators, with DuckDB SQL where it can express them."""
+"""Registered queries of the operators, with DuckDB SQL where it can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import graph_dedup, langid, lines, mixing, packing, postings, quality, substrings, superminhash, token_tree
+from . import graph_dedup, langid, lines, mixing, packing, postings, quality, secret_scan, substrings, superminhash, token_tree
 from .common import table
 
 
@@ -51,6 +51,10 @@ def op8_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op13_secret_scan(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -62,6 +66,7 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_near_dedup": op10_near_dedup,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 ORACLE_SQL = {
@@ -158,5 +163,70 @@ kept as (
 select d.doc_id, coalesce(k.n_lines, 0)::int as n_lines, coalesce(k.n_dropped, 0)::int as n_dropped,
        sha256(coalesce(k.text, '')) as kept_sha256
 from documents d left join kept k on d.doc_id = k.doc_id
+""",
+    "op13_secret_scan": r"""
+with texts as (
+  select doc_id, source, row_number() over () as d,
+         replace(replace(coalesce(text, ''), chr(1), chr(3)), chr(2), chr(3)) as t
+  from documents),
+patterns(rank, pattern) as (values
+  (0, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  (1, 'AKIA[A-Z0-9]+'),
+  (2, '[0-9a-f]+')),
+parts as (
+  select d, rank, string_split(regexp_replace(t, pattern, chr(1) || '\0' || chr(1), 'g'), chr(1)) as p
+  from texts, patterns),
+placed as (
+  select d, rank, i, part, coalesce(sum(length(part)) over (partition by d, rank order by i
+           rows between unbounded preceding and 1 preceding), 0)::bigint as start
+  from (select d, rank, unnest(p) as part, unnest(generate_series(1, len(p))) as i from parts)),
+base as (
+  select d, rank, start, (start + length(part))::bigint as stop, value
+  from (select *, case when rank = 0 then regexp_extract(part, '["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)$', 1) else part end as value
+        from placed where i % 2 = 0)
+  where length(value) >= case rank when 0 then 6 when 1 then 20 else 24 end),
+pieces as (     -- the text without its base spans: what lies between their union
+  select d, start, stop from (
+    select d, stop as start, coalesce(lead(start) over (partition by d order by start), length(t))::bigint as stop
+    from (select b.d, t, min(b.start) as start, max(b.stop) as stop
+          from (select *, sum(fresh) over (partition by d order by start, stop desc, rank rows unbounded preceding) as run
+                from (select *, case when start < max(stop) over (partition by d order by start, stop desc, rank
+                                  rows between unbounded preceding and 1 preceding) then 0 else 1 end as fresh
+                      from (select d, rank, start, stop from base union all select d, -1, 0, 0 from texts)))
+               b join texts x on b.d = x.d group by b.d, t, run))
+  where stop > start),
+gaps as (
+  select p.d, p.start, p.start > 0 as cut_before, p.stop < length(x.t) as cut_after,
+         string_split(regexp_replace(substring(x.t, p.start + 1, p.stop - p.start), '[0-9A-Za-z]{20,}', chr(1) || '\0' || chr(1), 'g'), chr(1)) as p
+  from pieces p join texts x on p.d = x.d),
+runs as (
+  select d, cut_before, cut_after, i, n, part, start + coalesce(sum(length(part)) over (partition by d, start order by i
+           rows between unbounded preceding and 1 preceding), 0)::bigint as begins,
+         lag(part) over (partition by d, start order by i) as left_part, lead(part) over (partition by d, start order by i) as right_part
+  from (select d, start, cut_before, cut_after, len(p) as n, unnest(p) as part, unnest(generate_series(1, len(p))) as i from gaps)),
+owned as (
+  select d, 3 as rank, begins as start, (begins + length(part))::bigint as stop, part as value
+  from runs where i % 2 = 0
+    and not (i = 2 and left_part = '' and cut_before) and not (i = n - 1 and right_part = '' and cut_after)
+    and len(list_distinct(string_split(part, ''))) >= 10
+    and length(regexp_replace(part, '[^0-9]', '', 'g')) >= 3 and length(regexp_replace(part, '[0-9]', '', 'g')) >= 3),
+spans as (select * from base union all select * from owned),
+held as (
+  select value, count(distinct coalesce('s' || source, '-')) as owners,
+         count(distinct (doc_id is null, doc_id, t)) as repositories
+  from spans s join texts x on s.d = x.d group by value),
+judged as (
+  select s.*, h.owners >= 3 or (h.owners >= 2 and h.repositories >= 20) as copied
+  from spans s join held h on s.value = h.value),
+told as (
+  select d, rank, start, copied, list_extract(['assign', 'access', 'hex', 'owned'], rank::int + 1) || ':' || start || ':' || stop as shown
+  from judged where rank < 3 or not copied)
+select x.doc_id, count(*) filter (where rank = 0) as n_assign, count(*) filter (where rank = 1) as n_access,
+       count(*) filter (where rank = 2) as n_hex, count(*) filter (where rank = 3) as n_owned,
+       count(*) filter (where copied) as n_copied,
+       sha256(coalesce(string_agg(shown, ',' order by start, rank) filter (where rank < 3), '')) as base_sha256,
+       coalesce(string_agg(shown, ',' order by start, rank), '') as spans
+from texts x left join told on x.d = told.d
+group by x.d, x.doc_id
 """,
 }
