@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import graph_dedup, langid, lines, mixing, packing, postings, quality, secret_scan, substrings, superminhash, token_tree
+from . import graph_dedup, hard_negatives, langid, lines, mixing, packing, postings, quality, secret_scan, substrings, superminhash, token_tree
 from .common import table
 
 
@@ -51,6 +51,11 @@ def op8_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op12_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=label)
+
+
 def op13_secret_scan(spark, sf_dir):
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -66,6 +71,7 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_near_dedup": op10_near_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_secret_scan": op13_secret_scan,
 }
 
@@ -163,6 +169,26 @@ kept as (
 select d.doc_id, coalesce(k.n_lines, 0)::int as n_lines, coalesce(k.n_dropped, 0)::int as n_dropped,
        sha256(coalesce(k.text, '')) as kept_sha256
 from documents d left join kept k on d.doc_id = k.doc_id
+""",
+    "op12_hard_negatives": """
+with rows as (
+  select distinct vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+pairs as (
+  select a.id as anchor_id, b.id as id, a.label = b.label as same,
+         coalesce(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1]::hugeint * z[2])), 0)::bigint as score
+  from rows a join rows b on a.id % 50 = 0 and a.id <> b.id and len(a.v) = len(b.v)),
+positives as (
+  select anchor_id, id as positive_id, score as positive_score from pairs where same
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select p.anchor_id, p.positive_id, n.id as negative_id, p.positive_score, n.score as negative_score,
+       row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.id)::int as rank
+from positives p join pairs n on p.anchor_id = n.anchor_id and not n.same
+  and 50 * p.positive_score <= 100 * n.score and 100 * n.score <= 95 * p.positive_score
+qualify row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.id) <= 3
 """,
     "op13_secret_scan": r"""
 with texts as (

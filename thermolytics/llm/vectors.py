@@ -25,10 +25,11 @@ def clean(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") ->
     return good.where(F.size("v") == (top["n"] if top else 0))
 
 
-def matrix(column) -> np.ndarray:
-    """Rows of an Arrow list column as float64."""
+def matrix(column, kind=np.float64) -> np.ndarray:
+    """Rows of an Arrow list column, all of one length, as numbers of ``kind``."""
     flat = column.combine_chunks() if hasattr(column, "combine_chunks") else column
-    return np.asarray(flat.flatten(), np.float64).reshape(len(flat), -1)
+    values = np.asarray(flat.flatten(), kind)
+    return values.reshape(len(flat), len(values) // max(1, len(flat)))
 
 
 def unit(x: np.ndarray) -> np.ndarray:
