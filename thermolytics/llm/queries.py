@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import graph_dedup, hard_negatives, langid, lines, mixing, packing, postings, quality, secret_scan, substrings, superminhash, token_tree
+from . import collocations, graph_dedup, hard_negatives, langid, lines, mixing, packing, postings, quality, secret_scan, substrings, superminhash, token_tree
 from .common import table
 
 
@@ -51,6 +51,10 @@ def op8_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark, sf_dir):
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), label=label)
@@ -71,6 +75,7 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_near_dedup": op10_near_dedup,
+    "op11_collocations": op11_collocations,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_secret_scan": op13_secret_scan,
 }
@@ -169,6 +174,45 @@ kept as (
 select d.doc_id, coalesce(k.n_lines, 0)::int as n_lines, coalesce(k.n_dropped, 0)::int as n_dropped,
        sha256(coalesce(k.text, '')) as kept_sha256
 from documents d left join kept k on d.doc_id = k.doc_id
+""",
+    "op11_collocations": r"""
+with pieces as (
+  select lang, list_filter(regexp_extract_all(piece, '[^\x20\x09]+'), lambda w: w <> '') as w
+  from (select coalesce(lang, 'und') as lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[.,;:!?\x0A-\x0D]')) as piece
+        from documents)),
+one as (
+  select lang, w, count(*) as f from (select lang, unnest(w) as w from pieces) group by lang, w),
+two as (
+  select lang, g[1] as w1, g[2] as w2, count(*) as f
+  from (select lang, unnest(list_zip(w[:-2], w[2:])) as g from pieces where len(w) >= 2) group by all having count(*) >= 10),
+three as (
+  select lang, g[1] as w1, g[2] as w2, g[3] as w3, count(*) as f
+  from (select lang, unnest(list_zip(w[:-3], w[2:-2], w[3:])) as g from pieces where len(w) >= 3) group by all having count(*) >= 10),
+covers as (
+  select lang, w1, w2, max(f) as most
+  from (select lang, w1, w2, f from three union all select lang, w2, w3, f from three) group by all),
+cuts as (
+  select t.lang, t.w1 || ' ' || t.w2 as phrase, t.f as a, x.f as l, y.f as r, 1 as k
+  from two t join one x on x.lang = t.lang and x.w = t.w1 join one y on y.lang = t.lang and y.w = t.w2
+    left join covers c on c.lang = t.lang and c.w1 = t.w1 and c.w2 = t.w2
+  where c.most is null or 100 * c.most < 50 * t.f
+  union all
+  select t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 1
+  from three t join one x on x.lang = t.lang and x.w = t.w1 join two y on y.lang = t.lang and y.w1 = t.w2 and y.w2 = t.w3
+  union all
+  select t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, x.f, y.f, 2
+  from three t join two x on x.lang = t.lang and x.w1 = t.w1 and x.w2 = t.w2 join one y on y.lang = t.lang and y.w = t.w3),
+scored as (
+  select *, ((1000000::hugeint * a * a) // (l::hugeint * r))::bigint as score from cuts),
+best as (
+  select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+placed as (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from best)
+select p.lang, p.rank, p.phrase, p.a, p.l, p.r, t.n, p.score
+from placed p join (select lang, sum(f)::bigint as n from one group by lang) t on p.lang = t.lang
+where p.rank <= 2000
 """,
     "op12_hard_negatives": """
 with rows as (
