@@ -1,8 +1,8 @@
-"""Alert table keyed by AlertID, stored as Parquet partitioned by a key derived from EventDate.
+"""Alert table keyed by AlertID, a versioned table (``versioned``) with one part per EventDate.
 
-Upserts rewrite only the folders that the new alerts touch
-(dynamic partition overwrite); the merged rows are staged first so a path
-is never read and overwritten by one plan.
+An upsert or delete reads the folders of the dates it touches, writes their new rows to a folder of
+its own and publishes both in one step: a reader sees it whole or not at all, also when the writer
+dies on the way, and of two writers at a time the second merges again into what the first left.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import versioned
 from ..operators.alerts import merge_alerts
 from ..schemas import ALERT_COLUMNS, ALERT_DECIMAL
 from ..session import materialize, release
@@ -17,55 +18,48 @@ from ..session import materialize, release
 STORE_SCHEMA = ("AlertID string, ApartmentID string, BuildingID string, AnomalyScore decimal(38,18), "
                 "Threshold decimal(38,18), AlertTimestamp string, Status string, S3SourceFile string, "
                 "EventDate string")
-PART = "event_part"
 NO_DATE = "none"
 
 
 def part_of(date="EventDate"):
-    """Folder key of a date. Empty and null dates have one of their own: as a partition value they
-    would read back as null and be lost to joins."""
+    """Part of a date. Empty and null dates have one of their own: as a folder's value they would read back as null."""
     return F.when(F.coalesce(date, F.lit("")) == "", F.lit(NO_DATE)).otherwise(F.concat(F.lit("d"), date))
 
 
 def to_store(df: DataFrame) -> DataFrame:
-    cols = [F.col(c).cast(ALERT_DECIMAL).alias(c) if c in ("AnomalyScore", "Threshold") else F.col(c) for c in ALERT_COLUMNS]
-    return df.select(*cols, part_of().alias(PART))
-
-
-def _scan(spark: SparkSession, path: str) -> DataFrame:
-    schema = f"{STORE_SCHEMA}, {PART} string"
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return df.select(*[F.col(c).cast(ALERT_DECIMAL).alias(c) if c in ("AnomalyScore", "Threshold") else F.col(c)
+                       for c in ALERT_COLUMNS])
 
 
 def read_alerts(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
-    """All alerts of the store, or those of one EventDate (reads that folder only)."""
-    df = _scan(spark, path)
+    """All alerts of the store, or those of one EventDate (opens that date's folder only)."""
+    part = None if date is None else [NO_DATE if date == "" else f"d{date}"]
+    df = versioned.read(spark, path, STORE_SCHEMA, part)
     if date is not None:
-        df = df.where(F.col(PART) == part_of(F.lit(date))).where(F.coalesce("EventDate", F.lit("")) == date)
+        df = df.where(F.coalesce("EventDate", F.lit("")) == date)
     return df.select(*ALERT_COLUMNS)
 
 
-def _overwrite(staged: DataFrame, path: str) -> None:
-    """Replace the folders that ``staged`` has rows for. Not atomic over folders: a job that dies here
-    leaves some replaced; running the same upsert again completes it."""
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path))
+def _touched(df: DataFrame) -> list[str]:
+    """Parts of the rows: one value per date."""
+    return [r[0] for r in df.select(part_of().alias("p")).distinct().collect()]
+
 
+def upsert_alerts(spark: SparkSession, new: DataFrame, path: str, attempts: int = 10) -> int:
+    """Merge ``new`` into the store; returns the number of touched dates."""
+    new = materialize(to_store(new), "alerts-new")      # evaluated once
+    touched = _touched(new)
 
-def upsert_alerts(spark: SparkSession, new: DataFrame, path: str) -> int:
-    """Merge ``new`` into the store; returns the number of touched folders."""
-    new, _ = materialize(to_store(new), "alerts-new", count=True)      # evaluated once
-    parts = new.select(PART).distinct()
-    # Semi join on the touched folders: the scan of the store keeps only those
-    # (dynamic partition pruning); AQE picks the join strategy by measured size.
-    existing = _scan(spark, path).join(parts, PART, "left_semi").select(*new.columns)
-    staged = materialize(merge_alerts(existing, new), "alerts-merged")
-    _overwrite(staged, path)
-    touched = parts.count()
-    release(new, staged)
-    return touched
+    def merged(base: versioned.Version):
+        if not touched:
+            return None
+        existing = versioned.read(spark, path, STORE_SCHEMA, touched, base).select(*ALERT_COLUMNS)
+        written = versioned.write_data(merge_alerts(existing, new), path, part_of())
+        return [e for e in base.entries if e.part not in set(touched)] + written
+
+    versioned.transact(spark, path, merged, attempts)
+    release(new)
+    return len(touched)
 
 
 def alerts_for_date(df: DataFrame, date: str) -> DataFrame:
@@ -78,23 +72,18 @@ def delete_alerts(df: DataFrame, keys: DataFrame) -> DataFrame:
     return df.join(keys.select("AlertID").distinct(), "AlertID", "left_anti")
 
 
-def delete_from_store(spark: SparkSession, path: str, keys: DataFrame) -> None:
-    """Remove listed alerts from the store, rewriting only their folders."""
-    store = _scan(spark, path)
-    parts = materialize(store.join(keys.select("AlertID").distinct(), "AlertID", "left_semi").select(PART).distinct(), "alerts-parts")
-    part = store.join(parts, PART, "left_semi").select(*ALERT_COLUMNS, PART)
-    staged = materialize(delete_alerts(part, keys).select(*ALERT_COLUMNS, PART), "alerts-del")
-    # Folders whose last alert was deleted must be emptied explicitly.
-    empty = [r[0] for r in parts.join(staged.select(PART).distinct(), PART, "left_anti").collect()]    # at most the touched ones
-    _overwrite(staged, path)
-    _clear_partitions(spark, path, empty)
-    release(parts, staged)
-
-
-def _clear_partitions(spark: SparkSession, path: str, dates) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for d in dates:
-        name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(d)
-        p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{PART}={name}")
-        p.getFileSystem(conf).delete(p, True)
+def delete_from_store(spark: SparkSession, path: str, keys: DataFrame, attempts: int = 10) -> None:
+    """Remove listed alerts from the store, rewriting only their dates' folders."""
+    keys = materialize(keys.select("AlertID").distinct(), "alerts-keys")
+
+    def without(base: versioned.Version):
+        touched = _touched(versioned.read(spark, path, STORE_SCHEMA, version=base).join(keys, "AlertID", "left_semi"))
+        if not touched:
+            return None
+        rows = versioned.read(spark, path, STORE_SCHEMA, touched, base).select(*ALERT_COLUMNS)
+        # A date whose last alert goes has no folder in the new version.
+        written = versioned.write_data(delete_alerts(rows, keys), path, part_of())
+        return [e for e in base.entries if e.part not in set(touched)] + written
+
+    versioned.transact(spark, path, without, attempts)
+    release(keys)
