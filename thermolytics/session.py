@@ -103,7 +103,7 @@ def materialize(df, name: str, count: bool = False):
     checkpoint computes its input twice unless cached) and in a columnar
     format. With ``count=True`` the row count is taken from an observation
     on the same write and returned as ``(df, n)``. File sizes follow the
-    writing partitions, which adaptive execution sizes by bytes.
+    writing partitions, which adaptive execution sizes by bytes. A write that fails leaves no folder.
     """
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
@@ -113,7 +113,11 @@ def materialize(df, name: str, count: bool = False):
     if count:
         obs = Observation(f"rows-{name}")
         df = df.observe(obs, F.count(F.lit(1)).alias("n"))
-    df.write.mode("overwrite").parquet(path)
+    try:
+        df.write.mode("overwrite").parquet(path)
+    except Exception:
+        _delete(spark, path)
+        raise
     out = spark.read.schema(df.schema).parquet(path)
     return (out, int(obs.get["n"])) if count else out
 
