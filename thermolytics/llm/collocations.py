@@ -36,8 +36,8 @@ LEAST = 10
 COVERED = 50                # percent of a phrase's count at which a longer one stands for it
 TOP = 2000
 SCALE = 1_000_000
-BLOCK_TOKENS = 1 << 22
-GROUP_PAIRS = 1 << 22
+BLOCK_TOKENS = 1 << 21
+GROUP_PAIRS = 1 << 21
 SIDE = 9                    # bits of a tile's side
 DENSE = 1 << 12             # pairs from which a tile is counted cell by cell
 NO_LANG = "und"
