@@ -40,7 +40,7 @@ LEAF = 16               # matrices with a side of at most this are multiplied di
 SLAB = 512              # anchors, and eight times as many candidates, multiplied at a time
 ANCHOR_VALUES = 1 << 20
 TILE_VALUES = 1 << 21
-CELLS = 3               # per task slot, at least
+LEAST_VALUES = 1 << 15  # of a tile that is made smaller to keep all task slots busy
 POSITIVES = 5
 NEGATIVES = 3
 LOW, HIGH = 50, 95      # percent of the positive's score
@@ -177,11 +177,11 @@ def mine(rows: DataFrame, anchors: Column | str, positives: int = POSITIVES, neg
     spark = rows.sparkSession
     rows = materialize(rows.withColumn("key", F.xxhash64("id", "label", "v")).withColumn("size", F.size("v")), "mine-rows")
     asked = rows.where(anchors)
-    n, values = rows.agg(F.count(F.lit(1)), F.sum("size")).first()
-    n_asked, asked_values = asked.agg(F.count(F.lit(1)), F.sum("size")).first()
+    values, asked_values = rows.agg(F.sum("size"), F.sum(F.when(anchors, F.col("size")))).first()
     n_anchors = max(1, -(-(asked_values or 0) // ANCHOR_VALUES))
-    n_rows = max(1, min(n or 1, max(CELLS * slots(spark) // n_anchors, -(-(values or 0) // TILE_VALUES))))
-    cells = max(1, n_anchors * n_rows)
+    small = min(3 * slots(spark) // n_anchors, (values or 0) // LEAST_VALUES)
+    n_rows = max(1, small, -(-(values or 0) // TILE_VALUES))
+    cells = n_anchors * n_rows
     cell = ["size", "i", "j"]
     grid = _grid(asked, rows, n_anchors, n_rows).repartition(min(cells, 100_000), *cell)
     kind = "anchor_id long, label long, key long, positive_id long, positive_score long"
