@@ -87,3 +87,72 @@ def test_word_length_counts_characters():
     assert s["word_length"] == 16 and n == 2
     n, s, _ = quality.statistics(("这是一个很长的句子没有空格" * 3).encode())
     assert quality.votes(n, s)[quality.LABELLERS.index("word_length")] == 0
+
+
+def gibberish(n, lang=lambda i: "en"):
+    import random
+    out = []
+    for i in range(n):
+        rng = random.Random(f"junk{i}")
+        word = lambda: "".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(rng.randint(3, 9)))
+        out.append((100_000 + i, " ".join(word() for _ in range(rng.randint(40, 200))), lang(i), "s", 0))
+    return out
+
+
+@pytest.fixture(scope="module")
+def given_docs(spark):
+    docs = spark.read.parquet(SF.replace("0.001", "0.01") + "/documents.parquet")
+    return [tuple(r) for r in docs.select("doc_id", "text", "lang", "source", "n_chars").collect()]
+
+
+def scores(df):
+    return {r["doc_id"]: (r["score"], r["kept"]) for r in quality.classify(df).collect()}
+
+
+def test_scores_do_not_depend_on_how_rows_lie(spark, given_docs):
+    rows = given_docs + gibberish(100)
+    base = frame(spark, rows)
+    want = scores(base.repartition(8, "text"))
+    for other in (base.coalesce(1), base.repartitionByRange(7, "doc_id").sortWithinPartitions("doc_id"),
+                  base.orderBy("source", "lang").coalesce(3), base.repartition(16)):
+        got = scores(other)
+        assert got.keys() == want.keys() and all(abs(got[i][0] - want[i][0]) < 1e-6 and got[i][1] == want[i][1] for i in want)
+    assert not any(kept for i, (_, kept) in want.items() if i >= 100_000)
+
+
+@pytest.mark.parametrize("lang", [lambda i: f"x{i}", lambda i: None, lambda i: f"y{i % 3}"])
+def test_rare_languages_do_not_hide_junk(spark, given_docs, lang):
+    got = scores(frame(spark, given_docs + gibberish(60, lang)))
+    assert not any(kept for i, (_, kept) in got.items() if i >= 100_000)
+
+
+def test_against_a_plain_version(spark, given_docs):
+    import xxhash
+    rows = given_docs[:400]
+    texts = {}
+    for _, text, *_ in rows:
+        texts.setdefault(text, 0)
+        texts[text] += 1
+    made = []
+    for text, n in texts.items():
+        words, s, found = quality.statistics(text.encode())
+        if words:
+            h = xxhash.xxh64_intdigest(b"", xxhash.xxh64_intdigest(text.encode(), 42))
+            made.append((h - (h >> 63 << 64), quality.pattern(quality.votes(words, s)), *quality.features(words, s, found, {}), n))
+    made.sort(key=lambda r: r[0])
+    patterns, inverse = np.unique([r[1] for r in made], return_inverse=True)
+    posterior, _ = quality.estimate(patterns, np.bincount(inverse, [r[4] for r in made]))
+    w = quality.descend([r[2] for r in made], [r[3].astype(np.float32) for r in made], np.array([posterior[r[1]] for r in made]),
+                        np.array([float(r[4]) for r in made]))
+    got = scores(frame(spark, rows))
+    for doc_id, text, *_ in rows:
+        n, s, found = quality.statistics(text.encode())
+        at, x = quality.features(n, s, found, {})
+        assert abs(got[doc_id][0] - 1 / (1 + np.exp(-np.clip(w[quality.DIM] + (w[at] * x).sum(), -30, 30)))) < 1e-6
+
+
+def test_sample_is_bounded_and_by_hash(spark, given_docs, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE", 300)
+    rows = frame(spark, given_docs)
+    a, b = scores(rows.repartition(5)), scores(rows.coalesce(1))
+    assert all(abs(a[i][0] - b[i][0]) < 1e-6 for i in a)

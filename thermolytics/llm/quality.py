@@ -5,17 +5,22 @@ patterns are counted in Spark (at most 3 ** labellers of them, whatever the inpu
 class unknown, expectation-maximisation over the pattern counts estimates how often each labeller votes
 which way on either class, and so the posterior of each pattern. The posteriors are the labels on
 which the scorer is trained: a logistic model over hashed features (shapes of words, and levels
-of the document's statistics). Each task runs minibatch descent over its share of all documents,
-and the models are averaged by rows. No gold label is used.
+of the document's statistics). No gold label is used.
 
-The fixed function words are those of four languages. Of a language (column lang, where there is one) of
-whose documents many lack them, the short words that stand in many of its documents are taken as well, counted over all
-documents. Scripts without spaces are read by the character.
+The votes of all documents are counted. The scorer is fitted on at most about ``SAMPLE`` different texts,
+those whose 64-bit hash is smallest, in the order of their hashes and each weighted by its number of
+copies. So neither the files that rows lie in nor their order or partitions change a score.
+
+The fixed function words are those of four languages. A language (column lang, where there is one) with
+``LEAST_DOCUMENTS`` documents, many of which lack them, has the short words that stand in many of its documents
+taken as well, for its own documents only; documents of rarer languages are held against the fixed words.
+Scripts without spaces are read by the character.
 
 Scoring is a column function of the text, so a filter by it moves no rows.
 
 Cases: null text and text without words are scored 0 and rejected. An empty table gives an empty
-result. Equal texts get equal scores. Other columns are ignored. Texts are read whole.
+result. Equal texts of one language get equal scores; documents scored exactly ``CUT`` stay. Other
+columns are ignored. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -27,6 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize, release
@@ -35,8 +41,9 @@ from .common import run_hashes, slices, utf8, word_hashes
 
 DIM = 1 << 13
 ROUNDS = 60             # of EM at most
-EPOCHS = 12             # over each block of rows
-BLOCK, BATCH = 2048, 256
+SAMPLE = 100_000        # different texts that the scorer is fitted on
+EPOCHS, STEPS = 12, 400 # passes over the sample, and steps at least
+BATCH = 256
 RATE = 0.5
 FALSE_ALARMS = 0.001    # most that a labeller may call bad of the good documents
 CUT = 0.2               # documents scored below are rejected: only clear cases
@@ -44,6 +51,9 @@ FEW_FUNCTION_WORDS = 0.04
 LACKING = 0.25          # share of a language's documents below that, from which on its own words are learned
 FREQUENT = 0.2          # share of a language's documents that a frequent word stands in
 SHORT = 6               # characters of a frequent word at most
+LEAST_DOCUMENTS = 20    # of a language whose own words are learned
+MOST_LANGUAGES = 500    # the most frequent ones, for whom words are learned
+MOST_WORDS = 200        # learned of a language, the most frequent ones
 
 #: Frequent function words of English, German, French and Spanish.
 FUNCTION_WORDS = frozenset(
@@ -130,10 +140,12 @@ def features(n: int, s: dict[str, float], words: list[bytes], known: dict[bytes,
     return np.array(at, np.int64), np.array(weight)
 
 
-def frequent_words(docs: DataFrame) -> frozenset:
-    """The fixed function words, and the frequent words of the languages that often lack these."""
-    lang = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+def _lang(docs: DataFrame) -> Column:
+    return F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
+
 
+def frequent_words(docs: DataFrame) -> dict[str, frozenset]:
+    """By language: the fixed function words with its own frequent words, for the languages that often lack these."""
     def count(batches):
         found = defaultdict(Counter)
         for b in slices(batches):
@@ -156,32 +168,43 @@ def frequent_words(docs: DataFrame) -> frozenset:
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.string()),
                                               pa.array(list(c.values()), pa.int64())], names=["lang", "word", "n"])
 
-    counts = docs.select(lang.alias("lang"), utf8().alias("text")).mapInArrow(count, "lang string, word string, n long")
+    counts = docs.select(_lang(docs).alias("lang"), utf8().alias("text")).mapInArrow(count, "lang string, word string, n long")
     counts = materialize(counts.groupBy("lang", "word").agg(F.sum("n").alias("n")), "quality-words")
     lacking = counts.where("word in ('', ' ')").groupBy("lang") \
         .agg(F.sum(F.when(F.col("word") == "", F.col("n"))).alias("all"), F.sum(F.when(F.col("word") == " ", F.col("n"))).alias("low")) \
-        .where(F.col("low") > LACKING * F.col("all"))
+        .where((F.col("low") > LACKING * F.col("all")) & (F.col("all") >= LEAST_DOCUMENTS)) \
+        .orderBy(F.desc("all"), "lang").limit(MOST_LANGUAGES)
     words = counts.where("word not in ('', ' ')").join(F.broadcast(lacking), "lang").where(F.col("n") >= FREQUENT * F.col("low"))
-    got = {r["word"].encode() for r in words.select("word").distinct().collect()}     # a few per language
+    first = W.partitionBy("lang").orderBy(F.desc("n"), "word")      # words that many documents of one language share
+    words = words.withColumn("i", F.row_number().over(first)).where(F.col("i") <= MOST_WORDS)
+    own = defaultdict(set)
+    for r in words.select("lang", "word").collect():                # at most MOST_LANGUAGES * MOST_WORDS
+        own[r["lang"]].add(r["word"].encode())
     release(counts)
-    return FUNCTION_WORDS | got
+    return {lang: FUNCTION_WORDS | some for lang, some in own.items()}
 
 
-def labelled(docs: DataFrame, frequent: frozenset = FUNCTION_WORDS) -> DataFrame:
-    """(pattern, at, weight): vote pattern and hashed features of each document with words."""
+def labelled(docs: DataFrame, frequent: dict[str, frozenset]) -> DataFrame:
+    """(h, pattern, at, weight, n): hash, vote pattern and hashed features of each different text with words in
+    each language group, and its number of copies."""
     def make(batches):
         known: dict[bytes, int] = {}
         for b in slices(batches):
             out = []
-            for text in b.column("text").to_pylist():
-                n, s, words = statistics(text, frequent)
+            for h, lang, text in rows_of(b, "h", "lang", "text"):
+                n, s, words = statistics(text, frequent.get(lang, FUNCTION_WORDS))
                 if n:
                     at, weight = features(n, s, words, known)
-                    out.append((pattern(votes(n, s)), at.astype(np.uint16).tobytes(), weight.astype(np.float32).tobytes()))
+                    out.append((h, pattern(votes(n, s)), at.astype(np.uint16).tobytes(), weight.astype(np.float32).tobytes()))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["pattern", "at", "weight"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=["h", "pattern", "at", "weight"])
 
-    return docs.select(utf8().alias("text")).mapInArrow(make, "pattern long, at binary, weight binary")
+    # Languages with the same words give a text the same features.
+    lang = F.when(_lang(docs).isin(list(frequent)), _lang(docs)).otherwise(F.lit(""))
+    rows = docs.select(lang.alias("lang"), utf8().alias("text")).withColumn("h", F.xxhash64("text", "lang"))
+    rows = rows.mapInArrow(make, "h long, pattern long, at binary, weight binary")
+    return rows.groupBy("h").agg(F.first("pattern").alias("pattern"), F.first("at").alias("at"), F.first("weight").alias("weight"),
+                                 F.count(F.lit(1)).alias("n"))
 
 
 def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[dict[int, float], np.ndarray]:
@@ -213,53 +236,54 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) ->
     return {int(p): float(g) for p, g in zip(patterns, good)}, table
 
 
-def _margins(at, weight, row, n, w):
-    return w[DIM] + np.bincount(row, w[at] * weight, n)
-
-
-def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, dict[int, float], frozenset]:
-    """(weights, vote table, posterior by pattern, frequent words) from all documents."""
+def descend(at: list[np.ndarray], weight: list[np.ndarray], y: np.ndarray, copies: np.ndarray) -> np.ndarray:
+    """Weights of the linear scorer by minibatch descent over the rows in their order."""
+    w, grad = np.zeros(DIM + 1), np.full(DIM + 1, 1e-3)
+    batches = []
+    for i in range(0, len(y), BATCH):
+        n = len(y[i:i + BATCH])
+        row = np.repeat(np.arange(n), [len(x) for x in at[i:i + BATCH]])
+        batches.append((n, row, np.concatenate(at[i:i + BATCH]).astype(np.int64), np.concatenate(weight[i:i + BATCH]).astype(np.float64),
+                        y[i:i + BATCH], copies[i:i + BATCH] / copies[i:i + BATCH].sum()))
+    for _ in range(max(EPOCHS, -(-STEPS // max(1, len(batches))))):
+        for n, row, a, x, goal, share in batches:
+            margin = w[DIM] + np.bincount(row, w[a] * x, n)
+            off = (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - goal) * share
+            g = np.append(np.bincount(a, off[row] * x, DIM), off.sum()) + 1e-5 * w
+            grad += g * g
+            w -= RATE * g / np.sqrt(grad)
+    return w
+
+
+def fit(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, dict[int, float], dict[str, frozenset]]:
+    """(weights, vote table, posterior by pattern, frequent words by language) from all documents."""
     frequent = frequent_words(docs)
-    rows = materialize(labelled(docs, frequent), "quality-rows")
-    counts = rows.groupBy("pattern").count().toPandas().sort_values("pattern")      # at most 3 ** labellers rows
-    posterior, table = estimate(counts["pattern"].to_numpy(np.int64), counts["count"].to_numpy(float))
-
-    def train(batches):
-        w, grad, total = np.zeros(DIM + 1), np.full(DIM + 1, 1e-3), 0
-        for part in slices(batches, BLOCK):
-            at = [np.frombuffer(x, np.uint16) for x in part.column("at").to_pylist()]
-            weight = [np.frombuffer(x, np.float32) for x in part.column("weight").to_pylist()]
-            y = np.array([posterior[p] for p in part.column("pattern").to_pylist()])
-            total += len(y)
-            for _ in range(EPOCHS):
-                for i in range(0, len(y), BATCH):
-                    n = len(y[i:i + BATCH])
-                    row = np.repeat(np.arange(n), [len(x) for x in at[i:i + BATCH]])
-                    a, x = np.concatenate(at[i:i + BATCH]).astype(np.int64), np.concatenate(weight[i:i + BATCH])
-                    off = 1 / (1 + np.exp(-np.clip(_margins(a, x, row, n, w), -30, 30))) - y[i:i + BATCH]
-                    g = np.append(np.bincount(a, off[row] * x, DIM), off.sum()) / n + 1e-5 * w
-                    grad += g * g
-                    w -= RATE * g / np.sqrt(grad)
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(DIM + 1)), pa.array(w * total),
-                                              pa.array([total] * (DIM + 1))], names=["i", "w", "n"])
-
-    got = rows.mapInArrow(train, "i long, w double, n long").groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).toPandas()
-    weights = np.zeros(DIM + 1)
-    weights[got["i"].to_numpy(np.int64)] = got["w"].to_numpy()
+    rows, different = materialize(labelled(docs, frequent), "quality-rows", count=True)
+    counts = rows.groupBy("pattern").agg(F.sum("n").alias("n")).toPandas().sort_values("pattern")      # at most 3 ** labellers rows
+    posterior, table = estimate(counts["pattern"].to_numpy(np.int64), counts["n"].to_numpy(float))
+    # Smallest hashes up to a bound that leaves SAMPLE of them on average.
+    if different > SAMPLE:
+        rows_in = rows.where(F.col("h") < int((SAMPLE / different - 0.5) * 2 ** 64))
+    else:
+        rows_in = rows
+    got = rows_in.toArrow().sort_by("h")
+    at = [np.frombuffer(x, np.uint16) for x in got.column("at").to_pylist()]
+    weight = [np.frombuffer(x, np.float32) for x in got.column("weight").to_pylist()]
+    y = np.array([posterior[p] for p in got.column("pattern").to_pylist()])
+    weights = descend(at, weight, y, got.column("n").to_numpy().astype(float)) if len(y) else np.zeros(DIM + 1)
     release(rows)
     return weights, table, posterior, frequent
 
 
-def scorer(model, text: str = "text") -> Column:
-    """struct(score, posterior, votes) of a text column: probability of good by the scorer and by the votes."""
+def scorer(model, lang: Column, text: str = "text") -> Column:
+    """struct(score, posterior, votes) of a text and its language: probability of good by the scorer and by the votes."""
     weights, _, posterior, frequent = model
 
     @F.pandas_udf("score double, posterior double, votes string")
-    def score(texts: pd.Series) -> pd.DataFrame:
+    def score(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
         known, out = {}, []
-        for t in texts:
-            n, s, words = statistics(t, frequent)
+        for t, name in zip(texts, langs):
+            n, s, words = statistics(t, frequent.get(name, FUNCTION_WORDS))
             if not n:
                 out.append((0.0, None, None))
                 continue
@@ -269,15 +293,15 @@ def scorer(model, text: str = "text") -> Column:
             out.append((1 / (1 + np.exp(-np.clip(margin, -30, 30))), posterior.get(pattern(v)), "".join("-bg"[i] for i in v)))
         return pd.DataFrame(out, columns=["score", "posterior", "votes"])
 
-    return score(utf8(text))
+    return score(utf8(text), lang)
 
 
 def classify(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, score, posterior, votes, kept."""
-    out = docs.select("doc_id", scorer(fit(docs)).alias("s")).select("doc_id", "s.*")
+    out = docs.select("doc_id", scorer(fit(docs), _lang(docs)).alias("s")).select("doc_id", "s.*")
     return out.withColumn("kept", F.col("score") >= CUT)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that the scorer rejects."""
-    return docs.where(scorer(fit(docs))["score"] >= CUT)
+    return docs.where(scorer(fit(docs), _lang(docs))["score"] >= CUT)
