@@ -135,3 +135,90 @@ def test_rows_of_unseen_groups_have_no_score(spark):
     assert got == {"g2"}
     everywhere = fit_lof(df.where("grp = 'g1'"), dims, "id", k=5)
     assert lof_novelty(everywhere, df, dims, "id").where("lof is null").count() == 0
+
+
+def brute_neighbours(X, ids, Q, k):
+    """Ids of each query's k nearest, nearest first, by (distance rounded to 9 decimals, id); Q holds (id, vector)."""
+    out = {}
+    for i, v in Q:
+        d = np.round(np.sqrt(((X - v) ** 2).sum(axis=1)), 9)
+        order = [int(ids[j]) for j in np.lexsort((ids, d)) if ids[j] != i]
+        out[int(i)] = order[:k]
+    return out
+
+
+def neighbours(df):
+    out = {}
+    for r in df.orderBy("qid", "dist", "cid").collect():
+        out.setdefault(r.qid, []).append((round(r.dist, 9), r.cid))
+    return {q: [c for _, c in sorted(v)] for q, v in out.items()}
+
+
+def vectors(spark, X, ids):
+    return spark.createDataFrame([("g", int(i), *map(float, x), 1) for i, x in zip(ids, X)],
+                                 ["grp", "vid", *[f"x{j}" for j in range(X.shape[1])], "cnt"])
+
+
+def test_parts_cut_in_passes_give_the_same_neighbours(spark):
+    """Cells of 40 vectors: several sketched passes before the cells are cut into leaves."""
+    from thermolytics.operators.knn import build_tree, descend, knn
+    rng = np.random.default_rng(12)
+    X = np.round(np.concatenate([rng.normal(size=(700, 3)), rng.exponential(size=(300, 3)) * [50, 1, 0.01]]), 2)
+    X = np.unique(X, axis=0)
+    ids = np.arange(len(X))
+    vec = vectors(spark, X, ids)
+    tree = build_tree(vec, ["grp"], ["x0", "x1", "x2"], leaf_size=16, cell=40)
+    sizes = tree.vectors.groupBy("leaf").count().toPandas()["count"]
+    assert sizes.max() <= 16 and sizes.sum() == len(X)
+    assert neighbours(knn(tree, tree.vectors, 4, True)) == brute_neighbours(X, ids, zip(ids, X), 4)
+    # Stored cuts lead each vector to its own leaf.
+    down = descend(tree, vec).select("vid", "leaf").exceptAll(tree.vectors.select("vid", "leaf"))
+    assert down.count() == 0
+
+
+@pytest.mark.parametrize("shape", ["even", "far"])
+def test_leaves_with_fewer_than_k_vectors_have_a_finite_bound(spark, monkeypatch, shape):
+    """Leaves of 6 or 7 vectors and k = 7: no own leaf is enough, in the fit and for new points."""
+    from pyspark.sql import functions as F
+    from thermolytics.operators import knn as K
+    rng = np.random.default_rng(21)
+    X = rng.normal(size=(1600, 3))
+    if shape == "far":                      # parts far from each other, of two points each at the ends
+        X[:, 0] = np.where(np.arange(1600) < 20, np.arange(1600) // 2 * 50.0 + 100, X[:, 0])
+    ids = np.arange(len(X))
+    walked = []
+    keep = K.materialize
+
+    def spy(df, name, count=False):
+        out = keep(df, name, count)
+        if name == "knn-walk":
+            walked.append(out)
+        return out
+
+    monkeypatch.setattr(K, "materialize", spy)
+    tree = K.build_tree(vectors(spark, X, ids), ["grp"], ["x0", "x1", "x2"], leaf_size=24)
+    rows = tree.vectors.groupBy("leaf").count()
+    assert tree.least <= 6 and rows.where("count > 7").count() <= 20
+    assert neighbours(K.knn(tree, tree.vectors, 7, True)) == brute_neighbours(X, ids, zip(ids, X), 7)
+    K.knn(tree, tree.vectors, 5, True).count()                  # own leaves suffice
+    short, normal = (w.count() / len(X) for w in walked)
+    assert walked[0].where("_r = double('inf')").count() == 0 and short <= 2 * normal
+
+    new = tree.vectors.select("grp", (F.col("vid") + 10_000).alias("vid"), (F.col("x0") + 0.01).alias("x0"), "x1", "x2", F.lit(1).alias("cnt"))
+    for k in (8, 5):
+        fitted = K.KdTree(tree.vectors.withColumn("_k", F.lit(k).cast("long")), tree.splits, tree.boxes, tree.groups, tree.dims,
+                          tree.depth, tree.leaf_size, tree.least)
+        got = neighbours(K.knn(fitted, new, most_k=k))
+        Q = [(r.vid, np.array([r.x0, r.x1, r.x2])) for r in new.collect()]
+        assert got == brute_neighbours(X, ids, Q, k)
+    short, normal = (w.count() / len(X) for w in walked[2:])
+    assert walked[2].where("_r = double('inf')").count() == 0 and short <= 2 * normal
+
+
+def test_a_group_smaller_than_k_beside_a_cut_one(spark):
+    rows = [("a", i, float(i * i % 97), float(i)) for i in range(300)] + [("b", 1000 + i, float(i), 0.0) for i in range(4)]
+    df = spark.createDataFrame(rows, ["grp", "id", "x", "y"])
+    got = {r.id: r.lof for r in lof_scores(df, ["x", "y"], "id", k=10, within="grp", leaf_size=40).collect()}
+    X, ids, grp = np.array([r[2:] for r in rows]), np.array([r[1] for r in rows]), np.array([r[0] for r in rows])
+    exp, _, _ = brute_lof(X, ids, 10, grp)
+    assert all(got[int(i)] == pytest.approx(e, rel=1e-9) for i, e in zip(ids, exp))

@@ -3,14 +3,15 @@
 Points are distinct feature vectors with a multiplicity (``cnt``): identical
 rows are collapsed first, so any number of equal rows costs one vector.
 
-Build: level by level, each node with more than ``leaf_size`` vectors is cut
-at the approximate quartiles (``percentile_approx``) of its widest dimension;
-one aggregate and one join per level, lineage cut by a checkpoint. Leaves
-hold about ``leaf_size`` vectors whatever the data skew, because a dense
-region simply gets more, smaller leaves.
+Build: a group (or part of one) of up to ``CELL`` vectors is cut in one task, each node with more than
+``leaf_size`` vectors at the quartiles of its widest dimension. Larger ones are first cut into up to
+``FANOUT ** PASS_LEVELS`` parts per pass, at the quantiles of their widest dimension from one sketch per
+dimension; a vector descends the levels of a pass in one join, lineage cut by a staged table. Leaves
+hold about ``leaf_size`` vectors whatever the data skew, because a dense region simply gets more,
+smaller leaves.
 
 Search: (1) exact top-k of each query inside its own leaf gives a radius
-bound r; (2) the tree is walked top-down keeping only nodes whose bounding
+bound r (where that holds too few vectors, together with a node near it that holds enough); (2) the tree is walked top-down keeping only nodes whose bounding
 box is within r of the query (one join per level), which yields the few
 other leaves that can hold a closer point; (3) exact top-k inside each of
 those leaves; (4) merge. Distances are computed with numpy inside
@@ -27,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,17 +40,20 @@ FANOUT = 4                # children per cut (quartiles of the widest dimension)
 LOG2_FANOUT = 2
 BOX_SLACK = 1e-9          # boxes within r + slack are searched (covers rounding ties)
 QUERY_CHUNK = 4096        # queries per search task
+CELL = 1 << 18            # vectors that one task cuts into leaves
+PASS_LEVELS = 3           # levels per pass above that
 
 
 @dataclass
 class KdTree:
     vectors: DataFrame    # G..., vid, x..., cnt, leaf
     splits: DataFrame     # G..., node, dim, cuts, strict
-    boxes: DataFrame      # G..., node, lo_i..., hi_i..., is_leaf
+    boxes: DataFrame      # G..., node, lo_i..., hi_i..., is_leaf, n and vectors (rows and vectors below)
     groups: list
     dims: list
     depth: int
     leaf_size: int
+    least: int            # rows in the smallest leaf of a group that was cut
 
 
 def _pick(idx_col, values):
@@ -83,75 +88,142 @@ def _spread(rows: DataFrame, table: DataFrame, key: str) -> tuple[DataFrame, Dat
             table.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))))
 
 
-def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_depth: int = 30) -> KdTree:
-    """Partition distinct vectors (G..., vid, dims..., cnt) into kd-tree leaves per group."""
+def _nested(node: int, dim: int, cuts: list, levels: int) -> tuple[list[tuple], list[int]]:
+    """(node, dim, cuts) per node of the subtree that makes sorted ``cuts`` in ``levels`` levels, and its leaf per interval."""
+    if not cuts or not levels:
+        return [], [node] * (len(cuts) + 1)
+    at = range(len(cuts)) if len(cuts) < FANOUT else [(i * (len(cuts) + 1)) // FANOUT - 1 for i in range(1, FANOUT)]
+    rows, leaves, begin = [(node, dim, [cuts[i] for i in at])], [], 0
+    for child, end in enumerate([*at, len(cuts)]):
+        below, ends = _nested(node * FANOUT + child, dim, cuts[begin:end], levels - 1)
+        rows += below
+        leaves += ends
+        begin = end + 1
+    return rows, leaves
+
+
+def _coarse_cuts(groups, cuts_schema):
+    """mapInPandas function: (G..., node, dim, low, quantiles) -> the subtree of one pass."""
+    def fn(frames):
+        for pdf in frames:
+            out = []
+            for r in pdf.to_dict("records"):
+                cuts = sorted({c for c in r["qs"] if c > r["low"]})
+                strict = not cuts
+                nested, leaves = _nested(int(r["node"]), int(r["dim"]), cuts or [r["low"]], PASS_LEVELS)
+                out.append({**{c: r[c] for c in groups}, "node": r["node"], "dim": r["dim"], "cuts": cuts or [r["low"]],
+                            "strict": strict, "leaves": leaves,
+                            "nested": [{"node": n, "dim": d, "cuts": c, "strict": strict} for n, d, c in nested]})
+            yield pd.DataFrame(out, columns=[f.name for f in cuts_schema])
+    return fn
+
+
+def _finer(dims, groups, leaf_size: int, max_depth: int):
+    """applyInArrow function: vectors of one node -> the same with their leaf, and the cuts made (rows without vid)."""
+    def fn(t: pa.Table) -> pa.Table:
+        x = np.column_stack([t.column(c).to_numpy() for c in dims])
+        root = t.column("node")[0].as_py()
+        leaf = np.full(len(x), root, np.int64)
+        made, todo = [], [(root, np.arange(len(x)))]
+        while todo:
+            node, at = todo.pop()
+            n = len(at)
+            if n <= leaf_size or (node.bit_length() - 1) // LOG2_FANOUT >= max_depth:
+                leaf[at] = node
+                continue
+            low, high = x[at].min(axis=0), x[at].max(axis=0)
+            dim = int((high - low).argmax())
+            v = x[at, dim]
+            # Cuts at the quartiles above the minimum (each is a data value, so every cut has data on both sides).
+            # If all equal the minimum, one cut just above it ("strict").
+            places = [i * n // FANOUT for i in range(1, FANOUT)]
+            quartiles = np.partition(v, places)[places]
+            cuts = np.unique(quartiles[quartiles > low[dim]])
+            strict = not len(cuts)
+            cuts = low[dim:dim + 1] if strict else cuts
+            child = np.searchsorted(cuts, v, side="left" if strict else "right")
+            made.append((node, dim, cuts.tolist(), strict))
+            todo += [(node * FANOUT + c, at[child == c]) for c in range(len(cuts) + 1)]
+        cols = {c: t.column(c) for c in [*groups, "vid", *dims, "cnt"]} | {"leaf": pa.array(leaf)}
+        out = pa.table(cols | {"dim": pa.nulls(len(x), pa.int32()), "cuts": pa.nulls(len(x), pa.list_(pa.float64())),
+                               "strict": pa.nulls(len(x), pa.bool_())})
+        node, dim, cuts, strict = zip(*made) if made else ((),) * 4
+        m = len(node)
+        rows = pa.table({c: pa.array([t.column(c)[0].as_py()] * m, t.schema.field(c).type) for c in groups}
+                        | {c: pa.nulls(m, t.schema.field(c).type) for c in ["vid", *dims, "cnt"]}
+                        | {"leaf": pa.array(node, pa.int64()), "dim": pa.array(dim, pa.int32()),
+                           "cuts": pa.array(cuts, pa.list_(pa.float64())), "strict": pa.array(strict, pa.bool_())})
+        return pa.concat_tables([out, rows.select(out.column_names)])
+    return fn
+
+
+def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_depth: int = 28, cell: int = CELL,
+               n_vectors: int | None = None) -> KdTree:
+    """Partition distinct vectors (G..., vid, dims..., cnt) into kd-tree leaves per group.
+
+    ``n_vectors``, if known, is their number: no group of a smaller table needs a look at its size.
+    """
     g, x = list(groups), list(dims)
+    spark = vectors.sparkSession
+    gfields = [vectors.schema[c] for c in g]
+    one = [T.StructField("node", T.LongType()), T.StructField("dim", T.IntegerType()),
+           T.StructField("cuts", T.ArrayType(T.DoubleType())), T.StructField("strict", T.BooleanType())]
+    coarse = T.StructType([*gfields, *one, T.StructField("leaves", T.ArrayType(T.LongType())),
+                           T.StructField("nested", T.ArrayType(T.StructType(one)))])
+    cell = max(cell, leaf_size)
     cur = vectors.select(*g, "vid", *x, "cnt", F.lit(1).cast("long").alias("node"))
-    split_tables = []
-    depth = 0
-    # One level per pass until no node holds more than leaf_size vectors. Median cuts
-    # halve a node, so this takes about log2(largest group / leaf_size) passes.
-    probs = [i / FANOUT for i in range(1, FANOUT)]
-    while True:
+    split_tables, levels = [], 0
+    probs = [i / FANOUT ** PASS_LEVELS for i in range(1, FANOUT ** PASS_LEVELS)]
+    while n_vectors is None or n_vectors > cell:
         aggs = [F.count(F.lit(1)).alias("_n")]
         for i, c in enumerate(x):
-            aggs += [F.min(c).alias(f"_mn{i}"), F.max(c).alias(f"_mx{i}"),
-                     F.percentile_approx(c, probs, 1000).alias(f"_q{i}")]
-        st = cur.groupBy(*g, "node").agg(*aggs).where(F.col("_n") > leaf_size)
+            aggs += [F.min(c).alias(f"_mn{i}"), F.max(c).alias(f"_mx{i}"), F.percentile_approx(c, probs, 10_000).alias(f"_q{i}")]
+        st = cur.groupBy(*g, "node").agg(*aggs).where(F.col("_n") > cell)
         spread = [F.col(f"_mx{i}") - F.col(f"_mn{i}") for i in range(len(x))]
         best = F.greatest(*spread) if len(x) > 1 else spread[0]
-        dim = None
-        for i, s_ in enumerate(spread):
-            dim = F.when(s_ == best, F.lit(i)) if dim is None else dim.when(s_ == best, F.lit(i))
-        st = st.withColumn("dim", dim)
-        qs = _pick(F.col("dim"), [F.col(f"_q{i}") for i in range(len(x))])
-        low = _pick(F.col("dim"), [F.col(f"_mn{i}") for i in range(len(x))])
-        # Cuts at the quantiles above the node minimum (each is a data value, so every
-        # cut has data on both sides). If all quantiles equal the minimum, one cut just
-        # above it ("strict"). Either way a node splits into at least two non-empty parts.
-        valid = F.array_sort(F.array_distinct(F.filter(qs, lambda c: c > low)))
-        splits = st.select(*g, "node", "dim",
-                           F.when(F.size(valid) > 0, valid).otherwise(F.array(low)).alias("cuts"),
-                           (F.size(valid) == 0).alias("strict"))
-        splits, n_split = materialize(splits, "kd-splits", count=True)
+        dim = F.coalesce(*[F.when(s == best, F.lit(i)) for i, s in enumerate(spread)])
+        st = st.select(*g, "node", dim.alias("dim"), *[c for c in st.columns if c not in (*g, "node")])
+        st = st.select(*g, "node", "dim", _pick(F.col("dim"), [F.col(f"_q{i}") for i in range(len(x))]).alias("qs"),
+                       _pick(F.col("dim"), [F.col(f"_mn{i}") for i in range(len(x))]).alias("low"))
+        cuts, n_split = materialize(st.mapInPandas(_coarse_cuts(g, coarse), coarse), "kd-cuts", count=True)
         if n_split == 0:
             break
-        if depth == max_depth:
-            raise RuntimeError(f"{n_split} nodes still hold more than {leaf_size} vectors at depth {max_depth}")
-        depth += 1
-        split_tables.append(splits)
-        if depth == 1:
-            salted, roots = _spread(cur, splits, "vid")
-            j = salted.join(roots, [*g, "node", "_s"], "left")
-        else:
-            j = cur.join(splits, [*g, "node"], "left")
-        cur = j.select(*g, "vid", *x, "cnt",
-                       F.when(F.col("dim").isNull(), F.col("node")).otherwise(_child(x)).alias("node"))
-        cur = materialize(cur, "kd-level")
-    vec = cur.withColumnRenamed("node", "leaf")
-    if split_tables:
-        all_splits = split_tables[0]
-        for s in split_tables[1:]:
-            all_splits = all_splits.unionByName(s)
-    else:
-        all_splits = vectors.sparkSession.createDataFrame(
-            [], T.StructType([*[vectors.schema[c] for c in g],
-                              T.StructField("node", T.LongType()), T.StructField("dim", T.IntegerType()),
-                              T.StructField("cuts", T.ArrayType(T.DoubleType())),
-                              T.StructField("strict", T.BooleanType())]))
-    leaf_box = vec.groupBy(*g, "leaf").agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(x)],
+        if levels >= max_depth:
+            raise RuntimeError(f"{n_split} nodes still hold more than {cell} vectors at depth {levels}")
+        levels += PASS_LEVELS
+        split_tables.append(cuts.select(*g, F.explode("nested").alias("s")).select(*g, "s.*"))
+        salted, table = _spread(cur, cuts.drop("nested"), "vid")
+        xv = _pick(F.col("dim"), [F.col(c) for c in x])
+        passed = F.size(F.filter("cuts", lambda c: F.when(F.col("strict"), xv > c).otherwise(xv >= c)))
+        cur = salted.join(table, [*g, "node", "_s"], "left") \
+            .select(*g, "vid", *x, "cnt", F.coalesce(F.get("leaves", passed), "node").alias("node"))
+        cur = materialize(cur, "kd-cells")
+    fine = T.StructType([*gfields, *[T.StructField(c, vectors.schema[c].dataType) for c in ("vid", *x)], T.StructField("cnt", T.LongType()),
+                         T.StructField("leaf", T.LongType()), *one[1:]])
+    cut = cur.withColumn("cnt", F.col("cnt").cast("long")).groupBy(*g, "node").applyInArrow(_finer(x, g, leaf_size, max_depth), fine)
+    cut = materialize(cut, "kd-leaves")
+    vec = cut.where("vid is not null").select(*g, "vid", *x, "cnt", "leaf")
+    all_splits = cut.where("vid is null").select(*g, F.col("leaf").alias("node"), "dim", "cuts", "strict")
+    for s in split_tables:
+        all_splits = all_splits.unionByName(s)
+    leaf_box = vec.groupBy(*g, "leaf").agg(F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("vectors"), *[F.min(c).alias(f"lo{i}") for i, c in enumerate(x)],
                                            *[F.max(c).alias(f"hi{i}") for i, c in enumerate(x)])
     # Every node's box = union of its leaves' boxes: explode each leaf into its ancestors.
     lvl = _depth(F.col("leaf"))
     anc = leaf_box.select("*", F.explode(F.sequence(F.lit(0), lvl)).alias("_up"))
     anc = anc.select(*g, F.expr(f"shiftright(leaf, _up * {LOG2_FANOUT})").alias("node"),
-                     (F.col("_up") == 0).alias("_isleaf"),
+                     (F.col("_up") == 0).alias("_isleaf"), "n", "vectors",
                      *[f"lo{i}" for i in range(len(x))], *[f"hi{i}" for i in range(len(x))])
     boxes = anc.groupBy(*g, "node").agg(*[F.min(f"lo{i}").alias(f"lo{i}") for i in range(len(x))],
                                         *[F.max(f"hi{i}").alias(f"hi{i}") for i in range(len(x))],
-                                        F.max(F.col("_isleaf").cast("int")).cast("boolean").alias("is_leaf"))
+                                        F.max(F.col("_isleaf").cast("int")).cast("boolean").alias("is_leaf"),
+                                        F.sum("n").alias("n"), F.sum("vectors").alias("vectors"))
     boxes = materialize(boxes, "kd-boxes")
-    return KdTree(vec, all_splits, boxes, g, x, depth, leaf_size)
+    depth, least, large = boxes.where("is_leaf").agg(F.max(_depth(F.col("node"))), F.min(F.when(F.col("node") > 1, F.col("n"))),
+                                                     F.count_if(F.col("vectors") > leaf_size)).first()
+    if large:
+        raise RuntimeError(f"{large} nodes still hold more than {leaf_size} vectors at depth {max_depth}")
+    return KdTree(vec, all_splits, boxes, g, x, depth or 0, leaf_size, least or leaf_size)
 
 
 def descend(tree: KdTree, queries: DataFrame) -> DataFrame:
@@ -272,6 +344,34 @@ def _search(tasks: DataFrame, key_cols, tree: KdTree, self_mode: bool, out_schem
     return tasks.repartition(n, *key_cols).groupBy(*key_cols).applyInPandas(fn, schema=out_schema)
 
 
+def _landings(tree: KdTree, need: int) -> DataFrame:
+    """(G..., _own, leaf): for each leaf with fewer than ``need`` rows, the other leaves of a node near it that holds so
+    many: from the nearest ancestor that does, down by the nearest child that still does. Small tables: a few rows per
+    such leaf."""
+    g, d = tree.groups, range(len(tree.dims))
+    boxes = tree.boxes
+    corner = [f"{e}{i}" for i in d for e in ("lo", "hi")]
+    own = boxes.where(F.col("is_leaf") & (F.col("node") > 1) & (F.col("n") < need)) \
+        .select(*g, F.col("node").alias("_own"), *[F.col(c).alias(f"own_{c}") for c in corner])
+    up = own.withColumn("_up", F.explode(F.sequence(F.lit(1), _depth(F.col("_own"))))) \
+        .withColumn("node", F.expr(f"shiftright(_own, _up * {LOG2_FANOUT})"))
+    held = up.join(boxes.where(F.col("n") >= need).select(*g, "node"), [*g, "node"])
+    # Node ids grow with depth. A group that was cut holds more than a leaf, so its root qualifies.
+    cur = held.groupBy(*g, "_own", *[f"own_{c}" for c in corner]).agg(F.max("node").alias("node"))
+    kids = boxes.where((F.col("n") >= need) & (F.col("node") > 1)) \
+        .select(*g, F.shiftright("node", LOG2_FANOUT).alias("node"), F.col("node").alias("_kid"), *corner)
+    gaps = [F.greatest(F.lit(0.0), F.col(f"lo{i}") - F.col(f"own_hi{i}"), F.col(f"own_lo{i}") - F.col(f"hi{i}")) for i in d]
+    gap = sum((x * x for x in gaps[1:]), gaps[0] * gaps[0])
+    for _ in range(tree.depth):
+        nearest = F.min_by("_kid", F.struct(gap, "_kid"))
+        cur = cur.join(kids, [*g, "node"], "left").groupBy(*g, "_own", "node", *[f"own_{c}" for c in corner]) \
+            .agg(nearest.alias("_kid")) \
+            .select(*g, "_own", F.coalesce("_kid", "node").alias("node"), *[f"own_{c}" for c in corner])
+    below = boxes.where("is_leaf").select(*g, F.col("node").alias("leaf"), F.explode(F.sequence(F.lit(0), _depth(F.col("node")))).alias("_up")) \
+        .withColumn("node", F.expr(f"shiftright(leaf, _up * {LOG2_FANOUT})"))
+    return cur.select(*g, "_own", "node").join(below, [*g, "node"]).where(F.col("leaf") != F.col("_own")).select(*g, "_own", "leaf")
+
+
 def _mindist(dims) -> F.Column:
     acc = None
     for i, c in enumerate(dims):
@@ -280,7 +380,7 @@ def _mindist(dims) -> F.Column:
     return F.sqrt(acc)
 
 
-def merge_topk(rows: DataFrame, groups, k_col: str = "_k") -> DataFrame:
+def merge_topk(rows: DataFrame, groups, k_col: str = "_k", keep_k: bool = False) -> DataFrame:
     """Global top-k per query from partial lists: the same (rounded dist, id) order."""
     from pyspark.sql import Window
     w = Window.partitionBy(*groups, "qid").orderBy(F.round("dist", TIE_DECIMALS), "cid")
@@ -288,16 +388,17 @@ def merge_topk(rows: DataFrame, groups, k_col: str = "_k") -> DataFrame:
     r = rows.withColumn("_before", before)
     r = r.where(F.col("_before") < F.col(k_col))
     return r.select(*groups, "qid", "cid", "dist",
-                    F.least(F.col("w"), F.col(k_col) - F.col("_before")).cast("long").alias("w"))
+                    F.least(F.col("w"), F.col(k_col) - F.col("_before")).cast("long").alias("w"),
+                    *[k_col][:keep_k])
 
 
-def knn(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool = False) -> DataFrame:
+def knn(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool = False, most_k: int = 1 << 30) -> DataFrame:
     """Neighbour rows (G..., qid, cid, dist, w) for queries (G..., vid, dims..., cnt[, leaf]).
 
     In self mode the queries are the tree's own vectors (their copies count as
     neighbours, themselves not) and a group of at most ``k`` rows gives all its others. Without
-    ``k`` the tree's vectors carry their group's own ``_k``, as a fitted reference does. Either way
-    the rows bring k along, so nothing is joined by the group alone.
+    ``k`` the tree's vectors carry their group's own ``_k``, at most ``most_k``, as a fitted reference does. Either
+    way the rows bring k along, so nothing is joined by the group alone.
     """
     g, x = tree.groups, tree.dims
     gschema = [queries.schema[c] for c in g]
@@ -314,12 +415,23 @@ def knn(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool
         r1 = _search_chunked(cands, q, tree, False, nschema)
     # Used by the bound and by the final merge: materialise once.
     r1 = materialize(r1, "knn-r1")
-    # Radius bound per query from its own leaf (infinite when the leaf had too few points).
-    bound = r1.groupBy(*g, "qid").agg(F.max("dist").alias("_r"), F.sum("w").alias("_got"), F.first("_k").alias("_k"))
-    qb = q.select(*g, F.col("vid").alias("qid"), *x, F.col("leaf").alias("_own")) \
-          .join(bound, [*g, "qid"], "left")
-    qb = qb.withColumn("_r", F.when(F.coalesce(F.col("_got"), F.lit(0)) >= F.col("_k"), F.col("_r"))
-                       .otherwise(F.lit(float("inf")))).drop("_got", "_k")
+    # Radius bound per query: the k-th distance in its own leaf, if that holds enough.
+    def bounds(rows):
+        found = rows.groupBy(*g, "qid").agg(F.max("dist").alias("_r"), F.sum("w").alias("_got"), F.first("_k").alias("_k"))
+        return found.select(*g, "qid", F.when(F.col("_got") >= F.col("_k"), F.col("_r")).alias("_r"))
+
+    qb = q.select(*g, F.col("vid").alias("qid"), *x, "cnt", F.col("leaf").alias("_own")).join(bounds(r1), [*g, "qid"], "left")
+    most = most_k if k is None else k
+    if tree.least <= most:
+        # Where it does not, the leaves near it are searched for a bound as well.
+        qb = materialize(qb, "knn-own")
+        short = qb.where("_r is null").join(_landings(tree, most + 1), [*g, "_own"])
+        near = _search_chunked(cands, short.select(*g, F.col("qid").alias("vid"), *x, "cnt", "leaf"), tree, False, nschema)
+        both = near.unionByName(r1.join(short.select(*g, "qid").distinct(), [*g, "qid"], "left_semi"))
+        wide = bounds(merge_topk(both, g, keep_k=True)).withColumnRenamed("_r", "_wide")
+        qb = qb.join(wide, [*g, "qid"], "left").withColumn("_r", F.coalesce("_r", "_wide")).drop("_wide")
+    # A group that was not cut has no other leaf to search.
+    qb = qb.withColumn("_r", F.coalesce("_r", F.lit(float("inf")))).drop("cnt")
     # Walk the tree from the root, keeping nodes whose box is within the bound. A leaf
     # also has itself as a "child", so reached leaves ride along and every level is
     # exactly one join of the previous frontier (a linear plan, no branch re-use).

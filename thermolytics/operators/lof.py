@@ -64,8 +64,8 @@ def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None =
         raise ValueError("k must be at least 1")
     df, g = _groups(df, within)
     x = list(dims)
-    vec = materialize(distinct_vectors(df, g, x, id_col), "lof-vectors")
-    tree = build_tree(vec, g, x, leaf_size=max(leaf_size, 4 * k))
+    vec, n = materialize(distinct_vectors(df, g, x, id_col), "lof-vectors", count=True)
+    tree = build_tree(vec, g, x, leaf_size=max(leaf_size, 4 * k), n_vectors=n)
     nb = materialize(knn(tree, tree.vectors, k, self_mode=True), "lof-neighbours")
     # The neighbours' multiplicities add up to k, or to all the others of a smaller group.
     kd = nb.groupBy(*g, "qid").agg(F.max("dist").alias("kdist"), F.sum("w").cast("long").alias("_k"))
@@ -83,7 +83,7 @@ def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None =
 def _reference(tree: KdTree, ref: DataFrame) -> KdTree:
     """The fitted tree over the reference vectors, each with its group's k (a group of one row has none)."""
     vectors = ref.where(F.col("_k") >= 1).select(*tree.groups, "vid", *tree.dims, "cnt", "leaf", "_k")
-    return KdTree(vectors, tree.splits, tree.boxes, tree.groups, tree.dims, tree.depth, tree.leaf_size)
+    return KdTree(vectors, tree.splits, tree.boxes, tree.groups, tree.dims, tree.depth, tree.leaf_size, tree.least)
 
 
 def _attach(df: DataFrame, g, x, scored: DataFrame, cols) -> DataFrame:
@@ -117,7 +117,7 @@ def lof_novelty(model: LofModel, df: DataFrame, dims, id_col: str) -> DataFrame:
         d2 = d2.select("*", *[F.col(a).alias(b) for a, b in zip(x, model.dims) if a != b])
         x = model.dims
     q = distinct_vectors(d2, g, x, id_col)
-    nb = knn(model.tree, q)
+    nb = knn(model.tree, q, most_k=model.k)
     ref = model.ref.select(*g, F.col("vid").alias("cid"), F.col("kdist").alias("_ckd"), F.col("lrd").alias("_clrd"))
     j = nb.join(ref, [*g, "cid"])
     agg = j.groupBy(*g, "qid").agg(
