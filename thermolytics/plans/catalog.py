@@ -1004,6 +1004,85 @@ def q_stream_alert_counts(spark, sf_dir):
     return c.groupBy("source_group").agg(*[F.sum(n).alias(n) for n in ("rows_parsed", "rows_rejected", "alerts_generated")])
 
 
+# ---------------------------------------------------------------- fault isolation, replayable batches, run-wide audit
+from ..sources import meter_batches, quarantine  # noqa: E402
+from ..streaming.ingest_stream import ingest_batches, read_audit  # noqa: E402
+
+
+def copy_file(spark, src: str, dst: str, first_bytes: int | None = None) -> None:
+    """Copy a file within the store, whole or its first few bytes only."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    a, b = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    fs = a.getFileSystem(conf)
+    if first_bytes is None:
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, a, fs, b, False, True, conf)
+        return
+    stream, out = fs.open(a), fs.create(b, True)
+    out.write(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, first_bytes))
+    out.close()
+    stream.close()
+
+
+@register("stream_alerts_quarantine", alert_sql(
+    f"""SELECT *, CASE WHEN SourceGroup = 'bldg3' THEN '{ALERT_TIME_2}' ELSE '{ALERT_TIME_1}' END AS AlertTimestamp,
+               CASE WHEN SourceGroup = 'bldg3' THEN 'recovered' ELSE 'read' END AS file_status,
+               CAST(CASE WHEN SourceGroup = 'bldg3' THEN 2 ELSE 0 END AS BIGINT) AS file_tries FROM alerts"""))
+def q_stream_alerts_quarantine(spark, sf_dir):
+    """One building's compressed score files are cut short in the first run: the others' alerts are written. The second
+    run finds them repaired."""
+    lines = materialize(score_lines(residual_scores(spark, sf_dir)), "score-lines")
+    scores, whole, store, cp, apart = (staging_path(spark, n) for n in ("scores", "scores-gz", "alert-store", "alert-cp", "quarantine"))
+    lines.where("file_group <> 'bldg3'").write.partitionBy("file_group").option("sep", "\t").option("header", "false").csv(scores)
+    lines.where("file_group = 'bldg3'").select("line").coalesce(2).write.option("compression", "gzip").text(whole)
+    files = spark.read.text(whole).inputFiles()                 # two
+    targets = [f"{scores}/file_group=bldg3/{i}.csv.gz" for i in range(len(files))]
+    for src, dst in zip(files, targets):
+        copy_file(spark, src, dst, first_bytes=12)
+    run = {"suffixes": ("csv", "csv.gz"), "quarantine_path": apart}
+    stream_alerts(spark, scores, store, cp, THRESHOLD, ALERT_TIME_1, **run)
+    for src, dst in zip(files, targets):
+        copy_file(spark, src, dst)
+    stream_alerts(spark, scores, store, cp, THRESHOLD, ALERT_TIME_2, **run)
+    noted = quarantine.entries(spark, apart).withColumn("SourceGroup", source_group("source_file")) \
+        .groupBy("SourceGroup").agg(F.max("status").alias("file_status"), F.max("tries").alias("file_tries"))
+    out = stored_out(read_alerts(spark, store)).join(noted, "SourceGroup", "left")
+    return out.withColumn("file_status", F.coalesce("file_status", F.lit("read"))) \
+        .withColumn("file_tries", F.coalesce("file_tries", F.lit(0).cast("long")))
+
+
+@register("stream_ingest_audit", tv.with_views(
+    "SELECT run, (SELECT count(*) FROM raw WHERE building_id IN ('bldg0', 'bldg1', 'bldg2') = (run = 'first')) AS rows_read, "
+    f"(SELECT count(*) FROM ({SQL_CLEAN}) c WHERE building_id IN ('bldg0', 'bldg1', 'bldg2') = (run = 'first')) AS rows_written "
+    "FROM (VALUES ('first'), ('second')) r(run)", "raw"))
+def q_stream_ingest_audit(spark, sf_dir):
+    """Rows read and written by two runs of many micro-batches each, one file at a time."""
+    src, dest, cp, audit = (staging_path(spark, n) for n in ("raw-json", "meter", "meter-cp", "audit"))
+    raw = tv.raw(spark, sf_dir).drop("extra_raw_col")
+    first = F.col("building_id").isin("bldg0", "bldg1", "bldg2")
+    names = {}
+    for name, rows in (("first", raw.where(first)), ("second", raw.where(~first))):
+        rows.repartition(3).write.json(f"{src}/{name}")
+        names[ingest_batches(spark, src, dest, cp, audit, max_files_per_trigger=1)["run"]] = name
+    run = F.coalesce(*[F.when(F.col("run") == k, F.lit(v)) for k, v in names.items()])
+    return read_audit(spark, audit).groupBy(run.alias("run")).agg(F.sum("rows_read").alias("rows_read"), F.sum("rows_written").alias("rows_written"))
+
+
+@register("meter_batch_replay", tv.with_views(
+    SQL_CLEAN + " AND try_strptime(timestamp_str, '%Y-%m-%d %H:%M:%S') >= DATE '2024-01-10'"
+                " AND try_strptime(timestamp_str, '%Y-%m-%d %H:%M:%S') < DATE '2024-01-21'", "raw"))
+def q_meter_batch_replay(spark, sf_dir):
+    """Three batches, one of them first with wrong rows; compacted, then two written again: one copy of each."""
+    path = staging_path(spark, "meter-batches")
+    clean = materialize(clean_meter(tv.raw(spark, sf_dir)), "meter-clean")
+    part = F.coalesce(F.substring("building_id", 5, 9).cast("int"), F.lit(0)) % 3
+    for batch, rows in (("0", clean.where(part == 0)), ("1", clean.where(part != 1)), ("2", clean.where(part == 2))):
+        meter_batches.write_batch(spark, rows, path, batch)
+    meter_batches.compact(spark, path)
+    for batch in (1, 2):
+        meter_batches.write_batch(spark, clean.where(part == batch), path, str(batch))
+    return rounded(meter_batches.read_batches(spark, path, "2024-01-10", "2024-01-20").select(*METER_OUT))
+
+
 # ---------------------------------------------------------------- one model over all rows; rows without a score
 @register("lof_novelty_global", novelty_sql(
     "SELECT zq.building_id, zq.apartment_id, zq.event_date, " + r6("gqlof.lof", "lof")

@@ -21,6 +21,7 @@ from ..session import scratch
 from ..sources.alerts_store import upsert_alerts
 from ..sources.features import read_features, write_features
 from ..sources.meter import read_meter, read_raw_meter, read_weather, write_meter
+from ..sources.meter_batches import write_batch
 from ..sources.reports import write_report
 from ..sources.scores import read_scores
 from .features import inference_features, training_features
@@ -33,13 +34,17 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
-def ingest(spark: SparkSession, source, dest: str, table: str | None = None) -> dict:
+def ingest(spark: SparkSession, source, dest: str, table: str | None = None, batch: str | None = None) -> dict:
     """Raw JSON -> cleaned, partitioned meter table (append). Counts of rows read and written come
-    from observations on the write, not from extra passes."""
+    from observations on the write, not from extra passes. With an id ``batch``, ``dest`` is a table of
+    replayable batches (``meter_batches``): running the job again replaces the batch."""
     read, written = Observation("ingest-read"), Observation("ingest-written")
     raw = read_raw_meter(spark, source).observe(read, F.count(F.lit(1)).alias("rows_read"))
     clean = clean_meter(raw).observe(written, F.count(F.lit(1)).alias("rows_written"))
-    write_meter(clean, dest, table)
+    if batch is None:
+        write_meter(clean, dest, table)
+    else:
+        write_batch(spark, clean, dest, batch)
     return read.get | written.get
 
 
