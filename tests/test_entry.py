@@ -22,7 +22,8 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", [
     "features_daily", "label_metrics_unscored", "alerts_store_upsert", "alerts_store_for_date", "alerts_store_delete",
-    "incremental_ingest_runs", "meter_table_range", "ingest_audit", "stream_alert_counts", "lof_novelty_global"])
+    "incremental_ingest_runs", "meter_table_range", "ingest_audit", "stream_alert_counts", "lof_novelty_global",
+    "stream_alerts_quarantine", "stream_ingest_audit", "meter_batch_replay"])
 def test_query_against_its_sql(spark, name):
     con = duckdb.connect()
     for t in TABLES:
@@ -40,11 +41,12 @@ def run_elsewhere(code, cwd):
                           env={**os.environ, "PYTHONPATH": ""})
 
 
-def test_without_the_optional_part(tmp_path):
+@pytest.mark.parametrize("missing", ["thermolytics.llm", "xxhash"])
+def test_without_the_optional_part(tmp_path, missing):
     out = run_elsewhere(f"""
 import sys
 sys.path.insert(0, {ROOT!r})
-sys.modules["thermolytics.llm"] = None
+sys.modules[{missing!r}] = None
 import __spark_entry__ as E
 print(len(E.queries()), set(E.oracle_sql()) <= set(E.queries()), any(k.startswith("op") or k == "pipeline" for k in E.queries()))
 """, tmp_path)
