@@ -1,4 +1,4 @@
-"""Score files -> alerts (rows of the reference's alert tests plus extra damaged rows)."""
+"""Score files -> alerts."""
 
 import os
 
@@ -21,7 +21,7 @@ def write(path, name, lines):
         f.write("\n".join(lines) + ("\n" if lines else ""))
 
 
-def test_reference_rows(spark, tmp_dir):
+def test_plain_rows(spark, tmp_dir):
     write(tmp_dir, "scores.csv", LINES)
     write(tmp_dir, "ignored.txt", ["apt9,b,2024-01-01,99"])
     good, bad = parse_scores(read_scores(spark, tmp_dir))

@@ -1,4 +1,4 @@
-"""Evaluation report, throughput and gate (fixture values of the reference's evaluation tests)."""
+"""Evaluation report, throughput and gate."""
 
 import datetime as dt
 
