@@ -41,7 +41,7 @@ from .common import run_hashes, slices, utf8, word_hashes
 
 DIM = 1 << 13
 ROUNDS = 60             # of EM at most
-SAMPLE = 100_000        # different texts that the scorer is fitted on
+SAMPLE = 40_000         # different texts that the scorer is fitted on
 EPOCHS, STEPS = 12, 400 # passes over the sample, and steps at least
 BATCH = 256
 RATE = 0.5
