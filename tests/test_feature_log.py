@@ -1,0 +1,78 @@
+"""Incremental newest feature rows: equal to the full aggregate, and only dates with deltas are merged."""
+
+import datetime as dt
+import random
+
+import pytest
+
+from thermolytics.operators.dedup import latest_features
+from thermolytics.schemas import FEATURE
+from thermolytics.sources import feature_log, versioned
+
+
+def run_rows(seed, day0, n=60):
+    rng = random.Random(seed)
+    when = dt.datetime(2024, 2, 1) + dt.timedelta(hours=seed)
+    return [(f"apt{rng.randint(1, 9)}", when + dt.timedelta(seconds=i), dt.date(2024, 1, day0 + rng.randint(0, 4)), f"b{rng.randint(1, 2)}",
+             *[round(rng.random(), 3) for _ in range(8)]) for i in range(n)]
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.select(*FEATURE.names).collect()), key=repr)
+
+
+def test_equal_to_the_full_aggregate(spark, tmp_dir):
+    path, everything = f"{tmp_dir}/f", []
+    for i, day in enumerate((1, 3, 6, 2)):
+        rows = run_rows(i, day)
+        everything += rows
+        feature_log.append_features(spark, spark.createDataFrame(rows, FEATURE), path, f"run{i}")
+        want = rows_of(latest_features(spark.createDataFrame(everything, FEATURE)))
+        assert rows_of(feature_log.latest(spark, path)) == want
+        if i in (1, 2):
+            assert feature_log.compact(spark, path) > 0 and feature_log.compact(spark, path) == 0
+            assert rows_of(feature_log.latest(spark, path)) == want
+    some = ["2024-01-03", "2024-01-09"]
+    assert rows_of(feature_log.latest(spark, path, some)) == [r for r in want if str(r[2]) in some]
+
+
+def test_a_run_written_again_changes_nothing(spark, tmp_dir):
+    path = f"{tmp_dir}/f"
+    first, second = (spark.createDataFrame(run_rows(i, 1), FEATURE) for i in range(2))
+    for rows, run in ((first, "a"), (second, "b")):
+        feature_log.append_features(spark, rows, path, run)
+    want = rows_of(feature_log.latest(spark, path))
+    feature_log.append_features(spark, first, path, "a")
+    assert rows_of(feature_log.latest(spark, path)) == want
+    assert max(len(es) for es in versioned.current(spark, path).parts().values()) == 2
+    feature_log.compact(spark, path)
+    feature_log.append_features(spark, first, path, "a")
+    assert rows_of(feature_log.latest(spark, path)) == want
+
+
+def test_only_dates_with_deltas_are_merged(spark, tmp_dir):
+    path = f"{tmp_dir}/f"
+    feature_log.append_features(spark, spark.createDataFrame(run_rows(0, 1), FEATURE), path, "a")
+    assert feature_log.compact(spark, path) == 5
+    plan = feature_log.latest(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+    before = {e.part: e.folder for e in versioned.current(spark, path).entries}
+    late = [r for r in run_rows(5, 1) if r[2] == dt.date(2024, 1, 3)]
+    feature_log.append_features(spark, spark.createDataFrame(late, FEATURE), path, "late")
+    assert feature_log.compact(spark, path) == 1
+    after = {e.part: e.folder for e in versioned.current(spark, path).entries}
+    assert [d for d in after if after[d] != before[d]] == ["2024-01-03"]
+
+
+def test_rows_without_key_or_date(spark, tmp_dir):
+    path, bad = f"{tmp_dir}/f", f"{tmp_dir}/bad"
+    (_, when, day, b, *rest), *_ = run_rows(0, 1)
+    rows = [(None, when, day, b, *rest), ("apt1", None, day, b, *rest), ("apt1", when, None, b, *rest), ("apt1", when, day, b, *rest)]
+    for _ in range(2):
+        feature_log.append_features(spark, spark.createDataFrame(rows, FEATURE), path, "a", bad)
+    assert spark.read.parquet(bad).count() == 2
+    feature_log.compact(spark, path)
+    assert sorted(str(r.event_date) for r in feature_log.latest(spark, path).collect()) == [str(day), "None"]
+    with pytest.raises(ValueError):
+        feature_log.append_features(spark, spark.createDataFrame(rows, FEATURE), path, "base")
+    assert feature_log.latest(spark, f"{tmp_dir}/none").count() == 0

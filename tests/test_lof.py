@@ -222,3 +222,37 @@ def test_a_group_smaller_than_k_beside_a_cut_one(spark):
     X, ids, grp = np.array([r[2:] for r in rows]), np.array([r[1] for r in rows]), np.array([r[0] for r in rows])
     exp, _, _ = brute_lof(X, ids, 10, grp)
     assert all(got[int(i)] == pytest.approx(e, rel=1e-9) for i, e in zip(ids, exp))
+
+
+@pytest.mark.parametrize("within", ["grp", None])
+def test_approximate_neighbours_by_projection_tables(spark, within):
+    """Recall of at least 0.9 at leaves far smaller than the data; equal rows and ties included."""
+    from thermolytics.operators.knn import approximate_knn
+    from thermolytics.operators.lof import lof_scores_approximate
+    rng = np.random.default_rng(31)
+    X = np.concatenate([rng.normal(size=(1200, 5)), rng.normal(size=(800, 5)) * 0.1 + 3, np.round(rng.normal(size=(400, 5)), 0)])
+    ids = np.arange(len(X))
+    grp = np.where(ids % 4 == 0, "g1", "g2")
+    df, dims = frame(spark, X, ids, grp)
+    scored = {r.id: r.lof for r in lof_scores_approximate(df, dims, "id", k=10, within=within, leaf_size=100).collect()}
+    exact, _, _ = brute_lof(X, ids, 10, grp if within else None)
+    assert len(scored) == len(X) and all(v is not None for v in scored.values())
+    off = np.array([abs(scored[int(i)] - e) / e for i, e in zip(ids, exact)])
+    assert np.median(off) < 0.01 and (off < 0.1).mean() > 0.9
+
+    vec = vectors(spark, X[:2000], ids[:2000])
+    got = neighbours(approximate_knn(vec, ["grp"], ["x0", "x1", "x2", "x3", "x4"], 10, leaf_size=100))
+    want = brute_neighbours(X[:2000], ids[:2000], zip(ids[:2000], X[:2000]), 10)
+    recall = np.mean([len(set(got[i]) & set(want[i])) / 10 for i in want])
+    fewer = neighbours(approximate_knn(vec, ["grp"], ["x0", "x1", "x2", "x3", "x4"], 10, leaf_size=100, tables=1))
+    assert recall >= 0.9 > np.mean([len(set(fewer[i]) & set(want[i])) / 10 for i in want])
+    assert all(len(v) == 10 for v in got.values()) and len(got) == 2000
+
+
+def test_approximate_search_of_small_groups_is_exact(spark):
+    from thermolytics.operators.lof import lof_scores_approximate
+    X, ids, grp = make_points(seed=3, n=160)
+    df, dims = frame(spark, X, ids, grp)
+    got = {r.id: r.lof for r in lof_scores_approximate(df, dims, "id", k=6, within="grp").collect()}
+    exp, _, _ = brute_lof(X, ids, 6, grp)
+    assert all(got[int(i)] == pytest.approx(e, rel=1e-9, abs=1e-9) for i, e in zip(ids, exp))

@@ -118,12 +118,27 @@ def _coarse_cuts(groups, cuts_schema):
     return fn
 
 
+def _other_leaves(x: np.ndarray, start: np.ndarray, made: list[tuple]) -> np.ndarray:
+    """The leaf below each row's node ``start`` by the cuts ``made``; -1 stays."""
+    cut = {node: (dim, np.array(cuts), "left" if strict else "right") for node, dim, cuts, strict in made}
+    out = start.copy()
+    todo = {n: np.flatnonzero(out == n) for n in np.unique(out).tolist() if n in cut}
+    while todo:
+        node, at = todo.popitem()
+        dim, cuts, side = cut[node]
+        out[at] = node * FANOUT + np.searchsorted(cuts, x[at, dim], side=side)
+        todo |= {n: at[out[at] == n] for n in np.unique(out[at]).tolist() if n in cut}
+    return out
+
+
 def _finer(dims, groups, leaf_size: int, max_depth: int):
-    """applyInArrow function: vectors of one node -> the same with their leaf, and the cuts made (rows without vid)."""
+    """applyInArrow function: vectors of one node -> the same with their leaf, the leaf beyond the nearest cut on their
+    way (``beyond``, -1 if there was no cut), and the cuts made (rows without vid)."""
     def fn(t: pa.Table) -> pa.Table:
         x = np.column_stack([t.column(c).to_numpy() for c in dims])
         root = t.column("node")[0].as_py()
         leaf = np.full(len(x), root, np.int64)
+        margin, beyond = np.full(len(x), np.inf), np.full(len(x), -1, np.int64)
         made, todo = [], [(root, np.arange(len(x)))]
         while todo:
             node, at = todo.pop()
@@ -143,25 +158,32 @@ def _finer(dims, groups, leaf_size: int, max_depth: int):
             cuts = low[dim:dim + 1] if strict else cuts
             child = np.searchsorted(cuts, v, side="left" if strict else "right")
             made.append((node, dim, cuts.tolist(), strict))
+            walls = np.concatenate([[-np.inf], cuts, [np.inf]])
+            down, up = v - walls[child], walls[child + 1] - v
+            near = np.minimum(down, up)
+            closer = near < margin[at]
+            margin[at[closer]] = near[closer]
+            beyond[at[closer]] = (node * FANOUT + child + np.where(down < up, -1, 1))[closer]
             todo += [(node * FANOUT + c, at[child == c]) for c in range(len(cuts) + 1)]
-        cols = {c: t.column(c) for c in [*groups, "vid", *dims, "cnt"]} | {"leaf": pa.array(leaf)}
+        cols = {c: t.column(c) for c in [*groups, "vid", *dims, "cnt"]} | {"leaf": pa.array(leaf), "beyond": pa.array(_other_leaves(x, beyond, made))}
         out = pa.table(cols | {"dim": pa.nulls(len(x), pa.int32()), "cuts": pa.nulls(len(x), pa.list_(pa.float64())),
                                "strict": pa.nulls(len(x), pa.bool_())})
         node, dim, cuts, strict = zip(*made) if made else ((),) * 4
         m = len(node)
         rows = pa.table({c: pa.array([t.column(c)[0].as_py()] * m, t.schema.field(c).type) for c in groups}
                         | {c: pa.nulls(m, t.schema.field(c).type) for c in ["vid", *dims, "cnt"]}
-                        | {"leaf": pa.array(node, pa.int64()), "dim": pa.array(dim, pa.int32()),
+                        | {"leaf": pa.array(node, pa.int64()), "beyond": pa.nulls(m, pa.int64()), "dim": pa.array(dim, pa.int32()),
                            "cuts": pa.array(cuts, pa.list_(pa.float64())), "strict": pa.array(strict, pa.bool_())})
         return pa.concat_tables([out, rows.select(out.column_names)])
     return fn
 
 
 def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_depth: int = 28, cell: int = CELL,
-               n_vectors: int | None = None) -> KdTree:
+               n_vectors: int | None = None, beyond: bool = False) -> KdTree:
     """Partition distinct vectors (G..., vid, dims..., cnt) into kd-tree leaves per group.
 
-    ``n_vectors``, if known, is their number: no group of a smaller table needs a look at its size.
+    ``n_vectors``, if known, is their number: no group of a smaller table needs a look at its size. With ``beyond``
+    the tree's vectors also have the leaf beyond the nearest cut that their cell was given (-1: none).
     """
     g, x = list(groups), list(dims)
     spark = vectors.sparkSession
@@ -199,10 +221,10 @@ def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_dept
             .select(*g, "vid", *x, "cnt", F.coalesce(F.get("leaves", passed), "node").alias("node"))
         cur = materialize(cur, "kd-cells")
     fine = T.StructType([*gfields, *[T.StructField(c, vectors.schema[c].dataType) for c in ("vid", *x)], T.StructField("cnt", T.LongType()),
-                         T.StructField("leaf", T.LongType()), *one[1:]])
+                         T.StructField("leaf", T.LongType()), T.StructField("beyond", T.LongType()), *one[1:]])
     cut = cur.withColumn("cnt", F.col("cnt").cast("long")).groupBy(*g, "node").applyInArrow(_finer(x, g, leaf_size, max_depth), fine)
     cut = materialize(cut, "kd-leaves")
-    vec = cut.where("vid is not null").select(*g, "vid", *x, "cnt", "leaf")
+    vec = cut.where("vid is not null").select(*g, "vid", *x, "cnt", "leaf", *["beyond"][:beyond])
     all_splits = cut.where("vid is null").select(*g, F.col("leaf").alias("node"), "dim", "cuts", "strict")
     for s in split_tables:
         all_splits = all_splits.unionByName(s)
@@ -431,22 +453,24 @@ def knn(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool
         wide = bounds(merge_topk(both, g, keep_k=True)).withColumnRenamed("_r", "_wide")
         qb = qb.join(wide, [*g, "qid"], "left").withColumn("_r", F.coalesce("_r", "_wide")).drop("_wide")
     # A group that was not cut has no other leaf to search.
-    qb = qb.withColumn("_r", F.coalesce("_r", F.lit(float("inf")))).drop("cnt")
-    # Walk the tree from the root, keeping nodes whose box is within the bound. A leaf
-    # also has itself as a "child", so reached leaves ride along and every level is
-    # exactly one join of the previous frontier (a linear plan, no branch re-use).
-    boxes = tree.boxes.withColumn("_depth", _depth(F.col("node")))
-    kids = boxes.where(F.col("node") > 1).withColumn("_parent", F.shiftright("node", LOG2_FANOUT)) \
+    qb = qb.withColumn("_r", F.coalesce("_r", F.lit(float("inf"))))
+    # Walk the tree from the root, PASS_LEVELS levels per join, keeping nodes whose box is within the bound. A
+    # leaf also has itself as a "child", so reached leaves ride along and every step is exactly one join of
+    # the previous frontier (a linear plan, no branch re-use).
+    boxes = tree.boxes.withColumn("_depth", _depth(F.col("node"))) \
+        .withColumn("_from", (F.floor((F.col("_depth") - 1) / PASS_LEVELS) * PASS_LEVELS).cast("int"))
+    kids = boxes.where((F.col("node") > 1) & (F.col("is_leaf") | (F.col("_depth") % PASS_LEVELS == 0))) \
+        .withColumn("_parent", F.expr(f"shiftright(node, (_depth - _from) * {LOG2_FANOUT})")) \
         .unionByName(boxes.where(F.col("is_leaf")).withColumn("_parent", F.col("node")))
     # Queries whose own leaf is the root have nowhere else to look.
     frontier = qb.where(F.col("_own") != 1).withColumn("node", F.lit(1).cast("long")).withColumn("is_leaf", F.lit(False))
     # The box table is small and joined by broadcast, so the walk keeps the frontier's
     # partitioning: spread the queries over all task slots first.
     frontier = frontier.repartition(_search_partitions(queries.sparkSession), *g, "qid")
-    for level in range(tree.depth):
-        # Children at depth level+1 plus leaves already reached: at the top levels this
-        # table is tiny while every query shares the same node key.
-        lk = kids.where(((F.col("_parent") != F.col("node")) & (F.col("_depth") == level + 1))
+    for level in range(0, tree.depth, PASS_LEVELS):
+        # Nodes of this step plus leaves already reached: at the top this table is tiny while every query
+        # shares the same node key.
+        lk = kids.where(((F.col("_parent") != F.col("node")) & (F.col("_from") == level))
                         | ((F.col("_parent") == F.col("node")) & (F.col("_depth") <= level)))
         if level == 0:
             f, b = (d.alias(a) for d, a in zip(_spread(frontier, lk, "qid"), "fb"))
@@ -455,30 +479,29 @@ def knn(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool
         cond = [F.col(f"f.{c}") == F.col(f"b.{c}") for c in g] + [F.col("f.node") == F.col("b._parent")]
         cond += [F.col("f._s") == F.col("b._s")] if level == 0 else []
         j = f.join(b, cond, "inner")
-        j = j.select(*[F.col(f"f.{c}").alias(c) for c in g], "f.qid", *[F.col(f"f.{c}") for c in x],
+        j = j.select(*[F.col(f"f.{c}").alias(c) for c in g], "f.qid", *[F.col(f"f.{c}") for c in x], "f.cnt",
                      "f._own", "f._r", F.col("b.node").alias("node"), "b.is_leaf",
                      *[F.col(f"b.lo{i}") for i in range(len(x))], *[F.col(f"b.hi{i}") for i in range(len(x))])
         j = j.where(_mindist(x) <= F.col("_r") + F.lit(BOX_SLACK))
-        frontier = j.select(*g, "qid", *x, "_own", "_r", "node", "is_leaf")
-    other = frontier.where(F.col("is_leaf") & (F.col("node") != F.col("_own"))).select(*g, "qid", "node", "_r")
+        frontier = j.select(*g, "qid", *x, "cnt", "_own", "_r", "node", "is_leaf")
     if tree.depth > 0:
+        # Each query's vector goes along: (query, leaf) pairs are what the search reads.
+        other = frontier.where(F.col("is_leaf") & (F.col("node") != F.col("_own"))) \
+            .select(*g, F.col("qid").alias("vid"), *x, "cnt", F.col("node").alias("leaf"), "_r")
         other = materialize(other, "knn-walk")
-    if tree.depth > 0:
-        qv = q.select(*g, "vid", *x, "cnt")
-        pairs = other.join(qv.withColumnRenamed("vid", "qid"), [*g, "qid"]) \
-                     .select(*g, F.col("qid").alias("vid"), *x, "cnt", F.col("node").alias("leaf"), "_r")
-        r2 = _search_chunked(cands, pairs, tree, False, nschema)
-        r1 = r1.unionByName(r2)
+        r1 = r1.unionByName(_search_chunked(cands, other, tree, False, nschema, known=True))
     return merge_topk(r1, g)
 
 
-def _search_chunked(cands: DataFrame, queries: DataFrame, tree: KdTree, self_mode: bool, nschema) -> DataFrame:
-    """Search task per (G, leaf, chunk): the leaf's vectors and at most QUERY_CHUNK queries."""
+def _search_chunked(cands: DataFrame, queries: DataFrame, tree: KdTree, self_mode: bool, nschema, known: bool = False) -> DataFrame:
+    """Search task per (G, leaf, chunk): the leaf's vectors and at most QUERY_CHUNK queries. ``known``: the tree has all
+    of the queries' leaves."""
     g, x = tree.groups, tree.dims
     qcount = queries.groupBy(*g, "leaf").agg(F.count(F.lit(1)).alias("_nq"))
     nchunks = F.greatest(F.lit(1), F.ceil(F.col("_nq") / F.lit(QUERY_CHUNK))).cast("int")
     # Queries of a group that the tree does not have meet no vectors: they get no rows.
-    chunks = qcount.join(cands.select(*g, "leaf").distinct(), [*g, "leaf"]).select(*g, "leaf", nchunks.alias("_nc"))
+    held = qcount if known else qcount.join(cands.select(*g, "leaf").distinct(), [*g, "leaf"])
+    chunks = held.select(*g, "leaf", nchunks.alias("_nc"))
     q = queries.join(chunks, [*g, "leaf"]).withColumn(
         "_chunk", F.pmod(F.xxhash64("vid"), F.col("_nc").cast("long")).cast("int"))
     c = cands.join(chunks, [*g, "leaf"]).withColumn(
@@ -488,3 +511,39 @@ def _search_chunked(cands: DataFrame, queries: DataFrame, tree: KdTree, self_mod
     tasks = c.select(*cols, "_k", F.lit(None).cast("double").alias("_r"), F.lit(0).alias("_role")) \
              .unionByName(q.select(*cols, F.lit(None).cast("long").alias("_k"), qr.alias("_r"), F.lit(1).alias("_role")))
     return _search(tasks, [*g, "leaf", "_chunk"], tree, self_mode, nschema)
+
+
+def approximate_knn(vectors: DataFrame, groups, dims, k: int, tables: int = 4, leaf_size: int = 1024, seed: int = 17,
+                    n_vectors: int | None = None) -> DataFrame:
+    """Neighbour rows (G..., qid, cid, dist, w) as ``knn`` gives in self mode, found by random-projection hash tables.
+
+    A table projects the vectors on a random orthonormal basis (the first on their own axes) and cuts them at medians,
+    so a bucket is a leaf and holds at most ``leaf_size`` vectors whatever the skew. Each vector searches, in each
+    table, its own bucket and the one beyond the nearest cut on its way (its second probe). All tables are built and
+    searched in one pass each; there is no walk and no bound. A vector may get fewer than ``k`` neighbours where its
+    buckets hold fewer.
+    """
+    g, x = list(groups), list(dims)
+    rng = np.random.default_rng(seed)
+    bases = [np.eye(len(x)), *[np.linalg.qr(rng.normal(size=(len(x), len(x))))[0] for _ in range(tables - 1)]]
+    y = [f"_y{i}" for i in range(len(x))]
+
+    def along(axis):
+        parts = [F.col(c) * float(a) for c, a in zip(x, axis)]
+        return sum(parts[1:], parts[0])
+
+    turned = F.explode(F.array(*[F.struct(F.lit(i).alias("_t"), *[along(b[:, j]).alias(y[j]) for j in range(len(x))])
+                                 for i, b in enumerate(bases)]))
+    spread = vectors.select(*g, "vid", "cnt", turned.alias("_s")).select(*g, "_s.*", "vid", "cnt")
+    tg = [*g, "_t"]
+    tree = build_tree(spread, tg, y, leaf_size, n_vectors=n_vectors and n_vectors * tables, beyond=True)
+    # Distances are taken in the original coordinates.
+    placed = tree.vectors.select(*tg, "vid", "leaf", "beyond").join(vectors.select(*g, "vid", *x, "cnt"), [*g, "vid"])
+    placed = materialize(placed.withColumn("_k", F.lit(k).cast("long")), "knn-buckets")
+    tree = KdTree(placed, tree.splits, tree.boxes, tg, x, tree.depth, leaf_size, tree.least)
+    nschema = _neighbour_schema([vectors.schema[c] for c in g] + [T.StructField("_t", T.IntegerType())])
+    own = _search(placed.withColumn("_role", F.lit(2)).withColumn("_r", F.lit(None).cast("double")), [*tg, "leaf"], tree, True, nschema)
+    probes = placed.where("beyond >= 0").select(*tg, "vid", *x, "cnt", F.col("beyond").alias("leaf"))
+    found = own.unionByName(_search_chunked(placed, probes, tree, False, nschema, known=True))
+    found = found.groupBy(*g, "qid", "cid").agg(F.min("dist").alias("dist"), F.max("w").alias("w"), F.first("_k").alias("_k"))
+    return merge_topk(found, g)

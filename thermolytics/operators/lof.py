@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .knn import KdTree, build_tree, knn
+from .knn import KdTree, approximate_knn, build_tree, knn
 from .quantile import exact_quantile
 from ..functions.params import attach_row
 from ..session import materialize
@@ -53,6 +53,19 @@ def distinct_vectors(df: DataFrame, groups, dims, id_col: str) -> DataFrame:
             .groupBy(*groups, *dims).agg(F.min("_id").alias("vid"), F.count(F.lit(1)).alias("cnt")))
 
 
+def _factors(nb: DataFrame, g) -> DataFrame:
+    """(G..., vid, kdist, lrd, lof, _k) of every vector from the neighbour rows ``nb``."""
+    # The neighbours' multiplicities add up to k, or to all the others of a smaller group.
+    kd = nb.groupBy(*g, "qid").agg(F.max("dist").alias("kdist"), F.sum("w").cast("long").alias("_k"))
+    reach = nb.drop("_k").join(kd.select(*g, F.col("qid").alias("cid"), F.col("kdist").alias("_ckd")), [*g, "cid"])
+    lrd = reach.groupBy(*g, "qid").agg(
+        (F.lit(1.0) / (F.sum(F.col("w") * F.greatest("dist", "_ckd")) / F.sum("w") + F.lit(EPS))).alias("lrd"))
+    nl = nb.join(lrd.withColumnRenamed("qid", "cid").withColumnRenamed("lrd", "_clrd"), [*g, "cid"])
+    mean_n = nl.groupBy(*g, "qid").agg((F.sum(F.col("w") * F.col("_clrd")) / F.sum("w")).alias("_mlrd"))
+    return kd.join(lrd, [*g, "qid"]).join(mean_n, [*g, "qid"]) \
+              .select(*g, F.col("qid").alias("vid"), "kdist", "lrd", (F.col("_mlrd") / F.col("lrd")).alias("lof"), "_k")
+
+
 def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None = None,
             leaf_size: int = 1024) -> LofModel:
     """Fit LOF on rows of ``df`` (features ``dims`` already scaled; nulls count as 0).
@@ -67,15 +80,7 @@ def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None =
     vec, n = materialize(distinct_vectors(df, g, x, id_col), "lof-vectors", count=True)
     tree = build_tree(vec, g, x, leaf_size=max(leaf_size, 4 * k), n_vectors=n)
     nb = materialize(knn(tree, tree.vectors, k, self_mode=True), "lof-neighbours")
-    # The neighbours' multiplicities add up to k, or to all the others of a smaller group.
-    kd = nb.groupBy(*g, "qid").agg(F.max("dist").alias("kdist"), F.sum("w").cast("long").alias("_k"))
-    reach = nb.drop("_k").join(kd.select(*g, F.col("qid").alias("cid"), F.col("kdist").alias("_ckd")), [*g, "cid"])
-    lrd = reach.groupBy(*g, "qid").agg(
-        (F.lit(1.0) / (F.sum(F.col("w") * F.greatest("dist", "_ckd")) / F.sum("w") + F.lit(EPS))).alias("lrd"))
-    nl = nb.join(lrd.withColumnRenamed("qid", "cid").withColumnRenamed("lrd", "_clrd"), [*g, "cid"])
-    mean_n = nl.groupBy(*g, "qid").agg((F.sum(F.col("w") * F.col("_clrd")) / F.sum("w")).alias("_mlrd"))
-    stats = kd.join(lrd, [*g, "qid"]).join(mean_n, [*g, "qid"]) \
-              .select(*g, F.col("qid").alias("vid"), "kdist", "lrd", (F.col("_mlrd") / F.col("lrd")).alias("lof"), "_k")
+    stats = _factors(nb, g)
     ref = materialize(tree.vectors.join(stats, [*g, "vid"], "left"), "lof-ref")
     return LofModel(_reference(tree, ref), ref, g, x, within, k)
 
@@ -104,6 +109,22 @@ def lof_scores(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None
     return out.drop(GLOBAL) if not within else out
 
 
+def lof_scores_approximate(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None = None, leaf_size: int = 1024,
+                           tables: int = 4) -> DataFrame:
+    """As ``lof_scores``, on neighbours found by random-projection hash tables (``knn.approximate_knn``): for groups so
+    large that the exact search is not wanted. Its recall is a matter of ``tables``; measure it against ``knn``."""
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    df = materialize(df, "lof-rows")
+    d2, g = _groups(df, within)
+    x = list(dims)
+    vec, n = materialize(distinct_vectors(d2, g, x, id_col), "lof-vectors", count=True)
+    nb = materialize(approximate_knn(vec, g, x, k, tables, max(leaf_size, 4 * k), n_vectors=n), "lof-neighbours")
+    scored = materialize(vec.join(_factors(nb, g).select(*g, "vid", "lof"), [*g, "vid"], "left"), "lof-approximate")
+    out = _attach(d2, g, x, scored, ["lof"]).withColumn("lof_score", -F.col("lof"))
+    return out.drop(GLOBAL) if not within else out
+
+
 def lof_novelty(model: LofModel, df: DataFrame, dims, id_col: str) -> DataFrame:
     """Score new rows against the fitted reference set without adding them to it.
 

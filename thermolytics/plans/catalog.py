@@ -1005,7 +1005,8 @@ def q_stream_alert_counts(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- fault isolation, replayable batches, run-wide audit
-from ..sources import meter_batches, quarantine  # noqa: E402
+from ..operators.lof import lof_scores_approximate  # noqa: E402
+from ..sources import feature_log, meter_batches, quarantine  # noqa: E402
 from ..streaming.ingest_stream import ingest_batches, read_audit  # noqa: E402
 
 
@@ -1083,6 +1084,27 @@ def q_meter_batch_replay(spark, sf_dir):
     return rounded(meter_batches.read_batches(spark, path, "2024-01-10", "2024-01-20").select(*METER_OUT))
 
 
+@register("latest_features_incremental", ORACLE_SQL["latest_features"])
+def q_latest_features_incremental(spark, sf_dir):
+    """Two runs as deltas of the feature log: the first compacted, the second partly, the rest merged on reading."""
+    path = staging_path(spark, "feature-log")
+    run1 = _train_feats(spark, sf_dir, "2024-01-01", "2024-01-20", event_time=EVENT_TIME_1)
+    run2 = _train_feats(spark, sf_dir, "2024-01-15", "2024-01-31", event_time=EVENT_TIME_2)
+    feature_log.append_features(spark, run1, path, "first")
+    feature_log.compact(spark, path)
+    feature_log.append_features(spark, run2, path, "second")
+    feature_log.compact(spark, path, [f"2024-01-{d}" for d in range(16, 25)])
+    out = feature_log.latest(spark, path)
+    return rounded(out.withColumn("event_time", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")))
+
+
+@register("lof_global_approx")
+def q_lof_global_approx(spark, sf_dir):
+    """LOF of all rows on neighbours found by random-projection hash tables (no SQL: its recall is tested)."""
+    z = scaled_features(spark, sf_dir)
+    return rounded(lof_scores_approximate(z, ZCOLS, "id", k=20).select(*KEYS3, "lof"))
+
+
 # ---------------------------------------------------------------- one model over all rows; rows without a score
 @register("lof_novelty_global", novelty_sql(
     "SELECT zq.building_id, zq.apartment_id, zq.event_date, " + r6("gqlof.lof", "lof")
