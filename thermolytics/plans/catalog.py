@@ -1007,6 +1007,7 @@ def q_stream_alert_counts(spark, sf_dir):
 # ---------------------------------------------------------------- fault isolation, replayable batches, run-wide audit
 from ..operators.lof import lof_scores_approximate  # noqa: E402
 from ..sources import feature_log, meter_batches, quarantine  # noqa: E402
+from . import incremental  # noqa: E402
 from ..streaming.ingest_stream import ingest_batches, read_audit  # noqa: E402
 
 
@@ -1098,6 +1099,24 @@ def q_latest_features_incremental(spark, sf_dir):
     return rounded(out.withColumn("event_time", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")))
 
 
+@register("late_readings_features", tv.with_views(f"SELECT {FEATURE_OUT_SQL} FROM feat", "meter", "weather", extra=FEATURE_CTES))
+def q_late_readings_features(spark, sf_dir):
+    """Features kept up to date through three batches, two of them late (whole days of a building, and a quarter of one day's
+    readings), one sent twice, with a compaction in between: equal to a full rebuild."""
+    state, feats = staging_path(spark, "daily-state"), staging_path(spark, "feature-log")
+    meter, weather = materialize(tv.meter(spark, sf_dir), "meter"), tv.weather(spark, sf_dir)
+    day = F.dayofmonth("event_ts")
+    batch = F.when((F.col("building_id") == "bldg1") & day.isin(5, 12), 1) \
+        .when((day == 20) & (F.pmod(F.xxhash64("meter_id", "event_ts"), F.lit(4)) == 0), 2).otherwise(0)
+    for i, n in enumerate((0, 1, 2, 2)):
+        incremental.update_features(spark, meter.where(batch == n), weather, state, feats, f"batch-{n}",
+                                    F.lit(f"2024-02-0{i + 1} 00:00:00").cast("timestamp"))
+        if i == 1:
+            incremental.compact_state(spark, state)
+            feature_log.compact(spark, feats)
+    return rounded(feature_log.latest(spark, feats).drop("event_time"))
+
+
 @register("lof_global_approx")
 def q_lof_global_approx(spark, sf_dir):
     """LOF of all rows on neighbours found by random-projection hash tables (no SQL: its recall is tested)."""
