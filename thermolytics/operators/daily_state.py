@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .daily import KEYS
 from .windows import SERIES_KEYS
+from ..functions.joins import same_keys
 
 SUMS = ("gap_sum", "gap_n")
 LEAST = ("energy_min", "water_min")
@@ -46,13 +47,6 @@ def finish(states: DataFrame, per_meter: bool = False) -> DataFrame:
                                             energy.alias("daily_energy_kwh"), water.alias("daily_water_l"))
 
 
-def same_keys(a: DataFrame, b: DataFrame, keys, how: str) -> DataFrame:
-    """Join on ``keys`` with null equal to null; only ``a``'s keys stay."""
-    r = b.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in b.columns])
-    out = a.join(r, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys], how)
-    return out.drop(*[f"_r_{c}" for c in keys])
-
-
 def windows_touched(daily: DataFrame, changed: DataFrame, lookback_days: int = 7, calendar: bool = False) -> DataFrame:
     """``daily`` with ``touched``: whether the lag or rolling frame of the row holds a day of ``changed`` (KEYS)."""
     marked = same_keys(daily, changed.select(*KEYS).distinct().withColumn("_changed", F.lit(1)), KEYS, "left")

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.daily_state import SCHEMA, daily_state, finish, merge_state, same_keys, windows_touched
+from ..functions.joins import same_keys
+from ..operators.daily_state import SCHEMA, daily_state, finish, merge_state, windows_touched
 from ..operators.weather import join_weather, prepare_weather
 from ..operators.windows import SERIES_KEYS, add_lag_rolling
 from ..schemas import FEATURE_COLUMNS
