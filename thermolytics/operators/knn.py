@@ -305,23 +305,29 @@ def _topk_kernel(dims, group_names, self_mode: bool):
                 np.subtract.outer(q[:, j], C[:, j], out=diff)
                 np.multiply(diff, diff, out=diff)
                 acc += diff
-            dist = np.sqrt(acc, out=acc)
-            wts = np.broadcast_to(ccnt, dist.shape)
+            # Only candidates within the bound, or where there is none yet within the (k + 1)-th distance, can count.
+            lim = qr[t0:t0 + tile].copy()
+            free = np.flatnonzero(~np.isfinite(lim))
+            if len(free):
+                kth = min(k, m - 1)
+                lim[free] = np.sqrt(np.partition(acc[free], kth, axis=1)[:, kth])
+            rows, at = np.nonzero(acc <= ((lim + 2 * BOX_SLACK) ** 2)[:, None])
+            dist = np.sqrt(acc[rows, at])
+            wts = ccnt[at]
             if self_mode:
-                same = qid[t0:t0 + tile][:, None] == cid[None, :]
-                wts = np.where(same, (qcnt[t0:t0 + tile] - 1)[:, None], wts)
-            wts = np.where(dist <= (qr[t0:t0 + tile] + BOX_SLACK)[:, None], wts, 0)
-            rd = np.round(dist, TIE_DECIMALS)
-            order = _first_in_order(rd, cid, 2 * k + 2)
-            w_s = np.take_along_axis(wts, order, 1)
-            before = np.cumsum(w_s, axis=1) - w_s
-            take = (before < k) & (w_s > 0)
-            rows, pos = np.nonzero(take)
-            sel = order[rows, pos]
-            out_q.append(qid[t0:t0 + tile][rows])
-            out_c.append(cid[sel])
-            out_d.append(dist[rows, sel])
-            out_w.append(np.minimum(w_s[rows, pos], k - before[rows, pos]))
+                wts = np.where(qid[t0 + rows] == cid[at], qcnt[t0 + rows] - 1, wts)
+            near = np.flatnonzero((wts > 0) & (dist <= qr[t0 + rows] + BOX_SLACK))
+            rows, at, dist, wts = rows[near], at[near], dist[near], wts[near]
+            order = np.lexsort((cid[at], np.round(dist, TIE_DECIMALS), rows))
+            rows, at, dist, wts = rows[order], at[order], dist[order], wts[order]
+            before = np.cumsum(wts) - wts
+            if len(rows):
+                before -= before[np.searchsorted(rows, rows)]
+            take = np.flatnonzero(before < k)
+            out_q.append(qid[t0 + rows[take]])
+            out_c.append(cid[at[take]])
+            out_d.append(dist[take])
+            out_w.append(np.minimum(wts[take], k - before[take]))
         res = pd.DataFrame({"qid": np.concatenate(out_q), "cid": np.concatenate(out_c),
                             "dist": np.concatenate(out_d), "w": np.concatenate(out_w).astype(np.int64), "_k": k})
         for gname in group_names:
@@ -330,29 +336,6 @@ def _topk_kernel(dims, group_names, self_mode: bool):
     return fn
 
 
-def _first_in_order(rd: np.ndarray, cid: np.ndarray, want: int) -> np.ndarray:
-    """Column indices of the ``want`` first candidates per row in (rd, cid) order.
-
-    Exact: a partial selection (argpartition) picks the ``want`` smallest
-    rounded distances, only those are sorted; rows where candidates tied with
-    the selection's largest distance were left out are sorted in full.
-    """
-    t, m = rd.shape
-    cids = np.broadcast_to(cid, rd.shape)
-    if want >= m:
-        return np.lexsort((cids, rd), axis=1)
-    part = np.argpartition(rd, want - 1, axis=1)[:, :want]
-    sub = np.take_along_axis(rd, part, 1)
-    edge = sub.max(axis=1)
-    order = np.take_along_axis(part, np.lexsort((cid[part], sub), axis=1), 1)
-    spill = (rd <= edge[:, None]).sum(axis=1) > want
-    if spill.any():
-        rows = np.nonzero(spill)[0]
-        full = np.lexsort((cids[rows], rd[rows]), axis=1)[:, :want]
-        order[rows] = full
-    return order
-
-
 def _search_partitions(spark) -> int:
     """Partitions for the distance kernels: the work is CPU-bound and the rows are few,
     so size by task slots rather than by bytes (AQE would merge the small shuffle
