@@ -182,3 +182,21 @@ def test_rows_that_repeat_are_one_candidate(spark):
     rows = [(0, [1, 0])] + [(7, [1, 0.1])] * 8 + [(i, [1, i]) for i in range(1, 6)]
     got = [tuple(r)[:3] for r in postings.nearest(frame(spark, rows)).orderBy("rank").collect()]
     assert got == [(0, 1, 7), (0, 2, 1), (0, 3, 2), (0, 4, 3), (0, 5, 4)]
+
+
+def test_each_length_is_a_table_of_its_own(spark):
+    x, y = points(120, dim=8, groups=2, size=15), points(60, dim=5, seed=4, groups=1, size=20)
+    rows = [(2 * i, v) for i, v in enumerate(x)] + [(2 * i + 1, v) for i, v in enumerate(y)] + [(1000, [1, 0]), (1001, [1, 0]), (1003, [2.0])]
+    got = {r["vec_id"]: tuple(r)[1:] for r in graph_dedup.near_duplicates(frame(spark, rows)).collect()}
+    assert len(got) == len(rows)
+    for part, ids in ((x, range(0, 240, 2)), (y, range(1, 121, 2))):
+        degree, label = links(part, 0.95)
+        assert [got[i][0] for i in ids] == degree.tolist() and [got[i][1] for i in ids] == [ids[c] for c in label]
+    assert got[1000] == (1, 1000, True) and got[1001] == (1, 1000, False) and got[1003] == (0, 1003, True)
+
+    found = postings.nearest(frame(spark, rows), every=10, k=3).collect()
+    by = {}
+    for r in found:
+        by.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert set(by) == set(range(0, 240, 10)) | {1000}
+    assert by[1000] == [(1, 1001)] and all(len(v) == 3 and not any(c % 2 for _, c in v) for q, v in by.items() if q != 1000)

@@ -15,14 +15,16 @@
 5. ``audit`` compares the links found with brute force for a sample of vectors against all. Below
    ``RECALL`` the index is built again with twice the overlap.
 
-Cases: null or zero vectors and those with null or non-finite components link with nothing, nor do
-vectors of another length than most. Rows with equal ids are one vector each. A null id has
+Cases: null or zero vectors and those with null or non-finite components link with nothing. Vectors link with
+those of their own length only; each length has an index of its own. Rows with equal ids are one vector each. A null id has
 component null and is kept. Equal vectors are linked with each other. An empty table gives an
 empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, release
 from .components import components
-from .vectors import CLUSTER_MOST, beam_search, centroids, clean, matrix, padded, pruned_graph, sample, unit
+from .vectors import CLUSTER_MOST, beam_search, by_length, centroids, clean, matrix, padded, pruned_graph, sample, unit
 
 THRESHOLD = 0.95
 OVERLAP = 4
@@ -157,7 +159,19 @@ def linked(shards: DataFrame, near: DataFrame, threshold: float = THRESHOLD) ->
 def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id", vec_col: str = "embedding",
                     overlap: int = OVERLAP) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of ``df``."""
-    vectors = clean(df, id_col, vec_col)
+    parts = [_members(vectors, threshold, overlap) for vectors in by_length(clean(df, id_col, vec_col))]
+    members = parts[0]
+    if len(parts) > 1:      # an id may have rows of several lengths
+        members = reduce(DataFrame.unionByName, parts).groupBy("id") \
+            .agg(F.max("n_links").alias("n_links"), F.min("component").alias("component"))
+    return df.select(F.col(id_col).cast("long").alias("id")).join(members, "id", "left") \
+        .select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                F.coalesce("component", "id").alias("component_id")) \
+        .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
+
+
+def _members(vectors: DataFrame, threshold: float, overlap: int) -> DataFrame:
+    """(id, n_links, component) of vectors of one length, staged."""
     nodes = materialize(nodes_of(vectors), "graph-nodes")
     while True:
         shards = materialize(dealt(nodes, overlap), "graph-shards")
@@ -178,10 +192,7 @@ def near_duplicates(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "
                            F.min(F.coalesce("component", "node")).alias("component"))
     members = materialize(members, "graph-members")
     release(nodes, found, counts)
-    return df.select(F.col(id_col).cast("long").alias("id")).join(members, "id", "left") \
-        .select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                F.coalesce("component", "id").alias("component_id")) \
-        .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
+    return members
 
 
 def audit(nodes: DataFrame, counts: DataFrame, threshold: float = THRESHOLD, queries: int = AUDITED) -> float:

@@ -15,13 +15,16 @@ The ratio is calibrated: on the bounded sample, the smallest at which an index o
 brute force over all rows, in blocks.
 
 Cases: null or zero vectors and those with null or non-finite components take no part, nor do
-rows without an id or with another length than most. Ties go to the smaller id. Rows that share
+rows without an id. Vectors are compared with those of the same length only; each length is a search of
+its own. Ties go to the smaller id. Rows that share
 an id are one candidate each, but never their own id's. Fewer than ``k`` candidates are returned if
 there are no more. An empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .vectors import CLUSTER_MOST, beam_search, centroids, clean, matrix, padded, pruned_graph, sample, unit, with_reverse
+from .vectors import CLUSTER_MOST, beam_search, by_length, centroids, clean, matrix, padded, pruned_graph, sample, unit, with_reverse
 
 PER_LIST = 250
 LIST = 2000
@@ -189,13 +192,15 @@ def search(vectors: DataFrame, queries: Column | str, k: int = 5) -> DataFrame:
 
 def nearest(df: DataFrame, every: int = 50, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``search`` with the rows whose id is divisible by ``every`` as queries, against all rows."""
-    return search(clean(df, id_col, vec_col), F.col("id") % every == 0, k)
+    found = [search(vectors, F.col("id") % every == 0, k) for vectors in by_length(clean(df, id_col, vec_col))]
+    return reduce(DataFrame.unionByName, found)
 
 
 def recall(df: DataFrame, result: DataFrame, queries: int = 200, every: int = 50, k: int = 5, id_col: str = "vec_id",
            vec_col: str = "embedding") -> float:
-    """Share of the true ``k`` nearest of a bounded sample of the queries that ``result`` holds; brute force in blocks."""
-    vectors = clean(df, id_col, vec_col)
+    """Share of the true ``k`` nearest of a bounded sample of the queries that ``result`` holds; brute force in blocks.
+    Of vectors of the most frequent length."""
+    vectors = by_length(clean(df, id_col, vec_col))[0]
     picked = vectors.where(F.col("id") % every == 0).orderBy(F.xxhash64("id"), "id").limit(queries) \
         .withColumn("asks", F.lit(True)).toArrow().select(["id", "v", "asks"])
 

@@ -14,15 +14,17 @@ ALPHA = 1.2
 
 
 def clean(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(id, v): rows with an id whose vector has no null or non-finite component and is not all zero.
-
-    Vectors whose length is not the most frequent one (the longest of equals) are left out too.
-    """
+    """(id, v): rows with an id whose vector has no null or non-finite component and is not all zero."""
     fine = "forall(v, x -> x is not null and not isnan(x) and abs(x) < double('inf')) and exists(v, x -> x <> 0)"
-    good = df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")) \
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")) \
         .where("id is not null and v is not null").where(fine)
-    top = good.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return good.where(F.size("v") == (top["n"] if top else 0))
+
+
+def by_length(vectors: DataFrame) -> list[DataFrame]:
+    """``vectors`` in one frame per length, the most frequent one first (an empty frame if there is none). A cosine is
+    defined between vectors of one length only, so each length is a table of its own."""
+    counts = vectors.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).collect()   # one row per length
+    return [vectors.where(F.size("v") == r["n"]) for r in counts] or [vectors]
 
 
 def matrix(column, kind=np.float64) -> np.ndarray:
