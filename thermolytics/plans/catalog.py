@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions.numeric import round6
 from ..sources import testviews as tv
-from .features import daily_features
+from .features import DAILY_FEATURE_COLUMNS, daily_features
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -1006,7 +1006,7 @@ def q_stream_alert_counts(spark, sf_dir):
 
 # ---------------------------------------------------------------- fault isolation, replayable batches, run-wide audit
 from ..operators.lof import lof_scores_approximate  # noqa: E402
-from ..sources import feature_log, meter_batches, quarantine  # noqa: E402
+from ..sources import daily_table, feature_log, meter_batches, quarantine  # noqa: E402
 from . import incremental  # noqa: E402
 from ..streaming.ingest_stream import ingest_batches, read_audit  # noqa: E402
 
@@ -1117,6 +1117,18 @@ def q_late_readings_features(spark, sf_dir):
     return rounded(feature_log.latest(spark, feats).drop("event_time"))
 
 
+@register("bucketed_windows", ORACLE_SQL["features_daily"])
+def q_bucketed_windows(spark, sf_dir):
+    """Daily rows stored in buckets by series; lags and rolling means read them without an exchange."""
+    path = staging_path(spark, "daily-buckets")
+    table = "daily_" + path.rsplit("-", 1)[-1]
+    daily = join_weather(daily_consumption(tv.meter(spark, sf_dir)), prepare_weather(tv.weather(spark, sf_dir)))
+    daily_table.write_daily(daily, table, path, buckets=16)
+    out = rounded(add_lag_rolling(daily_table.read_daily(spark, table)).select(*DAILY_FEATURE_COLUMNS))
+    spark.sql(f"DROP TABLE {table}")        # its name only: the files are the staged table's
+    return out
+
+
 @register("lof_global_approx")
 def q_lof_global_approx(spark, sf_dir):
     """LOF of all rows on neighbours found by random-projection hash tables (no SQL: its recall is tested)."""

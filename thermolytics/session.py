@@ -119,17 +119,19 @@ def materialize(df, name: str, count: bool = False):
         _delete(spark, path)
         raise
     out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
     return (out, int(obs.get["n"])) if count else out
 
 
 def release(*frames) -> None:
     """Delete the staged tables that ``frames`` (returned by ``materialize``) read.
 
-    For intermediate results whose every use has already been written elsewhere.
-    Only ``stage-*`` folders under the checkpoint folder are touched.
+    For intermediate results whose every use has already been written elsewhere. Of a frame that is derived from
+    one (a renamed column), the folders are found by its files. Only ``stage-*`` folders are touched.
     """
     for df in frames:
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = df.__dict__.get("staged_path")
+        for folder in [path] if path else {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if folder.rsplit("/", 1)[-1].startswith("stage-"):
                 _delete(df.sparkSession, folder)
 

@@ -23,11 +23,21 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
         df = spark.read.schema(FEATURE).parquet(path)
     except AnalysisException as exc:
         raise FileNotFoundError(f"The feature store {path} cannot be read") from exc
-    if not df.inputFiles():
+    if not _has_data(spark, path):
         raise FileNotFoundError(f"The feature store {path} has no data files")
     return df
 
 
+def _has_data(spark: SparkSession, path: str) -> bool:
+    """Whether some file under ``path`` is data. Looks at one after another up to the first that is."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(folder, True)
+    while files.hasNext():
+        if not files.next().getPath().getName().startswith(("_", ".")):
+            return True
+    return False
+
+
 def write_features(df: DataFrame, path: str, reject_path: str | None = None) -> None:
     """Append feature rows partitioned by event_date.
 
