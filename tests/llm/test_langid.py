@@ -9,27 +9,59 @@ from .cases import awkward, collected, frame, words
 from ..conftest import SF
 
 
-def brute(unit, vocab, p):
-    a = [1.0] + [0.0] * len(unit)
+def pieces(unit, vocab):
+    """(start, end, id) of every piece in the word, whatever its length."""
     for i in range(1, len(unit) + 1):
-        for j in range(max(0, i - 16), i):
-            h = np.uint64(langid._hash(unit[j:i]))
-            k = np.searchsorted(vocab.hashes, h)
-            if k < len(vocab) and vocab.hashes[k] == h:
-                a[i] += a[j] * p[k] * langid.SCALE
+        for j in range(i):
+            k = np.searchsorted(vocab.hashes, np.uint64(langid._hash(unit[j:i])))
+            if k < len(vocab) and vocab.hashes[k] == np.uint64(langid._hash(unit[j:i])):
+                yield j, i, k
+
+
+def brute(unit, vocab, p):
+    """Log of the sum over all segmentations, with no bound on pieces or words."""
+    a = [0.0] + [-np.inf] * len(unit)
+    for j, i, k in pieces(unit, vocab):
+        a[i] = np.logaddexp(a[i], a[j] + np.log(p[k] * langid.SCALE))
     return a[-1]
 
 
+def longest_piece():
+    import public_tokenizers
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    every = [sp.id_to_piece(i).replace("▁", "") for i in range(sp.get_piece_size()) if not sp.is_byte(i)]
+    return max((x for x in every if x), key=lambda x: len(x.encode()))
+
+
+GIVEN = ["hello", "über", "a", "internationalisation" * 4, "日本語テキスト", "x" * 100, "q" * 31, "q" * 32, "これは長い文です" * 6, "ü" * 40]
+
+
 def test_forward_sums_all_segmentations():
     vocab = langid.vocabulary()
     p = np.random.default_rng(0).random((len(vocab), 2))
     p /= p.sum(axis=0)
-    given = [w.encode() for w in ("hello", "über", "a", "internationalisation" * 4, "日本語テキスト", "x" * 100)]
+    given = [w.encode() for w in [*GIVEN, longest_piece(), "ab" + longest_piece() + "日本"]]
+    assert max(map(len, given)) > 100 and vocab.longest > 16
     got = langid.log_likelihoods(given, vocab, p)
     for w, g in zip(given, got):
-        units = langid._units([w])[0]
-        assert b"".join(units) == b"\x01" + w
-        assert np.allclose(g, [sum(np.log(brute(u, vocab, p[:, i])) for u in units) for i in range(2)])
+        assert np.allclose(g, [brute(b"\x01" + w, vocab, p[:, i]) for i in range(2)])
+
+
+def test_expected_counts_of_long_words():
+    """Short and long words alike: counts weighted by piece length cover each byte once, and equal those by differences."""
+    vocab = langid.vocabulary()
+    p = np.random.default_rng(1).random(len(vocab))
+    p /= p.sum()
+    for w in (b"hello", "これは長い文です".encode() * 3, b"internationalisation" * 2):
+        unit = b"\x01" + w
+        counts = langid.expected_counts([w], np.array([2.0]), vocab, p)
+        sizes = {k: i - j for j, i, k in pieces(unit, vocab)}
+        assert np.isclose(sum(counts[k] * n for k, n in sizes.items()), 2 * len(unit))
+        k = max(sizes, key=lambda k: counts[k])
+        more = p.copy()
+        more[k] *= 1 + 1e-6     # the expected count is the slope of the log sum
+        assert np.isclose((brute(unit, vocab, more) - brute(unit, vocab, p)) / 1e-6, counts[k] / 2, rtol=1e-3)
 
 
 def test_expected_counts_cover_every_byte_once():

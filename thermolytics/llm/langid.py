@@ -12,8 +12,9 @@ The EM passes run over the distinct words, each task returning one row per langu
 What reaches the driver is the model alone: languages x vocabulary numbers (``MAX_LANGS`` bounds
 it). Scoring is one pass without a shuffle.
 
-Words are runs of letters (ASCII) and non-ASCII bytes in the lower-cased text. A word over
-``CHUNK`` bytes is scored in pieces of that many bytes, so the cost is linear in the text.
+Words are runs of letters (ASCII) and non-ASCII bytes in the lower-cased text. Words of less than
+``CHUNK`` bytes are summed many at a time; longer ones, such as text in scripts without spaces, one by one in
+logarithms, over all their segmentations as well. The cost is linear in the text.
 
 Cases: null text or text without a letter is ``und`` with score 0, as is every text if nothing
 was learned. Rows without lang, text or doc_id teach nothing. Ties go to the language that sorts
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from ..session import materialize, release
 from .common import Numbers, rows, slices, slots
 
-CHUNK = 32              # bytes of a word scored at once
+CHUNK = 32              # bytes of a word from which it is summed by itself
 ROUNDS = 3              # EM passes
 PRIOR = 0.001           # share of the probability that is spread evenly over the vocabulary
 MAX_LANGS = 512
@@ -54,8 +55,7 @@ def vocabulary(path: str | None = None) -> Vocabulary:
     for i in range(sp.get_piece_size()):
         if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)):
             pieces.add(sp.id_to_piece(i).replace("▁", "\x01").encode())
-    pieces = {p for p in pieces if len(p) <= CHUNK}
-    return Vocabulary(np.unique(np.array([_hash(p) for p in pieces], np.uint64)))
+    return Vocabulary(np.unique(np.array([_hash(p) for p in pieces], np.uint64)), max(map(len, pieces)))
 
 
 def _hash(piece: bytes) -> int:
@@ -65,19 +65,10 @@ def _hash(piece: bytes) -> int:
     return h
 
 
-def _units(words: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-    """Marked words, long ones in chunks of ``CHUNK`` bytes, and the number of the word each is of."""
-    out, owner = [], []
-    for i, w in enumerate(words):
-        if len(w) < CHUNK:
-            out.append(b"\x01" + w)
-            owner.append(i)
-        else:
-            w = b"\x01" + w
-            parts = [w[k:k + CHUNK] for k in range(0, len(w), CHUNK)]
-            out += parts
-            owner += [i] * len(parts)
-    return out, np.array(owner, np.int64)
+def _marked(words: list[bytes]) -> tuple[list[int], list[bytes], list[int]]:
+    """(places, marked words) of the words of less than ``CHUNK`` bytes, and the places of the longer ones."""
+    short = [i for i, w in enumerate(words) if len(w) < CHUNK]
+    return short, [b"\x01" + words[i] for i in short], [i for i, w in enumerate(words) if len(w) >= CHUNK]
 
 
 def _by_length(words: list[bytes]):
@@ -94,8 +85,9 @@ def _by_length(words: list[bytes]):
 class Vocabulary:
     """Sorted piece hashes with a bitmap that sorts out most byte runs that are no piece."""
 
-    def __init__(self, hashes: np.ndarray):
+    def __init__(self, hashes: np.ndarray, longest: int):
         self.hashes = hashes
+        self.longest = longest      # bytes of a piece
         self.some = np.zeros(1 << 20, bool)
         self.some[hashes >> np.uint64(44)] = True
 
@@ -103,7 +95,7 @@ class Vocabulary:
         return len(self.hashes)
 
 
-def _piece_ids(m: np.ndarray, vocab: Vocabulary, longest: int = 16) -> dict:
+def _piece_ids(m: np.ndarray, vocab: Vocabulary) -> dict:
     """(start, end) -> (rows, ids) of the words whose bytes from start to end are a piece."""
     k, n = m.shape
     h = np.zeros((n + 1, k), np.uint64)
@@ -112,7 +104,7 @@ def _piece_ids(m: np.ndarray, vocab: Vocabulary, longest: int = 16) -> dict:
     power = np.cumprod(np.full(n + 1, _B, np.uint64))
     found = {}
     for j in range(n):
-        last = min(n, j + longest)
+        last = min(n, j + vocab.longest)
         key = h[j + 1:last + 1] - h[j] * power[:last - j, None]
         size, hit = np.nonzero(vocab.some[key >> np.uint64(44)])
         key = key[size, hit]
@@ -126,10 +118,43 @@ def _piece_ids(m: np.ndarray, vocab: Vocabulary, longest: int = 16) -> dict:
     return found
 
 
+def _pieces_in(word: bytes, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, id) of every piece in a long word, by ascending end. One pass per piece length."""
+    h = [0]
+    for c in word:
+        h.append((h[-1] * int(_B) + c + 1) & 0xFFFFFFFFFFFFFFFF)
+    h = np.array(h, np.uint64)
+    starts, ends, ids, power = [], [], [], 1
+    for n in range(1, min(vocab.longest, len(word)) + 1):
+        power = power * int(_B) & 0xFFFFFFFFFFFFFFFF
+        key = h[n:] - h[:-n] * np.uint64(power)
+        j = np.flatnonzero(vocab.some[key >> np.uint64(44)])
+        at = np.minimum(np.searchsorted(vocab.hashes, key[j]), len(vocab) - 1)
+        good = vocab.hashes[at] == key[j]
+        starts.append(j[good])
+        ends.append(j[good] + n)
+        ids.append(at[good])
+    start, end, piece = (np.concatenate(x) for x in (starts, ends, ids))
+    order = np.lexsort((start, end))
+    return start[order], end[order], piece[order]
+
+
+def _log_sums(frm: np.ndarray, to: np.ndarray, logs: np.ndarray, order: np.ndarray, n: int) -> np.ndarray:
+    """(n + 1, columns): log of the sum over all ways from ``order[0]`` to each place; pieces lie by ``to`` in that order."""
+    out = np.full((n + 1, logs.shape[1]), -np.inf)
+    out[order[0]] = 0
+    cuts = np.flatnonzero(np.diff(to, prepend=-1, append=-1))
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        x = out[frm[lo:hi]] + logs[lo:hi]
+        top = x.max(axis=0)
+        out[to[lo]] = top + np.log(np.exp(x - top).sum(axis=0))
+    return out
+
+
 def log_likelihoods(words: list[bytes], vocab: Vocabulary, probs: np.ndarray) -> np.ndarray:
-    """(words, languages): log of the scaled sum over all segmentations."""
-    units, owner = _units(words)
-    out = np.zeros((len(units), probs.shape[1]))
+    """(words, languages): log of the scaled sum over all segmentations. Long words are summed in logarithms."""
+    short, units, long = _marked(words)
+    out = np.zeros((len(words), probs.shape[1]))
     scaled = probs * SCALE
     for at, m in _by_length(units):
         n = m.shape[1]
@@ -137,18 +162,19 @@ def log_likelihoods(words: list[bytes], vocab: Vocabulary, probs: np.ndarray) ->
         alpha[0] = 1
         for (j, i), (hit, ids) in _piece_ids(m, vocab).items():     # by ascending start
             alpha[i, hit] += alpha[j, hit] * scaled[ids]
-        out[at] = np.log(np.maximum(alpha[n], 1e-300))
-    if len(units) == len(words):
-        return out
-    return np.stack([np.bincount(owner, out[:, i], len(words)) for i in range(out.shape[1])], axis=1)
+        out[np.array(short)[at]] = np.log(np.maximum(alpha[n], 1e-300))
+    for k in long:
+        start, end, ids = _pieces_in(b"\x01" + words[k], vocab)
+        n = len(words[k]) + 1
+        out[k] = _log_sums(start, end, np.log(np.maximum(scaled[ids], 1e-300)), np.arange(n + 1), n)[n]
+    return out
 
 
 def expected_counts(words: list[bytes], weights: np.ndarray, vocab: Vocabulary, p: np.ndarray) -> np.ndarray:
     """Expected uses of each piece over all segmentations of the words, each counted ``weights`` times."""
     total = np.zeros(len(vocab))
     p = p * SCALE
-    units, owner = _units(words)
-    weights = weights[owner]
+    short, units, long = _marked(words)
     for at, m in _by_length(units):
         n, k = m.shape[1], len(at)
         alpha, beta = np.zeros((n + 1, k)), np.zeros((n + 1, k))
@@ -158,9 +184,17 @@ def expected_counts(words: list[bytes], weights: np.ndarray, vocab: Vocabulary,
             alpha[i, hit] += alpha[j, hit] * prob
         for j, i, hit, _, prob in reversed(found):
             beta[j, hit] += beta[i, hit] * prob
-        scale = weights[at] / np.maximum(alpha[n], 1e-300)
+        scale = weights[np.array(short)[at]] / np.maximum(alpha[n], 1e-300)
         every = [alpha[j, hit] * prob * beta[i, hit] * scale[hit] for j, i, hit, _, prob in found]
         total += np.bincount(np.concatenate([x[3] for x in found]), np.concatenate(every), len(vocab))
+    for k in long:
+        start, end, ids = _pieces_in(b"\x01" + words[k], vocab)
+        n = len(words[k]) + 1
+        logs = np.log(np.maximum(p[ids], 1e-300))[:, None]
+        alpha = _log_sums(start, end, logs, np.arange(n + 1), n)[:, 0]
+        back = np.lexsort((end, -start))
+        beta = _log_sums(end[back], start[back], logs[back], np.arange(n, -1, -1), n)[:, 0]
+        total += np.bincount(ids, weights[k] * np.exp(alpha[start] + logs[:, 0] + beta[end] - alpha[n]), len(vocab))
     return total
 
 
