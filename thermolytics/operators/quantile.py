@@ -24,7 +24,7 @@ BROADCAST_ROWS = 1_000_000
 
 
 def _bounds(base: DataFrame, g: list, qs: list) -> tuple[DataFrame, int]:
-    """(G..., _q, _first, _last, _share, _low, _high) per group and wanted quantile: the two ranks, counted from 0, the
+    """(G..., _q, _first, _last, _share, _low, _high, _few) per group and wanted quantile: the two ranks, counted from 0, the
     weight of the second, and values round them."""
     slack = 3 / ACCURACY
     probs = [p for q in qs for p in (max(0.0, q - slack), min(1.0, q + slack))]
@@ -37,7 +37,7 @@ def _bounds(base: DataFrame, g: list, qs: list) -> tuple[DataFrame, int]:
         *g, "_q", F.floor(at).alias("_first"), F.ceil(at).alias("_last"), (at - F.floor(at)).alias("_share"),
         # NaN is the largest value in Spark's order.
         F.when(few, F.lit(float("-inf"))).otherwise(F.col("_low")).alias("_low"),
-        F.when(few, F.lit(float("nan"))).otherwise(F.col("_high")).alias("_high"))
+        F.when(few, F.lit(float("nan"))).otherwise(F.col("_high")).alias("_high"), few.alias("_few"))
     return materialize(rows, "quantile-bounds", count=True)
 
 
@@ -93,7 +93,8 @@ def exact_quantiles(df: DataFrame, value_col: str, qs, group_cols=(), alias: str
         got = same_keys(bounds.select(*key, "_first", "_last"), sums, key, "left")
         return got.agg(F.count_if(F.coalesce(missed, F.lit(True))), F.max("_d")).first()
 
-    missed, most = state(held)
+    # Groups of few rows are held whole.
+    missed, most = (0, 0) if bounds.where("not _few").isEmpty() else state(held)
     if missed:          # a sketch beyond its stated error: take all values
         bounds, n = materialize(bounds.withColumn("_low", F.lit(float("-inf"))).withColumn("_high", F.lit(float("nan"))),
                                 "quantile-bounds", count=True)
