@@ -256,3 +256,24 @@ def test_approximate_search_of_small_groups_is_exact(spark):
     got = {r.id: r.lof for r in lof_scores_approximate(df, dims, "id", k=6, within="grp").collect()}
     exp, _, _ = brute_lof(X, ids, 6, grp)
     assert all(got[int(i)] == pytest.approx(e, rel=1e-9, abs=1e-9) for i, e in zip(ids, exp))
+
+
+def test_passes_cut_along_several_dimensions(spark):
+    """Parts above the cells are no slabs along one dimension: a ball would cross nearly all of them."""
+    from thermolytics.operators.knn import _depth, build_tree
+    X = np.random.default_rng(8).uniform(size=(2000, 3))
+    tree = build_tree(vectors(spark, X, np.arange(2000)), ["grp"], ["x0", "x1", "x2"], leaf_size=30, cell=30)
+    dims = {r.dim for r in tree.splits.where(_depth("node") < 3).collect()}
+    assert dims == {0, 1, 2}
+
+
+def test_one_list_per_query(spark):
+    """Neighbours move as one row per vector, exact and approximate, with no neighbour twice."""
+    from thermolytics.operators.knn import approximate_knn_lists, build_tree, knn_lists
+    X = np.random.default_rng(9).normal(size=(600, 3))
+    vec = vectors(spark, X, np.arange(600))
+    tree = build_tree(vec, ["grp"], ["x0", "x1", "x2"], leaf_size=40)
+    for lists in (knn_lists(tree, tree.vectors, 5, True), approximate_knn_lists(vec, ["grp"], ["x0", "x1", "x2"], 5, leaf_size=40)):
+        rows = lists.collect()
+        assert sorted(r.qid for r in rows) == list(range(600))
+        assert all(len({n.cid for n in r.near}) == len(r.near) == 5 for r in rows)

@@ -5,17 +5,17 @@ rows are collapsed first, so any number of equal rows costs one vector.
 
 Build: a group (or part of one) of up to ``CELL`` vectors is cut in one task, each node with more than
 ``leaf_size`` vectors at the quartiles of its widest dimension. Larger ones are first cut into up to
-``FANOUT ** PASS_LEVELS`` parts per pass, at the quantiles of their widest dimension from one sketch per
+``FANOUT ** BUILD_LEVELS`` parts per pass, at the quantiles of their widest dimension from one sketch per
 dimension; a vector descends the levels of a pass in one join, lineage cut by a staged table. Leaves
 hold about ``leaf_size`` vectors whatever the data skew, because a dense region simply gets more,
 smaller leaves.
 
-Search: (1) exact top-k of each query inside its own leaf gives a radius
-bound r (where that holds too few vectors, together with a node near it that holds enough); (2) the tree is walked top-down keeping only nodes whose bounding
+Search: a leaf is one task, whose queries look at small blocks of its vectors by their boxes. (1) exact top-k of
+each query inside its own leaf gives a radius bound r (where that holds too few vectors, together with a node near it that holds enough); (2) the tree is walked top-down keeping only nodes whose bounding
 box is within r of the query (one join per level), which yields the few
 other leaves that can hold a closer point; (3) exact top-k inside each of
-those leaves; (4) merge. Distances are computed with numpy inside
-``applyInPandas`` tasks whose size is bounded by the leaf size and a query
+those leaves; (4) merge, cell by cell. A query's neighbours stay one list in one row. Distances are computed with
+numpy inside ``applyInArrow`` tasks whose size is bounded by the leaf size and a query
 chunk size, never by a group or by the data size.
 
 Neighbour order is (distance rounded to 9 decimals, vector id), the same
@@ -39,9 +39,14 @@ TIE_DECIMALS = 9
 FANOUT = 4                # children per cut (quartiles of the widest dimension)
 LOG2_FANOUT = 2
 BOX_SLACK = 1e-9          # boxes within r + slack are searched (covers rounding ties)
-QUERY_CHUNK = 4096        # queries per search task
+QUERY_CHUNK = 1 << 15     # queries per search task
+LEAF = 1 << 15            # vectors of a leaf, which one task searches by small blocks
+BLOCK = 128               # vectors of a block within a search task
+QUERY_BLOCK = 128         # queries that look at the same blocks
+FIRST = 384               # vectors in the blocks that give a first bound
 CELL = 1 << 18            # vectors that one task cuts into leaves
-PASS_LEVELS = 3           # levels per pass above that
+BUILD_LEVELS = 1          # levels per pass above that: several along one dimension would make thin slabs
+PASS_LEVELS = 3           # levels per join of the walk
 
 
 @dataclass
@@ -110,7 +115,7 @@ def _coarse_cuts(groups, cuts_schema):
             for r in pdf.to_dict("records"):
                 cuts = sorted({c for c in r["qs"] if c > r["low"]})
                 strict = not cuts
-                nested, leaves = _nested(int(r["node"]), int(r["dim"]), cuts or [r["low"]], PASS_LEVELS)
+                nested, leaves = _nested(int(r["node"]), int(r["dim"]), cuts or [r["low"]], BUILD_LEVELS)
                 out.append({**{c: r[c] for c in groups}, "node": r["node"], "dim": r["dim"], "cuts": cuts or [r["low"]],
                             "strict": strict, "leaves": leaves,
                             "nested": [{"node": n, "dim": d, "cuts": c, "strict": strict} for n, d, c in nested]})
@@ -195,7 +200,7 @@ def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_dept
     cell = max(cell, leaf_size)
     cur = vectors.select(*g, "vid", *x, "cnt", F.lit(1).cast("long").alias("node"))
     split_tables, levels = [], 0
-    probs = [i / FANOUT ** PASS_LEVELS for i in range(1, FANOUT ** PASS_LEVELS)]
+    probs = [i / FANOUT ** BUILD_LEVELS for i in range(1, FANOUT ** BUILD_LEVELS)]
     while n_vectors is None or n_vectors > cell:
         aggs = [F.count(F.lit(1)).alias("_n")]
         for i, c in enumerate(x):
@@ -212,7 +217,7 @@ def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_dept
             break
         if levels >= max_depth:
             raise RuntimeError(f"{n_split} nodes still hold more than {cell} vectors at depth {levels}")
-        levels += PASS_LEVELS
+        levels += BUILD_LEVELS
         split_tables.append(cuts.select(*g, F.explode("nested").alias("s")).select(*g, "s.*"))
         salted, table = _spread(cur, cuts.drop("nested"), "vid")
         xv = _pick(F.col("dim"), [F.col(c) for c in x])
@@ -265,74 +270,181 @@ def descend(tree: KdTree, queries: DataFrame) -> DataFrame:
     return cur
 
 
-def _neighbour_schema(groups_schema) -> T.StructType:
-    return T.StructType([*groups_schema,
-                         T.StructField("qid", T.LongType()), T.StructField("cid", T.LongType()),
-                         T.StructField("dist", T.DoubleType()), T.StructField("w", T.LongType()),
-                         T.StructField("_k", T.LongType())])
+NEAR = T.ArrayType(T.StructType([T.StructField("cid", T.LongType()), T.StructField("dist", T.DoubleType()),
+                                 T.StructField("w", T.LongType())]))
 
 
-def _topk_kernel(dims, group_names, self_mode: bool):
-    """pandas function: rows with _role 0 = candidate, 1 = query, 2 = both.
+def _list_schema(queries: DataFrame, key_cols, carry) -> T.StructType:
+    """One row per query: its task's key, id and carried columns, the nearest found (``near``), the distance of the
+    k-th (``_r``, null where fewer rows were found) and k."""
+    return T.StructType([*[queries.schema[c] for c in key_cols], T.StructField("qid", T.LongType()),
+                         *[queries.schema[c] for c in carry], T.StructField("near", NEAR),
+                         T.StructField("_r", T.DoubleType()), T.StructField("_k", T.LongType())])
 
-    For each query returns its nearest candidates in (rounded distance, id)
-    order until their multiplicities add up to k. In self mode a query's own
-    vector counts cnt - 1 times (its other copies).
+
+def _near_column(cid, dist, w, counts) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    fields = [pa.field("cid", pa.int64()), pa.field("dist", pa.float64()), pa.field("w", pa.int64())]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(
+        [pa.array(cid, pa.int64()), pa.array(dist, pa.float64()), pa.array(w, pa.int64())], fields=fields))
+
+
+def _near_rows(column) -> tuple[np.ndarray, ...]:
+    """(list number, cid, dist, w) of a column of ``near`` lists."""
+    lists = column.combine_chunks()
+    flat = lists.flatten()
+    counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return (np.repeat(np.arange(len(lists)), counts),
+            *[flat.field(i).to_numpy(zero_copy_only=False) for i in range(3)])
+
+
+def _ids(t: pa.Table, name: str) -> np.ndarray:
+    """An id column; a null id is the smallest long, which no vector of a tree has."""
+    return t.column(name).fill_null(-1 << 63).to_numpy()
+
+
+def _blocks(x: np.ndarray, size: int) -> list[np.ndarray]:
+    """Row numbers in blocks of at most ``size`` near each other: halved at the median of the widest dimension."""
+    todo, out = [np.arange(len(x))], []
+    while todo:
+        at = todo.pop()
+        if len(at) <= size:
+            out.append(at)
+            continue
+        v, half = x[at], len(at) // 2
+        order = np.argpartition(v[:, int((v.max(axis=0) - v.min(axis=0)).argmax())], half)
+        todo += [at[order[:half]], at[order[half:]]]
+    return out
+
+
+def _squared(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Squared distances of broadcast rows; the same summation order as the SQL oracle."""
+    acc = 0.0
+    for j in range(q.shape[-1]):
+        d = q[..., j] - c[..., j]
+        acc = acc + d * d
+    return acc
+
+
+def _kth(acc: np.ndarray, wts: np.ndarray, k: int) -> np.ndarray:
+    """Per row of squared distances: the distance at which the rows' multiplicities reach k (inf: they do not)."""
+    if acc.shape[1] > k + 1:
+        at = np.argpartition(acc, k, axis=1)[:, :k + 1]
+        acc, wts = np.take_along_axis(acc, at, 1), np.take_along_axis(wts, at, 1)
+    order = np.argsort(acc, axis=1, kind="stable")
+    acc, wts = np.take_along_axis(acc, order, 1), np.take_along_axis(wts, order, 1)
+    enough = np.cumsum(wts, axis=1) >= k
+    first = enough.argmax(axis=1)
+    return np.where(enough.any(axis=1), np.sqrt(acc[np.arange(len(acc)), first]), np.inf)
+
+
+def _top(rows, cid, dist, w, k):
+    """The entries of each row in (rounded distance, id) order until their multiplicities add up to ``k``."""
+    order = np.lexsort((cid, np.round(dist, TIE_DECIMALS), rows))
+    rows, cid, dist, w = rows[order], cid[order], dist[order], w[order]
+    before = np.cumsum(w) - w
+    if len(rows):
+        before -= before[np.searchsorted(rows, rows)]
+    take = np.flatnonzero(before < k)
+    return rows[take], cid[take], dist[take], np.minimum(w[take], k - before[take])
+
+
+def _nearest(C, cid, ccnt, Q, qid, qcnt, bound, k: int, self_mode: bool, skip=None):
+    """(query row, cid, dist, w): each query's nearest candidates in (rounded distance, id) order until their
+    multiplicities add up to k. In self mode a query's own vector counts cnt - 1 times (its other copies). ``bound``:
+    farther candidates cannot enter a query's top k. ``skip``: (query rows, candidate rows) -> pairs to leave out.
+
+    Candidates lie in small blocks, queries too: a block of queries looks at the candidate blocks whose boxes are within
+    the bounds, which come from the nearest such blocks where there are none.
     """
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        cand = pdf[pdf["_role"] != 1]
-        qry = pdf[pdf["_role"] != 0]
-        cols = [*group_names, "qid", "cid", "dist", "w", "_k"]
-        if cand.empty or qry.empty:
-            return pd.DataFrame({c: [] for c in cols})
-        k = int(cand["_k"].iloc[0])
-        C = cand[dims].to_numpy(dtype=np.float64)
-        cid = cand["vid"].to_numpy(dtype=np.int64)
-        ccnt = cand["cnt"].to_numpy(dtype=np.int64)
-        Q = qry[dims].to_numpy(dtype=np.float64)
-        qid = qry["vid"].to_numpy(dtype=np.int64)
-        qcnt = qry["cnt"].to_numpy(dtype=np.int64)
-        # Current k-distance bound of each query: farther candidates cannot enter its top k.
-        qr = qry["_r"].to_numpy(dtype=np.float64, na_value=np.inf) if "_r" in qry else np.full(len(qid), np.inf)
-        m = len(cid)
-        tile = max(1, (1 << 20) // max(m, 1))
-        out_q, out_c, out_d, out_w = [], [], [], []
-        for t0 in range(0, len(qid), tile):
-            q = Q[t0:t0 + tile]
-            acc = np.zeros((len(q), m))
-            diff = np.empty_like(acc)
-            for j in range(len(dims)):       # same summation order as the SQL oracle
-                np.subtract.outer(q[:, j], C[:, j], out=diff)
-                np.multiply(diff, diff, out=diff)
-                acc += diff
-            # Only candidates within the bound, or where there is none yet within the (k + 1)-th distance, can count.
-            lim = qr[t0:t0 + tile].copy()
-            free = np.flatnonzero(~np.isfinite(lim))
-            if len(free):
-                kth = min(k, m - 1)
-                lim[free] = np.sqrt(np.partition(acc[free], kth, axis=1)[:, kth])
-            rows, at = np.nonzero(acc <= ((lim + 2 * BOX_SLACK) ** 2)[:, None])
-            dist = np.sqrt(acc[rows, at])
-            wts = ccnt[at]
+    blocks = _blocks(C, BLOCK)
+    sizes = np.array([len(b) for b in blocks])
+    lo, hi = np.array([C[b].min(axis=0) for b in blocks]), np.array([C[b].max(axis=0) for b in blocks])
+    out = []
+    for at in _blocks(Q, QUERY_BLOCK):
+        q, r = Q[at], bound[at].copy()
+        free = np.flatnonzero(~np.isfinite(r))
+        if len(free):
+            low, high = q[free].min(axis=0), q[free].max(axis=0)
+            gap = (np.maximum(0, np.maximum(lo - high, low - hi)) ** 2).sum(axis=1)
+            apart = (((lo + hi) - (low + high)) ** 2).sum(axis=1)
+            by = np.lexsort((apart, gap))
+            near = np.concatenate([blocks[i] for i in by[:1 + np.searchsorted(np.cumsum(sizes[by]), max(k + 1, FIRST))]])
+            wts = np.broadcast_to(ccnt[near], (len(free), len(near)))
             if self_mode:
-                wts = np.where(qid[t0 + rows] == cid[at], qcnt[t0 + rows] - 1, wts)
-            near = np.flatnonzero((wts > 0) & (dist <= qr[t0 + rows] + BOX_SLACK))
-            rows, at, dist, wts = rows[near], at[near], dist[near], wts[near]
-            order = np.lexsort((cid[at], np.round(dist, TIE_DECIMALS), rows))
-            rows, at, dist, wts = rows[order], at[order], dist[order], wts[order]
-            before = np.cumsum(wts) - wts
-            if len(rows):
-                before -= before[np.searchsorted(rows, rows)]
-            take = np.flatnonzero(before < k)
-            out_q.append(qid[t0 + rows[take]])
-            out_c.append(cid[at[take]])
-            out_d.append(dist[take])
-            out_w.append(np.minimum(wts[take], k - before[take]))
-        res = pd.DataFrame({"qid": np.concatenate(out_q), "cid": np.concatenate(out_c),
-                            "dist": np.concatenate(out_d), "w": np.concatenate(out_w).astype(np.int64), "_k": k})
-        for gname in group_names:
-            res.insert(0, gname, pdf[gname].iloc[0])
-        return res[cols]
+                wts = wts - (qid[at[free]][:, None] == cid[near])
+            r[free] = _kth(_squared(q[free][:, None], C[near][None]), wts, k)
+        lim = (r + 2 * BOX_SLACK) ** 2
+        least = (np.maximum(0, np.maximum(lo[None] - q[:, None], q[:, None] - hi[None])) ** 2).sum(axis=2)
+        used = np.flatnonzero(~(least > lim[:, None]).all(axis=0))
+        if not len(used):
+            continue
+        near = np.concatenate([blocks[i] for i in used])
+        # A product of matrices rules out the far ones; what may lie within the bound is computed exactly.
+        mid = q.mean(axis=0)
+        qm, cm = q - mid, C[near] - mid
+        qq, cc = (qm * qm).sum(axis=1), (cm * cm).sum(axis=1)
+        over = qq - lim - 1e-13 * (qq + cc.max())
+        with np.errstate(invalid="ignore"):
+            beyond = np.column_stack([-2 * qm, np.ones(len(qm)), over]) @ np.vstack([cm.T, cc, np.ones(len(cm))])
+            pairs = np.flatnonzero(~(beyond.ravel() > 0))
+        rows, c = np.divmod(pairs, len(near))
+        c = near[c]
+        dist = np.sqrt(_squared(q[rows], C[c]))
+        wts = ccnt[c]
+        if self_mode:
+            wts = wts - (qid[at[rows]] == cid[c])
+        keep = (wts > 0) & (dist <= r[rows] + 2 * BOX_SLACK)
+        if skip:
+            keep &= ~skip(at[rows], c)
+        keep = np.flatnonzero(keep)
+        rows, found, dist, wts = _top(rows[keep], cid[c[keep]], dist[keep], wts[keep], k)
+        out.append((at[rows], found, dist, wts))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+    rows, found, dist, wts = (np.concatenate(x) for x in zip(*out))
+    order = np.argsort(rows, kind="stable")
+    return rows[order], found[order], dist[order], wts[order]
+
+
+def _lists(rows, cid, dist, w, n: int, k: int):
+    """``near`` and ``_r`` of ``n`` queries from entries sorted by query row."""
+    counts = np.bincount(rows, minlength=n)
+    most, got = np.full(n, -np.inf), np.bincount(rows, weights=w, minlength=n)
+    np.maximum.at(most, rows, dist)
+    return _near_column(cid, dist, w, counts), pa.array(most, pa.float64(), mask=got < k)
+
+
+def _search_kernel(dims, key_cols, carry, self_mode: bool, tables: int = 0):
+    """applyInArrow function: rows with _role 0 = candidate, 1 = query, 2 = both -> a row per query (``_list_schema``).
+
+    With ``tables``, rows have their buckets in all hash tables (``own``, ``beyond``), and a pair that met in a table
+    before this one is left out.
+    """
+    def fn(t: pa.Table) -> pa.Table:
+        role = t.column("_role").to_numpy()
+        cand, qry = np.flatnonzero(role != 1), np.flatnonzero(role != 0)
+        x = np.column_stack([t.column(c).to_numpy() for c in dims])
+        ids, cnt = _ids(t, "vid"), t.column("cnt").to_numpy()
+        n, k = len(qry), 0
+        entries = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)]
+        if len(cand) and n:
+            k = int(t.column("_k")[int(cand[0])].as_py())
+            bound = t.column("_r").to_numpy()[qry].astype(np.float64)
+            bound = np.where(np.isnan(bound), np.inf, bound)
+            skip = None
+            if tables:
+                own, far = (t.column(c).combine_chunks().flatten().to_numpy().reshape(len(t), tables) for c in ("own", "far"))
+                now = t.column("_t")[0].as_py()
+
+                def skip(q, c):
+                    a, b, met = own[cand[c], :now], qry[q], np.zeros(len(q), bool)
+                    return met | (a == own[b, :now]).any(axis=1) | (a == far[b, :now]).any(axis=1)
+            entries = _nearest(x[cand], ids[cand], cnt[cand], x[qry], ids[qry], cnt[qry], bound, k, self_mode, skip)
+        near, r = _lists(*entries, n, k or 1)
+        picked = t.take(pa.array(qry))
+        return pa.table({c: picked.column(c) for c in key_cols} | {"qid": pa.array(ids[qry], pa.int64())}
+                        | {c: picked.column(c) for c in carry} | {"near": near, "_r": r, "_k": pa.array(np.full(n, k), pa.int64())})
     return fn
 
 
@@ -343,10 +455,47 @@ def _search_partitions(spark) -> int:
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _search(tasks: DataFrame, key_cols, tree: KdTree, self_mode: bool, out_schema) -> DataFrame:
-    fn = _topk_kernel(tree.dims, tree.groups, self_mode)
+def _search(tasks: DataFrame, key_cols, tree: KdTree, self_mode: bool, carry=(), tables: int = 0) -> DataFrame:
+    fn = _search_kernel(tree.dims, key_cols, carry, self_mode, tables)
     n = _search_partitions(tasks.sparkSession)
-    return tasks.repartition(n, *key_cols).groupBy(*key_cols).applyInPandas(fn, schema=out_schema)
+    return tasks.repartition(n, *key_cols).groupBy(*key_cols).applyInArrow(fn, _list_schema(tasks, key_cols, carry))
+
+
+def _merge_kernel(groups, cell_cols):
+    """Cogroup function: the rows of a cell's queries and what other leaves found for them -> the merged lists."""
+    def fn(own: pa.Table, other: pa.Table) -> pa.Table:
+        qid = own.column("qid").to_numpy()
+        k = int(own.column("_k")[0].as_py()) if len(own) else 0
+        rows, cid, dist, w = _near_rows(own.column("near"))
+        if len(other) and len(own):
+            by = np.argsort(qid, kind="stable")
+            theirs = by[np.searchsorted(qid[by], other.column("qid").to_numpy())]
+            at, *more = _near_rows(other.column("near"))
+            rows = np.concatenate([rows, theirs[at]])
+            cid, dist, w = (np.concatenate(p) for p in zip((cid, dist, w), more))
+            rows, cid, dist, w = _top(rows, cid, dist, w, k)
+        near, _ = _lists(rows, cid, dist, w, len(own), 1)
+        return pa.table({c: own.column(c) for c in (*groups, *cell_cols, "qid")} | {"near": near})
+    return fn
+
+
+CELL_COLS = ["leaf", "_chunk"]       # with the group: the task that a query's list belongs to
+
+
+def _merged(own: DataFrame, other: DataFrame, g) -> DataFrame:
+    """(G..., leaf, _chunk, qid, near): lists of one row per query and cell, with what was found elsewhere."""
+    schema = T.StructType([own.schema[c] for c in (*g, *CELL_COLS, "qid", "near")])
+    n = _search_partitions(own.sparkSession)
+    key = [*g, *CELL_COLS]
+    a = own.select(*key, "qid", "near", "_k").repartition(n, *key)
+    b = other.select(*g, F.col("_own").alias("leaf"), F.col("_ownchunk").alias("_chunk"), "qid", "near") \
+        .where(F.size("near") > 0).repartition(n, *key)
+    return a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(_merge_kernel(g, CELL_COLS), schema)
+
+
+def entries(lists: DataFrame, g, *cols) -> DataFrame:
+    """The lists as neighbour rows (G..., qid, cid, dist, w)."""
+    return lists.select(*g, "qid", *cols, F.inline("near"))
 
 
 def _landings(tree: KdTree, need: int) -> DataFrame:
@@ -398,7 +547,13 @@ def merge_topk(rows: DataFrame, groups, k_col: str = "_k", keep_k: bool = False)
 
 
 def knn(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool = False, most_k: int = 1 << 30) -> DataFrame:
-    """Neighbour rows (G..., qid, cid, dist, w) for queries (G..., vid, dims..., cnt[, leaf]).
+    """Neighbour rows (G..., qid, cid, dist, w) of ``knn_lists``."""
+    return entries(knn_lists(tree, queries, k, self_mode, most_k), tree.groups)
+
+
+def knn_lists(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool = False, most_k: int = 1 << 30) -> DataFrame:
+    """One row (G..., leaf, _chunk, qid, near) per query (G..., vid, dims..., cnt[, leaf]) with its neighbours
+    (cid, dist, w), nearest first; leaf and chunk name the task that searched it.
 
     In self mode the queries are the tree's own vectors (their copies count as
     neighbours, themselves not) and a group of at most ``k`` rows gives all its others. Without
@@ -406,34 +561,27 @@ def knn(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool
     way the rows bring k along, so nothing is joined by the group alone.
     """
     g, x = tree.groups, tree.dims
-    gschema = [queries.schema[c] for c in g]
-    nschema = _neighbour_schema(gschema)
     cands = tree.vectors if k is None else tree.vectors.withColumn("_k", F.lit(k).cast("long"))
     if self_mode:
-        q = cands
-        first = q.withColumn("_role", F.lit(2)).withColumn("_r", F.lit(None).cast("double"))
-        r1 = _search(first, [*g, "leaf"], tree, True, nschema)
+        first = cands.withColumn("_role", F.lit(2)).withColumn("_r", F.lit(None).cast("double")).withColumn("_chunk", F.lit(0))
+        r1 = _search(first, [*g, *CELL_COLS], tree, True, [*x, "cnt"])
     else:
         if "leaf" not in queries.columns:
             queries = descend(tree, queries)
-        q = queries
-        r1 = _search_chunked(cands, q, tree, False, nschema)
-    # Used by the bound and by the final merge: materialise once.
+        r1 = _search_chunked(cands, queries, tree, carry=[*x, "cnt"])
+    # Used by the bound, the walk and the final merge: materialise once.
     r1 = materialize(r1, "knn-r1")
     # Radius bound per query: the k-th distance in its own leaf, if that holds enough.
-    def bounds(rows):
-        found = rows.groupBy(*g, "qid").agg(F.max("dist").alias("_r"), F.sum("w").alias("_got"), F.first("_k").alias("_k"))
-        return found.select(*g, "qid", F.when(F.col("_got") >= F.col("_k"), F.col("_r")).alias("_r"))
-
-    qb = q.select(*g, F.col("vid").alias("qid"), *x, "cnt", F.col("leaf").alias("_own")).join(bounds(r1), [*g, "qid"], "left")
+    qb = r1.select(*g, "qid", *x, "cnt", F.col("leaf").alias("_own"), F.col("_chunk").alias("_ownchunk"), "_r")
     most = most_k if k is None else k
     if tree.least <= most:
         # Where it does not, the leaves near it are searched for a bound as well.
-        qb = materialize(qb, "knn-own")
         short = qb.where("_r is null").join(_landings(tree, most + 1), [*g, "_own"])
-        near = _search_chunked(cands, short.select(*g, F.col("qid").alias("vid"), *x, "cnt", "leaf"), tree, False, nschema)
-        both = near.unionByName(r1.join(short.select(*g, "qid").distinct(), [*g, "qid"], "left_semi"))
-        wide = bounds(merge_topk(both, g, keep_k=True)).withColumnRenamed("_r", "_wide")
+        near = _search_chunked(cands, short.select(*g, F.col("qid").alias("vid"), *x, "cnt", "leaf"), tree)
+        both = entries(near, g, "_k").unionByName(entries(r1.where("_r is null"), g, "_k"))
+        wide = merge_topk(both, g, keep_k=True).groupBy(*g, "qid") \
+            .agg(F.max("dist").alias("_wide"), F.sum("w").alias("_got"), F.first("_k").alias("_k")) \
+            .where("_got >= _k").drop("_got", "_k")
         qb = qb.join(wide, [*g, "qid"], "left").withColumn("_r", F.coalesce("_r", "_wide")).drop("_wide")
     # A group that was not cut has no other leaf to search.
     qb = qb.withColumn("_r", F.coalesce("_r", F.lit(float("inf"))))
@@ -463,22 +611,22 @@ def knn(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool
         cond += [F.col("f._s") == F.col("b._s")] if level == 0 else []
         j = f.join(b, cond, "inner")
         j = j.select(*[F.col(f"f.{c}").alias(c) for c in g], "f.qid", *[F.col(f"f.{c}") for c in x], "f.cnt",
-                     "f._own", "f._r", F.col("b.node").alias("node"), "b.is_leaf",
+                     "f._own", "f._ownchunk", "f._r", F.col("b.node").alias("node"), "b.is_leaf",
                      *[F.col(f"b.lo{i}") for i in range(len(x))], *[F.col(f"b.hi{i}") for i in range(len(x))])
         j = j.where(_mindist(x) <= F.col("_r") + F.lit(BOX_SLACK))
-        frontier = j.select(*g, "qid", *x, "cnt", "_own", "_r", "node", "is_leaf")
-    if tree.depth > 0:
-        # Each query's vector goes along: (query, leaf) pairs are what the search reads.
-        other = frontier.where(F.col("is_leaf") & (F.col("node") != F.col("_own"))) \
-            .select(*g, F.col("qid").alias("vid"), *x, "cnt", F.col("node").alias("leaf"), "_r")
-        other = materialize(other, "knn-walk")
-        r1 = r1.unionByName(_search_chunked(cands, other, tree, False, nschema, known=True))
-    return merge_topk(r1, g)
+        frontier = j.select(*g, "qid", *x, "cnt", "_own", "_ownchunk", "_r", "node", "is_leaf")
+    if tree.depth == 0:
+        return r1.select(*g, *CELL_COLS, "qid", "near")
+    # Each query's vector goes along: (query, leaf) pairs are what the search reads.
+    other = frontier.where(F.col("is_leaf") & (F.col("node") != F.col("_own"))) \
+        .select(*g, F.col("qid").alias("vid"), *x, "cnt", "_own", "_ownchunk", F.col("node").alias("leaf"), "_r")
+    other = materialize(other, "knn-walk")
+    return _merged(r1, _search_chunked(cands, other, tree, known=True, carry=["_own", "_ownchunk"]), g)
 
 
-def _search_chunked(cands: DataFrame, queries: DataFrame, tree: KdTree, self_mode: bool, nschema, known: bool = False) -> DataFrame:
+def _search_chunked(cands: DataFrame, queries: DataFrame, tree: KdTree, known: bool = False, carry=(), tables: int = 0) -> DataFrame:
     """Search task per (G, leaf, chunk): the leaf's vectors and at most QUERY_CHUNK queries. ``known``: the tree has all
-    of the queries' leaves."""
+    of the queries' leaves. ``carry``: columns of the queries that stay on their rows."""
     g, x = tree.groups, tree.dims
     qcount = queries.groupBy(*g, "leaf").agg(F.count(F.lit(1)).alias("_nq"))
     nchunks = F.greatest(F.lit(1), F.ceil(F.col("_nq") / F.lit(QUERY_CHUNK))).cast("int")
@@ -489,22 +637,31 @@ def _search_chunked(cands: DataFrame, queries: DataFrame, tree: KdTree, self_mod
         "_chunk", F.pmod(F.xxhash64("vid"), F.col("_nc").cast("long")).cast("int"))
     c = cands.join(chunks, [*g, "leaf"]).withColumn(
         "_chunk", F.explode(F.sequence(F.lit(0), F.col("_nc") - 1)))
-    cols = [*g, "leaf", "_chunk", "vid", *x, "cnt"]
+    cols = [*g, *CELL_COLS, "vid", *x, "cnt", *["own", "far"][:2 * bool(tables)]]
+    rest = [n for n in carry if n not in cols]
     qr = F.col("_r") if "_r" in q.columns else F.lit(None).cast("double")
-    tasks = c.select(*cols, "_k", F.lit(None).cast("double").alias("_r"), F.lit(0).alias("_role")) \
-             .unionByName(q.select(*cols, F.lit(None).cast("long").alias("_k"), qr.alias("_r"), F.lit(1).alias("_role")))
-    return _search(tasks, [*g, "leaf", "_chunk"], tree, self_mode, nschema)
+    tasks = c.select(*cols, *[F.lit(None).cast(q.schema[n].dataType).alias(n) for n in rest], "_k",
+                     F.lit(None).cast("double").alias("_r"), F.lit(0).alias("_role")) \
+             .unionByName(q.select(*cols, *rest, F.lit(None).cast("long").alias("_k"), qr.alias("_r"), F.lit(1).alias("_role")))
+    return _search(tasks, [*g, *CELL_COLS], tree, False, carry, tables)
 
 
 def approximate_knn(vectors: DataFrame, groups, dims, k: int, tables: int = 4, leaf_size: int = 1024, seed: int = 17,
                     n_vectors: int | None = None) -> DataFrame:
-    """Neighbour rows (G..., qid, cid, dist, w) as ``knn`` gives in self mode, found by random-projection hash tables.
+    """Neighbour rows (G..., qid, cid, dist, w) of ``approximate_knn_lists``."""
+    return entries(approximate_knn_lists(vectors, groups, dims, k, tables, leaf_size, seed, n_vectors), list(groups))
+
+
+def approximate_knn_lists(vectors: DataFrame, groups, dims, k: int, tables: int = 4, leaf_size: int = 1024, seed: int = 17,
+                          n_vectors: int | None = None) -> DataFrame:
+    """Rows as ``knn_lists`` gives in self mode, found by random-projection hash tables.
 
     A table projects the vectors on a random orthonormal basis (the first on their own axes) and cuts them at medians,
     so a bucket is a leaf and holds at most ``leaf_size`` vectors whatever the skew. Each vector searches, in each
-    table, its own bucket and the one beyond the nearest cut on its way (its second probe). All tables are built and
-    searched in one pass each; there is no walk and no bound. A vector may get fewer than ``k`` neighbours where its
-    buckets hold fewer.
+    table, its own bucket and the one beyond the nearest cut on its way (its second probe). Its own bucket of the first
+    table comes first and bounds all the others, which are searched in one pass and give only pairs that have not met
+    in a table before: what is moved stays near one list per vector. There is no walk. A vector may get fewer than
+    ``k`` neighbours where its buckets hold fewer.
     """
     g, x = list(groups), list(dims)
     rng = np.random.default_rng(seed)
@@ -520,13 +677,21 @@ def approximate_knn(vectors: DataFrame, groups, dims, k: int, tables: int = 4, l
     spread = vectors.select(*g, "vid", "cnt", turned.alias("_s")).select(*g, "_s.*", "vid", "cnt")
     tg = [*g, "_t"]
     tree = build_tree(spread, tg, y, leaf_size, n_vectors=n_vectors and n_vectors * tables, beyond=True)
-    # Distances are taken in the original coordinates.
-    placed = tree.vectors.select(*tg, "vid", "leaf", "beyond").join(vectors.select(*g, "vid", *x, "cnt"), [*g, "vid"])
+    # A row per vector with its buckets in all tables; distances are taken in the original coordinates.
+    spots = tree.vectors.groupBy(*g, "vid").agg(F.sort_array(F.collect_list(F.struct("_t", "leaf", "beyond"))).alias("_b"))
+    placed = spots.select(*g, "vid", F.col("_b.leaf").alias("own"), F.col("_b.beyond").alias("far")) \
+        .join(vectors.select(*g, "vid", *x, "cnt"), [*g, "vid"])
     placed = materialize(placed.withColumn("_k", F.lit(k).cast("long")), "knn-buckets")
     tree = KdTree(placed, tree.splits, tree.boxes, tg, x, tree.depth, leaf_size, tree.least)
-    nschema = _neighbour_schema([vectors.schema[c] for c in g] + [T.StructField("_t", T.IntegerType())])
-    own = _search(placed.withColumn("_role", F.lit(2)).withColumn("_r", F.lit(None).cast("double")), [*tg, "leaf"], tree, True, nschema)
-    probes = placed.where("beyond >= 0").select(*tg, "vid", *x, "cnt", F.col("beyond").alias("leaf"))
-    found = own.unionByName(_search_chunked(placed, probes, tree, False, nschema, known=True))
-    found = found.groupBy(*g, "qid", "cid").agg(F.min("dist").alias("dist"), F.max("w").alias("w"), F.first("_k").alias("_k"))
-    return merge_topk(found, g)
+    rows = [*g, "vid", *x, "cnt", "own", "far"]
+    first = placed.select(*rows, "_k", F.lit(0).alias("_t"), F.get("own", F.lit(0)).alias("leaf"), F.lit(0).alias("_chunk"),
+                          F.lit(2).alias("_role"), F.lit(None).cast("double").alias("_r"))
+    r1 = materialize(_search(first, [*g, *CELL_COLS], tree, True, [*x, "cnt", "own", "far"]), "knn-r1")
+    visits = F.filter(F.flatten(F.array(*[F.array(*[F.struct(F.lit(i).alias("_t"), F.get(c, F.lit(i)).alias("leaf"))
+                                                    for c in ("own", "far")[i == 0:]]) for i in range(tables)])), lambda v: v["leaf"] >= 0)
+    probes = r1.select(*g, F.col("qid").alias("vid"), *x, "cnt", "own", "far", "_r", F.col("leaf").alias("_own"),
+                       F.col("_chunk").alias("_ownchunk"), F.explode(visits).alias("_v")) \
+        .select("*", "_v._t", "_v.leaf").drop("_v")
+    buckets = placed.select(*rows, "_k", F.posexplode("own").alias("_t", "leaf"))
+    found = _search_chunked(buckets, probes, tree, known=True, carry=["_own", "_ownchunk"], tables=tables)
+    return _merged(r1, found, g)

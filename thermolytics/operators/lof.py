@@ -8,18 +8,21 @@ For each point p with k nearest neighbours N(p):
   score            = -LOF (higher = more normal)
 k is clipped to (points in the group - 1). Identical rows are one vector
 with a count; its copies are each other's neighbours at distance 0.
-Only the kNN search is custom; k-distance, lrd and LOF are joins and
-aggregates keyed by vector id.
+Neighbours stay in one list per vector; k-distance, lrd and LOF are means
+over a cell's lists, joined with the values of the neighbours they name.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .knn import KdTree, approximate_knn, build_tree, knn
+from .knn import CELL_COLS, LEAF, KdTree, _near_rows, _search_partitions, approximate_knn_lists, build_tree, knn_lists
 from .quantile import exact_quantile
 from ..functions.params import attach_row
 from ..session import materialize
@@ -53,21 +56,61 @@ def distinct_vectors(df: DataFrame, groups, dims, id_col: str) -> DataFrame:
             .groupBy(*groups, *dims).agg(F.min("_id").alias("vid"), F.count(F.lit(1)).alias("cnt")))
 
 
-def _factors(nb: DataFrame, g) -> DataFrame:
-    """(G..., vid, kdist, lrd, lof, _k) of every vector from the neighbour rows ``nb``."""
+def _means(g, columns):
+    """Cogroup function: a cell's neighbour lists and the values of the neighbours in them -> per list the local
+    reachability density (``_lrd``, from ``_ckd``) and the neighbours' mean density (``_mlrd``, from ``_clrd``)."""
+    def fn(lists: pa.Table, values: pa.Table) -> pa.Table:
+        n = len(lists)
+        rows, cid, dist, w = _near_rows(lists.column("near"))
+        ids = values.column("cid").to_numpy()
+        by = np.argsort(ids, kind="stable")
+        at = np.minimum(np.searchsorted(ids[by], cid), max(len(ids) - 1, 0))
+        known = np.flatnonzero(ids[by[at]] == cid) if len(ids) else np.zeros(0, np.int64)
+        rows, dist, w, at = rows[known], dist[known], w[known], by[at[known]] if len(ids) else at[known]
+        total = np.bincount(rows, weights=w, minlength=n)
+        out = {c: lists.column(c) for c in [*g, "qid"]}
+        for name, source in columns:
+            v = values.column(source).to_numpy()[at].astype(np.float64)
+            v = np.maximum(dist, v) if source == "_ckd" else v
+            with np.errstate(divide="ignore", invalid="ignore"):
+                mean = np.bincount(rows, weights=w * v, minlength=n) / total
+                out[name] = pa.array(1.0 / (mean + EPS) if source == "_ckd" else mean, pa.float64(), mask=total == 0)
+        return pa.table(out)
+    return fn
+
+
+def _averaged(lists: DataFrame, needs: DataFrame, values: DataFrame, g, columns) -> DataFrame:
+    """(G..., qid, columns) of the ``lists`` from ``values`` (G..., cid, ...) of the neighbours they name. A cell's lists
+    come together with one row per neighbour they need; the lists themselves are not taken apart."""
+    key = [*g, *CELL_COLS]
+    n = _search_partitions(lists.sparkSession)
+    schema = T.StructType([lists.schema[c] for c in [*g, "qid"]] + [T.StructField(c, T.DoubleType()) for c, _ in columns])
+    found = needs.join(values, [*g, "cid"]).repartition(n, *key)
+    return lists.select(*key, "qid", "near").repartition(n, *key).groupBy(*key).cogroup(found.groupBy(*key)) \
+        .applyInArrow(_means(g, columns), schema)
+
+
+def _needs(lists: DataFrame, g) -> DataFrame:
+    """(G..., leaf, _chunk, cid): the neighbours that each cell's lists name, once each."""
+    return lists.select(*g, *CELL_COLS, F.explode("near.cid").alias("cid")).distinct()
+
+
+def _factors(lists: DataFrame, g) -> DataFrame:
+    """(G..., vid, kdist, lrd, lof, _k) of every vector from its neighbours in ``lists``."""
     # The neighbours' multiplicities add up to k, or to all the others of a smaller group.
-    kd = nb.groupBy(*g, "qid").agg(F.max("dist").alias("kdist"), F.sum("w").cast("long").alias("_k"))
-    reach = nb.drop("_k").join(kd.select(*g, F.col("qid").alias("cid"), F.col("kdist").alias("_ckd")), [*g, "cid"])
-    lrd = reach.groupBy(*g, "qid").agg(
-        (F.lit(1.0) / (F.sum(F.col("w") * F.greatest("dist", "_ckd")) / F.sum("w") + F.lit(EPS))).alias("lrd"))
-    nl = nb.join(lrd.withColumnRenamed("qid", "cid").withColumnRenamed("lrd", "_clrd"), [*g, "cid"])
-    mean_n = nl.groupBy(*g, "qid").agg((F.sum(F.col("w") * F.col("_clrd")) / F.sum("w")).alias("_mlrd"))
-    return kd.join(lrd, [*g, "qid"]).join(mean_n, [*g, "qid"]) \
-              .select(*g, F.col("qid").alias("vid"), "kdist", "lrd", (F.col("_mlrd") / F.col("lrd")).alias("lof"), "_k")
+    lists = lists.where(F.size("near") > 0)
+    needs = materialize(_needs(lists, g), "lof-needs")
+    kd = lists.select(*g, F.col("qid").alias("vid"), F.array_max("near.dist").alias("kdist"),
+                      F.aggregate("near.w", F.lit(0).cast("long"), lambda a, b: a + b).alias("_k"))
+    lrd = _averaged(lists, needs, kd.select(*g, F.col("vid").alias("cid"), F.col("kdist").alias("_ckd")), g, [("lrd", "_ckd")])
+    lrd = materialize(lrd.withColumnRenamed("qid", "vid"), "lof-lrd")
+    mean_n = _averaged(lists, needs, lrd.select(*g, F.col("vid").alias("cid"), F.col("lrd").alias("_clrd")), g, [("_mlrd", "_clrd")])
+    return kd.join(lrd, [*g, "vid"]).join(mean_n.withColumnRenamed("qid", "vid"), [*g, "vid"]) \
+             .select(*g, "vid", "kdist", "lrd", (F.col("_mlrd") / F.col("lrd")).alias("lof"), "_k")
 
 
 def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None = None,
-            leaf_size: int = 1024) -> LofModel:
+            leaf_size: int = LEAF) -> LofModel:
     """Fit LOF on rows of ``df`` (features ``dims`` already scaled; nulls count as 0).
 
     Runs the index build and neighbour search eagerly; intermediate tables
@@ -79,7 +122,7 @@ def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None =
     x = list(dims)
     vec, n = materialize(distinct_vectors(df, g, x, id_col), "lof-vectors", count=True)
     tree = build_tree(vec, g, x, leaf_size=max(leaf_size, 4 * k), n_vectors=n)
-    nb = materialize(knn(tree, tree.vectors, k, self_mode=True), "lof-neighbours")
+    nb = materialize(knn_lists(tree, tree.vectors, k, self_mode=True), "lof-neighbours")
     stats = _factors(nb, g)
     ref = materialize(tree.vectors.join(stats, [*g, "vid"], "left"), "lof-ref")
     return LofModel(_reference(tree, ref), ref, g, x, within, k)
@@ -99,7 +142,7 @@ def _attach(df: DataFrame, g, x, scored: DataFrame, cols) -> DataFrame:
 
 
 def lof_scores(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None = None,
-               leaf_size: int = 1024, model: LofModel | None = None) -> DataFrame:
+               leaf_size: int = LEAF, model: LofModel | None = None) -> DataFrame:
     """Rows of ``df`` with ``lof`` and ``lof_score`` (= -lof) of their own fit."""
     # The rows are used twice (fit and join-back): cut their lineage once.
     df = materialize(df, "lof-rows")
@@ -119,7 +162,7 @@ def lof_scores_approximate(df: DataFrame, dims, id_col: str, k: int = 20, within
     d2, g = _groups(df, within)
     x = list(dims)
     vec, n = materialize(distinct_vectors(d2, g, x, id_col), "lof-vectors", count=True)
-    nb = materialize(approximate_knn(vec, g, x, k, tables, max(leaf_size, 4 * k), n_vectors=n), "lof-neighbours")
+    nb = materialize(approximate_knn_lists(vec, g, x, k, tables, max(leaf_size, 4 * k), n_vectors=n), "lof-neighbours")
     scored = materialize(vec.join(_factors(nb, g).select(*g, "vid", "lof"), [*g, "vid"], "left"), "lof-approximate")
     out = _attach(d2, g, x, scored, ["lof"]).withColumn("lof_score", -F.col("lof"))
     return out.drop(GLOBAL) if not within else out
@@ -138,12 +181,9 @@ def lof_novelty(model: LofModel, df: DataFrame, dims, id_col: str) -> DataFrame:
         d2 = d2.select("*", *[F.col(a).alias(b) for a, b in zip(x, model.dims) if a != b])
         x = model.dims
     q = distinct_vectors(d2, g, x, id_col)
-    nb = knn(model.tree, q, most_k=model.k)
+    nb = materialize(knn_lists(model.tree, q, most_k=model.k), "novelty-neighbours")
     ref = model.ref.select(*g, F.col("vid").alias("cid"), F.col("kdist").alias("_ckd"), F.col("lrd").alias("_clrd"))
-    j = nb.join(ref, [*g, "cid"])
-    agg = j.groupBy(*g, "qid").agg(
-        (F.lit(1.0) / (F.sum(F.col("w") * F.greatest("dist", "_ckd")) / F.sum("w") + F.lit(EPS))).alias("_lrd"),
-        (F.sum(F.col("w") * F.col("_clrd")) / F.sum("w")).alias("_mlrd"))
+    agg = _averaged(nb, materialize(_needs(nb, g), "novelty-needs"), ref, g, [("_lrd", "_ckd"), ("_mlrd", "_clrd")])
     scored = q.join(agg.withColumnRenamed("qid", "vid"), [*g, "vid"], "left") \
               .select(*g, *x, (F.col("_mlrd") / F.col("_lrd")).alias("lof"))
     scored = materialize(scored, "novelty-scores")

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .knn import KdTree
+from .knn import LEAF, KdTree
 from .lof import GLOBAL, LofModel, _reference, contamination_offset, fit_lof, lof_novelty
 from .regress import fit_hdd_regression, regression_residual
 from .scale import apply_scaler, fit_scaler, require_features
@@ -43,7 +43,7 @@ def _with_row_id(df: DataFrame, id_col: str | None) -> tuple[DataFrame, str]:
 
 
 def fit_lr_lof(features: DataFrame, feature_columns, lof_neighbors: int = 20, lof_contamination="auto",
-               within: str | None = None, id_col: str | None = None, leaf_size: int = 1024) -> FittedModel:
+               within: str | None = None, id_col: str | None = None, leaf_size: int = LEAF) -> FittedModel:
     """Scaler (population std) + energy~hdd regression + LOF on the scaled features."""
     if not feature_columns:
         raise ValueError("Hyperparameter 'feature_columns' must be provided: the names of the model's inputs")
