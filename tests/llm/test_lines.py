@@ -95,6 +95,13 @@ def test_blocks_and_lines_between_blank_ones_are_dropped(spark):
     assert all(got[200 + i]["text"] == "" for i in range(3))
 
 
+def test_query_drops_blocks(spark, tmp_path):
+    """The registered query counts lines inside blocks by documents too."""
+    frame(spark, blocks()).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["n_dropped"] for r in queries.op5_line_dedup(spark, str(tmp_path)).collect()}
+    assert all(got[i] == 4 for i in range(60)) and all(got[i] == 1 for i in range(60, 120))
+
+
 def test_near_copies_are_no_templates(spark):
     """60 near copies of a document, a line of its own in each: their common lines stay, the footer goes."""
     body = [" ".join(words(8000 + j, 9)) for j in range(30)]

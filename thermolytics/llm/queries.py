@@ -13,8 +13,8 @@ def op1_language_id(spark, sf_dir):
 
 
 def op5_line_dedup(spark, sf_dir):
-    # The SQL below counts by neighbour lines only; the pipeline counts by documents as well.
-    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), by_document=False)
+    # Lines inside blocks are counted by documents as well, as in the pipeline; the SQL below has the count by neighbour lines only.
+    out = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
