@@ -277,3 +277,39 @@ def test_one_list_per_query(spark):
         rows = lists.collect()
         assert sorted(r.qid for r in rows) == list(range(600))
         assert all(len({n.cid for n in r.near}) == len(r.near) == 5 for r in rows)
+
+
+def _stages(path):
+    return sorted({p.name.rsplit("-", 1)[0] for p in path.glob("stage-*")})
+
+
+def test_spent_tables_are_deleted(spark, tmp_path, monkeypatch):
+    """Of a fit, its novelty scores and its flags only the tables stay that their results still read."""
+    X, ids, grp = make_points(n=200)
+    df, dims = frame(spark, X, ids, grp)
+    monkeypatch.setattr("thermolytics.session.checkpoint_root", lambda spark: str(tmp_path))
+    model = fit_lof(df, dims, "id", k=5, within="grp", leaf_size=20)
+    assert set(_stages(tmp_path)) == {"stage-kd-boxes", "stage-kd-leaves", "stage-lof-ref"}
+    out = lof_novelty(model, df, dims, "id")
+    left = set(_stages(tmp_path)) - {"stage-kd-boxes", "stage-kd-leaves", "stage-kd-splits", "stage-lof-ref"}
+    assert left == {"stage-novelty-rows", "stage-novelty-scores"}
+    assert out.count() == 200 and out.where("lof is null").count() == 0
+    flagged = lof_flag(lof_scores(df, dims, "id", k=5), 0.1)
+    # The scores are read, not joined a second time.
+    assert {f.rsplit("/", 2)[1].rsplit("-", 1)[0] for f in flagged.inputFiles()} == {"stage-lof-scored"}
+    assert flagged.count() == 200
+
+
+def test_cells_name_their_neighbours_once(spark):
+    from thermolytics.operators.knn import build_tree, knn_lists
+    from thermolytics.operators.lof import _needs, distinct_vectors
+    X, ids, grp = make_points(n=300)
+    df, dims = frame(spark, X, ids, grp)
+    vec = distinct_vectors(df, ["grp"], dims, "id")
+    tree = build_tree(vec, ["grp"], dims, leaf_size=30)
+    lists = knn_lists(tree, tree.vectors, 5, True)
+    needs = _needs(lists, ["grp"])
+    assert "Exchange" not in needs._jdf.queryExecution().executedPlan().toString()
+    expected = {(r.grp, r.leaf, r._chunk, n.cid) for r in lists.collect() for n in r.near}
+    got = [tuple(r) for r in needs.collect()]
+    assert len(got) == len(set(got)) and set(got) == expected

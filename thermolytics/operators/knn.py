@@ -33,13 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import materialize, release
 
 TIE_DECIMALS = 9
 FANOUT = 4                # children per cut (quartiles of the widest dimension)
 LOG2_FANOUT = 2
 BOX_SLACK = 1e-9          # boxes within r + slack are searched (covers rounding ties)
-QUERY_CHUNK = 1 << 15     # queries per search task
+QUERY_CHUNK = 1 << 16     # queries per search task
 LEAF = 1 << 15            # vectors of a leaf, which one task searches by small blocks
 BLOCK = 128               # vectors of a block within a search task
 QUERY_BLOCK = 128         # queries that look at the same blocks
@@ -199,7 +199,7 @@ def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_dept
                            T.StructField("nested", T.ArrayType(T.StructType(one)))])
     cell = max(cell, leaf_size)
     cur = vectors.select(*g, "vid", *x, "cnt", F.lit(1).cast("long").alias("node"))
-    split_tables, levels = [], 0
+    split_tables, levels, cur_staged = [], 0, []
     probs = [i / FANOUT ** BUILD_LEVELS for i in range(1, FANOUT ** BUILD_LEVELS)]
     while n_vectors is None or n_vectors > cell:
         aggs = [F.count(F.lit(1)).alias("_n")]
@@ -224,11 +224,14 @@ def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_dept
         passed = F.size(F.filter("cuts", lambda c: F.when(F.col("strict"), xv > c).otherwise(xv >= c)))
         cur = salted.join(table, [*g, "node", "_s"], "left") \
             .select(*g, "vid", *x, "cnt", F.coalesce(F.get("leaves", passed), "node").alias("node"))
-        cur = materialize(cur, "kd-cells")
+        cur, spent = materialize(cur, "kd-cells"), cur_staged
+        release(*spent)
+        cur_staged = [cur]
     fine = T.StructType([*gfields, *[T.StructField(c, vectors.schema[c].dataType) for c in ("vid", *x)], T.StructField("cnt", T.LongType()),
                          T.StructField("leaf", T.LongType()), T.StructField("beyond", T.LongType()), *one[1:]])
     cut = cur.withColumn("cnt", F.col("cnt").cast("long")).groupBy(*g, "node").applyInArrow(_finer(x, g, leaf_size, max_depth), fine)
     cut = materialize(cut, "kd-leaves")
+    release(*cur_staged)
     vec = cut.where("vid is not null").select(*g, "vid", *x, "cnt", "leaf", *["beyond"][:beyond])
     all_splits = cut.where("vid is null").select(*g, F.col("leaf").alias("node"), "dim", "cuts", "strict")
     for s in split_tables:
@@ -257,9 +260,11 @@ def descend(tree: KdTree, queries: DataFrame) -> DataFrame:
     """Leaf of each query (G..., qid, dims...) by following the stored cuts; adds ``leaf``."""
     g, x = tree.groups, tree.dims
     cur = queries.withColumn("leaf", F.lit(1).cast("long"))
+    # They lie among the vectors: find them once, not once per level.
+    splits = materialize(tree.splits, "kd-splits") if tree.depth else None
     for level in range(tree.depth):
         # Only this depth's cuts.
-        s = tree.splits.where(_depth(F.col("node")) == level).withColumnRenamed("node", "leaf")
+        s = splits.where(_depth(F.col("node")) == level).withColumnRenamed("node", "leaf")
         if level == 0:
             salted, roots = _spread(cur, s, "vid")
             j = salted.join(roots, [*g, "leaf", "_s"], "left").withColumnRenamed("leaf", "node")
@@ -289,13 +294,17 @@ def _near_column(cid, dist, w, counts) -> pa.ListArray:
         [pa.array(cid, pa.int64()), pa.array(dist, pa.float64()), pa.array(w, pa.int64())], fields=fields))
 
 
-def _near_rows(column) -> tuple[np.ndarray, ...]:
-    """(list number, cid, dist, w) of a column of ``near`` lists."""
-    lists = column.combine_chunks()
-    flat = lists.flatten()
-    counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    return (np.repeat(np.arange(len(lists)), counts),
-            *[flat.field(i).to_numpy(zero_copy_only=False) for i in range(3)])
+def _apart(*fields):
+    """Columns ``_cid``, ``_dist``, ``_w`` (those asked for) of the ``near`` lists: plain arrays are moved in far fewer bytes
+    than arrays of structs."""
+    return [F.col(f"near.{f}").alias(f"_{f}") for f in fields]
+
+
+def _near_rows(t: pa.Table, *fields) -> tuple[np.ndarray, ...]:
+    """(list number, the fields) of the lists that ``_apart`` has taken apart."""
+    lists = [t.column(f"_{f}").combine_chunks() for f in fields]
+    counts = lists[0].value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return (np.repeat(np.arange(len(t)), counts), *[x.flatten().to_numpy(zero_copy_only=False) for x in lists])
 
 
 def _ids(t: pa.Table, name: str) -> np.ndarray:
@@ -375,8 +384,14 @@ def _nearest(C, cid, ccnt, Q, qid, qcnt, bound, k: int, self_mode: bool, skip=No
                 wts = wts - (qid[at[free]][:, None] == cid[near])
             r[free] = _kth(_squared(q[free][:, None], C[near][None]), wts, k)
         lim = (r + 2 * BOX_SLACK) ** 2
-        least = (np.maximum(0, np.maximum(lo[None] - q[:, None], q[:, None] - hi[None])) ** 2).sum(axis=2)
-        used = np.flatnonzero(~(least > lim[:, None]).all(axis=0))
+        # Blocks beyond the widest bound of the whole query block are ruled out first, by one box against each.
+        apart = (np.maximum(0, np.maximum(lo - q.max(axis=0), q.min(axis=0) - hi)) ** 2).sum(axis=1)
+        some = np.flatnonzero(~(apart > lim.max()))
+        least = 0.0
+        for j in range(q.shape[1]):
+            gap = np.maximum(0, np.maximum(lo[some, j] - q[:, j, None], q[:, j, None] - hi[some, j]))
+            least = least + gap * gap
+        used = some[~(least > lim[:, None]).all(axis=0)]
         if not len(used):
             continue
         near = np.concatenate([blocks[i] for i in used])
@@ -466,16 +481,17 @@ def _merge_kernel(groups, cell_cols):
     def fn(own: pa.Table, other: pa.Table) -> pa.Table:
         qid = own.column("qid").to_numpy()
         k = int(own.column("_k")[0].as_py()) if len(own) else 0
-        rows, cid, dist, w = _near_rows(own.column("near"))
+        rows, cid, dist, w = _near_rows(own, "cid", "dist", "w")
         if len(other) and len(own):
             by = np.argsort(qid, kind="stable")
             theirs = by[np.searchsorted(qid[by], other.column("qid").to_numpy())]
-            at, *more = _near_rows(other.column("near"))
+            at, *more = _near_rows(other, "cid", "dist", "w")
             rows = np.concatenate([rows, theirs[at]])
             cid, dist, w = (np.concatenate(p) for p in zip((cid, dist, w), more))
             rows, cid, dist, w = _top(rows, cid, dist, w, k)
         near, _ = _lists(rows, cid, dist, w, len(own), 1)
-        return pa.table({c: own.column(c) for c in (*groups, *cell_cols, "qid")} | {"near": near})
+        return pa.table({c: own.column(c) for c in (*groups, *cell_cols, "qid")}
+                        | {"near": near, "names": pa.array([np.unique(cid)] + [None] * (len(own) - 1), pa.list_(pa.int64()))[:len(own)]})
     return fn
 
 
@@ -483,14 +499,18 @@ CELL_COLS = ["leaf", "_chunk"]       # with the group: the task that a query's l
 
 
 def _merged(own: DataFrame, other: DataFrame, g) -> DataFrame:
-    """(G..., leaf, _chunk, qid, near): lists of one row per query and cell, with what was found elsewhere."""
-    schema = T.StructType([own.schema[c] for c in (*g, *CELL_COLS, "qid", "near")])
+    """(G..., leaf, _chunk, qid, near, names): lists of one row per query and cell, with what was found elsewhere. One row
+    of each cell has the ids that the cell's lists name, once each (``names``, null on the others). The lists are staged,
+    and what ``own`` was read from (a staged table) is released."""
+    schema = T.StructType([*[own.schema[c] for c in (*g, *CELL_COLS, "qid", "near")], T.StructField("names", T.ArrayType(T.LongType()))])
     n = _search_partitions(own.sparkSession)
     key = [*g, *CELL_COLS]
-    a = own.select(*key, "qid", "near", "_k").repartition(n, *key)
-    b = other.select(*g, F.col("_own").alias("leaf"), F.col("_ownchunk").alias("_chunk"), "qid", "near") \
-        .where(F.size("near") > 0).repartition(n, *key)
-    return a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(_merge_kernel(g, CELL_COLS), schema)
+    a = own.select(*key, "qid", *_apart("cid", "dist", "w"), "_k").repartition(n, *key)
+    b = other.where(F.size("near") > 0).select(*g, F.col("_own").alias("leaf"), F.col("_ownchunk").alias("_chunk"), "qid",
+                                               *_apart("cid", "dist", "w")).repartition(n, *key)
+    lists = materialize(a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(_merge_kernel(g, CELL_COLS), schema), "knn-lists")
+    release(own)
+    return lists
 
 
 def entries(lists: DataFrame, g, *cols) -> DataFrame:
@@ -552,8 +572,9 @@ def knn(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool
 
 
 def knn_lists(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool = False, most_k: int = 1 << 30) -> DataFrame:
-    """One row (G..., leaf, _chunk, qid, near) per query (G..., vid, dims..., cnt[, leaf]) with its neighbours
-    (cid, dist, w), nearest first; leaf and chunk name the task that searched it.
+    """One row (G..., leaf, _chunk, qid, near[, names]) per query (G..., vid, dims..., cnt[, leaf]) with its neighbours
+    (cid, dist, w), nearest first; leaf and chunk name the task that searched it. A staged table, which the caller may
+    release.
 
     In self mode the queries are the tree's own vectors (their copies count as
     neighbours, themselves not) and a group of at most ``k`` rows gives all its others. Without
@@ -562,15 +583,18 @@ def knn_lists(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode:
     """
     g, x = tree.groups, tree.dims
     cands = tree.vectors if k is None else tree.vectors.withColumn("_k", F.lit(k).cast("long"))
+    placed = []
     if self_mode:
         first = cands.withColumn("_role", F.lit(2)).withColumn("_r", F.lit(None).cast("double")).withColumn("_chunk", F.lit(0))
         r1 = _search(first, [*g, *CELL_COLS], tree, True, [*x, "cnt"])
     else:
         if "leaf" not in queries.columns:
-            queries = descend(tree, queries)
+            queries = materialize(descend(tree, queries), "knn-queries")
+            placed = [queries]
         r1 = _search_chunked(cands, queries, tree, carry=[*x, "cnt"])
     # Used by the bound, the walk and the final merge: materialise once.
     r1 = materialize(r1, "knn-r1")
+    release(*placed)
     # Radius bound per query: the k-th distance in its own leaf, if that holds enough.
     qb = r1.select(*g, "qid", *x, "cnt", F.col("leaf").alias("_own"), F.col("_chunk").alias("_ownchunk"), "_r")
     most = most_k if k is None else k
@@ -621,7 +645,9 @@ def knn_lists(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode:
     other = frontier.where(F.col("is_leaf") & (F.col("node") != F.col("_own"))) \
         .select(*g, F.col("qid").alias("vid"), *x, "cnt", "_own", "_ownchunk", F.col("node").alias("leaf"), "_r")
     other = materialize(other, "knn-walk")
-    return _merged(r1, _search_chunked(cands, other, tree, known=True, carry=["_own", "_ownchunk"]), g)
+    lists = _merged(r1, _search_chunked(cands, other, tree, known=True, carry=["_own", "_ownchunk"]), g)
+    release(other)
+    return lists
 
 
 def _search_chunked(cands: DataFrame, queries: DataFrame, tree: KdTree, known: bool = False, carry=(), tables: int = 0) -> DataFrame:
@@ -694,4 +720,6 @@ def approximate_knn_lists(vectors: DataFrame, groups, dims, k: int, tables: int
         .select("*", "_v._t", "_v.leaf").drop("_v")
     buckets = placed.select(*rows, "_k", F.posexplode("own").alias("_t", "leaf"))
     found = _search_chunked(buckets, probes, tree, known=True, carry=["_own", "_ownchunk"], tables=tables)
-    return _merged(r1, found, g)
+    lists = _merged(r1, found, g)
+    release(placed)
+    return lists

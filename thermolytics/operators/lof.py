@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .knn import CELL_COLS, LEAF, KdTree, _near_rows, _search_partitions, approximate_knn_lists, build_tree, knn_lists
+from .knn import CELL_COLS, LEAF, KdTree, _apart, _near_rows, _search_partitions, approximate_knn_lists, build_tree, descend, \
+    knn_lists
 from .quantile import exact_quantile
 from ..functions.params import attach_row
-from ..session import materialize
+from ..session import materialize, release
 
 EPS = 1e-10
 AUTO_OFFSET = -1.5
@@ -59,19 +60,24 @@ def distinct_vectors(df: DataFrame, groups, dims, id_col: str) -> DataFrame:
 def _means(g, columns):
     """Cogroup function: a cell's neighbour lists and the values of the neighbours in them -> per list the local
     reachability density (``_lrd``, from ``_ckd``) and the neighbours' mean density (``_mlrd``, from ``_clrd``)."""
+    far = any(source == "_ckd" for _, source in columns)       # distances are needed
+
     def fn(lists: pa.Table, values: pa.Table) -> pa.Table:
         n = len(lists)
-        rows, cid, dist, w = _near_rows(lists.column("near"))
+        if far:
+            rows, cid, w, dist = _near_rows(lists, "cid", "w", "dist")
+        else:
+            rows, cid, w = _near_rows(lists, "cid", "w")
         ids = values.column("cid").to_numpy()
         by = np.argsort(ids, kind="stable")
         at = np.minimum(np.searchsorted(ids[by], cid), max(len(ids) - 1, 0))
         known = np.flatnonzero(ids[by[at]] == cid) if len(ids) else np.zeros(0, np.int64)
-        rows, dist, w, at = rows[known], dist[known], w[known], by[at[known]] if len(ids) else at[known]
+        rows, w, at = rows[known], w[known], by[at[known]] if len(ids) else at[known]
         total = np.bincount(rows, weights=w, minlength=n)
         out = {c: lists.column(c) for c in [*g, "qid"]}
         for name, source in columns:
             v = values.column(source).to_numpy()[at].astype(np.float64)
-            v = np.maximum(dist, v) if source == "_ckd" else v
+            v = np.maximum(dist[known], v) if source == "_ckd" else v
             with np.errstate(divide="ignore", invalid="ignore"):
                 mean = np.bincount(rows, weights=w * v, minlength=n) / total
                 out[name] = pa.array(1.0 / (mean + EPS) if source == "_ckd" else mean, pa.float64(), mask=total == 0)
@@ -86,27 +92,30 @@ def _averaged(lists: DataFrame, needs: DataFrame, values: DataFrame, g, columns)
     n = _search_partitions(lists.sparkSession)
     schema = T.StructType([lists.schema[c] for c in [*g, "qid"]] + [T.StructField(c, T.DoubleType()) for c, _ in columns])
     found = needs.join(values, [*g, "cid"]).repartition(n, *key)
-    return lists.select(*key, "qid", "near").repartition(n, *key).groupBy(*key).cogroup(found.groupBy(*key)) \
+    fields = ["cid", "w", *["dist"][:any(source == "_ckd" for _, source in columns)]]
+    return lists.select(*key, "qid", *_apart(*fields)).repartition(n, *key).groupBy(*key).cogroup(found.groupBy(*key)) \
         .applyInArrow(_means(g, columns), schema)
 
 
 def _needs(lists: DataFrame, g) -> DataFrame:
     """(G..., leaf, _chunk, cid): the neighbours that each cell's lists name, once each."""
+    if "names" in lists.columns:        # the merge of the lists has found them
+        return lists.where("names is not null").select(*g, *CELL_COLS, F.explode("names").alias("cid"))
     return lists.select(*g, *CELL_COLS, F.explode("near.cid").alias("cid")).distinct()
 
 
-def _factors(lists: DataFrame, g) -> DataFrame:
-    """(G..., vid, kdist, lrd, lof, _k) of every vector from its neighbours in ``lists``."""
+def _factors(lists: DataFrame, g) -> tuple[DataFrame, list]:
+    """(G..., vid, kdist, lrd, lof, _k) of every vector from its neighbours in ``lists``, and the tables staged for it."""
+    needs = materialize(_needs(lists, g), "lof-needs")
     # The neighbours' multiplicities add up to k, or to all the others of a smaller group.
     lists = lists.where(F.size("near") > 0)
-    needs = materialize(_needs(lists, g), "lof-needs")
     kd = lists.select(*g, F.col("qid").alias("vid"), F.array_max("near.dist").alias("kdist"),
                       F.aggregate("near.w", F.lit(0).cast("long"), lambda a, b: a + b).alias("_k"))
     lrd = _averaged(lists, needs, kd.select(*g, F.col("vid").alias("cid"), F.col("kdist").alias("_ckd")), g, [("lrd", "_ckd")])
     lrd = materialize(lrd.withColumnRenamed("qid", "vid"), "lof-lrd")
     mean_n = _averaged(lists, needs, lrd.select(*g, F.col("vid").alias("cid"), F.col("lrd").alias("_clrd")), g, [("_mlrd", "_clrd")])
     return kd.join(lrd, [*g, "vid"]).join(mean_n.withColumnRenamed("qid", "vid"), [*g, "vid"]) \
-             .select(*g, "vid", "kdist", "lrd", (F.col("_mlrd") / F.col("lrd")).alias("lof"), "_k")
+             .select(*g, "vid", "kdist", "lrd", (F.col("_mlrd") / F.col("lrd")).alias("lof"), "_k"), [needs, lrd]
 
 
 def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None = None,
@@ -114,7 +123,7 @@ def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None =
     """Fit LOF on rows of ``df`` (features ``dims`` already scaled; nulls count as 0).
 
     Runs the index build and neighbour search eagerly; intermediate tables
-    are checkpointed to the shared checkpoint folder.
+    are staged in the shared checkpoint folder and deleted as soon as they are spent.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -122,9 +131,11 @@ def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None =
     x = list(dims)
     vec, n = materialize(distinct_vectors(df, g, x, id_col), "lof-vectors", count=True)
     tree = build_tree(vec, g, x, leaf_size=max(leaf_size, 4 * k), n_vectors=n)
-    nb = materialize(knn_lists(tree, tree.vectors, k, self_mode=True), "lof-neighbours")
-    stats = _factors(nb, g)
+    release(vec)
+    nb = knn_lists(tree, tree.vectors, k, self_mode=True)
+    stats, staged = _factors(nb, g)
     ref = materialize(tree.vectors.join(stats, [*g, "vid"], "left"), "lof-ref")
+    release(nb, *staged)
     return LofModel(_reference(tree, ref), ref, g, x, within, k)
 
 
@@ -162,8 +173,10 @@ def lof_scores_approximate(df: DataFrame, dims, id_col: str, k: int = 20, within
     d2, g = _groups(df, within)
     x = list(dims)
     vec, n = materialize(distinct_vectors(d2, g, x, id_col), "lof-vectors", count=True)
-    nb = materialize(approximate_knn_lists(vec, g, x, k, tables, max(leaf_size, 4 * k), n_vectors=n), "lof-neighbours")
-    scored = materialize(vec.join(_factors(nb, g).select(*g, "vid", "lof"), [*g, "vid"], "left"), "lof-approximate")
+    nb = approximate_knn_lists(vec, g, x, k, tables, max(leaf_size, 4 * k), n_vectors=n)
+    stats, staged = _factors(nb, g)
+    scored = materialize(vec.join(stats.select(*g, "vid", "lof"), [*g, "vid"], "left"), "lof-approximate")
+    release(nb, vec, *staged)
     out = _attach(d2, g, x, scored, ["lof"]).withColumn("lof_score", -F.col("lof"))
     return out.drop(GLOBAL) if not within else out
 
@@ -180,30 +193,41 @@ def lof_novelty(model: LofModel, df: DataFrame, dims, id_col: str) -> DataFrame:
     if x != model.dims:
         d2 = d2.select("*", *[F.col(a).alias(b) for a, b in zip(x, model.dims) if a != b])
         x = model.dims
-    q = distinct_vectors(d2, g, x, id_col)
-    nb = materialize(knn_lists(model.tree, q, most_k=model.k), "novelty-neighbours")
+    q = materialize(descend(model.tree, distinct_vectors(d2, g, x, id_col)), "novelty-vectors")
+    nb = knn_lists(model.tree, q, most_k=model.k)
     ref = model.ref.select(*g, F.col("vid").alias("cid"), F.col("kdist").alias("_ckd"), F.col("lrd").alias("_clrd"))
-    agg = _averaged(nb, materialize(_needs(nb, g), "novelty-needs"), ref, g, [("_lrd", "_ckd"), ("_mlrd", "_clrd")])
+    needs = materialize(_needs(nb, g), "novelty-needs")
+    agg = _averaged(nb, needs, ref, g, [("_lrd", "_ckd"), ("_mlrd", "_clrd")])
     scored = q.join(agg.withColumnRenamed("qid", "vid"), [*g, "vid"], "left") \
               .select(*g, *x, (F.col("_mlrd") / F.col("_lrd")).alias("lof"))
     scored = materialize(scored, "novelty-scores")
+    release(q, nb, needs)
     out = _attach(d2, g, x, scored, ["lof"]).withColumn("lof_score", -F.col("lof"))
     return out.drop(GLOBAL) if not model.within else out
 
 
-def contamination_offset(scored: DataFrame, contamination="auto", score_col: str = "lof_score") -> DataFrame:
-    """One-row table with ``offset``: -1.5 for 'auto', else the contamination
-    quantile of the scores (linear interpolation, exact)."""
+def _fraction(contamination) -> float | None:
     if contamination in (None, "auto"):
-        return scored.sparkSession.range(1).select(F.lit(AUTO_OFFSET).alias("offset"))
+        return None
     c = float(contamination)
     if not 0.0 < c <= 0.5:
         raise ValueError("contamination must be 'auto' or in (0, 0.5]")
+    return c
+
+
+def contamination_offset(scored: DataFrame, contamination="auto", score_col: str = "lof_score") -> DataFrame:
+    """One-row table with ``offset``: -1.5 for 'auto', else the contamination
+    quantile of the scores (linear interpolation, exact)."""
+    c = _fraction(contamination)
+    if c is None:
+        return scored.sparkSession.range(1).select(F.lit(AUTO_OFFSET).alias("offset"))
     return exact_quantile(scored, score_col, c, alias="offset")
 
 
 def lof_flag(scored: DataFrame, contamination="auto", score_col: str = "lof_score") -> DataFrame:
     """Adds ``is_outlier`` = score below the offset (1 = outlier)."""
+    if _fraction(contamination) is not None:
+        scored = materialize(scored, "lof-scored")      # read for the quantile and again for the flags
     off = contamination_offset(scored, contamination, score_col)
     return attach_row(scored, off).withColumn(
         "is_outlier", (F.col(score_col) < F.col("offset")).cast("int")).drop("offset")
