@@ -574,7 +574,7 @@ def knn(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool
 def knn_lists(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool = False, most_k: int = 1 << 30) -> DataFrame:
     """One row (G..., leaf, _chunk, qid, near[, names]) per query (G..., vid, dims..., cnt[, leaf]) with its neighbours
     (cid, dist, w), nearest first; leaf and chunk name the task that searched it. A staged table, which the caller may
-    release.
+    release, as the staged tables in its ``spent`` (if there was a walk).
 
     In self mode the queries are the tree's own vectors (their copies count as
     neighbours, themselves not) and a group of at most ``k`` rows gives all its others. Without
@@ -646,7 +646,7 @@ def knn_lists(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode:
         .select(*g, F.col("qid").alias("vid"), *x, "cnt", "_own", "_ownchunk", F.col("node").alias("leaf"), "_r")
     other = materialize(other, "knn-walk")
     lists = _merged(r1, _search_chunked(cands, other, tree, known=True, carry=["_own", "_ownchunk"]), g)
-    release(other)
+    lists.spent = [other]
     return lists
 
 

@@ -104,6 +104,10 @@ def _needs(lists: DataFrame, g) -> DataFrame:
     return lists.select(*g, *CELL_COLS, F.explode("near.cid").alias("cid")).distinct()
 
 
+def _spent(lists: DataFrame) -> list:
+    return lists.__dict__.get("spent", [])
+
+
 def _factors(lists: DataFrame, g) -> tuple[DataFrame, list]:
     """(G..., vid, kdist, lrd, lof, _k) of every vector from its neighbours in ``lists``, and the tables staged for it."""
     needs = materialize(_needs(lists, g), "lof-needs")
@@ -135,7 +139,7 @@ def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None =
     nb = knn_lists(tree, tree.vectors, k, self_mode=True)
     stats, staged = _factors(nb, g)
     ref = materialize(tree.vectors.join(stats, [*g, "vid"], "left"), "lof-ref")
-    release(nb, *staged)
+    release(nb, *_spent(nb), *staged)
     return LofModel(_reference(tree, ref), ref, g, x, within, k)
 
 
@@ -201,7 +205,7 @@ def lof_novelty(model: LofModel, df: DataFrame, dims, id_col: str) -> DataFrame:
     scored = q.join(agg.withColumnRenamed("qid", "vid"), [*g, "vid"], "left") \
               .select(*g, *x, (F.col("_mlrd") / F.col("_lrd")).alias("lof"))
     scored = materialize(scored, "novelty-scores")
-    release(q, nb, needs)
+    release(q, nb, *_spent(nb), needs)
     out = _attach(d2, g, x, scored, ["lof"]).withColumn("lof_score", -F.col("lof"))
     return out.drop(GLOBAL) if not model.within else out
 
