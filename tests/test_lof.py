@@ -313,3 +313,31 @@ def test_cells_name_their_neighbours_once(spark):
     expected = {(r.grp, r.leaf, r._chunk, n.cid) for r in lists.collect() for n in r.near}
     got = [tuple(r) for r in needs.collect()]
     assert len(got) == len(set(got)) and set(got) == expected
+
+
+def test_lists_move_as_bytes(spark):
+    """Neighbour lists are binary columns, and are read the same from any slice of a batch."""
+    import pyarrow as pa
+    from thermolytics.operators.knn import _lists, _near_rows, build_tree, packed_lists
+    vec = vectors(spark, np.random.default_rng(9).normal(size=(200, 3)), np.arange(200))
+    tree = build_tree(vec, ["grp"], ["x0", "x1", "x2"], leaf_size=40)
+    types = dict(packed_lists(tree, tree.vectors, 5, True).dtypes)
+    assert {types[c] for c in ("_cid", "_dist", "_w")} == {"binary"} and "near" not in types
+    cols = _lists(np.array([1, 1, 3]), np.array([7, 8, 9]), np.array([0.5, 1.5, 2.5]), np.array([1, 2, 1]), 4, 3)
+    assert cols["_far"].to_pylist() == [None, 1.5, None, 2.5] and cols["_r"].to_pylist() == [None, 1.5, None, None]
+    t = pa.table(cols)
+    for part, expected in ((t, [(1, 7, 1), (1, 8, 2), (3, 9, 1)]), (t.slice(2), [(1, 9, 1)]), (t.slice(0, 1), []),
+                           (pa.concat_tables([t.slice(1, 1), t.slice(3)]), [(0, 7, 1), (0, 8, 2), (1, 9, 1)])):
+        assert list(zip(*(a.tolist() for a in _near_rows(part, "cid", "w")))) == expected
+
+
+def test_partitions_follow_leaves(spark):
+    """A small tree is not dealt over as many partitions as shuffles have: most would be empty."""
+    from thermolytics.operators.knn import SLOT_PARTITIONS, _search_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        few = SLOT_PARTITIONS * spark.sparkContext.defaultParallelism
+        assert [_search_partitions(spark, n) for n in (0, few, 500, 5000)] == [few, few, 500, 2000]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

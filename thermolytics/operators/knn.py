@@ -47,6 +47,7 @@ FIRST = 384               # vectors in the blocks that give a first bound
 CELL = 1 << 18            # vectors that one task cuts into leaves
 BUILD_LEVELS = 1          # levels per pass above that: several along one dimension would make thin slabs
 PASS_LEVELS = 3           # levels per join of the walk
+SLOT_PARTITIONS = 4       # partitions per task slot, at least
 
 
 @dataclass
@@ -59,6 +60,7 @@ class KdTree:
     depth: int
     leaf_size: int
     least: int            # rows in the smallest leaf of a group that was cut
+    leaves: int = 0       # leaves of all groups (0: not known)
 
 
 def _pick(idx_col, values):
@@ -249,11 +251,12 @@ def build_tree(vectors: DataFrame, groups, dims, leaf_size: int = 1024, max_dept
                                         F.max(F.col("_isleaf").cast("int")).cast("boolean").alias("is_leaf"),
                                         F.sum("n").alias("n"), F.sum("vectors").alias("vectors"))
     boxes = materialize(boxes, "kd-boxes")
-    depth, least, large = boxes.where("is_leaf").agg(F.max(_depth(F.col("node"))), F.min(F.when(F.col("node") > 1, F.col("n"))),
-                                                     F.count_if(F.col("vectors") > leaf_size)).first()
+    depth, least, large, leaves = boxes.where("is_leaf").agg(
+        F.max(_depth(F.col("node"))), F.min(F.when(F.col("node") > 1, F.col("n"))), F.count_if(F.col("vectors") > leaf_size),
+        F.count(F.lit(1))).first()
     if large:
         raise RuntimeError(f"{large} nodes still hold more than {leaf_size} vectors at depth {max_depth}")
-    return KdTree(vec, all_splits, boxes, g, x, depth or 0, leaf_size, least or leaf_size)
+    return KdTree(vec, all_splits, boxes, g, x, depth or 0, leaf_size, least or leaf_size, leaves)
 
 
 def descend(tree: KdTree, queries: DataFrame) -> DataFrame:
@@ -279,11 +282,17 @@ NEAR = T.ArrayType(T.StructType([T.StructField("cid", T.LongType()), T.StructFie
                                  T.StructField("w", T.LongType())]))
 
 
+#: A list moves as three binary columns, the values' bytes one after the other: Spark copies them whole.
+PACKED = {"cid": np.dtype("<i8"), "dist": np.dtype("<f8"), "w": np.dtype("<i8")}
+LIST_COLS = [*[T.StructField(f"_{f}", T.BinaryType()) for f in PACKED], T.StructField("_far", T.DoubleType()),
+             T.StructField("_got", T.LongType())]
+
+
 def _list_schema(queries: DataFrame, key_cols, carry) -> T.StructType:
-    """One row per query: its task's key, id and carried columns, the nearest found (``near``), the distance of the
-    k-th (``_r``, null where fewer rows were found) and k."""
+    """One row per query: its task's key, id and carried columns, the nearest found (``PACKED``), the distance of the
+    farthest of them and their rows, the distance of the k-th (``_r``, null where fewer rows were found) and k."""
     return T.StructType([*[queries.schema[c] for c in key_cols], T.StructField("qid", T.LongType()),
-                         *[queries.schema[c] for c in carry], T.StructField("near", NEAR),
+                         *[queries.schema[c] for c in carry], *LIST_COLS,
                          T.StructField("_r", T.DoubleType()), T.StructField("_k", T.LongType())])
 
 
@@ -294,17 +303,33 @@ def _near_column(cid, dist, w, counts) -> pa.ListArray:
         [pa.array(cid, pa.int64()), pa.array(dist, pa.float64()), pa.array(w, pa.int64())], fields=fields))
 
 
+def _packed(values: np.ndarray, counts: np.ndarray, kind: np.dtype) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(counts)]) * kind.itemsize
+    if offsets[-1] >= 1 << 31:
+        raise RuntimeError(f"neighbour lists of one task hold {offsets[-1]} bytes: fewer queries or a smaller k are needed")
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int32)),
+                                                            pa.py_buffer(np.ascontiguousarray(values, kind))])
+
+
 def _apart(*fields):
-    """Columns ``_cid``, ``_dist``, ``_w`` (those asked for) of the ``near`` lists: plain arrays are moved in far fewer bytes
-    than arrays of structs."""
-    return [F.col(f"near.{f}").alias(f"_{f}") for f in fields]
+    """The columns of the lists that hold these fields."""
+    return [f"_{f}" for f in fields]
 
 
 def _near_rows(t: pa.Table, *fields) -> tuple[np.ndarray, ...]:
-    """(list number, the fields) of the lists that ``_apart`` has taken apart."""
-    lists = [t.column(f"_{f}").combine_chunks() for f in fields]
-    counts = lists[0].value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    return (np.repeat(np.arange(len(t)), counts), *[x.flatten().to_numpy(zero_copy_only=False) for x in lists])
+    """(list number, the fields) of the packed lists."""
+    out, counts = [], [np.zeros(0, np.int64)]
+    for f in fields:
+        parts = [np.zeros(0, PACKED[f])]
+        for a in t.column(f"_{f}").chunks:
+            _, at, data = a.buffers()
+            at = np.frombuffer(at, np.int32, len(a) + 1, 4 * a.offset) if len(a) else np.zeros(1, np.int32)
+            if f == fields[0]:
+                counts.append(np.diff(at) // PACKED[f].itemsize)
+            if at[-1] > at[0]:
+                parts.append(np.frombuffer(data, PACKED[f], (at[-1] - at[0]) // PACKED[f].itemsize, at[0]))
+        out.append(np.concatenate(parts))
+    return (np.repeat(np.arange(len(t)), np.concatenate(counts)), *out)
 
 
 def _ids(t: pa.Table, name: str) -> np.ndarray:
@@ -422,12 +447,14 @@ def _nearest(C, cid, ccnt, Q, qid, qcnt, bound, k: int, self_mode: bool, skip=No
     return rows[order], found[order], dist[order], wts[order]
 
 
-def _lists(rows, cid, dist, w, n: int, k: int):
-    """``near`` and ``_r`` of ``n`` queries from entries sorted by query row."""
+def _lists(rows, cid, dist, w, n: int, k: int) -> dict:
+    """``LIST_COLS`` and ``_r`` of ``n`` queries from entries sorted by query row."""
     counts = np.bincount(rows, minlength=n)
     most, got = np.full(n, -np.inf), np.bincount(rows, weights=w, minlength=n)
     np.maximum.at(most, rows, dist)
-    return _near_column(cid, dist, w, counts), pa.array(most, pa.float64(), mask=got < k)
+    return {f"_{f}": _packed(v, counts, kind) for (f, kind), v in zip(PACKED.items(), (cid, dist, w))} \
+        | {"_far": pa.array(most, pa.float64(), mask=counts == 0), "_got": pa.array(got.astype(np.int64)),
+           "_r": pa.array(most, pa.float64(), mask=got < k)}
 
 
 def _search_kernel(dims, key_cols, carry, self_mode: bool, tables: int = 0):
@@ -456,23 +483,28 @@ def _search_kernel(dims, key_cols, carry, self_mode: bool, tables: int = 0):
                     a, b, met = own[cand[c], :now], qry[q], np.zeros(len(q), bool)
                     return met | (a == own[b, :now]).any(axis=1) | (a == far[b, :now]).any(axis=1)
             entries = _nearest(x[cand], ids[cand], cnt[cand], x[qry], ids[qry], cnt[qry], bound, k, self_mode, skip)
-        near, r = _lists(*entries, n, k or 1)
+        found = _lists(*entries, n, k or 1)
+        r = found.pop("_r")
         picked = t.take(pa.array(qry))
         return pa.table({c: picked.column(c) for c in key_cols} | {"qid": pa.array(ids[qry], pa.int64())}
-                        | {c: picked.column(c) for c in carry} | {"near": near, "_r": r, "_k": pa.array(np.full(n, k), pa.int64())})
+                        | {c: picked.column(c) for c in carry} | found | {"_r": r, "_k": pa.array(np.full(n, k), pa.int64())})
     return fn
 
 
-def _search_partitions(spark) -> int:
+def _search_partitions(spark, cells: int = 0) -> int:
     """Partitions for the distance kernels: the work is CPU-bound and the rows are few,
     so size by task slots rather than by bytes (AQE would merge the small shuffle
-    partitions into one task). An explicit count is never coalesced."""
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    partitions into one task). An explicit count is never coalesced.
+
+    A few per slot will do, and one per cell (leaf) where there are more: a partition without a cell still costs a
+    Python worker's start and a file. No more than shuffles have."""
+    slots = spark.sparkContext.defaultParallelism
+    return min(max(slots, int(spark.conf.get("spark.sql.shuffle.partitions"))), max(SLOT_PARTITIONS * slots, cells))
 
 
 def _search(tasks: DataFrame, key_cols, tree: KdTree, self_mode: bool, carry=(), tables: int = 0) -> DataFrame:
     fn = _search_kernel(tree.dims, key_cols, carry, self_mode, tables)
-    n = _search_partitions(tasks.sparkSession)
+    n = _search_partitions(tasks.sparkSession, 2 * tree.leaves or QUERY_CHUNK)      # twice: fewer cells share a partition
     return tasks.repartition(n, *key_cols).groupBy(*key_cols).applyInArrow(fn, _list_schema(tasks, key_cols, carry))
 
 
@@ -489,24 +521,25 @@ def _merge_kernel(groups, cell_cols):
             rows = np.concatenate([rows, theirs[at]])
             cid, dist, w = (np.concatenate(p) for p in zip((cid, dist, w), more))
             rows, cid, dist, w = _top(rows, cid, dist, w, k)
-        near, _ = _lists(rows, cid, dist, w, len(own), 1)
-        return pa.table({c: own.column(c) for c in (*groups, *cell_cols, "qid")}
-                        | {"near": near, "names": pa.array([np.unique(cid)] + [None] * (len(own) - 1), pa.list_(pa.int64()))[:len(own)]})
+        found = _lists(rows, cid, dist, w, len(own), 1)
+        found.pop("_r")
+        return pa.table({c: own.column(c) for c in (*groups, *cell_cols, "qid")} | found
+                        | {"names": pa.array([np.unique(cid)] + [None] * (len(own) - 1), pa.list_(pa.int64()))[:len(own)]})
     return fn
 
 
 CELL_COLS = ["leaf", "_chunk"]       # with the group: the task that a query's list belongs to
 
 
-def _merged(own: DataFrame, other: DataFrame, g) -> DataFrame:
-    """(G..., leaf, _chunk, qid, near, names): lists of one row per query and cell, with what was found elsewhere. One row
+def _merged(own: DataFrame, other: DataFrame, tree: KdTree, g) -> DataFrame:
+    """(G..., leaf, _chunk, qid, LIST_COLS, names): lists of one row per query and cell, with what was found elsewhere. One row
     of each cell has the ids that the cell's lists name, once each (``names``, null on the others). The lists are staged,
     and what ``own`` was read from (a staged table) is released."""
-    schema = T.StructType([*[own.schema[c] for c in (*g, *CELL_COLS, "qid", "near")], T.StructField("names", T.ArrayType(T.LongType()))])
-    n = _search_partitions(own.sparkSession)
+    schema = T.StructType([*[own.schema[c] for c in (*g, *CELL_COLS, "qid")], *LIST_COLS, T.StructField("names", T.ArrayType(T.LongType()))])
+    n = _search_partitions(own.sparkSession, tree.leaves)
     key = [*g, *CELL_COLS]
     a = own.select(*key, "qid", *_apart("cid", "dist", "w"), "_k").repartition(n, *key)
-    b = other.where(F.size("near") > 0).select(*g, F.col("_own").alias("leaf"), F.col("_ownchunk").alias("_chunk"), "qid",
+    b = other.where(F.col("_got") > 0).select(*g, F.col("_own").alias("leaf"), F.col("_ownchunk").alias("_chunk"), "qid",
                                                *_apart("cid", "dist", "w")).repartition(n, *key)
     lists = materialize(a.groupBy(*key).cogroup(b.groupBy(*key)).applyInArrow(_merge_kernel(g, CELL_COLS), schema), "knn-lists")
     release(own)
@@ -514,8 +547,33 @@ def _merged(own: DataFrame, other: DataFrame, g) -> DataFrame:
 
 
 def entries(lists: DataFrame, g, *cols) -> DataFrame:
-    """The lists as neighbour rows (G..., qid, cid, dist, w)."""
-    return lists.select(*g, "qid", *cols, F.inline("near"))
+    """The packed lists as neighbour rows (G..., qid, cols, cid, dist, w)."""
+    own = [*g, "qid", *cols]
+    out = T.StructType([*[lists.schema[c] for c in own], *NEAR.elementType.fields])
+
+    def fn(batches):
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            rows, *found = _near_rows(t, *PACKED)
+            picked = t.select(own).take(pa.array(rows))
+            yield from pa.table({c: picked.column(c) for c in own} | dict(zip(PACKED, map(pa.array, found)))).to_batches()
+
+    return lists.select(*own, *_apart(*PACKED)).mapInArrow(fn, out)
+
+
+def _unpacked(lists: DataFrame) -> DataFrame:
+    """The lists with ``near``, an array of (cid, dist, w), for their packed columns."""
+    own = [c for c in lists.columns if c not in [f.name for f in LIST_COLS]]
+
+    def fn(batches):
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            rows, *found = _near_rows(t, *PACKED)
+            yield from pa.table({c: t.column(c) for c in own} | {"near": _near_column(*found, np.bincount(rows, minlength=len(t)))}).to_batches()
+
+    out = lists.select(*own, *_apart(*PACKED)).mapInArrow(fn, T.StructType([*[lists.schema[c] for c in own], T.StructField("near", NEAR)]))
+    out.spent = [lists, *lists.__dict__.get("spent", [])]
+    return out
 
 
 def _landings(tree: KdTree, need: int) -> DataFrame:
@@ -568,12 +626,17 @@ def merge_topk(rows: DataFrame, groups, k_col: str = "_k", keep_k: bool = False)
 
 def knn(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool = False, most_k: int = 1 << 30) -> DataFrame:
     """Neighbour rows (G..., qid, cid, dist, w) of ``knn_lists``."""
-    return entries(knn_lists(tree, queries, k, self_mode, most_k), tree.groups)
+    return entries(packed_lists(tree, queries, k, self_mode, most_k), tree.groups)
 
 
 def knn_lists(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool = False, most_k: int = 1 << 30) -> DataFrame:
-    """One row (G..., leaf, _chunk, qid, near[, names]) per query (G..., vid, dims..., cnt[, leaf]) with its neighbours
-    (cid, dist, w), nearest first; leaf and chunk name the task that searched it. A staged table, which the caller may
+    """``packed_lists`` with each list as one array ``near`` of (cid, dist, w)."""
+    return _unpacked(packed_lists(tree, queries, k, self_mode, most_k))
+
+
+def packed_lists(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode: bool = False, most_k: int = 1 << 30) -> DataFrame:
+    """One row (G..., leaf, _chunk, qid, LIST_COLS[, names]) per query (G..., vid, dims..., cnt[, leaf]) with its
+    neighbours, nearest first; leaf and chunk name the task that searched it. A staged table, which the caller may
     release, as the staged tables in its ``spent`` (if there was a walk).
 
     In self mode the queries are the tree's own vectors (their copies count as
@@ -621,7 +684,7 @@ def knn_lists(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode:
     frontier = qb.where(F.col("_own") != 1).withColumn("node", F.lit(1).cast("long")).withColumn("is_leaf", F.lit(False))
     # The box table is small and joined by broadcast, so the walk keeps the frontier's
     # partitioning: spread the queries over all task slots first.
-    frontier = frontier.repartition(_search_partitions(queries.sparkSession), *g, "qid")
+    frontier = frontier.repartition(_search_partitions(queries.sparkSession, tree.leaves), *g, "qid")
     for level in range(0, tree.depth, PASS_LEVELS):
         # Nodes of this step plus leaves already reached: at the top this table is tiny while every query
         # shares the same node key.
@@ -640,12 +703,12 @@ def knn_lists(tree: KdTree, queries: DataFrame, k: int | None = None, self_mode:
         j = j.where(_mindist(x) <= F.col("_r") + F.lit(BOX_SLACK))
         frontier = j.select(*g, "qid", *x, "cnt", "_own", "_ownchunk", "_r", "node", "is_leaf")
     if tree.depth == 0:
-        return r1.select(*g, *CELL_COLS, "qid", "near")
+        return r1.select(*g, *CELL_COLS, "qid", *[f.name for f in LIST_COLS])
     # Each query's vector goes along: (query, leaf) pairs are what the search reads.
     other = frontier.where(F.col("is_leaf") & (F.col("node") != F.col("_own"))) \
         .select(*g, F.col("qid").alias("vid"), *x, "cnt", "_own", "_ownchunk", F.col("node").alias("leaf"), "_r")
     other = materialize(other, "knn-walk")
-    lists = _merged(r1, _search_chunked(cands, other, tree, known=True, carry=["_own", "_ownchunk"]), g)
+    lists = _merged(r1, _search_chunked(cands, other, tree, known=True, carry=["_own", "_ownchunk"]), tree, g)
     lists.spent = [other]
     return lists
 
@@ -675,12 +738,18 @@ def _search_chunked(cands: DataFrame, queries: DataFrame, tree: KdTree, known: b
 def approximate_knn(vectors: DataFrame, groups, dims, k: int, tables: int = 4, leaf_size: int = 1024, seed: int = 17,
                     n_vectors: int | None = None) -> DataFrame:
     """Neighbour rows (G..., qid, cid, dist, w) of ``approximate_knn_lists``."""
-    return entries(approximate_knn_lists(vectors, groups, dims, k, tables, leaf_size, seed, n_vectors), list(groups))
+    return entries(packed_approximate_lists(vectors, groups, dims, k, tables, leaf_size, seed, n_vectors), list(groups))
 
 
 def approximate_knn_lists(vectors: DataFrame, groups, dims, k: int, tables: int = 4, leaf_size: int = 1024, seed: int = 17,
                           n_vectors: int | None = None) -> DataFrame:
-    """Rows as ``knn_lists`` gives in self mode, found by random-projection hash tables.
+    """``packed_approximate_lists`` with each list as one array ``near`` of (cid, dist, w)."""
+    return _unpacked(packed_approximate_lists(vectors, groups, dims, k, tables, leaf_size, seed, n_vectors))
+
+
+def packed_approximate_lists(vectors: DataFrame, groups, dims, k: int, tables: int = 4, leaf_size: int = 1024, seed: int = 17,
+                             n_vectors: int | None = None) -> DataFrame:
+    """Rows as ``packed_lists`` gives in self mode, found by random-projection hash tables.
 
     A table projects the vectors on a random orthonormal basis (the first on their own axes) and cuts them at medians,
     so a bucket is a leaf and holds at most ``leaf_size`` vectors whatever the skew. Each vector searches, in each
@@ -708,7 +777,7 @@ def approximate_knn_lists(vectors: DataFrame, groups, dims, k: int, tables: int
     placed = spots.select(*g, "vid", F.col("_b.leaf").alias("own"), F.col("_b.beyond").alias("far")) \
         .join(vectors.select(*g, "vid", *x, "cnt"), [*g, "vid"])
     placed = materialize(placed.withColumn("_k", F.lit(k).cast("long")), "knn-buckets")
-    tree = KdTree(placed, tree.splits, tree.boxes, tg, x, tree.depth, leaf_size, tree.least)
+    tree = KdTree(placed, tree.splits, tree.boxes, tg, x, tree.depth, leaf_size, tree.least, tree.leaves)
     rows = [*g, "vid", *x, "cnt", "own", "far"]
     first = placed.select(*rows, "_k", F.lit(0).alias("_t"), F.get("own", F.lit(0)).alias("leaf"), F.lit(0).alias("_chunk"),
                           F.lit(2).alias("_role"), F.lit(None).cast("double").alias("_r"))
@@ -720,6 +789,6 @@ def approximate_knn_lists(vectors: DataFrame, groups, dims, k: int, tables: int
         .select("*", "_v._t", "_v.leaf").drop("_v")
     buckets = placed.select(*rows, "_k", F.posexplode("own").alias("_t", "leaf"))
     found = _search_chunked(buckets, probes, tree, known=True, carry=["_own", "_ownchunk"], tables=tables)
-    lists = _merged(r1, found, g)
+    lists = _merged(r1, found, tree, g)
     release(placed)
     return lists

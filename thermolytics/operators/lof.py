@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .knn import CELL_COLS, LEAF, KdTree, _apart, _near_rows, _search_partitions, approximate_knn_lists, build_tree, descend, \
-    knn_lists
+from .knn import CELL_COLS, LEAF, KdTree, _apart, _near_rows, _search_partitions, build_tree, descend, entries, \
+    packed_approximate_lists, packed_lists
 from .quantile import exact_quantile
 from ..functions.params import attach_row
 from ..session import materialize, release
@@ -85,11 +85,11 @@ def _means(g, columns):
     return fn
 
 
-def _averaged(lists: DataFrame, needs: DataFrame, values: DataFrame, g, columns) -> DataFrame:
+def _averaged(lists: DataFrame, needs: DataFrame, values: DataFrame, g, columns, leaves: int = 0) -> DataFrame:
     """(G..., qid, columns) of the ``lists`` from ``values`` (G..., cid, ...) of the neighbours they name. A cell's lists
     come together with one row per neighbour they need; the lists themselves are not taken apart."""
     key = [*g, *CELL_COLS]
-    n = _search_partitions(lists.sparkSession)
+    n = _search_partitions(lists.sparkSession, leaves)
     schema = T.StructType([lists.schema[c] for c in [*g, "qid"]] + [T.StructField(c, T.DoubleType()) for c, _ in columns])
     found = needs.join(values, [*g, "cid"]).repartition(n, *key)
     fields = ["cid", "w", *["dist"][:any(source == "_ckd" for _, source in columns)]]
@@ -101,23 +101,22 @@ def _needs(lists: DataFrame, g) -> DataFrame:
     """(G..., leaf, _chunk, cid): the neighbours that each cell's lists name, once each."""
     if "names" in lists.columns:        # the merge of the lists has found them
         return lists.where("names is not null").select(*g, *CELL_COLS, F.explode("names").alias("cid"))
-    return lists.select(*g, *CELL_COLS, F.explode("near.cid").alias("cid")).distinct()
+    return entries(lists, g, *CELL_COLS).select(*g, *CELL_COLS, "cid").distinct()
 
 
 def _spent(lists: DataFrame) -> list:
     return lists.__dict__.get("spent", [])
 
 
-def _factors(lists: DataFrame, g) -> tuple[DataFrame, list]:
+def _factors(lists: DataFrame, g, leaves: int = 0) -> tuple[DataFrame, list]:
     """(G..., vid, kdist, lrd, lof, _k) of every vector from its neighbours in ``lists``, and the tables staged for it."""
     needs = materialize(_needs(lists, g), "lof-needs")
     # The neighbours' multiplicities add up to k, or to all the others of a smaller group.
-    lists = lists.where(F.size("near") > 0)
-    kd = lists.select(*g, F.col("qid").alias("vid"), F.array_max("near.dist").alias("kdist"),
-                      F.aggregate("near.w", F.lit(0).cast("long"), lambda a, b: a + b).alias("_k"))
-    lrd = _averaged(lists, needs, kd.select(*g, F.col("vid").alias("cid"), F.col("kdist").alias("_ckd")), g, [("lrd", "_ckd")])
+    lists = lists.where(F.col("_got") > 0)
+    kd = lists.select(*g, F.col("qid").alias("vid"), F.col("_far").alias("kdist"), F.col("_got").alias("_k"))
+    lrd = _averaged(lists, needs, kd.select(*g, F.col("vid").alias("cid"), F.col("kdist").alias("_ckd")), g, [("lrd", "_ckd")], leaves)
     lrd = materialize(lrd.withColumnRenamed("qid", "vid"), "lof-lrd")
-    mean_n = _averaged(lists, needs, lrd.select(*g, F.col("vid").alias("cid"), F.col("lrd").alias("_clrd")), g, [("_mlrd", "_clrd")])
+    mean_n = _averaged(lists, needs, lrd.select(*g, F.col("vid").alias("cid"), F.col("lrd").alias("_clrd")), g, [("_mlrd", "_clrd")], leaves)
     return kd.join(lrd, [*g, "vid"]).join(mean_n.withColumnRenamed("qid", "vid"), [*g, "vid"]) \
              .select(*g, "vid", "kdist", "lrd", (F.col("_mlrd") / F.col("lrd")).alias("lof"), "_k"), [needs, lrd]
 
@@ -136,8 +135,8 @@ def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None =
     vec, n = materialize(distinct_vectors(df, g, x, id_col), "lof-vectors", count=True)
     tree = build_tree(vec, g, x, leaf_size=max(leaf_size, 4 * k), n_vectors=n)
     release(vec)
-    nb = knn_lists(tree, tree.vectors, k, self_mode=True)
-    stats, staged = _factors(nb, g)
+    nb = packed_lists(tree, tree.vectors, k, self_mode=True)
+    stats, staged = _factors(nb, g, tree.leaves)
     ref = materialize(tree.vectors.join(stats, [*g, "vid"], "left"), "lof-ref")
     release(nb, *_spent(nb), *staged)
     return LofModel(_reference(tree, ref), ref, g, x, within, k)
@@ -146,7 +145,7 @@ def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None =
 def _reference(tree: KdTree, ref: DataFrame) -> KdTree:
     """The fitted tree over the reference vectors, each with its group's k (a group of one row has none)."""
     vectors = ref.where(F.col("_k") >= 1).select(*tree.groups, "vid", *tree.dims, "cnt", "leaf", "_k")
-    return KdTree(vectors, tree.splits, tree.boxes, tree.groups, tree.dims, tree.depth, tree.leaf_size, tree.least)
+    return KdTree(vectors, tree.splits, tree.boxes, tree.groups, tree.dims, tree.depth, tree.leaf_size, tree.least, tree.leaves)
 
 
 def _attach(df: DataFrame, g, x, scored: DataFrame, cols) -> DataFrame:
@@ -177,7 +176,7 @@ def lof_scores_approximate(df: DataFrame, dims, id_col: str, k: int = 20, within
     d2, g = _groups(df, within)
     x = list(dims)
     vec, n = materialize(distinct_vectors(d2, g, x, id_col), "lof-vectors", count=True)
-    nb = approximate_knn_lists(vec, g, x, k, tables, max(leaf_size, 4 * k), n_vectors=n)
+    nb = packed_approximate_lists(vec, g, x, k, tables, max(leaf_size, 4 * k), n_vectors=n)
     stats, staged = _factors(nb, g)
     scored = materialize(vec.join(stats.select(*g, "vid", "lof"), [*g, "vid"], "left"), "lof-approximate")
     release(nb, vec, *staged)
@@ -198,10 +197,10 @@ def lof_novelty(model: LofModel, df: DataFrame, dims, id_col: str) -> DataFrame:
         d2 = d2.select("*", *[F.col(a).alias(b) for a, b in zip(x, model.dims) if a != b])
         x = model.dims
     q = materialize(descend(model.tree, distinct_vectors(d2, g, x, id_col)), "novelty-vectors")
-    nb = knn_lists(model.tree, q, most_k=model.k)
+    nb = packed_lists(model.tree, q, most_k=model.k)
     ref = model.ref.select(*g, F.col("vid").alias("cid"), F.col("kdist").alias("_ckd"), F.col("lrd").alias("_clrd"))
     needs = materialize(_needs(nb, g), "novelty-needs")
-    agg = _averaged(nb, needs, ref, g, [("_lrd", "_ckd"), ("_mlrd", "_clrd")])
+    agg = _averaged(nb, needs, ref, g, [("_lrd", "_ckd"), ("_mlrd", "_clrd")], model.tree.leaves)
     scored = q.join(agg.withColumnRenamed("qid", "vid"), [*g, "vid"], "left") \
               .select(*g, *x, (F.col("_mlrd") / F.col("_lrd")).alias("lof"))
     scored = materialize(scored, "novelty-scores")

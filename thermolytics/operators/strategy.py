@@ -115,7 +115,7 @@ def save_model(model: FittedModel, path: str) -> None:
     meta = {"strategy": model.strategy, "feature_columns": model.feature_columns, "params": model.params,
             "groups": model.lof.groups, "dims": model.lof.dims, "within": model.lof.within,
             "k": model.lof.k, "depth": model.lof.tree.depth, "leaf_size": model.lof.tree.leaf_size,
-            "least": model.lof.tree.least, "fanout": 4}
+            "least": model.lof.tree.least, "leaves": model.lof.tree.leaves, "fanout": 4}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1).write.mode("overwrite").json(f"{p}/meta")
 
 
@@ -125,7 +125,7 @@ def load_model(spark: SparkSession, path: str) -> FittedModel:
     ref = spark.read.parquet(f"{p}/lof_ref")
     vectors = ref.select(*meta["groups"], "vid", *meta["dims"], "cnt", "leaf")
     tree = KdTree(vectors, spark.read.parquet(f"{p}/tree_splits"), spark.read.parquet(f"{p}/tree_boxes"),
-                  meta["groups"], meta["dims"], meta["depth"], meta["leaf_size"], meta["least"])
+                  meta["groups"], meta["dims"], meta["depth"], meta["leaf_size"], meta["least"], meta.get("leaves", 0))
     lof = LofModel(_reference(tree, ref), ref, meta["groups"], meta["dims"], meta["within"], meta["k"])
     return FittedModel(meta["strategy"], meta["feature_columns"], spark.read.parquet(f"{p}/scaler"),
                        spark.read.parquet(f"{p}/regression"), spark.read.parquet(f"{p}/offset"), lof, meta["params"])
