@@ -104,3 +104,23 @@ def test_full_windows(spark, n):
     docs = [(1, " ".join([word] * n)), (2, word)]
     pieces = packing.pack(frame(spark, [(i, t, None, None, 0) for i, t in docs])).collect()
     check_pieces(pieces, docs, 2048)
+
+
+def test_words_are_looked_up_once_per_call():
+    """Not once per occurrence; blanks around a text and texts without words give nothing more."""
+    import pyarrow as pa
+
+    class Counting(packing.Numbers):
+        asked = 0
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+    encoder = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    assert [x.tolist() for x in encoder.ids([b""])] == [[]]
+    encoder.known = Counting(encoder.known)
+    texts = ["the cat the cat " * 50, " The\x0bcat\r\n", "", "the<|endoftext|>The"]
+    got = encoder.ids(pa.array([None, *[t.encode() for t in texts]], pa.binary()).slice(1))
+    assert [x.tolist() for x in got] == [ids_of(t)[:-1].tolist() for t in texts]
+    assert encoder.known.asked <= 5

@@ -28,17 +28,19 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import Numbers, mixed, slices, utf8
+from .common import Numbers, mixed, utf8
 
 WINDOW = 2048
 END = 1
 SHARD = 2048            # documents per shard
 QUERY_TERMS = 32        # of a seed, by weight
+SLICE = 1 << 22         # bytes of text that are tokenised at once
 K1, B = 1.2, 0.75
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -81,12 +83,12 @@ class WordIds:
 
     def add(self, letters: bool = False) -> None:
         """Encode the units that are new."""
-        new = b" ".join(islice(self.units, len(self.size), None)).decode("utf-8", "replace")
-        if not new:
+        if len(self.units) == len(self.size):
             return
+        new = b" ".join(islice(self.units, len(self.size), None)).decode("utf-8", "replace")
         if letters:
-            tokenize = self.tokenize
-            lists = [[t.id for t in tokenize(u)] for u in new.translate(self.above).split(" ")]
+            tokenize, above = self.tokenize, self.above
+            lists = [[t.id for t in tokenize(u if u.isascii() else u.translate(above))] for u in new.split(" ")]
         else:
             lists = [e.ids for e in self.tokenizer.encode_batch_fast(new.split(" "), add_special_tokens=False)]
         size = np.fromiter(map(len, lists), np.int64, len(lists))
@@ -106,23 +108,51 @@ class WordIds:
         self.add()
         self.pairs = np.concatenate([self.pairs, pairs])
 
-    def ids(self, texts: list[bytes]) -> list[np.ndarray]:
+    def ids(self, texts: pa.Array | list[bytes]) -> list[np.ndarray]:
+        """Ids of each text; a column of texts is binary, without nulls."""
         if len(self.known) > self.most:
             self.clear()
-        # Lower case is the tokenizer's own step; markers of special tokens are the exception.
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary())
+        split = pc.ascii_split_whitespace(lowered(texts.view(pa.string())))
+        # A word is looked up once per call, however often the texts have it.
+        words = split.flatten().dictionary_encode()
+        _, places, data = words.dictionary.buffers()
+        n = len(words.dictionary)
+        places, data = np.frombuffer(places, np.int32, n + 1).tolist() if n else [0], data.to_pybytes() if data else b""
+        at = np.fromiter(map(self.known.__getitem__, [data[a:b] for a, b in zip(places, places[1:])]), np.int64, n)
         if len(self.known) > len(self.pairs):
             self.learn(list(islice(self.known, len(self.pairs), None)))
-        unit = self.pairs[at].reshape(-1)
-        size = np.where(unit < 0, 0, self.size[unit])
+        pairs = self.pairs[at]
+        size = np.where(pairs < 0, 0, self.size[pairs])
+        # The ids of the distinct words, and each occurrence's run among them.
+        unit, run = pairs.reshape(-1), size.reshape(-1)
+        ends = np.cumsum(run)
+        once = self.flat[np.repeat(self.start[unit] - (ends - run), run) + np.arange(int(run.sum()))]
+        long = size.sum(axis=1)
+        begin = np.cumsum(long) - long
+        words = words.indices.to_numpy()
+        size = long[words]
         ends = np.cumsum(size)
-        every = self.flat[np.repeat(self.start[unit] - (ends - size), size) + np.arange(int(size.sum()))]
-        cuts = np.r_[0, ends][2 * np.r_[0, np.cumsum(counts)]]
+        every = once[np.repeat(begin[words] - (ends - size), size) + np.arange(int(size.sum()))]
+        cuts = np.r_[0, ends][split.offsets.to_numpy()]
         return [every[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
+def lowered(texts: pa.Array) -> pa.Array:
+    """Lower case is the tokenizer's own step; markers of special tokens are the exception."""
+    return pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+
+
+def slices(batches, size: int = SLICE):
+    """The batches in slices of texts that begin within ``size`` bytes."""
+    for b in batches:
+        ends = np.cumsum(pc.binary_length(b.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(ends // size)) + 1).tolist(), b.num_rows]
+        for i, j in zip(cuts, cuts[1:]):
+            if j > i:
+                yield b.slice(i, j - i)
+
+
 def encoded(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) -> DataFrame:
     """One row per document: its length in ids, checksums of its full windows, its remainder and a lexical sketch.
 
@@ -131,9 +161,10 @@ def encoded(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) ->
     def encode(batches):
         words, part, n_seq = WordIds(path), TaskContext.get().partitionId(), 0
         df = np.zeros(words.tokenizer.get_vocab_size(with_added_tokens=True), np.int64)
+        hashes = mixed(np.arange(len(df), dtype=np.uint64)) >> np.uint64(44)
         for piece in slices(batches):
             out = {c: [] for c in ("tokens", "crcs", "first", "rest", "sketch")}
-            for ids in words.ids(piece.column("text").to_pylist()):
+            for ids in words.ids(piece.column("text")):
                 ids = np.append(ids, np.uint32(end))
                 full = len(ids) // window
                 rest = ids[full * window:]
@@ -143,7 +174,7 @@ def encoded(docs: DataFrame, path: str, window: int = WINDOW, end: int = END) ->
                 n_seq += full
                 terms = np.unique(rest)
                 df[terms] += 1
-                low = np.sort(mixed(terms.astype(np.uint64)) >> np.uint64(44))[:3].tolist()
+                low = np.sort(hashes[terms])[:3].tolist()
                 out["sketch"].append(sum(x << s for x, s in zip(low, (40, 20, 0))))
                 out["rest"].append(rest.astype("<u4").tobytes() if len(df) > 1 << 16 else rest.astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays(
