@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.lof_brute import lof as brute_lof
 from tests.lof_brute import novelty as brute_novelty
@@ -341,3 +342,39 @@ def test_partitions_follow_leaves(spark):
         assert [_search_partitions(spark, n) for n in (0, few, 500, 5000)] == [few, few, 500, 2000]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_middle_sized_group_is_one_leaf(spark):
+    """Leaves of 32,768 vectors cut such a group in four: a third of the queries and more had to visit other leaves."""
+    from thermolytics.operators.knn import LEAF, build_tree
+    rows = spark.range(40_000).select(F.lit(0).alias("g"), F.col("id").alias("vid"), F.rand(1).alias("x0"), F.rand(2).alias("x1"), F.lit(1).alias("cnt"))
+    tree = build_tree(rows, ["g"], ["x0", "x1"], LEAF, n_vectors=40_000)
+    assert tree.leaves == 1 and tree.depth == 0 and tree.boxes.first().vectors == 40_000
+
+
+def test_large_k_makes_smaller_leaves(spark, monkeypatch):
+    from thermolytics.operators import lof
+    monkeypatch.setattr(lof, "ENTRIES", 400)
+    X, ids, grp = make_points(seed=13, n=200)
+    df, dims = frame(spark, X, ids, grp)
+    model = fit_lof(df, dims, "id", k=5)
+    assert model.tree.leaf_size == 80 and model.tree.leaves > 1
+    exp, _, _ = brute_lof(X, ids, 5, None)
+    got = {r.id: r.lof for r in lof_scores(df, dims, "id", k=5, model=model).collect()}
+    assert all(got[int(i)] == pytest.approx(e, rel=1e-9, abs=1e-9) for i, e in zip(ids, exp))
+
+
+@pytest.mark.parametrize("scale,shift", [(1.0, 0.0), (1e-7, 3.0), (1e17, 0.0), (1e-3, 1e6)])
+def test_estimates_in_single_precision_lose_no_pair(scale, shift):
+    from thermolytics.operators.knn import _maybe_within, _squared
+    rng = np.random.default_rng(3)
+    q = np.vstack([rng.normal(size=(60, 6)), rng.normal(size=(4, 6)) * 1e-4, rng.normal(size=(2, 6)) * 50]) * scale + shift
+    c = np.vstack([q[::2], rng.normal(size=(500, 6)) * scale + shift])
+    d = _squared(q[:, None], c[None])
+    for lim in (np.sort(d, axis=1)[:, 20], np.full(len(q), np.inf), np.full(len(q), 1e-24)):
+        mid = q.mean(axis=0)
+        found = set(zip(*(a.tolist() for a in _maybe_within(q - mid, c - mid, lim))))
+        assert found >= set(zip(*(a.tolist() for a in np.nonzero(d <= lim[:, None] * (1 - 1e-9)))))
+    # The bounds are kept: not every pair is let through.
+    if shift == 0.0:
+        assert len(_maybe_within(q - mid, c - mid, np.sort(d, axis=1)[:, 20])[0]) < d.size / 3

@@ -40,10 +40,12 @@ FANOUT = 4                # children per cut (quartiles of the widest dimension)
 LOG2_FANOUT = 2
 BOX_SLACK = 1e-9          # boxes within r + slack are searched (covers rounding ties)
 QUERY_CHUNK = 1 << 16     # queries per search task
-LEAF = 1 << 15            # vectors of a leaf, which one task searches by small blocks
+LEAF = 1 << 17            # vectors of a leaf, which one task searches by small blocks
 BLOCK = 128               # vectors of a block within a search task
 QUERY_BLOCK = 128         # queries that look at the same blocks
 FIRST = 384               # vectors in the blocks that give a first bound
+PANEL = 16                # blocks whose distances from a query block are estimated at once: what fits a core's cache
+SINGLE = 4e-6             # bound of the relative error of squared distances estimated in single precision
 CELL = 1 << 18            # vectors that one task cuts into leaves
 BUILD_LEVELS = 1          # levels per pass above that: several along one dimension would make thin slabs
 PASS_LEVELS = 3           # levels per join of the walk
@@ -383,6 +385,24 @@ def _top(rows, cid, dist, w, k):
     return rows[take], cid[take], dist[take], np.minimum(w[take], k - before[take])
 
 
+def _maybe_within(q: np.ndarray, c: np.ndarray, lim: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, candidate) row numbers of all pairs whose squared distance is at most ``lim`` of the query, and a few more.
+
+    One product of matrices, in single precision where its error is small against the bounds.
+    """
+    qq, cc = (q * q).sum(axis=1), (c * c).sum(axis=1)
+    most = qq.max() + cc.max()
+    single = most < 1e30 and SINGLE * most <= lim.min() / 8
+    over = qq - lim - (SINGLE if single else 1e-13) * (qq + cc.max())
+    left = np.column_stack([-2 * q, np.ones(len(q)), over])
+    right = np.vstack([c.T, cc, np.ones(len(c))])
+    if single:
+        left, right = left.astype(np.float32), right.astype(np.float32)
+    with np.errstate(invalid="ignore"):
+        far = left @ right > 0
+    return np.divmod(np.flatnonzero(~far.ravel()), len(c))
+
+
 def _nearest(C, cid, ccnt, Q, qid, qcnt, bound, k: int, self_mode: bool, skip=None):
     """(query row, cid, dist, w): each query's nearest candidates in (rounded distance, id) order until their
     multiplicities add up to k. In self mode a query's own vector counts cnt - 1 times (its other copies). ``bound``:
@@ -412,24 +432,24 @@ def _nearest(C, cid, ccnt, Q, qid, qcnt, bound, k: int, self_mode: bool, skip=No
         # Blocks beyond the widest bound of the whole query block are ruled out first, by one box against each.
         apart = (np.maximum(0, np.maximum(lo - q.max(axis=0), q.min(axis=0) - hi)) ** 2).sum(axis=1)
         some = np.flatnonzero(~(apart > lim.max()))
-        least = 0.0
+        least = np.zeros((len(q), len(some)))
         for j in range(q.shape[1]):
-            gap = np.maximum(0, np.maximum(lo[some, j] - q[:, j, None], q[:, j, None] - hi[some, j]))
-            least = least + gap * gap
-        used = some[~(least > lim[:, None]).all(axis=0)]
-        if not len(used):
+            gap = lo[some, j] - q[:, j, None]
+            np.maximum(gap, q[:, j, None] - hi[some, j], out=gap)
+            np.maximum(gap, 0, out=gap)
+            least += np.multiply(gap, gap, out=gap)
+        meets = ~(least > lim[:, None])
+        some, meets = some[meets.any(axis=0)], meets[:, meets.any(axis=0)]
+        if not len(some):
             continue
-        near = np.concatenate([blocks[i] for i in used])
-        # A product of matrices rules out the far ones; what may lie within the bound is computed exactly.
         mid = q.mean(axis=0)
-        qm, cm = q - mid, C[near] - mid
-        qq, cc = (qm * qm).sum(axis=1), (cm * cm).sum(axis=1)
-        over = qq - lim - 1e-13 * (qq + cc.max())
-        with np.errstate(invalid="ignore"):
-            beyond = np.column_stack([-2 * qm, np.ones(len(qm)), over]) @ np.vstack([cm.T, cc, np.ones(len(cm))])
-            pairs = np.flatnonzero(~(beyond.ravel() > 0))
-        rows, c = np.divmod(pairs, len(near))
-        c = near[c]
+        pairs = []
+        for b in range(0, len(some), PANEL):
+            who = np.flatnonzero(meets[:, b:b + PANEL].any(axis=1))
+            near = np.concatenate([blocks[i] for i in some[b:b + PANEL]])
+            rows, c = _maybe_within(q[who] - mid, C[near] - mid, lim[who])
+            pairs.append((who[rows], near[c]))
+        rows, c = (np.concatenate(p) for p in zip(*pairs))
         dist = np.sqrt(_squared(q[rows], C[c]))
         wts = ccnt[c]
         if self_mode:

@@ -31,6 +31,7 @@ from ..session import materialize, release
 EPS = 1e-10
 AUTO_OFFSET = -1.5
 GLOBAL = "_g"
+ENTRIES = 1 << 22         # neighbours that the lists of a leaf hold, about: with a large k the leaves are smaller
 
 
 @dataclass
@@ -133,7 +134,7 @@ def fit_lof(df: DataFrame, dims, id_col: str, k: int = 20, within: str | None =
     df, g = _groups(df, within)
     x = list(dims)
     vec, n = materialize(distinct_vectors(df, g, x, id_col), "lof-vectors", count=True)
-    tree = build_tree(vec, g, x, leaf_size=max(leaf_size, 4 * k), n_vectors=n)
+    tree = build_tree(vec, g, x, leaf_size=max(min(leaf_size, ENTRIES // k), 4 * k), n_vectors=n)
     release(vec)
     nb = packed_lists(tree, tree.vectors, k, self_mode=True)
     stats, staged = _factors(nb, g, tree.leaves)

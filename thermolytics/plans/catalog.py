@@ -260,7 +260,7 @@ def split_sets(spark, sf_dir):
     f = materialize(filled_features(spark, sf_dir), "features")     # scaler, fit, scoring and regression read it
     ref = f.where(F.col("event_date") < F.lit(SPLIT_DATE).cast("date"))
     qry = f.where(F.col("event_date") >= F.lit(SPLIT_DATE).cast("date"))
-    params = fit_scaler(ref, FEATS)
+    params = materialize(fit_scaler(ref, FEATS), "scaler")          # one row, which reference and new rows share
     return apply_scaler(ref, params, FEATS), apply_scaler(qry, params, FEATS), ref
 
 
@@ -360,7 +360,7 @@ THR_CTE = [("thr", "SELECT quantile_cont(anomaly_score_combined, 0.95) AS thr FR
     "SELECT " + ", ".join(r6(c, c) for c in ("precision", "recall", "f1_score")) + " FROM metrics",
     extra=LABEL_CTE + THR_CTE + [("metrics", SQL_METRICS)], views=("meter", "weather", "labels_v")))
 def q_label_metrics(spark, sf_dir):
-    s = scores_keyed(spark, sf_dir)
+    s = materialize(scores_keyed(spark, sf_dir), "scores")          # read for the threshold and for the metrics
     thr = score_threshold(s, q=0.95)
     return rounded(label_metrics(s, labels_for(spark, sf_dir), thr))
 
@@ -1161,6 +1161,7 @@ def q_label_metrics_unscored(spark, sf_dir):
     """One building's rows have no score: its labelled anomalies are misses."""
     s = scores_keyed(spark, sf_dir).withColumn(
         "anomaly_score_combined", F.when(F.col("building_id") != "bldg4", F.col("anomaly_score_combined")))
+    s = materialize(s, "scores")
     return rounded(label_metrics(s, labels_for(spark, sf_dir), score_threshold(s, q=0.95)))
 
 
